@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from cohortforge.llm import bpe, decontam, jpeg, licences
+from cohortforge.llm import bpe, decontam, jpeg, licences, lm, warc
 
 QUERIES = {
     "op2_decontaminate": decontam.query,
     "op4_progressive_jpeg": jpeg.query,
     "op5_byte_bpe": bpe.query,
+    "op8_warc_zip": warc.query,
     "op9_licence_scan": licences.query,
+    "op10_lm_score": lm.query,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op8_warc_zip": warc.ORACLE}

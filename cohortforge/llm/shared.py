@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cohortforge.plans.workers import importable
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir; one of our own only where that is unset."""
@@ -39,4 +41,5 @@ def partitions(spark: SparkSession) -> int:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
