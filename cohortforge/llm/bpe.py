@@ -5,6 +5,7 @@ prefix's encoding.  ``last[i]`` holds it; the encoding of a whole piece is read
 backwards through ``last``.  A candidate (a token that ends at i) is valid if it
 and the last token of the prefix before it stand side by side under the merges,
 which is decided by walking both tokens' merge trees along the common border.
+An Aho-Corasick automaton names the tokens that end at each byte.
 Appending bytes only adds entries, and an edit recomputes entries from the edit
 on until they agree with the old ones again.
 
@@ -18,6 +19,7 @@ from __future__ import annotations
 import base64
 import hashlib
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -47,6 +49,10 @@ class PrefixEncoder:
         #: Tokens that merging can reach, by their bytes.
         self.reached = {t: r for t, r in ranks.items() if len(t) == 1 or self.parts[r] is not None}
         self.memory: dict[tuple[int, int], bool] = {}
+        self.found = ahocorasick.Automaton()
+        for text, rank in self.reached.items():
+            self.found.add_word(text.decode("latin-1"), (rank, len(text)))
+        self.found.make_automaton()
 
     def _parts(self, text: bytes, rank: int):
         """The two tokens whose merge makes this one, or None if merging never gets there."""
@@ -94,18 +100,21 @@ class PrefixEncoder:
 
     def extend(self, text: bytes, last: list[int], stop=None) -> list[int]:
         """Adds to ``last`` (the last tokens of prefixes 1, 2, ...) what is missing for ``text``."""
-        reached, longest, beside = self.reached, self.longest, self.beside
-        token = self.token
-        for end in range(len(last) + 1, len(text) + 1):
-            for start in range(max(0, end - longest), end):
-                rank = reached.get(text[start:end])
-                if rank is not None and (start == 0 or last[start - 1] >= 0 and beside(last[start - 1], rank)):
-                    last.append(rank)
-                    break
-            else:
+        beside, begin = self.beside, max(0, len(last) + 1 - self.longest)
+        filled = len(last)
+        for at, (rank, size) in self.found.iter(text[begin:].decode("latin-1")):
+            end = begin + at + 1
+            if end <= filled:
+                continue
+            while filled < end - 1:
                 last.append(-1)
-            if stop is not None and stop(end, last):
-                break
+                filled += 1
+            start = end - size
+            if start == 0 or last[start - 1] >= 0 and beside(last[start - 1], rank):
+                last.append(rank)
+                filled = end
+                if stop is not None and stop(end, last):
+                    break
         return last
 
     def tokens(self, last: list[int]) -> list[int]:
