@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from cohortforge.llm import bpe, decontam, jpeg, licences, lm, quality, toxicity, warc
+from cohortforge.llm import bpe, decontam, jaccard, jpeg, licences, lm, quality, toxicity, warc
 
 QUERIES = {
     "op2_decontaminate": decontam.query,
     "op3_toxicity": toxicity.query,
     "op4_progressive_jpeg": jpeg.query,
     "op5_byte_bpe": bpe.query,
+    "op6_jaccard_join": jaccard.query,
     "op7_quality": quality.query,
     "op8_warc_zip": warc.query,
     "op9_licence_scan": licences.query,
