@@ -76,7 +76,7 @@ class PrefixEncoder:
         """
         known = self.memory.get((a, b))
         if known is None:
-            if len(self.memory) > 2_000_000:
+            if len(self.memory) > 500_000:
                 self.memory.clear()
             known = self.memory[a, b] = self._beside(a, b)
         return known
@@ -179,43 +179,60 @@ def _worker(path: str, pattern: str):
     return _ready[key]
 
 
+def _encoder(names, path, pattern, text_col, ids_col):
+    def run(batches):
+        encoder, pieces = _worker(path, pattern)
+        findall, get = encoder.split.findall, pieces.__getitem__
+        for batch in batches:
+            column = batch.column(names.index(text_col))
+            _, off = B.utf8(column)
+            for a, b in B.chunks(off):
+                out = [b"".join(map(get, findall(t.decode()))) for t in B.texts_of(column.slice(a, b - a))]
+                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns), pa.array(out, pa.binary())], names=[*names, ids_col])
+
+    return run
+
+
 def encode(df: DataFrame, path: str, pattern: str, *, text_col="text", ids_col="ids") -> DataFrame:
     """``df`` with ``ids_col``: the ids as little-endian unsigned 32-bit integers, binary."""
     names = [c for c in df.columns if c != ids_col]
     kept = df.select(*names)
+    return kept.mapInArrow(_encoder(names, path, pattern, text_col, ids_col), kept.withColumn(ids_col, F.lit(None).cast("binary")).schema)
 
+
+def _decoder(names, path, ids_col, bytes_col):
     def run(batches):
-        encoder, pieces = _worker(path, pattern)
-        findall, get = encoder.split.findall, pieces.__getitem__
+        token = {v: k for k, v in read_ranks(path).items()}.__getitem__
         for batch in batches:
-            buf, off = B.utf8(batch.column(names.index(text_col)))
+            column = batch.column(names.index(ids_col))
+            _, off = B.utf8(column)
             for a, b in B.chunks(off, 8 << 20):
-                out = [b"".join(map(get, findall(t.decode()))) for t in B.texts_of(batch.column(names.index(text_col)).slice(a, b - a))]
-                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns), pa.array(out, pa.binary())], names=[*names, ids_col])
+                out = [b"".join(map(token, np.frombuffer(x, "<u4").tolist())) for x in B.texts_of(column.slice(a, b - a))]
+                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns), pa.array(out, pa.binary())], names=[*names, bytes_col])
 
-    return kept.mapInArrow(run, kept.withColumn(ids_col, F.lit(None).cast("binary")).schema)
+    return run
 
 
 def decode(df: DataFrame, path: str, *, ids_col="ids", bytes_col="decoded") -> DataFrame:
     """``df`` with ``bytes_col``: the bytes that the ids stand for."""
     names = [c for c in df.columns if c != bytes_col]
     kept = df.select(*names)
+    return kept.mapInArrow(_decoder(names, path, ids_col, bytes_col), kept.withColumn(bytes_col, F.lit(None).cast("binary")).schema)
 
-    def run(batches):
-        token = {v: k for k, v in read_ranks(path).items()}.__getitem__
-        for batch in batches:
-            _, off = B.utf8(batch.column(names.index(ids_col)))
-            for a, b in B.chunks(off, 8 << 20):
-                out = [b"".join(map(token, np.frombuffer(x, "<u4").tolist())) for x in B.texts_of(batch.column(names.index(ids_col)).slice(a, b - a))]
-                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns), pa.array(out, pa.binary())], names=[*names, bytes_col])
 
-    return kept.mapInArrow(run, kept.withColumn(bytes_col, F.lit(None).cast("binary")).schema)
+def _digests(batches):
+    for batch in batches:
+        ids, decoded = (list(B.texts_of(batch.column(batch.schema.names.index(c)))) for c in ("ids", "decoded"))
+        sha = [[hashlib.sha256(x).hexdigest() for x in column] for column in (ids, decoded)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), *map(pa.array, sha)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
 def digest(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    ids = encode(docs.select("doc_id", "text"), path, pattern).drop("text")
-    done = decode(ids, path)
-    return done.select("doc_id", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    """doc_id with the token count and the digests of encoded and decoded texts, in one pass."""
+    encoder = _encoder(["doc_id", "text"], path, pattern, "text", "ids")
+    decoder = _decoder(["doc_id", "text", "ids"], path, "ids", "decoded")
+    kind = dict(docs.dtypes)["doc_id"]
+    return docs.select("doc_id", "text").mapInArrow(lambda batches: _digests(decoder(encoder(batches))), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def query(spark, sf_dir, vocabulary: str | None = None) -> DataFrame:
