@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from cohortforge.llm import bpe, decontam, jaccard, jpeg, licences, lm, quality, toxicity, warc
+from cohortforge.llm import bpe, decontam, jaccard, jpeg, licences, lm, quality, suffixdedup, toxicity, warc
 
 QUERIES = {
+    "op1_suffix_dedup": suffixdedup.query,
     "op2_decontaminate": decontam.query,
     "op3_toxicity": toxicity.query,
     "op4_progressive_jpeg": jpeg.query,
