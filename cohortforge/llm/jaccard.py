@@ -12,10 +12,12 @@ least cost, counted over all sets: subsets emitted against list entries scanned.
 The order puts rare tokens first without a sort of all tokens: tokens in the
 lowest ``RANGE`` part of the hash space whose list holds at most ``COMMON``
 classes, by hash; then the rest of the space, by hash; then the other tokens of
-that part.  Token counts come from one packed exchange.  Sets whose rare tokens
+that part.  Token counts come from one packed exchange.  Sets with more tokens of
+their own than similar sets may differ in leave here.  Sets whose rare tokens
 don't fill their prefix are read again for tokens of the rest.
 
-Each list ties its members to one leader (the one with the most common tokens).
+Each list is split by size and ties its members to one leader (the one with the
+most common tokens).
 A leader and its members are compared in one place by an overlap matrix.  Stars
 of more than ``STAR`` members are dealt out, the leader to each part; members that
 didn't join the leader's component there are then compared with all members of
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 
 from cohortforge.llm import bytesops as B
 from cohortforge.llm.components import components
-from cohortforge.llm.shared import partitions, stored, table
+from cohortforge.llm.shared import partitions, stored, table, tidy
 
 SHINGLE = 5
 RANGE = 0.35
@@ -131,7 +133,22 @@ def boundary_by_cost(counts: dict[int, int]) -> int:
 
 _SHIPPED = "bucket int, classes binary, sizes binary, counts binary, tokens binary, places binary"
 _RECORD = np.dtype([("class", "<i8"), ("token", "<u8"), ("place", "<u4"), ("size", "<u4"), ("low", "<u4"), ("common", "u1")])
-_POSTING = np.dtype([("token", "<u8"), ("class", "<i8"), ("rank", "<u2")])
+_POSTING = np.dtype([("token", "<u8"), ("class", "<i8"), ("rank", "<u2"), ("band", "u1")])
+
+
+def _band_starts() -> np.ndarray:
+    """Sizes of similar sets are in the same band or in neighbouring ones."""
+    out = [1]
+    while out[-1] < 1 << 40:
+        out.append(out[-1] * 5 // 4 + 1)
+    return np.array(out)
+
+
+BAND_STARTS = _band_starts()
+
+
+def band_of(sizes) -> np.ndarray:
+    return np.searchsorted(BAND_STARTS, sizes, "right")
 _PACKED = "bucket int, data binary"
 
 
@@ -230,29 +247,35 @@ def _prefixes(n_buckets: int):
         size, low, place = (r[k].astype(np.int64) for k in ("size", "low", "place"))
         prefix = prefix_length(size)
         rank = np.where(common > 0, size - total + before, np.where(place < low, place - before, place - total))
-        lacks = (low - total < prefix) & (low >= prefix) & (size > low)
+        # low tokens that no other class has: with more of them than a similar pair may differ in, a class links with nothing
+        alone = low - np.bincount(group, place < low).astype(np.int64)[group]
+        able = alone <= size - (4 * size + 4) // 5
+        lacks = able & (low - total < prefix) & (low >= prefix) & (size > low)
         share = (low - total) * 65535 // np.maximum(low, 1)
-        use = np.flatnonzero(rank < prefix)
+        use = np.flatnonzero(able & (rank < prefix))
         out = np.empty(len(use), _POSTING)
-        out["token"], out["class"], out["rank"] = r["token"][use], r["class"][use], share[use]
+        out["token"], out["class"], out["rank"], out["band"] = r["token"][use], r["class"][use], share[use], band_of(size[use])
         if len(out):
             yield _packed_rows((out["token"] & np.uint64(n_buckets - 1)).astype(np.int64), out, n_buckets)
         poor = first[lacks[first]]
         if len(poor):
             out = np.empty(len(poor), _POSTING)
-            out["token"], out["class"], out["rank"] = 0, r["class"][poor], share[poor]
+            out["token"], out["class"], out["rank"], out["band"] = 0, r["class"][poor], share[poor], band_of(size[poor])
             yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([out.tobytes()], pa.binary())], names=["bucket", "data"])
 
     return run
 
 
 def _leaders(batches):
-    """leader, member of each list with two or more classes."""
+    """leader, member of each list with two or more classes; a list holds what two neighbouring size bands have of a token."""
     p = _unpacked(batches, _POSTING)
     if not len(p):
         return
-    p = p[np.lexsort((p["class"], p["rank"], p["token"]))]
-    new = np.append(True, p["token"][1:] != p["token"][:-1])
+    upper = p.copy()
+    upper["band"] += 1
+    p = np.concatenate([p, upper])
+    p = p[np.lexsort((p["class"], p["rank"], p["band"], p["token"]))]
+    new = np.append(True, (p["token"][1:] != p["token"][:-1]) | (p["band"][1:] != p["band"][:-1]))
     leader = p["class"][np.flatnonzero(new)][np.cumsum(new) - 1]
     pairs = np.unique(np.stack([leader, p["class"]], axis=1)[leader != p["class"]], axis=0)
     for a in range(0, len(pairs), 1 << 16):
@@ -266,15 +289,16 @@ def _subset_postings(n_buckets: int, boundary: int):
         for batch in batches:
             for _, _, tokens, sizes, classes in _chunked_sets(batch.column(0)):
                 cut = np.concatenate([[0], np.cumsum(sizes)])
-                keys, owners = [], []
+                keys, owners, bands = [], [], []
                 for i in np.flatnonzero((sizes > 0) & (sizes <= boundary)).tolist():
                     mixed = [int(x) for x in B.mix(tokens[cut[i] : cut[i + 1]] + _MULT[2])]
                     for k in subset_sizes(int(sizes[i]), boundary):
                         keys += [(sum(c) + k * 0x9E3779B97F4A7C15) & (1 << 64) - 1 for c in combinations(mixed, k)]
                         owners += [int(classes[i])] * comb(int(sizes[i]), k)
+                        bands += [int(band_of(sizes[i]))] * comb(int(sizes[i]), k)
                 if keys:
                     out = np.empty(len(keys), _POSTING)
-                    out["token"], out["class"], out["rank"] = B.mix(np.array(keys, np.uint64)), owners, 0
+                    out["token"], out["class"], out["rank"], out["band"] = B.mix(np.array(keys, np.uint64)), owners, 0, bands
                     out = np.unique(out)
                     yield _packed_rows((out["token"] & np.uint64(n_buckets - 1)).astype(np.int64), out, n_buckets)
 
@@ -343,9 +367,9 @@ def _as_postings(n_buckets: int):
     def run(batches):
         for batch in batches:
             parts = []
-            for cls, tokens, rank in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for cls, tokens, rank, band in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 part = np.empty(len(tokens) // 8, _POSTING)
-                part["token"], part["class"], part["rank"] = np.frombuffer(tokens, "<u8"), cls, rank
+                part["token"], part["class"], part["rank"], part["band"] = np.frombuffer(tokens, "<u8"), cls, rank, band
                 parts.append(part)
             if parts:
                 out = np.concatenate(parts)
@@ -471,17 +495,19 @@ def links(docs: DataFrame, members: DataFrame) -> DataFrame:
     shipped = texts.mapInArrow(_ship(n, boundary), _SHIPPED)
     counted = shipped.repartition(p, "bucket").mapInArrow(_count_lists(n), _PACKED)
     postings = stored(counted.repartition(p, "bucket").mapInArrow(_prefixes(n), _PACKED))
-    poor = stored(postings.where("bucket = -1").mapInArrow(_poor_rows, "class long, rank int"))
+    tidy(spark)
+    poor = stored(postings.where("bucket = -1").mapInArrow(_poor_rows, "class long, rank int, band int"))
     poor_ids = poor.join(classes, "class").select("rep")
     count = poor.count()
     lists = postings.where("bucket >= 0")
     if count:
         again = _sets_again(docs, poor_ids, count, True).join(poor, "class").join(classes, "class").where(F.col("doc_id").eqNullSafe(F.col("rep")))
-        lists = lists.unionByName(again.select("class", "tokens", "rank").mapInArrow(_as_postings(n), _PACKED))
+        lists = lists.unionByName(again.select("class", "tokens", "rank", "band").mapInArrow(_as_postings(n), _PACKED))
     if boundary:
         lists = lists.unionByName(texts.mapInArrow(_subset_postings(n, boundary), _PACKED))
     stars = stored(lists.repartition(p, "bucket").mapInArrow(_leaders, "leader long, member long").distinct())
     stars = _without_covered(stars)
+    tidy(spark)
     wanted = stored(stars.select(F.col("leader").alias("class")).unionByName(stars.select(F.col("member").alias("class"))).distinct().join(classes, "class"))
     sets = _sets_again(docs, wanted.select("rep"), wanted.count(), False).join(wanted, "class").where(F.col("doc_id").eqNullSafe(F.col("rep")))
     sets = stored(sets.select("class", "tokens").dropDuplicates(["class"]))
@@ -500,7 +526,7 @@ def links(docs: DataFrame, members: DataFrame) -> DataFrame:
 
 def _poor_rows(batches):
     r = _unpacked(batches, _POSTING)
-    yield pa.RecordBatch.from_arrays([pa.array(r["class"]), pa.array(r["rank"].astype(np.int32))], names=["class", "rank"])
+    yield pa.RecordBatch.from_arrays([pa.array(r["class"]), *(pa.array(r[k].astype(np.int32)) for k in ("rank", "band"))], names=["class", "rank", "band"])
 
 
 def grouped(docs: DataFrame, *, id_col="doc_id", text_col="text") -> DataFrame:
