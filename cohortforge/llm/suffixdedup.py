@@ -6,8 +6,8 @@ anywhere else, in the same text or another.
 *Routing.*  Every string of LENGTH bytes is ruled by the least of its
 ``GRAM``-byte gram hashes (the leftmost of equal ones).  Equal strings have equal
 rulers, so strings need comparing only with those of the same ruler.  Strings
-with neighbouring starts and one ruler make a context: some 190 starts, 590
-bytes.  Contexts are counted first, by hash: equal contexts of several places
+with neighbouring starts and one ruler make a context: some 90 starts, 490
+bytes.  Contexts are counted first, in their own text and then in all, by hash: equal contexts of several places
 repeat as a whole, and a ruler with one context in one place has no repeats; both
 are settled without moving text.  For other rulers one copy of each context is
 cut from its text.
@@ -42,13 +42,15 @@ from pyspark.sql import functions as F
 
 from cohortforge.llm import bytesops as B
 from cohortforge.llm.jaccard import Bitmap
-from cohortforge.llm.shared import partitions, stored, table
+from cohortforge.llm.shared import partitions, stored, table, tidy
 
 LENGTH = 400
-GRAM = 32
+GRAM = 160
 MOST = 250
 BANDS = (48, 8, 1)
-SHARD_BYTES = 512 << 10
+SHARD_BYTES = 256 << 10
+BATCH_BYTES = 1 << 20
+FIND_BYTES = 2 << 20
 PACK = 7  # symbols of 9 bits in one sort key
 _PLACE_BITS = 25
 
@@ -92,18 +94,25 @@ def contexts(buf: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int =
 
 
 def _find(batches):
-    names = ["doc_id", "k", "n", "lo", "hi", "at", "h", "c"]
+    """Each text's different contexts (m: how many places), and, with h null, its spans of contexts that it repeats itself."""
+    names = ["doc_id", "k", "n", "lo", "hi", "at", "m", "h", "c"]
     for batch in batches:
-        column = batch.column(3)
-        buf, off = B.utf8(column)
-        for a, b in B.chunks(off):
+        buf, off = B.utf8(batch.column(3))
+        for a, b in B.chunks(off, FIND_BYTES):
             base = off[a]
             row, lo, hi, at, h, c = contexts(buf[base : off[b]], off[a : b + 1] - base)
             if not len(row):
                 continue
-            start = (off[a:b] - base)[row]
-            own = [batch.column(i).slice(a, b - a).take(pa.array(row)) for i in range(3)]
-            yield pa.RecordBatch.from_arrays([*own, *(pa.array((x - start).astype(np.int32)) for x in (lo, hi, at)), pa.array(h.view(np.int64)), pa.array(c.view(np.int64))], names=names)
+            _, first, back, count = np.unique(B.mix(h + c * np.uint64(7) + row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True, return_inverse=True, return_counts=True)
+            own = np.flatnonzero(count[back] > 1)
+            new = np.append(True, (row[own][1:] != row[own][:-1]) | (lo[own][1:] > hi[own][:-1] + LENGTH)) if len(own) else np.zeros(0, bool)
+            heads = own[new]
+            tails = own[np.append(np.flatnonzero(new)[1:] - 1, len(own) - 1)] if len(own) else own
+            for where, low, high, m, marked in ((first, lo[first], hi[first], count, True), (heads, lo[heads], hi[tails], np.full(len(heads), 2), False)):
+                start = (off[a:b] - base)[row[where]]
+                ids = [batch.column(i).slice(a, b - a).take(pa.array(row[where])) for i in range(3)]
+                hashes = [pa.array(x[where].view(np.int64), mask=None if marked else np.ones(len(where), bool)) for x in (h, c)]
+                yield pa.RecordBatch.from_arrays([*ids, *(pa.array((x - start).astype(np.int32)) for x in (low, high, at[where])), pa.array(m.astype(np.int64)), *hashes], names=names)
 
 
 # --- suffix order --------------------------------------------------------------------------------
@@ -278,13 +287,23 @@ def _merge_rows(batches):
         for key, c, m, k, n, lo, _, _, body in zip(*(x.to_pylist() for x in batch.columns)):
             if (key, c) not in seen:
                 seen.add((key, c))
-                meta.append((m, k, n, lo))
+                meta.append((key, m, k, n, lo))
                 bodies.append(body)
-    rows = []
-    for (m, k, n, lo), flags in zip(meta, repeated_starts(bodies)):
-        if m == 1 and flags.any():
-            edge = np.flatnonzero(np.diff(np.concatenate([[0], flags.view(np.int8), [0]])))
-            rows += [(k, n, lo + a, lo + b - 1 + LENGTH) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())]
+    # equal strings have equal keys, so batches of whole keys are enough
+    order = sorted(range(len(meta)), key=lambda i: meta[i][0])
+    rows, at = [], 0
+    while at < len(order):
+        to, size = at, 0
+        while to < len(order) and (size < BATCH_BYTES or meta[order[to]][0] == meta[order[to - 1]][0]):
+            size += len(bodies[order[to]])
+            to += 1
+        part = order[at:to]
+        for i, flags in zip(part, repeated_starts([bodies[i] for i in part])):
+            _, m, k, n, lo = meta[i]
+            if m == 1 and flags.any():
+                edge = np.flatnonzero(np.diff(np.concatenate([[0], flags.view(np.int8), [0]])))
+                rows += [(k, n, lo + a, lo + b - 1 + LENGTH) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())]
+        at = to
     if rows:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int32(), pa.int32()))], names=["k", "n", "first", "last"])
 
@@ -299,13 +318,16 @@ def spans(texts: DataFrame) -> DataFrame:
     spark = texts.sparkSession
     p = partitions(spark)
     kind = dict(texts.dtypes)["doc_id"]
-    found = texts.where(F.col("n") >= LENGTH).mapInArrow(_find, f"doc_id {kind}, k long, n int, lo int, hi int, at int, h long, c long")
-    places = stored(found.groupBy("k", "n", "lo", "hi", "at", "h", "c").agg(F.count("*").alias("m"), F.min("doc_id").alias("doc_id")))
+    found = stored(texts.where(F.col("n") >= LENGTH).mapInArrow(_find, f"doc_id {kind}, k long, n int, lo int, hi int, at int, m long, h long, c long"))
+    places = found.where("h is not null")
+    end = (F.col("hi") + LENGTH).alias("last")
     counted = stored(places.groupBy("h", "c").agg(F.sum("m").alias("m"), F.min(F.struct("doc_id", "k", "n", "lo", "hi", "at")).alias("one")))
     rulers = stored(counted.groupBy("h").agg(F.count("*").alias("kinds"), F.sum("m").alias("total")).where("total > 1").select("h", "kinds"))
     ruled = stored(counted.join(rulers, "h"))
     again = ruled.where("m > 1").select("h", "c")
-    whole = stored(places.select("h", "c", "k", "n", "lo", "hi").join(again, ["h", "c"]).select("k", "n", F.col("lo").alias("first"), (F.col("hi") + LENGTH).alias("last")))
+    whole = places.where("m = 1").select("h", "c", "k", "n", "lo", "hi").join(again, ["h", "c"]).select("k", "n", F.col("lo").alias("first"), end)
+    whole = stored(whole.unionByName(found.where("h is null").select("k", "n", F.col("lo").alias("first"), end)))
+    tidy(spark)
     # one copy of each context of rulers with several
     wanted = ruled.where("kinds > 1").select("one.doc_id", "one.k", "one.n", F.struct("h", "c", "m", "one.lo", "one.hi", "one.at").alias("cut"))
     wanted = stored(wanted.groupBy("doc_id", "k", "n").agg(F.collect_list("cut").alias("cuts")))
@@ -363,16 +385,17 @@ def _united(names, keep_text: bool):
                     kept.append(text[at:a])
                     at = b
                 kept = b"".join([*kept, text[at:]])
-                rows.append((len(text), len(text) - len(kept), len(runs), kept if keep_text else hashlib.sha256(kept).hexdigest()))
+                rows.append((len(text), len(text) - len(kept), len(runs), kept.decode(errors="ignore") if keep_text else hashlib.sha256(kept).hexdigest()))
             rest = [batch.column(i) for i, c in enumerate(names) if c not in ("cuts", "text", "k", "n")]
             cols = list(zip(*rows)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([*rest, *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.binary() if keep_text else pa.string())], names=[*(c for c in names if c not in ("cuts", "text", "k", "n")), "n_bytes", "n_removed", "n_spans", "kept"])
+            yield pa.RecordBatch.from_arrays([*rest, *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.string())], names=[*(c for c in names if c not in ("cuts", "text", "k", "n")), "n_bytes", "n_removed", "n_spans", "kept"])
 
     return run
 
 
 def removed(df: DataFrame, *, id_col="doc_id", text_col="text", keep_text=False) -> DataFrame:
-    """Other columns of ``df`` with n_bytes, n_removed, n_spans and kept: the rest's sha256, or its bytes if asked for."""
+    """The other columns of ``df`` with n_bytes, n_removed, n_spans and kept: the rest's sha256,
+    or, if asked for, the rest as text, without bytes of characters that a cut has split."""
     texts = _texts(df, id_col, text_col)
     cuts = stored(spans(texts).groupBy("k", "n").agg(F.collect_set(F.struct("first", "last")).alias("cuts")))
     body = F.coalesce(text_col, F.lit(""))
@@ -381,7 +404,7 @@ def removed(df: DataFrame, *, id_col="doc_id", text_col="text", keep_text=False)
     keyed = df.select(*(F.col(c).alias(inner[c]) for c in others), body.alias("text"), F.xxhash64(body).alias("k"), F.octet_length(body).alias("n"))
     full = keyed.join(cuts, ["k", "n"], "left").select(*inner.values(), "text", "cuts")
     names = full.columns
-    schema = full.select(*inner.values(), *(F.lit(0).cast("long").alias(c) for c in ("n_bytes", "n_removed", "n_spans")), F.lit(None).cast("binary" if keep_text else "string").alias("kept")).schema
+    schema = full.select(*inner.values(), *(F.lit(0).cast("long").alias(c) for c in ("n_bytes", "n_removed", "n_spans")), F.lit(None).cast("string").alias("kept")).schema
     done = full.mapInArrow(_united(names, keep_text), schema)
     return done.select(*(F.col(inner[c]).alias(c) for c in others), "n_bytes", "n_removed", "n_spans", "kept")
 
