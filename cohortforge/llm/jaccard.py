@@ -48,6 +48,7 @@ STAR = 128
 SCAN_COST = 4.0
 LARGEST_SMALL = 12
 BITMAP_BITS = 1 << 27
+SHIP_BYTES = 3 << 20
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 _CUT = np.uint64(int(RANGE * 2**64))
 
@@ -168,7 +169,7 @@ def _ship(n_buckets: int, boundary: int):
 
     def run(batches):
         for batch in batches:
-            for _, _, tokens, sizes, classes in _chunked_sets(batch.column(0), 4 * B.CHUNK_BYTES):
+            for _, _, tokens, sizes, classes in _chunked_sets(batch.column(0), SHIP_BYTES):
                 cut = np.concatenate([[0], np.cumsum(sizes)])
                 low = np.add.reduceat(np.append(tokens < _CUT, False), cut[:-1]) if len(sizes) else np.zeros(0, np.int64)
                 low = np.where(sizes > 0, low, 0)
