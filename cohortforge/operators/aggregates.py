@@ -83,7 +83,7 @@ def auto_bins(df: DataFrame, column: str, most: int = 30) -> DataFrame:
 
 def durations(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
     """Seconds from the first start to the last end of each key."""
-    micros = F.unix_micros(F.max(end)) - F.unix_micros(F.min(start))
+    micros = F.unix_micros(F.max(F.col(end).cast("timestamp"))) - F.unix_micros(F.min(F.col(start).cast("timestamp")))
     return df.groupBy(key).agg((micros / 1e6).alias("seconds"))
 
 
