@@ -91,9 +91,9 @@ def merged(ranges) -> list[tuple[int, int]]:
 def scan(df: DataFrame, items: DataFrame, *, id_col="item_id", item_text="text", text_col="text", window=WINDOW) -> DataFrame:
     """``df`` with n_words, n_hit, hit_items (ids) and hit_spans (byte ranges of the original UTF-8 text).
 
-    Columns of ``df`` that clash with the four new names are replaced.
+    Columns of ``df`` that clash with the new names (or with _ranges) are replaced.
     """
-    new = ["n_words", "n_hit", "hit_items", "hit_spans"]
+    new = ["n_words", "n_hit", "hit_items", "hit_spans", "_ranges"]
     base = df.drop(*new)
     kind = dict(items.dtypes)[id_col]
     span = "array<struct<first:bigint,last:bigint>>"

@@ -93,9 +93,9 @@ class ZipArchive:
         tail_size = min(source.size, 22 + 0xFFFF)
         tail_at = source.size - tail_size
         tail = source.range(tail_at, tail_size)
-        at = tail.rfind(b"PK\x05\x06")
-        while at >= 0 and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] > len(tail):
-            at = tail.rfind(b"PK\x05\x06", 0, at)
+        at = tail.rfind(b"PK\x05\x06", 0, max(0, len(tail) - 18))
+        while at >= 0 and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail):
+            at = tail.rfind(b"PK\x05\x06", 0, at + 3)
         if at < 0:
             raise ValueError("no ZIP archive")
         _, _, _, _, count, size, start, _ = struct.unpack_from("<IHHHHIIH", tail, at)
@@ -211,6 +211,7 @@ def records_of(source: RangeSource):
 
 def verdicts(pages: DataFrame) -> DataFrame:
     """``pages`` (page_id, url, html) with digest and refers_to; texts move by id only, never by digest."""
+    pages = pages.select("page_id", "url", "html")
     body = F.coalesce("html", F.lit("")).cast("binary")
     keyed = pages.select("page_id", F.sha2(body, 256).alias("digest"), F.octet_length(body).alias("size")).where(F.col("size") >= LEAST_REVISIT)
     firsts = stored(keyed.groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1 and first_id is not null").select("digest", "first_id"))
