@@ -561,9 +561,9 @@ def _(t):
     return catalogue.biosamples(rows, ids, terms)
 
 
-@query("features_missing", "SELECT user_id AS participant_id, 's' AS session_id, 't' AS task_name, list_sort(list_filter(['click', 'purchase', 'view'], lambda x: NOT list_contains(list(DISTINCT event_type), x))) AS needed FROM events GROUP BY 1 HAVING len(list_filter(['click', 'purchase', 'view'], lambda x: NOT list_contains(list(DISTINCT event_type), x))) > 0")
+@query("features_missing", "SELECT event_id // 3 AS participant_id, 's' AS session_id, 't' AS task_name, list_sort(list_filter(['click', 'purchase', 'view'], lambda x: NOT list_contains(list(DISTINCT event_type), x))) AS needed FROM events GROUP BY 1 HAVING len(list_filter(['click', 'purchase', 'view'], lambda x: NOT list_contains(list(DISTINCT event_type), x))) > 0")
 def _(t):
-    held = t("events").select(F.col("user_id").alias("participant_id"), F.lit("s").alias("session_id"), F.lit("t").alias("task_name"), F.col("event_type").alias("feature_group"))
+    held = t("events").select(F.floor(F.col("event_id") / 3).alias("participant_id"), F.lit("s").alias("session_id"), F.lit("t").alias("task_name"), F.col("event_type").alias("feature_group"))
     return features.missing(held.drop("feature_group").distinct(), held, ["click", "purchase", "view"])
 
 
