@@ -583,3 +583,92 @@ def _(t):
 @query("event_sessions")
 def _(t):
     return incremental.sessions(t("events"))
+
+
+# --- phenotype and dashboards --------------------------------------------------------------------
+
+
+@query("phenotype_table", """
+WITH e AS (SELECT event_id, user_id AS record_id, CASE WHEN event_id % 4 = 0 THEN event_type END AS answer FROM events WHERE event_type IN ('click', 'view')),
+f AS (SELECT event_id, record_id, coalesce(last_value(answer IGNORE NULLS) OVER (PARTITION BY record_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), first_value(answer IGNORE NULLS) OVER (PARTITION BY record_id ORDER BY event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS answer FROM e WHERE answer IS NOT NULL)
+SELECT record_id, answer, count(*) AS n FROM f GROUP BY 1, 2""")
+def _(t):
+    from cohortforge.plans import phenotype
+
+    spark = t("events").sparkSession
+    wide = t("events").select(F.col("event_id").alias("_row_id"), F.col("user_id").alias("record_id"), F.col("event_type").alias("redcap_repeat_instrument"), F.when(F.col("event_id") % 4 == 0, F.col("event_type")).alias("q1"))
+    instruments = spark.createDataFrame([("click", "s_click", 1), ("view", "s_view", 2)], "text string, schema_name string, _row_id int")
+    mapping = spark.createDataFrame([("s_click", "q1", "answers", "answer", None), ("s_view", "q2", "answers", "other", "yes")], "schema_name_source string, column_name_source string, schema_name string, column_name string, delete string")
+    mapping = mapping.union(spark.createDataFrame([("s_view", "q3", "answers", "third", None)], mapping.schema))
+    table = phenotype.tables(wide, instruments, mapping)["answers"]
+    return table.groupBy("record_id", "answer").agg(F.count("*").alias("n"))
+
+
+@query("schema_of_column", "SELECT event_type AS \"column\", max_by(CAST(user_id AS VARCHAR), event_id) AS schema FROM events GROUP BY 1")
+def _(t):
+    from cohortforge.plans import phenotype
+
+    return phenotype.schema_of_column(t("events").select(F.col("event_type").alias("column"), F.col("user_id").cast("string").alias("schema"), F.col("event_id").alias("_row_id")))
+
+
+@query("protocol_items", "SELECT o_orderkey AS activity, unnest(['items/a', 'items/b', 'items/c']) AS item, unnest([0, 1, 2]) AS at FROM orders")
+def _(t):
+    from cohortforge.plans import phenotype
+
+    lists = {"order": ["items/a", "items/b"], "properties": ["items/b", "items/c", "other"]}
+    return phenotype.protocol_items(t("orders").select(F.col("o_orderkey").alias("activity"), *(F.array(*(F.lit(x) for x in v)).alias(k) for k, v in lists.items())))
+
+
+@query("site_counts", "SELECT n_regionkey, count(DISTINCT c_custkey) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1")
+def _(t):
+    from cohortforge.plans import dashboards
+
+    return dashboards.site_counts(t("customer").join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")), "c_custkey", "n_regionkey")
+
+
+@query("income_brackets", """
+WITH c AS (SELECT CASE WHEN c_custkey % 5 = 0 THEN 'Missing' WHEN c_custkey % 2 = 0 THEN 'Canada' ELSE 'USA' END AS country,
+  CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 7 = 0 THEN 'Prefer not to answer' ELSE '$' || (c_nationkey + 1) || ',000' END AS income, c_nationkey AS k FROM customer),
+g AS (SELECT country, income, count(*) AS n, max(CASE WHEN income LIKE '$%' THEN k END) AS k FROM c GROUP BY 1, 2)
+SELECT country, income, CASE WHEN income LIKE 'P%' THEN 0 WHEN income IS NULL THEN -1 ELSE dense_rank() OVER (PARTITION BY country, k IS NULL ORDER BY k) END AS rank, n FROM g""")
+def _(t):
+    from cohortforge.plans import dashboards
+
+    k = F.col("c_custkey")
+    bracket = F.when(k % 5 == 0, None).when(k % 7 == 0, "Prefer not to answer").otherwise(F.concat(F.lit("$"), (F.col("c_nationkey") + 1).cast("string"), F.lit(",000")))
+    return dashboards.incomes(t("customer").select(F.when(k % 2 == 1, bracket).alias("us"), F.when(k % 2 == 0, bracket).alias("ca")), "us", "ca")
+
+
+@query("yes_no_answers", "SELECT 'q1' AS question, count(*) AS n, round(avg(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) * 100, 1) AS percent FROM orders UNION ALL SELECT 'q2', count(*) FILTER (o_orderkey % 2 = 0), round(avg(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) FILTER (o_orderkey % 2 = 0) * 100, 1) FROM orders")
+def _(t):
+    from cohortforge.plans import dashboards
+
+    s = F.col("o_orderstatus")
+    df = t("orders").select(F.when(s == "F", "Yes").otherwise("No").alias("q1"), F.when(F.col("o_orderkey") % 2 == 0, F.when(s == "O", "Checked").otherwise("Unchecked")).alias("q2"))
+    return dashboards.answers(df, ["q1", "q2"])
+
+
+@query("recording_summary", "SELECT l_returnflag AS task_name, count(*) AS n_recordings, count(DISTINCT l_suppkey) AS n_participants FROM lineitem GROUP BY 1")
+def _(t):
+    from cohortforge.plans import dashboards
+
+    path = F.concat(F.lit("d/sub-"), "l_suppkey", F.lit("/ses-"), "l_orderkey", F.lit("/audio/sub-"), "l_suppkey", F.lit("_ses-"), "l_orderkey", F.lit("_task-"), "l_returnflag", F.lit(".wav"))
+    return dashboards.recording_summary(t("lineitem").select(path.alias("path")))
+
+
+@query("releases_compared", "SELECT 'registered' AS side, count(*) AS n FROM customer WHERE c_custkey % 10 = 0 UNION ALL SELECT 'controlled', 0")
+def _(t):
+    from cohortforge.plans import phenotype
+
+    return phenotype.compared(t("customer"), t("customer").where("c_custkey % 10 <> 0"))
+
+
+@query("subject_races", """
+WITH r AS (SELECT user_id, event_type FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_id < 500 AND event_type = 'error'))
+SELECT DISTINCT 'p' || user_id AS anon_id, event_type AS race FROM r WHERE event_type <> 'error'""")
+def _(t):
+    e = t("events")
+    race = F.when((F.col("event_id") < 500) & (F.col("event_type") == "error"), "Prefer not to answer").otherwise(F.col("event_type"))
+    answers = e.select(F.col("user_id").cast("string").alias("participant_id"), F.lit("race").alias("field"), race.alias("value"))
+    ids = answers.select("participant_id", F.concat(F.lit("p"), "participant_id").alias("anon_id")).distinct()
+    return catalogue.subject_races(answers, ids).where("race <> 'error'")
