@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortforge.llm import bpe, decontam, jaccard, jpeg, licences, lm, quality, suffixdedup, toxicity, warc
+from cohortforge.llm import bpe, decontam, jaccard, jpeg, licences, lm, oracles, quality, suffixdedup, toxicity, warc
 
 QUERIES = {
     "op1_suffix_dedup": suffixdedup.query,
@@ -17,4 +17,9 @@ QUERIES = {
     "op10_lm_score": lm.query,
 }
 
-ORACLE_SQL: dict[str, str] = {"op8_warc_zip": warc.ORACLE}
+ORACLE_SQL: dict[str, str] = {
+    "op1_suffix_dedup": oracles.SUFFIX_DEDUP,
+    "op2_decontaminate": oracles.DECONTAMINATE,
+    "op6_jaccard_join": oracles.JACCARD,
+    "op8_warc_zip": warc.ORACLE,
+}
