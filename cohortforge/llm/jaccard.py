@@ -48,7 +48,7 @@ STAR = 128
 SCAN_COST = 4.0
 LARGEST_SMALL = 12
 BITMAP_BITS = 1 << 27
-SHIP_BYTES = 3 << 20
+SHIP_BYTES = 2 << 20
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 _CUT = np.uint64(int(RANGE * 2**64))
 
@@ -544,9 +544,18 @@ def grouped(docs: DataFrame, *, id_col="doc_id", text_col="text") -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """``docs`` (with doc_id and text) with one document of each group: the one with the least id; repeated ids stay together."""
-    groups = grouped(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(groups, docs["doc_id"].eqNullSafe(groups["doc_id"]), "left_semi")
+    """``docs`` (with doc_id and text) with one document of each group: the one with the least id.
+
+    Rows of equal id and text are one document.  A missing id is larger than any other.
+    """
+    hashed = F.xxhash64(F.coalesce("text", F.lit("")))
+    keyed = docs.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", hashed.alias("h")).alias("_id"), "text")
+    chosen = stored(grouped(keyed, id_col="_id").where("_id = component_id").groupBy("_id").agg(F.count("*").alias("rows")).select("_id.doc_id", "_id.h", "rows"))
+    out = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["doc_id"]) & (hashed == chosen["h"]), "left_semi")
+    if chosen.where("rows > 1").isEmpty():
+        return out
+    one = out.withColumn("_h", hashed).dropDuplicates(["doc_id", "_h"])
+    return one.select(*docs.columns)
 
 
 def query(spark, sf_dir) -> DataFrame:
