@@ -19,10 +19,12 @@ don't fill their prefix are read again for tokens of the rest.
 Each list is split by size and ties its members to one leader (the one with the
 most common tokens).
 A leader and its members are compared in one place by an overlap matrix.  Stars
-of more than ``STAR`` members are dealt out, the leader to each part; members that
-didn't join the leader's component there are then compared with all members of
-their star that the triangle inequality allows.  Links go through distributed
-components; no group is gathered.
+of more than ``STAR`` members are dealt out, the leader to each part.  There each
+member is also written as its difference from the leader (a bit for each of the
+leader's tokens, and the tokens beyond them).  Members that didn't join the
+leader's component are dealt into blocks of ``BLOCK`` and compared with their
+star's members by these differences, which give exact overlaps.  Links go through
+distributed components; no group is gathered.
 
 Null and empty texts have no set and link with nothing.
 """
@@ -45,6 +47,7 @@ SHINGLE = 5
 RANGE = 0.35
 COMMON = 64
 STAR = 128
+BLOCK = 512
 SCAN_COST = 4.0
 LARGEST_SMALL = 12
 BITMAP_BITS = 1 << 27
@@ -406,10 +409,9 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def compare_star(classes: np.ndarray, sets: list[np.ndarray]):
-    """The first set is the leader's.  Links that join what is similar, whether each is joined to the leader, and its distance."""
+    """The first set is the leader's.  Links that join what is similar, and whether each is joined to the leader."""
     size = np.array([len(s) for s in sets])
-    both = overlaps(sets)
-    near = similar(both, size[:, None], size[None, :])
+    near = similar(overlaps(sets), size[:, None], size[None, :])
     root = np.full(len(sets), -1)
     links = []
     for start in range(len(sets)):
@@ -420,56 +422,114 @@ def compare_star(classes: np.ndarray, sets: list[np.ndarray]):
             i = edge.pop()
             for j in np.flatnonzero(near[i] & (root < 0)).tolist():
                 root[j] = start
-                links.append((classes[i], classes[j]))
+                links.append((int(classes[i]), int(classes[j])))
                 edge.append(j)
-    distance = 1 - both[0] / np.maximum(size + size[0] - both[0], 1)
-    return links, root == 0, distance
-
-
-def _compare(pairs_only: bool):
-    """Rows leader, salt, parts, member, tokens to links (a, b) and, for divided stars, what each member is to the leader."""
-    names = ["a", "b", "leader", "member", "joined", "distance", "size"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.float64(), pa.int64()]
-
-    def run(batches):
-        stars: dict[tuple[int, int], list] = {}
-        for batch in batches:
-            for leader, salt, parts, member, tokens in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                stars.setdefault((leader, salt), []).append((member != leader, member, parts, np.frombuffer(tokens, "<u8")))
-        rows = []
-        for leader, salt in sorted(stars):
-            star = sorted(stars.pop((leader, salt)), key=lambda x: x[:2])
-            if star[0][0]:
-                raise ValueError("a leader's own set is missing")
-            if pairs_only:
-                for at in range(1, len(star)):
-                    links, _, _ = compare_star(np.array([star[0][1], star[at][1]]), [star[0][3], star[at][3]])
-                    rows += [(a, b, None, None, None, None, None) for a, b in links]
-                continue
-            links, joined, distance = compare_star(np.array([m for _, m, *_ in star]), [s for *_, s in star])
-            rows += [(a, b, None, None, None, None, None) for a, b in links]
-            if star[0][2] > 1:
-                rows += [(None, None, leader, m, bool(j), float(d), len(s)) for (_, m, _, s), j, d in zip(star[1:], joined[1:], distance[1:])]
-            if len(rows) > 50_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
-                rows = []
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
-
-    return run
-
-
-_COMPARED = "a long, b long, leader long, member long, joined boolean, distance double, size long"
-
-
-def _compared(stars: DataFrame, sets: DataFrame, pairs_only=False) -> DataFrame:
+    return links, root == 0
+
+
+_FOUND_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.binary()]
+_FOUND = "a long, b long, leader long, member long, joined boolean, size long, bits binary, beyond binary"
+
+
+def _found_batch(rows):
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _FOUND_TYPES)], names=[c.split()[0] for c in _FOUND.split(", ")])
+
+
+def _compare(batches):
+    """Rows leader, salt, parts, member, tokens to links (a, b) and, for divided stars, each member's difference from the leader."""
+    stars: dict[tuple[int, int], list] = {}
+    for batch in batches:
+        for leader, salt, parts, member, tokens in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            stars.setdefault((leader, salt), []).append((member != leader, member, parts, np.frombuffer(tokens, "<u8")))
+    rows = []
+    for leader, salt in sorted(stars):
+        star = sorted(stars.pop((leader, salt)), key=lambda x: x[:2])
+        if star[0][0]:
+            raise ValueError("a leader's own set is missing")
+        links, joined = compare_star(np.array([m for _, m, *_ in star]), [s for *_, s in star])
+        rows += [(a, b, *[None] * 6) for a, b in links]
+        if star[0][2] > 1:
+            lead = star[0][3]
+            for (_, m, _, own), j in zip(star[1:], joined[1:]):
+                held, beyond = np.isin(lead, own, assume_unique=True), own[~np.isin(own, lead, assume_unique=True)]
+                rows.append((None, None, leader, m, bool(j), len(own), np.packbits(held).tobytes(), beyond.tobytes()))
+        if len(rows) > 20_000:
+            yield _found_batch(rows)
+            rows = []
+    if rows:
+        yield _found_batch(rows)
+
+
+def _compared(stars: DataFrame, sets: DataFrame) -> DataFrame:
     """Stars (leader, member) with their sets, each star dealt into parts of about STAR members."""
     spark = stars.sparkSession
     size = stored(stars.groupBy("leader").agg(F.count("*").alias("n")).select("leader", F.ceil(F.col("n") / STAR).cast("int").alias("parts")))
     salted = stars.join(size, "leader").select("leader", F.pmod(F.xxhash64("member"), F.col("parts")).cast("int").alias("salt"), "parts", "member")
     own = size.select("leader", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), "parts", F.col("leader").alias("member"))
     full = salted.unionByName(own).join(sets.withColumnRenamed("class", "member"), "member")
-    return full.select("leader", "salt", "parts", "member", "tokens").repartition(partitions(spark), "leader", "salt").mapInArrow(_compare(pairs_only), _COMPARED)
+    return full.select("leader", "salt", "parts", "member", "tokens").repartition(partitions(spark), "leader", "salt").mapInArrow(_compare, _FOUND)
+
+
+def _shared_beyond(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Intersection sizes of each left with each right set."""
+    a, b = np.concatenate([*left, np.zeros(0, np.uint64)]), np.concatenate([*right, np.zeros(0, np.uint64)])
+    both = np.intersect1d(a, b)
+    out = np.zeros((len(left), len(right)), np.float32)
+    for start in range(0, len(both), 4096):
+        part = both[start : start + 4096]
+        sides = []
+        for tokens, of in ((a, np.repeat(np.arange(len(left)), [len(x) for x in left])), (b, np.repeat(np.arange(len(right)), [len(x) for x in right]))):
+            at = np.searchsorted(part, tokens)
+            at[at == len(part)] = 0
+            hit = part[at] == tokens
+            x = np.zeros((int(of.max(initial=-1)) + 1, len(part)), np.float32)
+            x[of[hit], at[hit]] = 1
+            sides.append(x)
+        out[: len(sides[0]), : len(sides[1])] += sides[0] @ sides[1].T
+    return out
+
+
+def compare_differences(loose: list[tuple], members: list[tuple], step: int = 2048) -> list[tuple[int, int]]:
+    """Links of loose members with members of their star, all (member, joined, size, bits, beyond); one link to the joined ones is enough."""
+    links, done = [], set()
+    unpack = lambda rows: np.unpackbits(np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), -1), axis=1).astype(np.float32)
+    arrays = lambda rows: [np.frombuffer(r[4], "<u8") for r in rows]
+    x, sizes, ids = unpack(loose), np.array([r[2] for r in loose]), np.array([r[0] for r in loose])
+    for start in range(0, len(members), step):
+        part = members[start : start + step]
+        both = x @ unpack(part).T + _shared_beyond(arrays(loose), arrays(part))
+        other = np.array([r[0] for r in part])
+        near = similar(both.astype(np.int64), sizes[:, None], np.array([r[2] for r in part])[None, :]) & (ids[:, None] != other[None, :])
+        for i, j in zip(*np.nonzero(near)):
+            if not part[j][1]:
+                links.append((int(ids[i]), int(other[j])))
+            elif int(ids[i]) not in done:
+                done.add(int(ids[i]))
+                links.append((int(ids[i]), int(other[j])))
+    return links
+
+
+def _compare_loose(batches):
+    """Rows leader, block, is_row, member, joined, size, bits, beyond to links."""
+    groups: dict[tuple[int, int], tuple[list, list]] = {}
+    for batch in batches:
+        for leader, block, is_row, *rest in zip(*(batch.column(i).to_pylist() for i in range(8))):
+            groups.setdefault((leader, block), ([], []))[not is_row].append(tuple(rest))
+    for group in sorted(groups):
+        loose, members = groups.pop(group)
+        links = compare_differences(loose, members) if loose else []
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], names=["a", "b"])
+
+
+def _loose_links(left: DataFrame) -> DataFrame:
+    """Links of members of divided stars that didn't join their leader."""
+    cols = ["member", "joined", "size", "bits", "beyond"]
+    loose = left.where("not joined")
+    blocks = stored(loose.groupBy("leader").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))
+    rows = loose.join(blocks, "leader").select("leader", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int").alias("block"), F.lit(True).alias("is_row"), *cols)
+    columns = left.join(blocks, "leader").select("leader", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(False).alias("is_row"), *cols)
+    return rows.unionByName(columns).repartition(partitions(left.sparkSession), "leader", "block").mapInArrow(_compare_loose, "a long, b long")
 
 
 def _without_covered(stars: DataFrame) -> DataFrame:
@@ -486,8 +546,8 @@ def links(docs: DataFrame, members: DataFrame) -> DataFrame:
     """Links (a, b) between classes that join all that is similar, directly or through others."""
     spark = docs.sparkSession
     p = partitions(spark)
-    n = 64
-    while n < p:
+    n = 128
+    while n < 4 * p:
         n *= 2
     small = {r.n_shingles: r["count"] for r in members.where(F.col("n_shingles").between(1, 2 * LARGEST_SMALL)).groupBy("n_shingles", "class").count().groupBy("n_shingles").count().collect()}
     boundary = boundary_by_cost(small)
@@ -514,15 +574,8 @@ def links(docs: DataFrame, members: DataFrame) -> DataFrame:
     sets = stored(sets.select("class", "tokens").dropDuplicates(["class"]))
     found = stored(_compared(stars, sets))
     left = found.where("leader is not null")
-    loose = left.where("not joined").select("leader", F.col("member").alias("loose"), F.col("distance").alias("d"), F.col("size").alias("s"))
     out = found.where("a is not null").select("a", "b")
-    if not loose.isEmpty():
-        # |d(x, leader) - d(y, leader)| bounds d(x, y) from below
-        apart = F.abs(F.col("distance") - F.col("d")) <= 0.2 + 1e-9
-        sized = (5 * F.least("s", "size") >= 4 * F.greatest("s", "size")) & (F.col("loose") != F.col("member")) & (F.col("joined") | (F.col("loose") < F.col("member")))
-        more = stored(left.join(loose, "leader").where(apart & sized).select(F.col("loose").alias("leader"), "member").distinct())
-        out = out.unionByName(stored(_compared(more, sets, True)).select("a", "b"))
-    return out
+    return out if left.where("not joined").isEmpty() else out.unionByName(stored(_loose_links(left)))
 
 
 def _poor_rows(batches):
