@@ -52,12 +52,12 @@ def _(t):
 SELECT o_orderkey AS recording_id, coalesce(n.n_name, CAST(o_custkey AS VARCHAR)) AS participant_id,
   trim(regexp_replace(lower(trim(o_orderpriority)), '[^a-z0-9]+', '-', 'g'), '-') AS task_name, c_mktsegment
 FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN nation n ON o_custkey = n.n_nationkey
-WHERE o_orderpriority = '1-URGENT' AND o_custkey % 10 <> 3""")
+WHERE o_orderpriority = '1-URGENT' AND c_nationkey <> 3""")
 def _(t):
     recordings = t("orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("participant_id"), F.col("o_orderpriority").alias("recording_acoustic_task_id"))
     tasks = t("orders").select(F.col("o_orderpriority").alias("acoustic_task_id"), F.col("o_orderpriority").alias("acoustic_task_name")).distinct()
     of_task = joins.recordings_of_task(recordings, tasks, "1-URGENT")
-    removed = participants(t).where("cast(participant_id as long) % 10 = 3")
+    removed = participants(t).where("c_nationkey = 3")
     kept = joins.excluded(of_task, removed, "participant_id").join(participants(t).select("participant_id", "c_mktsegment"), "participant_id")
     ids = t("nation").select(F.col("n_nationkey").cast("string").alias("old_id"), F.col("n_name").alias("new_id"))
     named = joins.remapped(kept, ids, "participant_id")
@@ -155,15 +155,15 @@ def _(t):
 
 
 @query("full_outer_diff", """
-WITH a AS (SELECT o_orderkey AS path, md5(o_orderstatus) AS md5 FROM orders WHERE o_orderkey % 2 = 0),
-b AS (SELECT o_orderkey AS path, CASE WHEN o_orderkey % 6 = 0 THEN '' WHEN o_orderkey % 4 = 0 THEN 'other' ELSE md5(o_orderstatus) END AS md5 FROM orders WHERE o_orderkey % 3 <> 1)
+WITH a AS (SELECT o_orderkey AS path, md5(o_orderstatus) AS md5 FROM orders WHERE o_orderstatus <> 'P'),
+b AS (SELECT o_orderkey AS path, CASE WHEN o_orderkey % 6 = 0 THEN '' WHEN o_orderkey % 4 = 0 THEN 'other' ELSE md5(o_orderstatus) END AS md5 FROM orders WHERE o_orderpriority <> '1-URGENT')
 SELECT coalesce(a.path, b.path) AS path, CASE WHEN b.path IS NULL THEN 'only_local' WHEN a.path IS NULL THEN 'only_remote' WHEN b.md5 <> '' AND a.md5 <> b.md5 THEN 'changed' ELSE 'same' END AS status
 FROM a FULL JOIN b ON a.path = b.path""")
 def _(t):
     o = t("orders")
     k = F.col("o_orderkey")
-    a = o.where(k % 2 == 0).select(k.alias("path"), F.md5("o_orderstatus").alias("md5"))
-    b = o.where(k % 3 != 1).select(k.alias("path"), F.when(k % 6 == 0, "").when(k % 4 == 0, "other").otherwise(F.md5("o_orderstatus")).alias("md5"))
+    a = o.where("o_orderstatus <> 'P'").select(k.alias("path"), F.md5("o_orderstatus").alias("md5"))
+    b = o.where("o_orderpriority <> '1-URGENT'").select(k.alias("path"), F.when(k % 6 == 0, "").when(k % 4 == 0, "other").otherwise(F.md5("o_orderstatus")).alias("md5"))
     return joins.listings_compared(a, b)
 
 
@@ -373,10 +373,10 @@ def _(t):
 
 
 @query("mint_ids", """
-WITH h AS (SELECT CAST(c_custkey AS VARCHAR) AS participant_id, lpad(CAST(row_number() OVER (ORDER BY CAST(c_custkey AS VARCHAR)) AS VARCHAR), 6, '0') AS anon_id FROM customer WHERE c_custkey % 5 = 0)
-SELECT * FROM h UNION ALL SELECT CAST(c_custkey AS VARCHAR), lpad(CAST((SELECT count(*) FROM h) + row_number() OVER (ORDER BY CAST(c_custkey AS VARCHAR)) AS VARCHAR), 6, '0') FROM customer WHERE c_custkey % 5 <> 0""")
+WITH h AS (SELECT CAST(c_custkey AS VARCHAR) AS participant_id, lpad(CAST(row_number() OVER (ORDER BY CAST(c_custkey AS VARCHAR)) AS VARCHAR), 6, '0') AS anon_id FROM customer WHERE c_mktsegment = 'BUILDING')
+SELECT * FROM h UNION ALL SELECT CAST(c_custkey AS VARCHAR), lpad(CAST((SELECT count(*) FROM h) + row_number() OVER (ORDER BY CAST(c_custkey AS VARCHAR)) AS VARCHAR), 6, '0') FROM customer WHERE c_mktsegment <> 'BUILDING'""")
 def _(t):
-    first = catalogue.anonymous_ids(participants(t).where("cast(participant_id as long) % 5 = 0"))
+    first = catalogue.anonymous_ids(participants(t).where("c_mktsegment = 'BUILDING'"))
     return catalogue.anonymous_ids(participants(t), first)
 
 
@@ -512,24 +512,24 @@ def _(t):
 
 @query("deid_table", """
 SELECT coalesce(n_name, CAST(c_custkey AS VARCHAR)) AS participant_id, CAST(c_nationkey AS VARCHAR) AS session_id, trim(regexp_replace(lower(c_mktsegment), '[^a-z0-9]+', '-', 'g'), '-') AS task_name
-FROM customer LEFT JOIN nation ON c_custkey = n_nationkey WHERE c_custkey % 11 <> 0""")
+FROM customer LEFT JOIN nation ON c_custkey = n_nationkey WHERE c_nationkey <> 5""")
 def _(t):
     df = t("customer").select(F.col("c_custkey").cast("string").alias("record_id"), F.col("c_nationkey").cast("string").alias("session_id"), F.col("c_mktsegment").alias("task_name"), "c_name")
     ids = t("nation").select(F.col("n_nationkey").cast("string").alias("old_id"), F.col("n_name").alias("new_id"))
     none = ids.select(F.concat(F.lit("no "), "old_id").alias("old_id"), "new_id")
-    removed = t("customer").where("c_custkey % 11 = 0").select(F.col("c_custkey").cast("string"))
+    removed = t("customer").where("c_nationkey = 5").select(F.col("c_custkey").cast("string"))
     return deidentify.phenotype_deidentified(df, ids, none, removed, ["c_name"], "task_name")
 
 
 @query("deid_files", """
 SELECT CAST(l_suppkey AS VARCHAR) AS participant_id, CAST(l_orderkey AS VARCHAR) AS session_id,
   'sub-' || l_suppkey || '/ses-' || l_orderkey || '/audio/sub-' || l_suppkey || '_ses-' || l_orderkey || '_task-' || lower(l_returnflag) || '-' || l_linenumber || '.wav' AS new_path
-FROM lineitem WHERE l_suppkey % 10 <> 1 AND l_linenumber <> 2 AND l_returnflag <> 'N'""")
+FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey = 1) AND l_linenumber <> 2 AND l_returnflag <> 'N'""")
 def _(t):
     stem = F.concat(F.lit("sub-"), "l_suppkey", F.lit("_ses-"), "l_orderkey", F.lit("_task-"), "l_returnflag", F.lit(" "), "l_linenumber")
     files = t("lineitem").select(F.concat(F.lit("sub-"), "l_suppkey", F.lit("/ses-"), "l_orderkey", F.lit("/audio/"), stem, F.lit(".wav")).alias("path"))
     no_ids = files.select(F.lit("-").alias("old_id"), F.lit("-").alias("new_id")).limit(1)
-    removed = t("supplier").where("s_suppkey % 10 = 1").select(F.col("s_suppkey").cast("string"))
+    removed = t("supplier").where("s_nationkey = 1").select(F.col("s_suppkey").cast("string"))
     stems = t("lineitem").where("l_linenumber = 2").select(stem.alias("stem"))
     return deidentify.files_deidentified(files, no_ids, no_ids, removed, stems, ["task-a", "task-r"]).select("participant_id", "session_id", "new_path")
 
@@ -540,13 +540,13 @@ def _(t):
 
 
 @query("release_issues", """
-SELECT 'removed_participant' AS rule, 'features' AS "table", count(DISTINCT l_suppkey) AS n FROM lineitem WHERE l_suppkey % 10 = 1
+SELECT 'removed_participant' AS rule, 'features' AS "table", count(DISTINCT l_suppkey) AS n FROM lineitem WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 12)
 UNION ALL SELECT 'unexpected_task', 'features', count(DISTINCT l_returnflag) FROM lineitem WHERE l_returnflag <> 'A'
-UNION ALL SELECT 'unknown_session', 'features', count(DISTINCT l_orderkey) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0)""")
+UNION ALL SELECT 'unknown_session', 'features', count(DISTINCT l_orderkey) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')""")
 def _(t):
     features_ = t("lineitem").select(F.col("l_suppkey").alias("participant_id"), F.col("l_orderkey").alias("session_id"), F.col("l_returnflag").alias("task_name"))
-    sessions = t("orders").where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("session_id"))
-    removed, original = t("supplier").where("s_suppkey % 10 = 1").select("s_suppkey"), t("supplier").where("s_suppkey < 0").select("s_suppkey")
+    sessions = t("orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("session_id"))
+    removed, original = t("supplier").where("s_nationkey < 12").select("s_suppkey"), t("supplier").where("s_suppkey < 0").select("s_suppkey")
     return deidentify.release_issues({"features": features_, "sessions": sessions}, removed, original, ["a"], "sessions")
 
 
@@ -656,11 +656,11 @@ def _(t):
     return dashboards.recording_summary(t("lineitem").select(path.alias("path")))
 
 
-@query("releases_compared", "SELECT 'registered' AS side, count(*) AS n FROM customer WHERE c_custkey % 10 = 0 UNION ALL SELECT 'controlled', 0")
+@query("releases_compared", "SELECT 'registered' AS side, count(*) AS n FROM customer WHERE c_mktsegment = 'BUILDING' UNION ALL SELECT 'controlled', 0")
 def _(t):
     from cohortforge.plans import phenotype
 
-    return phenotype.compared(t("customer"), t("customer").where("c_custkey % 10 <> 0"))
+    return phenotype.compared(t("customer"), t("customer").where("c_mktsegment <> 'BUILDING'"))
 
 
 @query("subject_races", """
