@@ -168,10 +168,11 @@ class _Pieces(dict):
         return ids
 
 
-_ready: dict[tuple[str, str], tuple] = {}
+_ready: dict[tuple[str, str], tuple] = B.keeping("bpe", {})
 
 
 def _worker(path: str, pattern: str):
+    B.only("bpe")
     key = (path, pattern)
     if key not in _ready:
         encoder = PrefixEncoder(read_ranks(path), pattern)

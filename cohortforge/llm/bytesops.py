@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -85,9 +85,38 @@ def word_spans(text: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 _powers: dict[str, np.ndarray] = {}
+#: What a worker keeps between tasks, by the operators that use it.
+_kept: dict[str, dict] = {"hashes": _powers}
+
+
+def keeping(name: str, cache: dict) -> dict:
+    """A cache to be kept from task to task while operators of one kind run in this worker."""
+    return _kept.setdefault(name, cache)
+
+
+def only(name: str) -> None:
+    """Other operators' caches go, and their memory goes back, for workers outlive queries."""
+    others = [c for k, c in _kept.items() if k != name and c]
+    if others:
+        for cache in others:
+            cache.clear()
+        give_back()
+
+
+def give_back() -> None:
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # not this C library; memory stays with the process
 
 
 def _power(kind: str, n: int) -> np.ndarray:
+    only("hashes")
     have = _powers.get(kind)
     if have is None or len(have) < n:
         size = max(n, CHUNK_BYTES + 1)
