@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from cohortforge.llm import bytesops as B
 from cohortforge.llm.components import components
-from cohortforge.llm.shared import partitions, stored, table, tidy
+from cohortforge.llm.shared import discard, partitions, stored, table, tidy
 
 SHINGLE = 5
 RANGE = 0.35
@@ -557,7 +557,7 @@ def links(docs: DataFrame, members: DataFrame) -> DataFrame:
     counted = shipped.repartition(p, "bucket").mapInArrow(_count_lists(n), _PACKED)
     postings = stored(counted.repartition(p, "bucket").mapInArrow(_prefixes(n), _PACKED))
     tidy(spark)
-    poor = stored(postings.where("bucket = -1").mapInArrow(_poor_rows, "class long, rank int, band int"))
+    poor = stored(postings.where("bucket = -1").mapInArrow(_poor_rows, "class long, rank int, band int"), gather=True)
     poor_ids = poor.join(classes, "class").select("rep")
     count = poor.count()
     lists = postings.where("bucket >= 0")
@@ -566,16 +566,18 @@ def links(docs: DataFrame, members: DataFrame) -> DataFrame:
         lists = lists.unionByName(again.select("class", "tokens", "rank", "band").mapInArrow(_as_postings(n), _PACKED))
     if boundary:
         lists = lists.unionByName(texts.mapInArrow(_subset_postings(n, boundary), _PACKED))
-    stars = stored(lists.repartition(p, "bucket").mapInArrow(_leaders, "leader long, member long").distinct())
-    stars = _without_covered(stars)
-    tidy(spark)
+    every = stored(lists.repartition(p, "bucket").mapInArrow(_leaders, "leader long, member long").distinct())
+    stars = _without_covered(every)
+    discard(postings, poor, every)
     wanted = stored(stars.select(F.col("leader").alias("class")).unionByName(stars.select(F.col("member").alias("class"))).distinct().join(classes, "class"))
     sets = _sets_again(docs, wanted.select("rep"), wanted.count(), False).join(wanted, "class").where(F.col("doc_id").eqNullSafe(F.col("rep")))
     sets = stored(sets.select("class", "tokens").dropDuplicates(["class"]))
-    found = stored(_compared(stars, sets))
+    tidy(spark)
+    found = stored(_compared(stars, sets), gather=True)
     left = found.where("leader is not null")
     out = found.where("a is not null").select("a", "b")
-    return out if left.where("not joined").isEmpty() else out.unionByName(stored(_loose_links(left)))
+    discard(stars, wanted, sets, classes)
+    return out if left.where("not joined").isEmpty() else out.unionByName(stored(_loose_links(left), gather=True))
 
 
 def _poor_rows(batches):
@@ -586,7 +588,7 @@ def _poor_rows(batches):
 def grouped(docs: DataFrame, *, id_col="doc_id", text_col="text") -> DataFrame:
     """id_col, n_shingles, component_id (the least id reachable by links) of each row."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    members = stored(membership(docs))
+    members = stored(membership(docs), gather=True)
     roots = components(links(docs, members))
     least = members.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("least"))
     rooted = stored(least.join(roots, F.col("class") == F.col("node"), "left").select("class", F.coalesce("root", "class").alias("root"), "least"))

@@ -37,12 +37,13 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortforge.llm import bytesops as B
 from cohortforge.llm.jaccard import Bitmap
-from cohortforge.llm.shared import partitions, stored, table, tidy
+from cohortforge.llm.shared import discard, partitions, stored, table, tidy
 
 LENGTH = 400
 GRAM = 160
@@ -318,7 +319,8 @@ def spans(texts: DataFrame) -> DataFrame:
     spark = texts.sparkSession
     p = partitions(spark)
     kind = dict(texts.dtypes)["doc_id"]
-    found = stored(texts.where(F.col("n") >= LENGTH).mapInArrow(_find, f"doc_id {kind}, k long, n int, lo int, hi int, at int, m long, h long, c long"))
+    found = texts.where(F.col("n") >= LENGTH).mapInArrow(_find, f"doc_id {kind}, k long, n int, lo int, hi int, at int, m long, h long, c long")
+    found = found.persist(StorageLevel.DISK_ONLY)  # a lost part is found anew from its texts
     places = found.where("h is not null")
     end = (F.col("hi") + LENGTH).alias("last")
     counted = stored(places.groupBy("h", "c").agg(F.sum("m").alias("m"), F.min(F.struct("doc_id", "k", "n", "lo", "hi", "at")).alias("one")))
@@ -327,6 +329,7 @@ def spans(texts: DataFrame) -> DataFrame:
     again = ruled.where("m > 1").select("h", "c")
     whole = places.where("m = 1").select("h", "c", "k", "n", "lo", "hi").join(again, ["h", "c"]).select("k", "n", F.col("lo").alias("first"), end)
     whole = stored(whole.unionByName(found.where("h is null").select("k", "n", F.col("lo").alias("first"), end)))
+    found.unpersist()
     tidy(spark)
     # one copy of each context of rulers with several
     wanted = ruled.where("kinds > 1").select("one.doc_id", "one.k", "one.n", F.struct("h", "c", "m", "one.lo", "one.hi", "one.at").alias("cut"))
@@ -340,12 +343,13 @@ def spans(texts: DataFrame) -> DataFrame:
     near = texts.withColumn("hash", F.xxhash64("doc_id")).mapInArrow(those, texts.schema)
     joined = near.join(wanted, near["doc_id"].eqNullSafe(wanted["doc_id"]) & (near["k"] == wanted["k"]) & (near["n"] == wanted["n"]))
     rows = stored(joined.select(near["k"], near["n"], "cuts", "text").mapInArrow(_cut, _ROW).dropDuplicates(["key", "c"]))
+    discard(counted, rulers, ruled, wanted)
     out = [whole]
     for width in (*BANDS, 0):
         kinds = stored(rows.groupBy("key").agg(F.count("*").alias("kinds")))
-        hot = stored(kinds.where(F.col("kinds") > MOST).select("key")) if width else None
-        cool = rows.join(stored(kinds.where((F.col("kinds") <= MOST) & (F.col("kinds") > 1)).select("key")), "key") if width else rows
-        out.append(stored(cool.select(*_ROW_NAMES).repartition(p, "key").mapInArrow(_merge_rows, _SPAN)))
+        hot = kinds.where(F.col("kinds") > MOST).select("key")
+        cool = rows.join(kinds.where((F.col("kinds") <= MOST) & (F.col("kinds") > 1)).select("key"), "key") if width else rows
+        out.append(stored(cool.select(*_ROW_NAMES).repartition(p, "key").mapInArrow(_merge_rows, _SPAN), gather=True))
         if not width or hot.isEmpty():
             break
         parts = stored(rows.join(hot, "key").select(*_ROW_NAMES).mapInArrow(_bands(width), _ROW))
@@ -354,7 +358,10 @@ def spans(texts: DataFrame) -> DataFrame:
         out.append(stored(both.where("m > 1").select("k", "n", F.col("lo").alias("first"), (F.col("hi") + LENGTH).alias("last"))))
         if width == 1:
             break
+        spent = rows, kinds, many
         rows = stored(both.where("m = 1 or rows = 1").select(*_ROW_NAMES).unionByName(_one_each(both.where("m > 1 and rows > 1"))))
+        discard(parts, *spent)
+    discard(rows, kinds)
     result = out[0]
     for more in out[1:]:
         result = result.unionByName(more)
@@ -397,7 +404,8 @@ def removed(df: DataFrame, *, id_col="doc_id", text_col="text", keep_text=False)
     """The other columns of ``df`` with n_bytes, n_removed, n_spans and kept: the rest's sha256,
     or, if asked for, the rest as text, without bytes of characters that a cut has split."""
     texts = _texts(df, id_col, text_col)
-    cuts = stored(spans(texts).groupBy("k", "n").agg(F.collect_set(F.struct("first", "last")).alias("cuts")))
+    found = spans(texts)
+    cuts = stored(found.groupBy("k", "n").agg(F.collect_set(F.struct("first", "last")).alias("cuts")))
     body = F.coalesce(text_col, F.lit(""))
     others = [c for c in df.columns if c != text_col]
     inner = {c: f"_{i}" for i, c in enumerate(others)}
