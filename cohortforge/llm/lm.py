@@ -4,15 +4,17 @@ Counting: each task counts the words and word pairs of its training texts and
 sends them to buckets by hash, packed into one row for each bucket; a bucket's
 reducer adds them up.  Exact word counts stay in a stored table.  Words and
 pairs also enter a Bloom filter once for each level up to 1 + floor(log2 count);
-its segments, one for each bucket, are built where the counts are, take
-``BITS_PER_KEY`` bits for each entry and at most ``MAX_BITS`` in all (beyond that
-the error rate rises, nothing is left out), and are broadcast.
-
-Scoring: a count is estimated by probing level after level until one is absent.
+its segments, one for each bucket, are built where the counts are and take
+``BITS_PER_KEY`` bits for each entry, so the error rate is the same at every size.
+They stay in the stored table too: nothing that grows with the texts is broadcast
+or sent to the driver.
+
+Scoring: texts are dealt into blocks.  A block's distinct words and pairs go to
+their buckets and come back with the words' exact counts and the level that the
+filter knows of each, estimated by probing level after level until one is absent.
+The block's texts travel along, compressed, and are scored where the answers meet.
 The probability of a word after another is the pair's count with ``PRIOR``
-pseudo-counts spread by the words' own probabilities.  Base scores need exact
-counts: the ``TOP`` commonest words are broadcast, each other word's occurrence
-goes to the bucket that knows its count and comes back as a sum for its text.
+pseudo-counts spread by the words' own probabilities.  Base scores use exact counts.
 
 Null and empty texts hold one end token.  Rows that repeat are counted each.
 The frame must give the same rows in the same order when a task runs again, as
@@ -21,8 +23,6 @@ stored tables do.
 
 from __future__ import annotations
 
-import struct
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -30,17 +30,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortforge.llm import bytesops as B
-from cohortforge.llm.shared import partitions, stored, table
+from cohortforge.llm.shared import partitions, stored, table, tidy
 
 BITS_PER_KEY = 8
-MAX_BITS = 1 << 30
 PROBES = 4
 PRIOR = 20.0
-TOP = 1 << 18
+MAX_LEVEL = 64
+MOST_BITS = 1 << 32
+BLOCK_BYTES = 4 << 20
+PROBED_AT_ONCE = 1_000_000
 FLUSH_TOKENS = 3_000_000
 ALPHA = 0.1
 END = np.uint64(0x5DEECE66D1234567)
-WORDS, PAIRS, FILTER, COMMON, ASKED, KNOWN = range(6)
+WORDS, PAIRS, FILTER, ASKED, TEXTS = range(5)
 
 
 def token_hashes(buf, off) -> tuple[np.ndarray, np.ndarray]:
@@ -92,10 +94,12 @@ def _positions(keys: np.ndarray, level: int, bits) -> list[np.ndarray]:
     return [((one + np.uint64(i) * two & low) * m >> np.uint64(32)).astype(np.int64) for i in range(PROBES)]
 
 
-def segment(keys: np.ndarray, counts: np.ndarray, most_bits: int) -> bytes:
-    """The filter's part for one bucket."""
+def segment(keys: np.ndarray, counts: np.ndarray, largest: int = MOST_BITS) -> bytes:
+    """The filter's part for one bucket; more than ``largest`` bits are refused, never shortened."""
     levels = levels_of(counts)
-    bits = int(min(max(64, levels.sum() * BITS_PER_KEY), most_bits)) // 8 * 8
+    bits = max(64, int(levels.sum()) * BITS_PER_KEY)
+    if bits > largest:
+        raise ValueError(f"a bucket's filter needs {bits} bits, over {largest}: more shuffle partitions make smaller buckets")
     out = np.zeros(bits, bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
         for at in _positions(keys[levels >= level], level, bits):
@@ -109,21 +113,29 @@ class LogFrequencyFilter:
         self.n, self.bits, self.start = len(segments), sizes.astype(np.uint64), np.concatenate([[0], np.cumsum(sizes)])[:-1]
         self.data = np.frombuffer(b"".join(segments), np.uint8)
 
-    def counts(self, keys: np.ndarray) -> np.ndarray:
-        """Expected counts, by probing level after level."""
-        out = np.zeros(len(keys))
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        """The level up to which all are present, by probing level after level; 0: absent."""
+        out = np.zeros(len(keys), np.uint8)
         left, level = np.arange(len(keys)), 1
-        while len(left):
+        while len(left) and level <= MAX_LEVEL:
             b = bucket_of(keys[left], self.n)
             held = np.ones(len(left), bool)
             for at in _positions(keys[left], level, self.bits[b]):
                 at = at + self.start[b]
                 held &= (self.data[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
             left = left[held]
-            out[left] = 1.5 * 2.0 ** (level - 1) - 0.5
+            out[left] = level
             level += 1
         return out
 
+    def counts(self, keys: np.ndarray) -> np.ndarray:
+        return expected(self.levels(keys))
+
+
+def expected(levels: np.ndarray) -> np.ndarray:
+    """Expected counts at these levels."""
+    return np.where(levels > 0, 1.5 * 2.0 ** (levels.astype(float) - 1) - 0.5, 0.0)
+
 
 # --- counting ------------------------------------------------------------------------------------
 
@@ -184,14 +196,12 @@ def _sum_buckets(n_buckets: int):
                 counts = [np.frombuffer(c, "<u4") for _, c in parts]
                 both.append(_summed(np.concatenate(keys), np.concatenate(counts)) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
             (words, counts), pairs = both
-            top = np.argsort(-counts, kind="stable")[: TOP // n_buckets]
             entries = np.concatenate([words, pairs[0]]), np.concatenate([counts, pairs[1]])
-            bits = segment(*entries, MAX_BITS // n_buckets)
+            bits = segment(*entries)
             yield _rows(
                 [
                     (bucket, WORDS, words.astype("<u8").tobytes(), counts.astype("<i8").tobytes(), len(words), int(counts.sum())),
                     (bucket, FILTER, bits, b"", len(entries[0]), 0),
-                    (bucket, COMMON, words[top].astype("<u8").tobytes(), counts[top].astype("<i8").tobytes(), len(top), 0),
                 ],
                 _ARROW,
             )
@@ -200,23 +210,12 @@ def _sum_buckets(n_buckets: int):
 
 
 class Model:
-    """Stored word counts, and what is broadcast: the filter, the commonest words, N and V."""
+    """Stored word counts and filter segments, N and V."""
 
     def __init__(self, counts: DataFrame, n_buckets: int):
         self.counts, self.n_buckets = counts, n_buckets
         total = counts.where(F.col("kind") == WORDS).agg(F.sum("total"), F.sum("n_keys")).first()
         self.tokens, self.distinct = total[0] or 0, total[1] or 0
-        segments = [bytes(8)] * n_buckets
-        common = []
-        for row in counts.where(F.col("kind").isin(FILTER, COMMON)).select("bucket", "kind", "keys", "numbers").toLocalIterator():
-            if row.kind == FILTER:
-                segments[row.bucket] = bytes(row["keys"])
-            else:
-                common.append((np.frombuffer(row["keys"], "<u8"), np.frombuffer(row["numbers"], "<i8")))
-        keys = np.concatenate([k for k, _ in common]) if common else np.zeros(0, np.uint64)
-        order = np.argsort(keys)
-        self.common = keys[order], (np.concatenate([c for _, c in common]) if common else np.zeros(0, np.int64))[order]
-        self.segments = segments
 
 
 def train(df: DataFrame, *, text_col="text") -> Model:
@@ -226,65 +225,76 @@ def train(df: DataFrame, *, text_col="text") -> Model:
     while n < 4 * partitions(spark):
         n *= 2
     parts = df.select(text_col).mapInArrow(_count_part(0, n), _PACKED)
-    return Model(stored(parts.repartition(partitions(spark), "bucket").mapInArrow(_sum_buckets(n), _PACKED)), n)
+    model = Model(stored(parts.repartition(partitions(spark), "bucket").mapInArrow(_sum_buckets(n), _PACKED)), n)
+    del parts
+    tidy(spark)
+    return model
 
 
 # --- scoring -------------------------------------------------------------------------------------
 
-_MOVED = "bucket int, kind int, block string, rows binary, keys binary, numbers binary"
-_MOVED_ARROW = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("block", pa.string()), ("rows", pa.binary()), ("keys", pa.binary()), ("numbers", pa.binary())])
+_MOVED = "bucket int, kind int, block string, words binary, pairs binary"
+_MOVED_ARROW = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("block", pa.string()), ("words", pa.binary()), ("pairs", pa.binary())])
 
 
 def _log_base(counts, tokens, distinct):
     return np.log10((counts + ALPHA) / (tokens + ALPHA * (distinct + 1)))
 
 
-def _score_part(sent, n_buckets: int):
+def _planes(numbers: np.ndarray) -> bytes:
+    """Bytes of the same weight together, which compresses better."""
+    return np.ascontiguousarray(numbers.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _from_planes(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<i8").ravel()
+
+
+def _distinct(buf, off):
+    """Tokens and rows of texts, and the distinct words and pairs with the place of each token's, in order of their buckets."""
+    keys, rows = token_hashes(buf, off)
+    return keys, rows, np.unique(keys, return_inverse=True), np.unique(pair_hashes(keys)[0], return_inverse=True)
+
+
+def _ask_part(n_buckets: int):
+    """Each block's texts, and its distinct words and pairs by bucket."""
+
     def run(batches):
-        segments, (common, common_counts), tokens, distinct = sent.value
-        held = LogFrequencyFilter(segments)
         number = 0
         for batch in batches:
             buf, off = B.utf8(batch.column(1))
             ids = batch.column(0)
-            for a, b in B.chunks(off):
+            for a, b in B.chunks(off, BLOCK_BYTES):
                 block = f"{TaskContext.get().partitionId()}-{number}"
                 number += 1
-                keys, rows = token_hashes(buf[off[a] : off[b]], off[a : b + 1] - off[a])
-                n = b - a
-                words, at = np.unique(keys, return_inverse=True)
-                estimate = held.counts(words)
-                uni = (estimate + ALPHA) / (tokens + ALPHA * (distinct + 1))
-                pairs, before = pair_hashes(keys)
-                known_pairs, pair_at = np.unique(pairs, return_inverse=True)
-                c2 = held.counts(known_pairs)[pair_at]
-                c1 = np.empty(len(keys))
-                if len(keys):
-                    c1[1:] = estimate[at[:-1]]
-                    c1[0] = held.counts(np.array([END]))[0]
-                p = (np.minimum(c2, c1) + PRIOR * uni[at]) / (c1 + PRIOR)
-                score = np.bincount(rows, np.log10(p), n)
-                place = np.searchsorted(common, words)
-                place[place == len(common)] = 0
-                is_common = common[place] == words if len(common) else np.zeros(len(words), bool)
-                value = np.where(is_common, _log_base(common_counts[place] if len(common) else np.zeros(len(words)), tokens, distinct), 0.0)
-                base = np.bincount(rows, value[at], n)
-                n_known = np.bincount(rows, is_common[at], n)
-                own = np.stack([np.bincount(rows, minlength=n).astype(float), n_known, base, score]).astype("<f8")
-                out = [(0, KNOWN, block, struct.pack("<q", n), _ids(ids.slice(a, n)), own.tobytes())]
-                rare = np.flatnonzero(~is_common[at])
-                where = bucket_of(keys[rare], n_buckets)
-                order, cut = B.pack_ranges(where, n_buckets)
-                rare = rare[order]
-                for k in np.flatnonzero(np.diff(cut)).tolist():
-                    part = rare[cut[k] : cut[k + 1]]
-                    out.append((k, ASKED, block, rows[part].astype("<u4").tobytes(), keys[part].astype("<u8").tobytes(), b""))
-                out[0] = (int(sum(map(ord, block)) * 2654435761 % n_buckets), *out[0][1:])
+                own, own_off = buf[off[a] : off[b]], off[a : b + 1] - off[a]
+                _, _, (words, _), (pairs, _) = _distinct(own, own_off)
+                out = [(int(sum(map(ord, block)) * 2654435761 % n_buckets), TEXTS, block, _ids(ids.slice(a, b - a)), _text(own, own_off))]
+                of_words, of_pairs = (np.searchsorted(bucket_of(x, n_buckets), np.arange(n_buckets + 1)) for x in (words, pairs))
+                for k in range(n_buckets):
+                    w, x = words[of_words[k] : of_words[k + 1]], pairs[of_pairs[k] : of_pairs[k + 1]]
+                    if len(w) or len(x):
+                        out.append((k, ASKED, block, w.astype("<u8").tobytes(), _low5(x)))
                 yield _rows(out, _MOVED_ARROW)
 
     return run
 
 
+def _text(buf: np.ndarray, off: np.ndarray) -> bytes:
+    text = pa.array([buf.tobytes()], pa.large_binary())
+    sink = pa.BufferOutputStream()
+    batch = pa.RecordBatch.from_arrays([pa.array([np.diff(off).astype("<i8").tobytes()], pa.large_binary()), text], names=["sizes", "text"])
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _from_text(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    held = pa.ipc.open_stream(raw).read_all()
+    sizes, text = (held.column(i)[0].as_py() for i in range(2))
+    return np.frombuffer(text, np.uint8), np.concatenate([[0], np.cumsum(np.frombuffer(sizes, "<i8"))]).astype(np.int64)
+
+
 def _ids(column) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, pa.schema([("id", column.type)])) as writer:
@@ -292,77 +302,113 @@ def _ids(column) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def _answer(tokens: int, distinct: int, n_buckets: int):
-    """Joins asked words with the counts of their bucket; gives sums for each text of a block."""
+def _answer(n_buckets: int):
+    """Rows sorted by bucket and kind: a bucket's counts and filter come before what is asked of them."""
 
     def run(batches):
-        counts, asked = [], {}
+        at, counts, held, asked, size = None, None, None, [], 0
+
+        def answers():
+            words = np.frombuffer(b"".join(w for _, w, _ in asked), "<u8")
+            pairs = _from5(b"".join(x for *_, x in asked), at, n_buckets)
+            place = np.searchsorted(counts[0], words)
+            place[place == len(counts[0])] = 0
+            exact = np.where(counts[0][place] == words, counts[1][place], 0) if len(counts[0]) else np.zeros(len(words), np.int64)
+            levels = held.levels(np.concatenate([words, pairs]))
+            w = x = 0
+            out = []
+            for block, own_words, own_pairs in asked:
+                n, m = len(own_words) // 8, len(own_pairs) // 5
+                out.append((at, ASKED, block, _planes(exact[w : w + n]) + levels[w : w + n].tobytes(), levels[len(words) + x : len(words) + x + m].tobytes()))
+                w, x = w + n, x + m
+            return _rows(out, _MOVED_ARROW)
+
         for batch in batches:
-            local = []
-            for bucket, kind, block, rows, keys, numbers in zip(*(batch.column(i).to_pylist() for i in range(6))):
+            for bucket, kind, block, words, pairs in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if bucket != at:
+                    if asked:
+                        yield answers()
+                    at, counts, held, asked, size = bucket, (np.zeros(0, np.uint64), np.zeros(0, np.int64)), LogFrequencyFilter([bytes(8)]), [], 0
                 if kind == WORDS:
-                    counts.append((np.frombuffer(keys, "<u8"), np.frombuffer(numbers, "<i8")))
-                elif kind == ASKED:
-                    asked.setdefault(block, []).append((rows, keys))
+                    counts = np.frombuffer(words, "<u8"), np.frombuffer(pairs, "<i8")
+                elif kind == FILTER:
+                    held = LogFrequencyFilter([words])
+                elif kind == TEXTS:
+                    yield _rows([(bucket, kind, block, words, pairs)], _MOVED_ARROW)
                 else:
-                    local.append((bucket, kind, block, rows, keys, numbers))
-            if local:
-                yield _rows(local, _MOVED_ARROW)
-        keys = np.concatenate([k for k, _ in counts] or [np.zeros(0, np.uint64)])
-        order = np.argsort(keys)
-        keys, counts = keys[order], np.concatenate([c for _, c in counts] or [np.zeros(0, np.int64)])[order]
-        for block in sorted(asked):
-            parts = asked.pop(block)
-            want = np.frombuffer(b"".join(k for _, k in parts), "<u8")
-            rows, back = np.unique(np.frombuffer(b"".join(r for r, _ in parts), "<u4"), return_inverse=True)
-            place = np.searchsorted(keys, want)
-            place[place == len(keys)] = 0
-            found = keys[place] == want if len(keys) else np.zeros(len(want), bool)
-            c = np.where(found, counts[place] if len(keys) else 0, 0)
-            sums = np.stack([np.bincount(back, _log_base(c, tokens, distinct), len(rows)), np.bincount(back, found, len(rows))]).astype("<f8")
-            yield _rows([(0, ASKED, block, rows.astype("<u4").tobytes(), b"", sums.tobytes())], _MOVED_ARROW)
+                    asked.append((block, words, pairs))
+                    size += len(words) // 8 + len(pairs) // 5
+                    if size >= PROBED_AT_ONCE:
+                        yield answers()
+                        asked, size = [], 0
+        if asked:
+            yield answers()
 
     return run
 
 
-def _gather(id_type: pa.DataType, tokens: int):
+def _gather(id_type: pa.DataType, tokens: int, distinct: int):
+    """Rows sorted by block, bucket and kind to the scores of the block's texts."""
+
+    def scored(texts, answers):
+        buf, off = _from_text(texts[1])
+        keys, rows, (words, at), (_, pair_at) = _distinct(buf, off)
+        n = len(off) - 1
+        exact, levels, pair_levels = [], [], []
+        for own_words, own_pairs in answers:
+            k = len(own_words) // 9 * 8
+            exact.append(_from_planes(own_words[:k]))
+            levels.append(np.frombuffer(own_words[k:], np.uint8))
+            pair_levels.append(np.frombuffer(own_pairs, np.uint8))
+        exact, estimate = np.concatenate(exact), expected(np.concatenate(levels))
+        uni = (estimate + ALPHA) / (tokens + ALPHA * (distinct + 1))
+        c2 = expected(np.concatenate(pair_levels))[pair_at]
+        c1 = np.empty(len(keys))
+        c1[0], c1[1:] = estimate[np.searchsorted(words, END)], estimate[at[:-1]]
+        p = (np.minimum(c2, c1) + PRIOR * uni[at]) / (c1 + PRIOR)
+        column = pa.ipc.open_stream(texts[0]).read_all().column(0).combine_chunks()
+        return pa.RecordBatch.from_arrays(
+            [
+                column.cast(id_type),
+                pa.array(np.bincount(rows, minlength=n).astype(np.int64)),
+                pa.array(np.bincount(rows, exact[at] > 0, n).astype(np.int64)),
+                pa.array(np.full(n, tokens, np.int64)),
+                pa.array(np.bincount(rows, _log_base(exact, tokens, distinct)[at], n)),
+                pa.array(np.bincount(rows, np.log10(p), n)),
+            ],
+            names=["id", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+        )
+
     def run(batches):
-        blocks: dict[str, dict] = {}
+        now, texts, answers = None, None, []
         for batch in batches:
-            for _, kind, block, rows, keys, numbers in zip(*(batch.column(i).to_pylist() for i in range(6))):
-                blocks.setdefault(block, {}).setdefault(kind, []).append((rows, keys, numbers))
-        for block in sorted(blocks):
-            held = blocks.pop(block)
-            _, ids, own = held[KNOWN][0]
-            own = np.frombuffer(own, "<f8").reshape(4, -1).copy()
-            for rows, _, sums in sorted(held.get(ASKED, [])):
-                at = np.frombuffer(rows, "<u4")
-                base, known = np.frombuffer(sums, "<f8").reshape(2, -1)
-                own[2, at] += base
-                own[1, at] += known
-            column = pa.ipc.open_stream(ids).read_all().column(0).combine_chunks()
-            n = own.shape[1]
-            yield pa.RecordBatch.from_arrays(
-                [column.cast(id_type), pa.array(own[0].astype(np.int64)), pa.array(np.rint(own[1]).astype(np.int64)), pa.array(np.full(n, tokens, np.int64)), pa.array(own[2]), pa.array(own[3])],
-                names=["id", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-            )
+            for _, kind, block, words, pairs in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if block != now:
+                    if texts:
+                        yield scored(texts, answers)
+                    now, texts, answers = block, None, []
+                if kind == TEXTS:
+                    texts = words, pairs
+                else:
+                    answers.append((words, pairs))
+        if texts:
+            yield scored(texts, answers)
 
     return run
 
 
 def score(df: DataFrame, model: Model, *, id_col="doc_id", text_col="text") -> DataFrame:
     """id_col, n_tokens, n_known, train_tokens, base_score and score of each row."""
-    spark = df.sparkSession
-    p = partitions(spark)
-    sent = spark.sparkContext.broadcast((model.segments, model.common, model.tokens, model.distinct))
+    p = partitions(df.sparkSession)
     kind = dict(df.dtypes)[id_col]
-    asked = df.select(id_col, text_col).mapInArrow(_score_part(sent, model.n_buckets), _MOVED)
-    known = model.counts.where(F.col("kind") == WORDS).select("bucket", "kind", F.lit("").alias("block"), F.lit(b"").alias("rows"), "keys", "numbers")
-    answers = asked.unionByName(known).repartition(p, "bucket").mapInArrow(_answer(model.tokens, model.distinct, model.n_buckets), _MOVED)
+    asked = df.select(id_col, text_col).mapInArrow(_ask_part(model.n_buckets), _MOVED)
+    known = model.counts.select("bucket", "kind", F.lit("").alias("block"), F.col("keys").alias("words"), F.col("numbers").alias("pairs"))
+    met = asked.unionByName(known).repartition(p, "bucket").sortWithinPartitions("bucket", "kind")
+    answers = met.mapInArrow(_answer(model.n_buckets), _MOVED).repartition(p, "block").sortWithinPartitions("block", "bucket", "kind")
     from pyspark.sql.pandas.types import to_arrow_type
 
     id_type = to_arrow_type(df.schema[id_col].dataType)
-    done = answers.repartition(p, "block").mapInArrow(_gather(id_type, model.tokens), f"id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    done = answers.mapInArrow(_gather(id_type, model.tokens, model.distinct), f"id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return done.withColumnRenamed("id", id_col)
 
 

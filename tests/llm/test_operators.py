@@ -465,3 +465,23 @@ def test_filter_holds_all_counts():
     held = lm.LogFrequencyFilter([lm.segment(keys[buckets == b], counts[buckets == b], 1 << 20) for b in range(4)])
     assert (held.counts(keys) >= 1.5 * 2.0 ** (lm.levels_of(counts) - 1) - 0.5).all()
     assert np.mean(held.counts(lm.B.mix(keys)) > 0) < 0.1
+
+
+def test_filter_grows_with_its_entries():
+    n = 1024
+    keys = np.arange(200_000, dtype=np.uint64) << np.uint64(16)
+    sent = lm._rows([(0, lm.PAIRS, lm._low5(keys), np.ones(len(keys), "<u4").tobytes(), len(keys), 0)], lm._ARROW)
+    (out,) = lm._sum_buckets(n)([sent])
+    bits = next(r["keys"] for r in out.to_pylist() if r["kind"] == lm.FILTER)
+    assert len(bits) * 8 >= lm.BITS_PER_KEY * len(keys)
+    assert np.mean(lm.LogFrequencyFilter([bits]).counts(keys + (np.uint64(1) << np.uint64(40))) > 0) < 0.05
+    with pytest.raises(ValueError):
+        lm.segment(keys, np.ones(len(keys), np.int64), 1 << 20)
+    assert (lm.LogFrequencyFilter([b"\xff" * 8]).levels(keys[:3]) == lm.MAX_LEVEL).all()
+
+
+def test_lm_sends_nothing_that_grows_through_the_driver(spark, docs, monkeypatch):
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda *_: pytest.fail("a broadcast"))
+    model = lm.train(docs)
+    got = {(r.doc_id, r.n_tokens, r.score) for r in lm.score(docs, model).collect()}
+    assert got and all(math.isfinite(x) and x < 0 for *_, x in got)
