@@ -202,7 +202,7 @@ def _ship(n_buckets: int, boundary: int):
 
 
 def _count_lists(n_buckets: int):
-    """Tokens of two or more classes, sent on to the buckets of their classes."""
+    """Tokens of two or more classes, sent on to the buckets of their classes; tokens of the rest all go on, as classes read again may have them too."""
 
     def run(batches):
         parts = []
@@ -224,8 +224,9 @@ def _count_lists(n_buckets: int):
         fresh = new_token | np.append(True, cls[1:] != cls[:-1])
         order, group = order[fresh], np.cumsum(new_token)[fresh] - 1
         count = np.bincount(group)[group]
-        kept = all_[order[count >= 2]]
-        kept["common"] = (count[count >= 2] > COMMON) & (kept["place"] < kept["low"])
+        use = (count >= 2) | (all_["place"] >= all_["low"])[order]
+        kept = all_[order[use]]
+        kept["common"] = (count[use] > COMMON) & (kept["place"] < kept["low"])
         if len(kept):
             kept = kept[np.lexsort((kept["place"], kept["class"]))]
             yield _packed_rows(kept["class"] & (n_buckets - 1), kept, n_buckets)
@@ -533,12 +534,19 @@ def _loose_links(left: DataFrame) -> DataFrame:
 
 
 def _without_covered(stars: DataFrame) -> DataFrame:
-    """Stars whose leader and members all belong to the star of the leader's own least leader go: they are compared there."""
+    """Stars whose leader and members all belong to the star of the leader's own least leader go: they are compared there.
+
+    Where two leaders are each other's least, the star of the lesser stays.  Longer circles don't occur: their stars
+    would be equal, so the least of their leaders would lead all others.
+    """
     over = stored(stars.groupBy("member").agg(F.min("leader").alias("over")))
     asked = stars.join(over.select(F.col("member").alias("leader"), "over"), "leader").select("leader", "member", "over")
     held = stars.select(F.col("leader").alias("over"), "member").withColumn("held", F.lit(1))
     checked = asked.join(held, ["over", "member"], "left").groupBy("leader").agg(F.min(F.when((F.col("held") == 1) | (F.col("member") == F.col("over")), 1).otherwise(0)).alias("covered"))
-    covered = stored(checked.where("covered = 1").select("leader"))
+    back = over.select(F.col("over").alias("leader"), F.col("member").alias("of"), F.lit(1).alias("back"))
+    own = over.select(F.col("member").alias("leader"), F.col("over").alias("of"))
+    stays = own.join(back, ["leader", "of"]).where("leader < of").select("leader")
+    covered = stored(checked.where("covered = 1").select("leader").join(stays, "leader", "left_anti"))
     return stored(stars.join(covered, "leader", "left_anti"))
 
 

@@ -339,6 +339,28 @@ def test_jaccard_clusters(spark, tmp_path, monkeypatch, star, common):
     assert sorted(map(tuple, jaccard.grouped(docs).collect()), key=key) == groups_by_force(rows)
 
 
+def test_jaccard_family_with_one_short_of_low_tokens(spark):
+    """All but one have as many low tokens as their prefix; the shared ones are too common for lists."""
+
+    def low(words):
+        text = " ".join(words).encode()
+        tokens, sizes, _ = jaccard.sets_of(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+        return int((tokens < jaccard._CUT).sum()), int(sizes[0])
+
+    bases = ([f"b{k}x{i}" for i in range(27)] for k in range(1000))
+    base = next(b for b in bases if low(b) == (jaccard.prefix_length(24) - 1, 23))
+    ends = [f"e{i}" for i in range(400)]
+    full = [e for e in ends if low([*base, e])[0] == jaccard.prefix_length(24)][: jaccard.COMMON + 6]
+    short = next(e for e in ends if low([*base, e])[0] < jaccard.prefix_length(24))
+    rows = [(i, " ".join([*base, e])) for i, e in enumerate([*full, short])]
+    assert {r.component_id for r in jaccard.grouped(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {0}
+
+
+def test_stars_that_cover_each_other(spark):
+    stars = [(1, 2), (2, 1), (5, 6), (5, 7), (6, 7)]
+    assert sorted(map(tuple, jaccard._without_covered(spark.createDataFrame(stars, "leader long, member long")).collect())) == [(1, 2), (5, 6), (5, 7)]
+
+
 def test_subset_sizes_cover_all_pairs():
     for boundary in range(13):
         for n in range(1, boundary + 1):
