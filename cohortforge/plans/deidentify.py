@@ -107,7 +107,7 @@ def static_table(scalars: DataFrame, groups: Sequence[str] = ("opensmile", "praa
 
 
 def release_issues(tables: Mapping[str, DataFrame], removed: DataFrame, original: DataFrame, allowed_tasks: Sequence[str], session_table: str) -> DataFrame:
-    """rule, table, n of what a release must not hold: removed or original participants, unexpected tasks, unknown sessions."""
+    """rule, table, n of what a release must not hold: removed or original participants, tasks whose whole normalised label isn't allowed, unknown sessions."""
     out = []
     known = tables[session_table].select("session_id").distinct()
     for name, df in tables.items():
@@ -115,11 +115,10 @@ def release_issues(tables: Mapping[str, DataFrame], removed: DataFrame, original
             for rule, bad in (("removed_participant", removed), ("original_participant", original)):
                 ids = bad.select(F.col(bad.columns[0]).alias("participant_id"))
                 out.append(joins.included(df.select("participant_id").distinct(), ids, "participant_id").agg(F.lit(rule).alias("rule"), F.lit(name).alias("table"), F.count("*").alias("n")))
-        if "task_name" in df.columns and allowed_tasks:
-            fits = F.lit(False)
-            for t in allowed_tasks:
-                fits = fits | normalize_label("task_name").contains(t)
-            out.append(df.where(~fits).select("task_name").distinct().agg(F.lit("unexpected_task").alias("rule"), F.lit(name).alias("table"), F.count("*").alias("n")))
+        if "task_name" in df.columns:
+            labels = df.sparkSession.createDataFrame([(t,) for t in allowed_tasks if t.strip()], "allowed string").select(normalize_label("allowed").alias("_label"))
+            tasks = df.where("task_name is not null").select("task_name").distinct().withColumn("_label", normalize_label("task_name"))
+            out.append(tasks.join(labels, "_label", "left_anti").agg(F.lit("unexpected_task").alias("rule"), F.lit(name).alias("table"), F.count("*").alias("n")))
         if "session_id" in df.columns and name != session_table:
             out.append(df.select("session_id").where("session_id is not null").distinct().join(known, "session_id", "left_anti").agg(F.lit("unknown_session").alias("rule"), F.lit(name).alias("table"), F.count("*").alias("n")))
     issues = out[0]
