@@ -36,7 +36,7 @@ def anonymous_ids(recordings: DataFrame, held: DataFrame | None = None) -> DataF
 def biosamples(recordings: DataFrame, ids: DataFrame, terms: DataFrame) -> DataFrame:
     """One biosample for each (participant, session, task): anonymous id and the task's ontology term, if it has one."""
     r = recordings.select("participant_id", "session_id", strip_counters(recording_to_task_name("task_name")).alias("task")).distinct()
-    r = r.join(ids, "participant_id").join(F.broadcast(terms.limit(10_000)), "task", "left")
+    r = r.join(ids, "participant_id").join(terms, "task", "left")
     return r.select(F.concat_ws("_", "anon_id", "session_id", "task").alias("local_id"), "anon_id", "session_id", "task", F.col("term").alias("assay_type"), F.lit(ANATOMY).alias("anatomy")).distinct()
 
 

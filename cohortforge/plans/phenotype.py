@@ -61,7 +61,7 @@ def tables(df: DataFrame, instruments: DataFrame, mapping: DataFrame, key: str =
     The mapping is a registry (columns, not data) and is read to the driver.
     """
     rows = with_schema(deidentify.phenotype_cleaned(df), instruments)
-    plan = [tuple(r) for r in mapping_kept(mapping).select("schema_name_source", "column_name_source", "schema_name", "column_name").limit(100_000).collect()]
+    plan = [tuple(r) for r in mapping_kept(mapping).select("schema_name_source", "column_name_source", "schema_name", "column_name").collect()]
     schemas = sorted({p[2] for p in plan})
     carried = [(s, c, s2, c) for s2 in schemas for s in {p[0] for p in plan if p[2] == s2} for c in (key, order) if c not in {p[3] for p in plan if p[2] == s2}]
     unique = list(dict.fromkeys((s2, c) for _, c, s2, _ in carried))

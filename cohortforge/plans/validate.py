@@ -26,8 +26,7 @@ def choice_violations(long: DataFrame, choices: DataFrame, sliders: DataFrame |
     out = long.join(choices.select("field").distinct(), "field", "left_semi").join(allowed, ["field", "value"], "left_anti")
     if sliders is not None:
         number = F.col("value").try_cast("long")
-        s = F.broadcast(sliders.limit(10_000))
-        out = out.join(s, "field", "left").where(~F.coalesce((number >= 0) & (number <= F.col("most")), F.lit(False))).drop("most")
+        out = out.join(sliders, "field", "left").where(~F.coalesce((number >= 0) & (number <= F.col("most")), F.lit(False))).drop("most")
     return out.withColumn("rule", F.lit("choice"))
 
 
@@ -35,7 +34,7 @@ def range_violations(long: DataFrame, ranges: DataFrame) -> DataFrame:
     """Cells of fields with a range (field, least, most) that aren't whole numbers within it."""
     number = F.col("value").try_cast("double")
     fits = number.isNotNull() & (number == F.floor(number)) & (number >= F.col("least")) & (number <= F.col("most"))
-    return long.join(F.broadcast(ranges.limit(10_000)), "field").where(~F.coalesce(fits, F.lit(False))).drop("least", "most").withColumn("rule", F.lit("range"))
+    return long.join(ranges, "field").where(~F.coalesce(fits, F.lit(False))).drop("least", "most").withColumn("rule", F.lit("range"))
 
 
 def body_measures(df: DataFrame, unit: str = "unit") -> DataFrame:

@@ -54,7 +54,7 @@ def json_report(df: DataFrame, path: str) -> None:
 
 def dictionary_json(spark: SparkSession, elements: DataFrame, path: str) -> str:
     """The data dictionary of one schema as JSON text, written and returned; dictionaries are small."""
-    rows = elements.limit(100_000).toPandas().to_dict("records")
+    rows = elements.toPandas().to_dict("records")
     text = json.dumps({"data_elements": {r.pop("column"): r for r in rows}}, indent=2, default=str)
     single = spark.createDataFrame([(text,)], "value string").coalesce(1)
     single.write.mode("overwrite").text(path)
