@@ -4,12 +4,23 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def kept_once(df: DataFrame) -> DataFrame:
-    """The frame checkpointed to the shared folder (spark.checkpoint.dir; a folder of our own only where it is unset)."""
-    sc = df.sparkSession.sparkContext
+def checkpoint_dir(spark: SparkSession) -> str:
+    """spark.checkpoint.dir or the folder set on the context; a temporary one only on a local master."""
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not root:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="cohortforge-")
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cohortforge-"))
+        sc.setCheckpointDir(root)
+    return root
+
+
+def kept_once(df: DataFrame) -> DataFrame:
+    """The frame checkpointed to the shared folder."""
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint()

@@ -89,20 +89,31 @@ def shortened_ids(df: DataFrame, column: str, into: str = "short_id") -> DataFra
 
 
 def pseudonyms(ids: DataFrame, key: bytes, column: str = "id", held: DataFrame | None = None, digits: int = 6, most: int = 1000) -> DataFrame:
-    """column, pseudonym: keyed numbers without collisions; held pairs stay, colliding ids are salted and tried again."""
+    """column, pseudonym: keyed numbers without collisions, as if ids came one by one in order.
+
+    An id's candidates are the keyed numbers of itself, then of itself with "1", "2", ... at its end.  Each id takes the
+    first candidate that no held pair and no id before it has.  All ids propose at once; of those that want one
+    number the first id keeps it for now, the others go on to their next candidate, until nobody has to.
+    Held pairs stay as they are.  Null ids are left out, repeated ones count once.
+    """
     from cohortforge.operators.tables import kept_once
 
-    left = ids.select(column).where(F.col(column).isNotNull()).distinct()
-    done = held.select(column, "pseudonym") if held is not None else None
-    if done is not None:
-        left = left.join(done, column, "left_anti")
-    for salt in range(most):
-        tried = left.withColumn("pseudonym", pseudonym(F.concat(F.col(column), F.lit(str(salt) if salt else "")), key, digits))
-        if done is not None:
-            tried = tried.join(done.select("pseudonym"), "pseudonym", "left_anti").select(column, "pseudonym")
-        won = kept_once(first_of(tried, ["pseudonym"], column))
-        done = won if done is None else done.unionByName(won)
-        left = kept_once(left.join(won, column, "left_anti"))
-        if left.isEmpty():
-            return done
+    fresh = ids.select(column).where(F.col(column).isNotNull()).distinct()
+    if held is not None:
+        held = kept_once(held.select(column, "pseudonym"))
+        fresh = fresh.join(held.select(column), column, "left_anti")
+    candidate = pseudonym(F.concat(F.col(column), F.when(F.col("tries") > 0, F.col("tries").cast("string")).otherwise("")), key, digits)
+    placed = fresh.withColumn("tries", F.lit(0))
+    for _ in range(most):
+        placed = kept_once(placed.select(column, "tries", candidate.alias("pseudonym")))
+        loses = F.row_number().over(Window.partitionBy("pseudonym").orderBy(column)) > 1
+        proposed = placed.withColumn("loses", loses)
+        if held is not None:
+            taken = held.select("pseudonym", F.lit(True).alias("taken"))
+            proposed = proposed.join(taken, "pseudonym", "left").withColumn("loses", F.col("loses") | F.col("taken").isNotNull())
+        losers = kept_once(proposed.where("loses").select(column, F.lit(1).alias("more")))
+        if losers.isEmpty():
+            done = placed.select(column, "pseudonym")
+            return done if held is None else held.unionByName(done)
+        placed = placed.join(losers, column, "left").select(column, (F.col("tries") + F.coalesce("more", F.lit(0))).alias("tries"))
     raise ValueError("ids still collide; use more digits")

@@ -219,7 +219,22 @@ def _(t):
     return t("customer").select("c_custkey", S.pseudonym(F.col("c_custkey").cast("string"), KEY).alias("pseudonym"))
 
 
-@query("pseudonym_table")
+def _pseudonym_sql(rounds: int = 8) -> str:
+    """Rounds of proposals: each number goes to the first id that wants it, the others try their next candidate."""
+
+    def number(text: str) -> str:
+        digest = f"sha256(unhex('{_OUTER}') || unhex(sha256(unhex('{_INNER}') || encode({text}))))"
+        return f"lpad(CAST(CAST('0x' || substr({digest}, 1, 12) AS BIGINT) % 1000000 AS VARCHAR), 6, '0')"
+
+    steps = [f"r0 AS MATERIALIZED (SELECT id, 0 AS tries, {number('id')} AS pseudonym FROM (SELECT CAST(c_custkey AS VARCHAR) AS id FROM customer))"]
+    for k in range(rounds):
+        steps.append(f"w{k} AS (SELECT id, tries + CASE WHEN row_number() OVER (PARTITION BY pseudonym ORDER BY id) > 1 THEN 1 ELSE 0 END AS tries FROM r{k})")
+        salted = "id || CASE WHEN tries > 0 THEN CAST(tries AS VARCHAR) ELSE '' END"
+        steps.append(f"r{k + 1} AS MATERIALIZED (SELECT id, tries, {number(salted)} AS pseudonym FROM w{k})")
+    return "WITH " + ", ".join(steps) + f" SELECT id, pseudonym FROM r{rounds}"
+
+
+@query("pseudonym_table", _pseudonym_sql())
 def _(t):
     return windows.pseudonyms(t("customer").select(F.col("c_custkey").cast("string").alias("id")), KEY)
 
@@ -580,7 +595,10 @@ def _(t):
     return incremental.event_counts(t("events")).select("window_start", "event_type", "n", F.round("total", 4).alias("total"))
 
 
-@query("event_sessions")
+@query("event_sessions", """
+WITH e AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL '30 minutes' THEN 0 ELSE 1 END AS starts FROM events),
+s AS (SELECT user_id, ts, sum(starts) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM e)
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL '30 minutes' AS session_end, count(*) AS n FROM s GROUP BY user_id, k""")
 def _(t):
     return incremental.sessions(t("events"))
 

@@ -196,3 +196,26 @@ def test_streamed_counts(spark, tmp_path):
 def test_same_rows(spark):
     a = spark.createDataFrame([(1,), (1,), (2,)], "x int")
     assert aggregates.same_rows(a, a) and not aggregates.same_rows(a, a.distinct())
+
+
+def test_pseudonyms_equal_those_given_one_by_one(spark):
+    """Ids 1 to 15 000 and two digits for few ids, so that ids whose salted text is another id collide."""
+    import hashlib
+    import hmac
+
+    from cohortforge.operators import windows
+
+    key = b"k"
+    number = lambda text, digits: f"{int(hmac.new(key, text.encode(), hashlib.sha256).hexdigest()[:12], 16) % 10**digits:0{digits}d}"
+    for n, digits, held in ((15_000, 6, {}), (60, 2, {"3": "41", "x": "07"})):
+        ids = [str(i) for i in range(1, n + 1)]
+        want, taken = dict(held), set(held.values())
+        for i in sorted(set(ids) - set(held)):
+            candidates = (number(i + (str(tries) if tries else ""), digits) for tries in range(1000))
+            want[i] = next(c for c in candidates if c not in taken)
+            taken.add(want[i])
+        df = spark.createDataFrame([(i,) for i in [*ids, ids[0], None]], "id string")
+        old = spark.createDataFrame([*held.items()], "id string, pseudonym string") if held else None
+        got = windows.pseudonyms(df, key, held=old, digits=digits)
+        assert {r.id: r.pseudonym for r in got.collect()} == want
+        assert got.count() == len(want)
