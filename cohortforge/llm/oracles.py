@@ -8,19 +8,26 @@ LOWER = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.asc
 WORDS = rf"regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 TOKENS = rf"regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+')"
 
-SUFFIX_DEDUP = """
+def _repeats(name: str, length: int) -> str:
+    """Runs of bytes in strings of the length that start more than once: doc_id, first byte a, byte behind the last z."""
+    return f"""{name}_s AS (SELECT doc_id, unnest(range(0, n - {length - 1})) AS s, h FROM d WHERE n >= {length}),
+{name}_k AS (SELECT doc_id, s, hash(substr(h, 2 * s + 1, {2 * length})) AS key FROM {name}_s),
+{name}_r AS (SELECT doc_id, s FROM {name}_k WHERE key IN (SELECT key FROM {name}_k GROUP BY key HAVING count(*) > 1)),
+{name}_i AS (SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + {length} THEN 0 ELSE 1 END AS new FROM {name}_r),
+{name}_g AS (SELECT doc_id, s, sum(new) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM {name}_i),
+{name} AS (SELECT doc_id, min(s) AS a, max(s) + {length} AS z FROM {name}_g GROUP BY doc_id, run)"""
+
+
+SUFFIX_DEDUP = f"""
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
-s AS (SELECT doc_id, unnest(range(0, n - 399)) AS s, h FROM d WHERE n >= 400),
-k AS (SELECT doc_id, s, hash(substr(h, 2 * s + 1, 800)) AS key FROM s),
-r AS (SELECT doc_id, s FROM k WHERE key IN (SELECT key FROM k GROUP BY key HAVING count(*) > 1)),
-i AS (SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 400 THEN 0 ELSE 1 END AS new FROM r),
-g AS (SELECT doc_id, s, sum(new) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM i),
-u AS (SELECT doc_id, run, min(s) AS a, max(s) + 400 AS z FROM g GROUP BY 1, 2),
+{_repeats("u", 400)},
+{_repeats("v", 256)},
 p AS (SELECT doc_id, a, z, lag(z, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM u),
-t AS (SELECT p.doc_id, sum(z - a) AS removed, count(*) AS spans, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept, max(z) AS last FROM p JOIN d USING (doc_id) GROUP BY 1)
+t AS (SELECT p.doc_id, sum(z - a) AS removed, count(*) AS spans, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept, max(z) AS last FROM p JOIN d USING (doc_id) GROUP BY 1),
+w AS (SELECT doc_id, sum(z - a) AS repeated FROM v GROUP BY 1)
 SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans,
-  sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
-FROM d LEFT JOIN t USING (doc_id)
+  sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256, CAST(coalesce(repeated, 0) AS BIGINT) AS n_repeated
+FROM d LEFT JOIN t USING (doc_id) LEFT JOIN w USING (doc_id)
 """
 
 DECONTAMINATE = f"""

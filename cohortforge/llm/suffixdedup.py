@@ -1,34 +1,31 @@
 """Suffix-array dedup: repeated long byte strings by merging Burrows-Wheeler transforms.
 
-A byte is removed if a string of ``LENGTH`` bytes that covers it also starts
-anywhere else, in the same text or another.
-
-*Routing.*  Every string of LENGTH bytes is ruled by the least of its
-``GRAM``-byte gram hashes (the leftmost of equal ones).  Equal strings have equal
-rulers, so strings need comparing only with those of the same ruler.  Strings
-with neighbouring starts and one ruler make a context: some 90 starts, 490
-bytes.  Contexts are counted first, in their own text and then in all, by hash: equal contexts of several places
-repeat as a whole, and a ruler with one context in one place has no repeats; both
-are settled without moving text.  For other rulers one copy of each context is
-cut from its text.
-
-*Merging.*  A task cuts its contexts into shards, sorts each shard's suffixes to
-LENGTH bytes and keeps the Burrows-Wheeler transform.  Transforms are merged two
-by two: from a first interleave by the leading bytes, blocks of suffixes that
-agree to depth d are refined to depth 2d by the blocks of the suffixes d further
-on; each side's own order stays, so a refinement merges two sorted runs and never
-sorts anew, and a block of one suffix is done.  Neighbours that stay in one block
-to depth LENGTH are the repeated intervals; the depth at which neighbours part is
-their common prefix (rounded down to a refinement depth).
-
-*Hot rulers.*  A ruler with more than ``MOST`` different contexts is split: its
-starts go to bands by their distance from the ruler (``BANDS`` wide, narrower at
-each round), keyed by a hash of the bytes that all strings of a band share.  Equal
+A byte is removed if a string of ``length`` bytes that covers it also starts anywhere else, in the same text or another.
+The bytes that repeat at one more length (``also``) are found by the same pass and counted, not removed.
+
+*Routing.*  Every string of the shortest length is ruled by the least of its gram hashes (the leftmost of equal ones).
+Equal strings have equal rulers, so strings need comparing only with those of the same ruler.  Strings with neighbouring
+starts and one ruler make a context, which reaches as far as the longest length asked for.  Contexts are counted first, in their
+own text and then in all, by hash: equal contexts of several places repeat as a whole, and a ruler with one context in one
+place has no repeats; both are settled without moving text.  For other rulers one copy of each context is cut from its text.
+A text of more than ``FIND_BYTES`` is gone through in overlapping pieces, so its size is bounded by what a row may hold.
+
+*Merging.*  A task cuts its contexts into shards, sorts each shard's suffixes once and goes on with Burrows-Wheeler
+transforms alone (``transforms``): they are merged two by two by refining their interleave, which derives the common
+prefixes of neighbours.  Intervals of suffixes that share a length's bytes, with two or more starts, are the repeats.
+
+*Hot rulers.*  A ruler with more than ``MOST`` different contexts is split: its starts go to bands by their distance from the
+ruler (``BANDS`` wide, narrower at each round), keyed by a hash of the bytes that all strings of a band share.  Equal
 band contexts are again settled by counting; at width one counting is everything.
 
-A whole-corpus transform merged in one place is not attempted: its last merge
-would gather all text in one task.  Null texts are empty; texts under LENGTH bytes
-lose nothing; equal texts get equal results.
+A whole-corpus transform merged in one place is not attempted: its last merge would gather all text in one task.
+
+*Equality by hash.*  Contexts are taken for equal by their ruler's and their own 64-bit hash: of w different contexts of one
+ruler two are confused with a chance of at most w * w / 2**65 (of a million of one ruler: 3e-8).  Texts are one if length and
+64-bit hash agree: of 10**9 texts of one length two are confused with a chance of 3 %, and then share cuts.
+
+Null texts are empty; texts under the length lose nothing; equal texts get equal results; other columns stay as they are,
+whatever their names, but for clashes with the result's own.
 """
 
 from __future__ import annotations
@@ -42,36 +39,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortforge.llm import bytesops as B
+from cohortforge.llm import transforms
 from cohortforge.llm.jaccard import Bitmap
 from cohortforge.llm.shared import discard, partitions, stored, table, tidy
 
 LENGTH = 400
-GRAM = 160
+#: Bytes that 50 words hardly stay under: passages of more are found whole.
+PASSAGE = 256
 MOST = 250
 BANDS = (48, 8, 1)
-SHARD_BYTES = 512 << 10
+SHARD_BYTES = 256 << 10
 BATCH_BYTES = 1 << 20
 FIND_BYTES = 2 << 20
-PACK = 7  # symbols of 9 bits in one sort key
 _PLACE_BITS = 25
 
 
 # --- rulers and contexts -------------------------------------------------------------------------
 
 
-def contexts(buf: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """Row, first start, last start, ruler place (all in the buffer), ruler hash and context hash of each context."""
+def contexts(buf: np.ndarray, off: np.ndarray, lengths, starts: int | None = None):
+    """Row, first start, last start, end, ruler place (all in the buffer), ruler hash and context hash of each context.
+
+    ``starts``: only so many starts of each row are taken (its pieces overlap).
+    """
     size = np.diff(off)
-    n = len(buf)
+    n, length, gram = len(buf), lengths[0], max(1, lengths[0] * 2 // 5)
     none = np.zeros(0, np.int64)
     if n < length or not (size >= length).any():
-        return none, none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return none, none, none, none, none, none.astype(np.uint64), none.astype(np.uint64)
     hasher = B.Hasher(buf)
     at = np.arange(n - gram + 1)
     grams = B.mix(hasher.raw(at, at + gram))
     mask = np.uint64((1 << _PLACE_BITS) - 1)
-    if n > 1 << _PLACE_BITS:
-        raise ValueError("a text is too long for one pass")
     keys = (grams & ~mask) | at.astype(np.uint64)
     wide = length - gram + 1
     padded = np.full(-(-len(keys) // wide) * wide, ~np.uint64(0), np.uint64)
@@ -83,178 +82,119 @@ def contexts(buf: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int =
     valid = np.zeros(n + 1, np.int8)
     long_ = size >= length
     np.add.at(valid, off[:-1][long_], 1)
-    np.add.at(valid, off[1:][long_] - length + 1, -1)
+    stop = off[1:][long_] - length + 1
+    np.add.at(valid, stop if starts is None else np.minimum(stop, off[:-1][long_] + starts), -1)
     starts = np.flatnonzero(np.cumsum(valid[: n - length + 1]))
     ruler = (least[starts] & mask).astype(np.int64)
-    new = np.append(True, ruler[1:] != ruler[:-1])
-    first = np.flatnonzero(new)
+    first = np.flatnonzero(np.append(True, ruler[1:] != ruler[:-1]))
     lo, hi, place = starts[first], starts[np.append(first[1:], len(starts)) - 1], ruler[first]
     row = np.searchsorted(off, lo, "right") - 1
-    c = B.mix(hasher.raw(lo, hi + length) + ((place - lo) * 1315423911 + (hi - lo)).astype(np.uint64))
-    return row, lo, hi, place, B.mix(grams[place] + np.uint64(1)), c
+    end = np.minimum(hi + lengths[-1], off[row + 1])
+    c = B.mix(hasher.raw(lo, end) + ((place - lo) * 1315423911 + (hi - lo) * 2654435761 + (end - lo)).astype(np.uint64))
+    return row, lo, hi, end, place, B.mix(grams[place] + np.uint64(1)), c
+
+
+def _pieces(off: np.ndarray, lengths):
+    """Rows a to b, and where in the buffer their bytes to look at begin and end, in bounded pieces."""
+    for a, b in B.chunks(off, FIND_BYTES):
+        if off[b] - off[a] <= FIND_BYTES + lengths[-1]:
+            yield a, b, int(off[a]), int(off[b]), None
+        else:  # one long text
+            for at in range(int(off[a]), int(off[b]), FIND_BYTES):
+                yield a, b, at, min(at + FIND_BYTES + lengths[-1], int(off[b])), FIND_BYTES
+
+
+def _runs(first: np.ndarray, last: np.ndarray, row: np.ndarray):
+    """Which spans, in order of row and first, begin a run of touching ones, and the run's last byte."""
+    begin = np.append(True, (row[1:] != row[:-1]) | (first[1:] > last[:-1])) if len(row) else np.zeros(0, bool)
+    heads = np.flatnonzero(begin)
+    return heads, last[np.append(heads[1:], len(row)) - 1] if len(row) else last
 
 
-def _find(batches):
-    """Each text's different contexts (m: how many places), and, with h null, its spans of contexts that it repeats itself."""
+def _find(lengths):
+    """Each text's different contexts (m: how many places), and, with h null, its runs of contexts that it repeats itself.
+
+    Of a run lo is its first byte, hi the one behind its last, at the number of the length it repeats at.
+    """
     names = ["doc_id", "k", "n", "lo", "hi", "at", "m", "h", "c"]
-    for batch in batches:
-        buf, off = B.utf8(batch.column(3))
-        for a, b in B.chunks(off, FIND_BYTES):
-            base = off[a]
-            row, lo, hi, at, h, c = contexts(buf[base : off[b]], off[a : b + 1] - base)
-            if not len(row):
-                continue
-            _, first, back, count = np.unique(B.mix(h + c * np.uint64(7) + row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True, return_inverse=True, return_counts=True)
-            own = np.flatnonzero(count[back] > 1)
-            new = np.append(True, (row[own][1:] != row[own][:-1]) | (lo[own][1:] > hi[own][:-1] + LENGTH)) if len(own) else np.zeros(0, bool)
-            heads = own[new]
-            tails = own[np.append(np.flatnonzero(new)[1:] - 1, len(own) - 1)] if len(own) else own
-            for where, low, high, m, marked in ((first, lo[first], hi[first], count, True), (heads, lo[heads], hi[tails], np.full(len(heads), 2), False)):
-                start = (off[a:b] - base)[row[where]]
-                ids = [batch.column(i).slice(a, b - a).take(pa.array(row[where])) for i in range(3)]
-                hashes = [pa.array(x[where].view(np.int64), mask=None if marked else np.ones(len(where), bool)) for x in (h, c)]
-                yield pa.RecordBatch.from_arrays([*ids, *(pa.array((x - start).astype(np.int32)) for x in (low, high, at[where])), pa.array(m.astype(np.int64)), *hashes], names=names)
-
-
-# --- suffix order --------------------------------------------------------------------------------
-
-
-class Suffixes:
-    """All suffixes of some strings to a depth; a string's end is below every byte."""
-
-    def __init__(self, strings: list[bytes], depth: int = LENGTH):
-        sizes = np.array([len(s) for s in strings], np.int64)
-        self.depth = depth
-        self.start = np.concatenate([[0], np.cumsum(sizes + 1)])
-        self.text = np.zeros(int(self.start[-1]) + PACK, np.uint16)
-        place = np.delete(np.arange(self.start[-1]), self.start[1:] - 1) if len(strings) else np.zeros(0, np.int64)
-        self.text[place] = np.frombuffer(b"".join(strings), np.uint8).astype(np.uint16) + 1
-        self.end = np.repeat(self.start[1:] - 1, sizes + 1)
-        self.block = np.zeros(int(self.start[-1]), np.int64)
-
-    def _first_keys(self, at: np.ndarray) -> np.ndarray:
-        key = np.zeros(len(at), np.int64)
-        ended = np.zeros(len(at), bool)
-        for j in range(PACK):
-            symbol = np.where(ended, 0, self.text[at + j])
-            ended |= symbol == 0
-            key = key << 9 | symbol
-        return key
-
-    def refine(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Suffixes in order and, for each, the depth to which it agrees with the one before.
-
-        ``at`` is one unsorted run, or sorted runs one after another: stable sorting then just merges them.
-        """
-        n = len(at)
-        common = np.zeros(n, np.int64)
-        key = self._first_keys(at)
-        order = np.argsort(key, kind="stable")
-        at, key = at[order], key[order]
-        new = np.append(True, key[1:] != key[:-1])
-        head = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-        self.block[at] = head
-        depth = PACK
-        while depth < self.depth:
-            step = min(depth, self.depth - depth)
-            single = new & np.append(new[1:], True)
-            live = np.flatnonzero(~single)
-            if not len(live):
-                break
-            p = at[live]
-            further = self.block[np.minimum(p + step, self.end[p])]
-            key = head[live] * np.int64(n + 1) + further
-            order = np.argsort(key, kind="stable")
-            p, key = p[order], key[order]
-            at[live] = p
-            apart = np.append(True, key[1:] != key[:-1])
-            fresh = apart & ~new[live]
-            common[live[fresh]] = depth
-            new[live] |= apart
-            head[live] = np.maximum.accumulate(np.where(new[live], live, 0))
-            self.block[p] = head[live]
-            depth += step
-        common[~new] = self.depth
-        return at, common
-
-    def transform(self, at: np.ndarray) -> np.ndarray:
-        """The Burrows-Wheeler transform: each suffix's byte before (plus one; 0 before a string's start)."""
-        before = self.text[np.maximum(at - 1, 0)]
-        return np.where(at > 0, before, 0)
-
-
-class Shard:
-    """A sorted shard: its suffixes, their transform, and common prefixes of neighbours."""
-
-    def __init__(self, of: Suffixes, at: np.ndarray, common: np.ndarray):
-        self.of, self.at, self.common = of, at, common
-        self.bwt = of.transform(at)
-
-    @classmethod
-    def built(cls, of: Suffixes, first: int, last: int) -> Shard:
-        return cls(of, *of.refine(np.arange(of.start[first], of.start[last])))
-
-    def merged(self, other: Shard) -> Shard:
-        """The two transforms interleaved."""
-        return Shard(self.of, *self.of.refine(np.concatenate([self.at, other.at])))
-
-    def repeated(self) -> np.ndarray:
-        """Suffixes in an interval of two or more that agree to the whole depth."""
-        same = self.common >= self.of.depth
-        either = same.copy()
-        either[:-1] |= same[1:]
-        return self.at[either]
-
-
-def merge_all(strings: list[bytes], depth: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> Shard:
-    of = Suffixes(strings, depth)
-    cuts, at = [0], 0
-    while at < len(strings):
-        to = int(np.searchsorted(of.start, of.start[at] + shard_bytes))
-        at = min(max(to, at + 1), len(strings))
-        cuts.append(at)
-    shards = [Shard.built(of, a, b) for a, b in zip(cuts, cuts[1:])]
-    while len(shards) > 1:
-        shards = [a.merged(b) for a, b in zip(shards[::2], shards[1::2])] + shards[len(shards) // 2 * 2 :]
-    return shards[0]
-
-
-def repeated_starts(strings: list[bytes], depth: int = LENGTH) -> list[np.ndarray]:
-    """For each string, which of its starts (of whole strings of the depth) occur again among all."""
+
+    def run(batches):
+        for batch in batches:
+            buf, off = B.utf8(batch.column(3))
+            for a, b, base, to, starts in _pieces(off, lengths):
+                inner = np.array([0, to - base]) if starts else off[a : b + 1] - base
+                row, lo, hi, end, at, h, c = contexts(buf[base:to], inner, lengths, starts)
+                if not len(row):
+                    continue
+                _, first, back, count = np.unique(B.mix(h + c * np.uint64(7) + row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True, return_inverse=True, return_counts=True)
+                parts = [(first, lo[first], hi[first], at[first], count, True)]
+                for level, length in enumerate(lengths):
+                    last = np.minimum(hi + length, inner[row + 1])
+                    own = np.flatnonzero((count[back] > 1) & (last - lo >= length))
+                    heads, ends = _runs(lo[own], last[own], row[own])
+                    parts.append((own[heads], lo[own[heads]], ends, None, np.full(len(heads), level), False))
+                for where, low, high, place, m, marked in parts:
+                    start = off[a:b][row[where]] - base  # of the text, seen from the piece
+                    ids = [batch.column(i).slice(a, b - a).take(pa.array(row[where])) for i in range(3)]
+                    hashes = [pa.array(x[where].view(np.int64), mask=None if marked else np.ones(len(where), bool)) for x in (h, c)]
+                    yield pa.RecordBatch.from_arrays([*ids, *(pa.array((x - start).astype(np.int32)) for x in (low, high)), pa.array((place - start if marked else m).astype(np.int32)), pa.array(m.astype(np.int64)), *hashes], names=names)
+
+    return run
+
+
+def repeated_starts(strings: list[bytes], starts: list[int], lengths) -> list[list[np.ndarray]]:
+    """For each length and string, which of its first ``starts`` starts (of whole strings of the length) occur again as such."""
     if not strings:
-        return []
-    shard = merge_all(strings, depth)
-    flags = np.zeros(len(shard.of.text), bool)
-    flags[shard.repeated()] = True
-    return [flags[a : max(a, b - depth)] for a, b in zip(shard.of.start[:-1], shard.of.start[1:])]
+        return [[] for _ in lengths]
+    of = transforms.Strings(strings, lengths)
+    shard = transforms.merged(of, SHARD_BYTES)
+    own = np.arange(len(of.symbols)) - np.repeat(of.start[:-1], np.diff(of.start))
+    room = np.repeat(np.minimum(np.array(starts), np.diff(of.start) - 1), np.diff(of.start))
+    left = np.repeat(of.start[1:] - 1, np.diff(of.start)) - np.arange(len(of.symbols))
+    out = []
+    for length in lengths:
+        asked = ((own < room) & (left >= length))[shard.origin]
+        interval = np.cumsum(shard.common < length)[asked]
+        again = np.append(False, interval[1:] == interval[:-1]) if len(interval) else np.zeros(0, bool)
+        again[:-1] |= again[1:]
+        flags = np.zeros(len(of.symbols), bool)
+        flags[shard.origin[asked][again]] = True
+        out.append([flags[a:b] for a, b in zip(of.start[:-1], of.start[:-1] + np.array(starts))])
+    return out
 
 
 # --- tables --------------------------------------------------------------------------------------
 
 #: key: a ruler, or a band of one; c: context hash; m: places; k, n: the text's key and bytes.
 _ROW = "key long, c long, m long, k long, n int, lo int, hi int, at int, body binary"
-_SPAN = "k long, n int, first int, last int"
+#: level: the number of the length that bytes first to last - 1 repeat at.
+_SPAN = "k long, n int, level int, first int, last int"
+_ROW_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+_ROW_NAMES = ["key", "c", "m", "k", "n", "lo", "hi", "at", "body"]
 
 
-def _cut(batches):
+def _cut(lengths):
     """Contexts with their bytes, from texts with lists of cuts."""
-    for batch in batches:
-        rows = []
-        for k, n, cuts, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), B.texts_of(batch.column(3))):
-            rows += [(x["h"], x["c"], x["m"], k, n, x["lo"], x["hi"], x["at"], text[x["lo"] : x["hi"] + LENGTH]) for x in cuts]
-        if rows:
-            yield _batch(rows)
 
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for k, n, cuts, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), B.texts_of(batch.column(3))):
+                rows += [(x["h"], x["c"], x["m"], k, n, x["lo"], x["hi"], x["at"], text[x["lo"] : x["hi"] + lengths[-1]]) for x in cuts]
+                if len(rows) > 4000:
+                    yield _batch(rows)
+                    rows = []
+            if rows:
+                yield _batch(rows)
 
-_ROW_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-_ROW_NAMES = ["key", "c", "m", "k", "n", "lo", "hi", "at", "body"]
+    return run
 
 
 def _batch(rows):
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _ROW_TYPES)], names=_ROW_NAMES)
 
 
-def _bands(width: int):
+def _bands(width: int, lengths):
     """Contexts cut into bands of starts by their distance from the ruler."""
 
     def run(batches):
@@ -266,8 +206,8 @@ def _bands(width: int):
                     band = (at - start) // width  # starts at - (band + 1) * width + 1 to at - band * width
                     low, high = at - (band + 1) * width + 1, at - band * width
                     a, b = start, min(high, hi)
-                    own = body[a - lo : b - lo + LENGTH]
-                    core = body[high - lo : low - lo + LENGTH]
+                    own = body[a - lo : b - lo + lengths[-1]]
+                    core = body[high - lo : low - lo + lengths[0]]
                     tag = hashlib.blake2b(b"%d %d " % (key, band) + core, digest_size=8).digest()
                     c = hashlib.blake2b(b"%d %d " % (at - a, at - b) + own, digest_size=8).digest()
                     rows.append((int.from_bytes(tag, "little", signed=True), int.from_bytes(c, "little", signed=True), m, k, n, a, b, at, own))
@@ -281,32 +221,38 @@ def _bands(width: int):
     return run
 
 
-def _merge_rows(batches):
+def _merge_rows(lengths):
     """Spans of repeats in contexts that occur once, from all contexts of this task's rulers."""
-    meta, bodies, seen = [], [], set()
-    for batch in batches:
-        for key, c, m, k, n, lo, _, _, body in zip(*(x.to_pylist() for x in batch.columns)):
-            if (key, c) not in seen:
-                seen.add((key, c))
-                meta.append((key, m, k, n, lo))
-                bodies.append(body)
-    # equal strings have equal keys, so batches of whole keys are enough
-    order = sorted(range(len(meta)), key=lambda i: meta[i][0])
-    rows, at = [], 0
-    while at < len(order):
-        to, size = at, 0
-        while to < len(order) and (size < BATCH_BYTES or meta[order[to]][0] == meta[order[to - 1]][0]):
-            size += len(bodies[order[to]])
-            to += 1
-        part = order[at:to]
-        for i, flags in zip(part, repeated_starts([bodies[i] for i in part])):
-            _, m, k, n, lo = meta[i]
-            if m == 1 and flags.any():
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], flags.view(np.int8), [0]])))
-                rows += [(k, n, lo + a, lo + b - 1 + LENGTH) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())]
-        at = to
-    if rows:
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int32(), pa.int32()))], names=["k", "n", "first", "last"])
+
+    def run(batches):
+        meta, bodies, seen = [], [], set()
+        for batch in batches:
+            for key, c, m, k, n, lo, hi, _, body in zip(*(x.to_pylist() for x in batch.columns)):
+                if (key, c) not in seen:
+                    seen.add((key, c))
+                    meta.append((key, m, k, n, lo, hi))
+                    bodies.append(body)
+        # equal strings have equal keys, so batches of whole keys are enough
+        order = sorted(range(len(meta)), key=lambda i: meta[i][0])
+        rows, at = [], 0
+        while at < len(order):
+            to, size = at, 0
+            while to < len(order) and (size < BATCH_BYTES or meta[order[to]][0] == meta[order[to - 1]][0]):
+                size += len(bodies[order[to]])
+                to += 1
+            part = order[at:to]
+            found = repeated_starts([bodies[i] for i in part], [meta[i][5] - meta[i][4] + 1 for i in part], lengths)
+            for level, (length, marks) in enumerate(zip(lengths, found)):
+                for i, flags in zip(part, marks):
+                    _, m, k, n, lo, _ = meta[i]
+                    if m == 1 and flags.any():
+                        edge = np.flatnonzero(np.diff(np.concatenate([[0], flags.view(np.int8), [0]])))
+                        rows += [(k, n, level, lo + a, lo + b - 1 + length) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())]
+            at = to
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), *(pa.int32(),) * 4))], names=["k", "n", "level", "first", "last"])
+
+    return run
 
 
 def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -314,49 +260,57 @@ def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("doc_id"), F.xxhash64(body).alias("k"), F.octet_length(body).alias("n"), body.alias("text"))
 
 
-def spans(texts: DataFrame) -> DataFrame:
-    """k, n and all (overlapping) spans of repeated bytes of the texts (doc_id, k, n, text)."""
+def _whole(rows: DataFrame, lengths) -> DataFrame:
+    """The spans of contexts that repeat as a whole, at every length they have room for."""
+    span = lambda i, n: F.struct(F.lit(i).alias("level"), F.col("lo").alias("first"), F.least(F.col("hi") + n, "n").alias("last"))
+    spans_ = rows.select("k", "n", F.inline(F.array(*(span(i, n) for i, n in enumerate(lengths)))))
+    size = F.element_at(F.array(*map(F.lit, lengths)), F.col("level") + 1)
+    return spans_.where(F.col("last") - F.col("first") >= size)
+
+
+def spans(texts: DataFrame, lengths=(LENGTH,)) -> DataFrame:
+    """k, n, level and all (overlapping) spans of repeated bytes of the texts (doc_id, k, n, text).
+
+    ``lengths``: one or two, in ascending order, from 8 on; level is a length's number among them.
+    """
+    if len(lengths) > 2:  # single starts of a hot ruler are counted at the shortest length and as whole contexts
+        raise ValueError("at most two lengths in one pass")
     spark = texts.sparkSession
     p = partitions(spark)
     kind = dict(texts.dtypes)["doc_id"]
-    found = texts.where(F.col("n") >= LENGTH).mapInArrow(_find, f"doc_id {kind}, k long, n int, lo int, hi int, at int, m long, h long, c long")
+    found = texts.where(F.col("n") >= lengths[0]).mapInArrow(_find(lengths), f"doc_id {kind}, k long, n int, lo int, hi int, at int, m long, h long, c long")
     found = found.persist(StorageLevel.DISK_ONLY)  # a lost part is found anew from its texts
     places = found.where("h is not null")
-    end = (F.col("hi") + LENGTH).alias("last")
     counted = stored(places.groupBy("h", "c").agg(F.sum("m").alias("m"), F.min(F.struct("doc_id", "k", "n", "lo", "hi", "at")).alias("one")))
     rulers = stored(counted.groupBy("h").agg(F.count("*").alias("kinds"), F.sum("m").alias("total")).where("total > 1").select("h", "kinds"))
     ruled = stored(counted.join(rulers, "h"))
     again = ruled.where("m > 1").select("h", "c")
-    whole = places.where("m = 1").select("h", "c", "k", "n", "lo", "hi").join(again, ["h", "c"]).select("k", "n", F.col("lo").alias("first"), end)
-    whole = stored(whole.unionByName(found.where("h is null").select("k", "n", F.col("lo").alias("first"), end)))
+    whole = _whole(places.where("m = 1").select("h", "c", "k", "n", "lo", "hi").join(again, ["h", "c"]), lengths)
+    whole = stored(whole.unionByName(found.where("h is null").select("k", "n", F.col("at").alias("level"), F.col("lo").alias("first"), F.col("hi").alias("last"))))
     found.unpersist()
     tidy(spark)
     # one copy of each context of rulers with several
     wanted = ruled.where("kinds > 1").select("one.doc_id", "one.k", "one.n", F.struct("h", "c", "m", "one.lo", "one.hi", "one.at").alias("cut"))
     wanted = stored(wanted.groupBy("doc_id", "k", "n").agg(F.collect_list("cut").alias("cuts")))
-    inside = spark.sparkContext.broadcast(Bitmap(wanted.select("doc_id"), wanted.count()))
-
-    def those(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(inside.value.has(batch.column(4)))).select(batch.schema.names[:4])
-
-    near = texts.withColumn("hash", F.xxhash64("doc_id")).mapInArrow(those, texts.schema)
+    near = _among(texts.withColumn("hash", F.xxhash64("doc_id")), wanted.select("doc_id"), wanted.count(), True)
     joined = near.join(wanted, near["doc_id"].eqNullSafe(wanted["doc_id"]) & (near["k"] == wanted["k"]) & (near["n"] == wanted["n"]))
-    rows = stored(joined.select(near["k"], near["n"], "cuts", "text").mapInArrow(_cut, _ROW).dropDuplicates(["key", "c"]))
+    rows = stored(joined.select(near["k"], near["n"], "cuts", "text").mapInArrow(_cut(lengths), _ROW).dropDuplicates(["key", "c"]))
     discard(counted, rulers, ruled, wanted)
     out = [whole]
     for width in (*BANDS, 0):
         kinds = stored(rows.groupBy("key").agg(F.count("*").alias("kinds")))
         hot = kinds.where(F.col("kinds") > MOST).select("key")
         cool = rows.join(kinds.where((F.col("kinds") <= MOST) & (F.col("kinds") > 1)).select("key"), "key") if width else rows
-        out.append(stored(cool.select(*_ROW_NAMES).repartition(p, "key").mapInArrow(_merge_rows, _SPAN), gather=True))
+        out.append(stored(cool.select(*_ROW_NAMES).repartition(p, "key").mapInArrow(_merge_rows(lengths), _SPAN), gather=True))
         if not width or hot.isEmpty():
             break
-        parts = stored(rows.join(hot, "key").select(*_ROW_NAMES).mapInArrow(_bands(width), _ROW))
+        parts = stored(rows.join(hot, "key").select(*_ROW_NAMES).mapInArrow(_bands(width, lengths), _ROW))
         many = stored(parts.groupBy("key", "c").agg(F.sum("m").alias("m"), F.count("*").alias("rows")))
         both = parts.drop("m").join(many, ["key", "c"])
-        out.append(stored(both.where("m > 1").select("k", "n", F.col("lo").alias("first"), (F.col("hi") + LENGTH).alias("last"))))
-        if width == 1:
+        out.append(stored(_whole(both.where("m > 1"), lengths)))
+        if width == 1:  # strings of one key are equal at the shortest length, whatever follows
+            same = many.groupBy("key").agg(F.sum("m").alias("m")).where("m > 1").select("key")
+            out.append(stored(_whole(parts.join(same, "key"), lengths[:1])))
             break
         spent = rows, kinds, many
         rows = stored(both.where("m = 1 or rows = 1").select(*_ROW_NAMES).unionByName(_one_each(both.where("m > 1 and rows > 1"))))
@@ -368,55 +322,80 @@ def spans(texts: DataFrame) -> DataFrame:
     return result
 
 
+def _among(df: DataFrame, ids: DataFrame, count: int, inside: bool) -> DataFrame:
+    """Rows whose last column, a hash, is (or may be) that of one of the ids, or the other rows; without that column."""
+    held = df.sparkSession.sparkContext.broadcast(Bitmap(ids, count))
+
+    def those(batches):
+        for batch in batches:
+            has = held.value.has(batch.column(batch.num_columns - 1))
+            yield batch.filter(pa.array(has if inside else ~has)).select(batch.schema.names[:-1])
+
+    return df.mapInArrow(those, df.drop(df.columns[-1]).schema)
+
+
 def _one_each(df: DataFrame) -> DataFrame:
     """One row of each context."""
     rest = [c for c in _ROW_NAMES if c not in ("key", "c")]
     return df.groupBy("key", "c").agg(F.min(F.struct(*rest)).alias("r")).select("key", "c", *(f"r.{c}" for c in rest)).select(*_ROW_NAMES)
 
 
-def _united(names, keep_text: bool):
-    """Removed runs and what is left of each text."""
+def _joined_runs(cuts) -> list[list[int]]:
+    runs: list[list[int]] = []
+    for first, last in sorted(cuts):
+        if runs and first <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], last)
+        else:
+            runs.append([first, last])
+    return runs
+
+
+def _united(names, keep_text: bool, levels: int, at_level: int):
+    """Removed runs and what is left of each text, and how many bytes repeat at the other lengths."""
 
     def run(batches):
         for batch in batches:
             rows = []
             for cuts, text in zip(batch.column(names.index("cuts")).to_pylist(), B.texts_of(batch.column(names.index("text")))):
-                runs: list[list[int]] = []
-                for x in sorted((x["first"], x["last"]) for x in cuts or ()):
-                    if runs and x[0] <= runs[-1][1]:
-                        runs[-1][1] = max(runs[-1][1], x[1])
-                    else:
-                        runs.append([*x])
+                runs = [_joined_runs((x["first"], x["last"]) for x in cuts or () if x["level"] == i) for i in range(levels)]
                 kept, at = [], 0
-                for a, b in runs:
+                for a, b in runs[at_level]:
                     kept.append(text[at:a])
                     at = b
                 kept = b"".join([*kept, text[at:]])
-                rows.append((len(text), len(text) - len(kept), len(runs), kept.decode(errors="ignore") if keep_text else hashlib.sha256(kept).hexdigest()))
-            rest = [batch.column(i) for i, c in enumerate(names) if c not in ("cuts", "text", "k", "n")]
-            cols = list(zip(*rows)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([*rest, *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.string())], names=[*(c for c in names if c not in ("cuts", "text", "k", "n")), "n_bytes", "n_removed", "n_spans", "kept"])
+                also = [sum(b - a for a, b in runs[i]) for i in range(levels) if i != at_level]
+                rows.append((len(text), len(text) - len(kept), len(runs[at_level]), *also, kept.decode(errors="ignore") if keep_text else hashlib.sha256(kept).hexdigest()))
+            rest = [batch.column(i) for i, c in enumerate(names) if c not in ("cuts", "text")]
+            cols = list(zip(*rows)) or [[]] * (levels + 3)
+            made = [*(pa.array(c, pa.int64()) for c in cols[:-1]), pa.array(cols[-1], pa.string())]
+            yield pa.RecordBatch.from_arrays([*rest, *made], names=[*(c for c in names if c not in ("cuts", "text")), *(f"r{i}" for i in range(len(made)))])
 
     return run
 
 
-def removed(df: DataFrame, *, id_col="doc_id", text_col="text", keep_text=False) -> DataFrame:
-    """The other columns of ``df`` with n_bytes, n_removed, n_spans and kept: the rest's sha256,
-    or, if asked for, the rest as text, without bytes of characters that a cut has split."""
+def removed(df: DataFrame, *, id_col="doc_id", text_col="text", keep_text=False, length: int = LENGTH, also: int | None = None) -> DataFrame:
+    """The other columns of ``df`` with n_bytes, n_removed, n_spans, n_repeated_<also> if that length is given, and kept:
+    the rest's sha256, or, if asked for, the rest as text, without bytes of characters that a cut has split."""
+    lengths = tuple(sorted({length, also or length}))
     texts = _texts(df, id_col, text_col)
-    found = spans(texts)
-    cuts = stored(found.groupBy("k", "n").agg(F.collect_set(F.struct("first", "last")).alias("cuts")))
+    found = spans(texts, lengths)
+    cuts = stored(found.groupBy("k", "n").agg(F.collect_set(F.struct("level", "first", "last")).alias("cuts")))
     body = F.coalesce(text_col, F.lit(""))
     others = [c for c in df.columns if c != text_col]
     inner = {c: f"_{i}" for i, c in enumerate(others)}
-    keyed = df.select(*(F.col(c).alias(inner[c]) for c in others), body.alias("text"), F.xxhash64(body).alias("k"), F.octet_length(body).alias("n"))
-    full = keyed.join(cuts, ["k", "n"], "left").select(*inner.values(), "text", "cuts")
-    names = full.columns
-    schema = full.select(*inner.values(), *(F.lit(0).cast("long").alias(c) for c in ("n_bytes", "n_removed", "n_spans")), F.lit(None).cast("string").alias("kept")).schema
-    done = full.mapInArrow(_united(names, keep_text), schema)
-    return done.select(*(F.col(inner[c]).alias(c) for c in others), "n_bytes", "n_removed", "n_spans", "kept")
+    k = F.xxhash64(body)
+    keyed = df.select(*(F.col(c).alias(inner[c]) for c in others), body.alias("text"), k.alias("k"), F.octet_length(body).alias("n"), F.xxhash64(k).alias("hash"))
+    count = cuts.count()
+    # only texts that may have cuts move
+    cutting = _among(keyed, cuts.select("k"), count, True).join(cuts, ["k", "n"], "left").select(*inner.values(), "text", "cuts")
+    staying = _among(keyed, cuts.select("k"), count, False).select(*inner.values(), "text", F.lit(None).cast(cuts.schema["cuts"].dataType).alias("cuts"))
+    full = cutting.unionByName(staying)
+    made = ["n_bytes", "n_removed", "n_spans", *(f"n_repeated_{x}" for x in lengths if x != length)]
+    schema = full.select(*inner.values(), *(F.lit(0).cast("long").alias(c) for c in (f"r{i}" for i in range(len(made)))), F.lit(None).cast("string").alias(f"r{len(made)}")).schema
+    done = full.mapInArrow(_united(full.columns, keep_text, len(lengths), lengths.index(length)), schema)
+    return done.select(*(F.col(inner[c]).alias(c) for c in others), *(F.col(f"r{i}").alias(c) for i, c in enumerate([*made, "kept"])))
 
 
 def query(spark, sf_dir) -> DataFrame:
-    done = removed(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.col("kept").alias("kept_sha256"))
+    done = removed(table(spark, sf_dir, "documents").select("doc_id", "text"), also=PASSAGE)
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.col("kept").alias("kept_sha256"), F.col(f"n_repeated_{PASSAGE}").alias("n_repeated"))

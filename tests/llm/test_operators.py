@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cohortforge.llm import bpe, components, decontam, jaccard, jpeg, licences, lm, quality, suffixdedup, toxicity, warc
+from cohortforge.llm import bpe, components, decontam, jaccard, jpeg, licences, lm, quality, suffixdedup, toxicity, transforms, warc
 
 WORDS = "the of lorem ipsum dolor sit amet consectetur über naïve élan 中文 x1 b2".split()
 
@@ -93,9 +93,12 @@ def removed_by_force(texts: list[str | None], length: int):
 def test_suffix_dedup(docs, most, monkeypatch):
     monkeypatch.setattr(suffixdedup, "MOST", most)
     rows = docs.select("doc_id", "text").collect()
-    expected = sorted(((r.doc_id, *x) for r, x in zip(rows, removed_by_force([r.text for r in rows], 400))), key=key)
-    got = suffixdedup.removed(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept").collect()
-    assert sorted(map(tuple, got), key=key) == expected
+    texts = [r.text for r in rows]
+    for length, *also in ((400, 256), (50,)):
+        shorter = [[x[1] for x in removed_by_force(texts, n)] for n in also]
+        expected = sorted(((r.doc_id, *x, *more) for r, x, *more in zip(rows, removed_by_force(texts, length), *shorter)), key=key)
+        got = suffixdedup.removed(docs, length=length, also=sum(also)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept", *(f"n_repeated_{n}" for n in also)).collect()
+        assert sorted(map(tuple, got), key=key) == expected
 
 
 def test_suffix_dedup_keeps_clashing_columns(docs, empty):
@@ -103,16 +106,45 @@ def test_suffix_dedup_keeps_clashing_columns(docs, empty):
     assert suffixdedup.removed(empty).count() == 0
 
 
+def test_suffix_dedup_of_a_text_of_several_pieces(spark):
+    """A string across the pieces' border, one that a text repeats in another piece, and a hot string in many texts."""
+    random = np.random.default_rng(5)
+    long_ = bytes(random.integers(97, 123, 5 << 20).astype(np.uint8)).decode()
+    border = suffixdedup.FIND_BYTES
+    long_ = long_[: border + 70_000] + long_[1000:1500] + long_[border + 70_500 :]
+    shared = bytes(random.integers(97, 123, 700).astype(np.uint8)).decode()
+    rows = [(0, long_), (1, "head " + long_[border - 250 : border + 250]), *((k, f"{k} " * k + shared + f" {k * k}" * k) for k in range(2, 302))]
+    got = {r.doc_id: r for r in suffixdedup.removed(spark.createDataFrame(rows, "doc_id int, text string"), also=256).collect()}
+    assert (got[0].n_removed, got[0].n_spans, got[0].n_repeated_256) == (1500, 3, 1500)
+    assert (got[1].n_removed, got[1].n_repeated_256) == (500, 500)
+    assert all(got[k].n_removed >= 700 and got[k].n_spans == 1 for k in range(2, 302))
+
+
 def test_merged_transforms_equal_one_sort():
-    strings = [b"banana", b"bandana", b"", b"nab", b"banana"]
-    merged = suffixdedup.merge_all(strings, 5, shard_bytes=8)
-    whole = suffixdedup.merge_all(strings, 5, shard_bytes=10**6)
-    ended = [s + b"\0" for s in strings]
-    flat = b"".join(ended)
-    end = np.repeat(np.cumsum([len(s) for s in ended]), [len(s) for s in ended])
-    pieces = lambda shard: [flat[a : min(a + 5, end[a])].split(b"\0")[0] for a in shard.at]
-    assert pieces(merged) == pieces(whole) == sorted(pieces(whole))
-    assert sorted(merged.bwt.tolist()) == sorted(whole.bwt.tolist())
+    """Transform, order and common prefixes equal a plain sort of all suffixes; a merge sees transforms alone."""
+    random = np.random.default_rng(7)
+    for trial in range(120):
+        letters = random.integers(1, 4) if trial % 3 else 256
+        strings = [bytes(random.integers(0, letters, random.integers(0, 40)).astype(np.uint8)) for _ in range(random.integers(2, 7))]
+        strings = [*strings, *(s[: len(s) // 2] for s in strings), *strings] if trial % 4 == 0 else strings
+        of = transforms.Strings(strings, (9, 20))
+        half = len(strings) // 2
+        whole = of.shard(0, len(strings))
+        parts = [transforms.Shard(x.transform, x.origin, x.common) for x in (of.shard(0, half), of.shard(half, len(strings)))]
+        depths, bits = of.depths, of.bits
+        many = transforms.merged(of, int(random.integers(1, 60)))
+        of.symbols[:] = 0  # no text to look at
+        two = transforms.merge(*parts, depths, bits)
+        codes = {b: i for i, b in enumerate(sorted(set(b"".join(strings))), 1)}
+        base = np.concatenate([[0], np.cumsum([len(s) + 1 for s in strings])])
+        suffixes = sorted((s[i:], n, int(base[n]) + i, codes[s[i - 1]] if i else 0) for n, s in enumerate(strings) for i in range(len(s) + 1))
+        for shard in (whole, two, many):
+            assert shard.origin.tolist() == [x[2] for x in suffixes]
+            assert shard.transform.tolist() == [x[3] for x in suffixes]
+        steps = [0, *([4] if bits == 16 else []), *depths]
+        for (a, *_), (b, *_), common in zip(suffixes, suffixes[1:], two.common[1:].tolist()):
+            shared = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+            assert common == (depths[-1] if a == b else max(d for d in steps if d <= shared))
 
 
 # --- 2 -------------------------------------------------------------------------------------------
