@@ -36,7 +36,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Bytes of a character that a cut splits go too; a null text stays null.
     """
-    done = suffixdedup.removed(_documents(docs).withColumn("_was", F.col("text").isNull()), keep_text=True)
+    done = suffixdedup.removed(_documents(docs).withColumn("_was", F.col("text").isNull()), keep_text=True, length=suffixdedup.PASSAGE)
     left = F.when(F.col("_was"), F.lit(None)).otherwise(F.col("kept")).alias("text")
     return done.select("doc_id", left, "lang", "source", "n_chars", "n_removed").select("doc_id", "text", "lang", "source", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
 
