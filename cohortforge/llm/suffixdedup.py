@@ -1,18 +1,19 @@
 """Suffix-array dedup: repeated long byte strings by merging Burrows-Wheeler transforms.
 
 A byte is removed if a string of ``length`` bytes that covers it also starts anywhere else, in the same text or another.
-The bytes that repeat at one more length (``also``) are found by the same pass and counted, not removed.
+Bytes that repeat at a shorter length (``also``) can be counted too: then the longer repeats are looked for in runs of the
+shorter ones only, which hold them all.
 
-*Routing.*  Every string of the shortest length is ruled by the least of its gram hashes (the leftmost of equal ones).
+*Routing.*  Every string of the length is ruled by the least of its gram hashes (the leftmost of equal ones).
 Equal strings have equal rulers, so strings need comparing only with those of the same ruler.  Strings with neighbouring
-starts and one ruler make a context, which reaches as far as the longest length asked for.  Contexts are counted first, in their
+starts and one ruler make a context.  Contexts are counted first, in their
 own text and then in all, by hash: equal contexts of several places repeat as a whole, and a ruler with one context in one
 place has no repeats; both are settled without moving text.  For other rulers one copy of each context is cut from its text.
 A text of more than ``FIND_BYTES`` is gone through in overlapping pieces, so its size is bounded by what a row may hold.
 
 *Merging.*  A task cuts its contexts into shards, sorts each shard's suffixes once and goes on with Burrows-Wheeler
 transforms alone (``transforms``): they are merged two by two by refining their interleave, which derives the common
-prefixes of neighbours.  Intervals of suffixes that share a length's bytes, with two or more starts, are the repeats.
+prefixes of neighbours.  Intervals of two or more suffixes that share the length's bytes are the repeats.
 
 *Hot rulers.*  A ruler with more than ``MOST`` different contexts is split: its starts go to bands by their distance from the
 ruler (``BANDS`` wide, narrower at each round), keyed by a hash of the bytes that all strings of a band share.  Equal
@@ -48,7 +49,7 @@ LENGTH = 400
 PASSAGE = 256
 MOST = 250
 BANDS = (48, 8, 1)
-SHARD_BYTES = 256 << 10
+SHARD_BYTES = 512 << 10
 BATCH_BYTES = 1 << 20
 FIND_BYTES = 2 << 20
 _PLACE_BITS = 25
@@ -57,16 +58,16 @@ _PLACE_BITS = 25
 # --- rulers and contexts -------------------------------------------------------------------------
 
 
-def contexts(buf: np.ndarray, off: np.ndarray, lengths, starts: int | None = None):
-    """Row, first start, last start, end, ruler place (all in the buffer), ruler hash and context hash of each context.
+def contexts(buf: np.ndarray, off: np.ndarray, length: int = LENGTH, starts: int | None = None):
+    """Row, first start, last start, ruler place (all in the buffer), ruler hash and context hash of each context.
 
     ``starts``: only so many starts of each row are taken (its pieces overlap).
     """
     size = np.diff(off)
-    n, length, gram = len(buf), lengths[0], max(1, lengths[0] * 2 // 5)
+    n, gram = len(buf), max(1, length * 2 // 5)
     none = np.zeros(0, np.int64)
     if n < length or not (size >= length).any():
-        return none, none, none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return none, none, none, none, none.astype(np.uint64), none.astype(np.uint64)
     hasher = B.Hasher(buf)
     at = np.arange(n - gram + 1)
     grams = B.mix(hasher.raw(at, at + gram))
@@ -89,98 +90,76 @@ def contexts(buf: np.ndarray, off: np.ndarray, lengths, starts: int | None = Non
     first = np.flatnonzero(np.append(True, ruler[1:] != ruler[:-1]))
     lo, hi, place = starts[first], starts[np.append(first[1:], len(starts)) - 1], ruler[first]
     row = np.searchsorted(off, lo, "right") - 1
-    end = np.minimum(hi + lengths[-1], off[row + 1])
-    c = B.mix(hasher.raw(lo, end) + ((place - lo) * 1315423911 + (hi - lo) * 2654435761 + (end - lo)).astype(np.uint64))
-    return row, lo, hi, end, place, B.mix(grams[place] + np.uint64(1)), c
+    c = B.mix(hasher.raw(lo, hi + length) + ((place - lo) * 1315423911 + (hi - lo)).astype(np.uint64))
+    return row, lo, hi, place, B.mix(grams[place] + np.uint64(1)), c
 
 
-def _pieces(off: np.ndarray, lengths):
-    """Rows a to b, and where in the buffer their bytes to look at begin and end, in bounded pieces."""
+def _pieces(off: np.ndarray, length: int):
+    """Rows a to b, where in the buffer their bytes to look at begin and end, and how many starts count, in bounded pieces."""
     for a, b in B.chunks(off, FIND_BYTES):
-        if off[b] - off[a] <= FIND_BYTES + lengths[-1]:
+        if off[b] - off[a] <= FIND_BYTES + length:
             yield a, b, int(off[a]), int(off[b]), None
         else:  # one long text
             for at in range(int(off[a]), int(off[b]), FIND_BYTES):
-                yield a, b, at, min(at + FIND_BYTES + lengths[-1], int(off[b])), FIND_BYTES
+                yield a, b, at, min(at + FIND_BYTES + length, int(off[b])), FIND_BYTES
 
 
-def _runs(first: np.ndarray, last: np.ndarray, row: np.ndarray):
-    """Which spans, in order of row and first, begin a run of touching ones, and the run's last byte."""
-    begin = np.append(True, (row[1:] != row[:-1]) | (first[1:] > last[:-1])) if len(row) else np.zeros(0, bool)
-    heads = np.flatnonzero(begin)
-    return heads, last[np.append(heads[1:], len(row)) - 1] if len(row) else last
-
-
-def _find(lengths):
-    """Each text's different contexts (m: how many places), and, with h null, its runs of contexts that it repeats itself.
-
-    Of a run lo is its first byte, hi the one behind its last, at the number of the length it repeats at.
-    """
+def _find(length: int):
+    """Each text's different contexts (m: how many places), and, with h null, its runs of contexts that it repeats itself."""
     names = ["doc_id", "k", "n", "lo", "hi", "at", "m", "h", "c"]
 
     def run(batches):
         for batch in batches:
             buf, off = B.utf8(batch.column(3))
-            for a, b, base, to, starts in _pieces(off, lengths):
+            for a, b, base, to, starts in _pieces(off, length):
                 inner = np.array([0, to - base]) if starts else off[a : b + 1] - base
-                row, lo, hi, end, at, h, c = contexts(buf[base:to], inner, lengths, starts)
+                row, lo, hi, at, h, c = contexts(buf[base:to], inner, length, starts)
                 if not len(row):
                     continue
                 _, first, back, count = np.unique(B.mix(h + c * np.uint64(7) + row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True, return_inverse=True, return_counts=True)
-                parts = [(first, lo[first], hi[first], at[first], count, True)]
-                for level, length in enumerate(lengths):
-                    last = np.minimum(hi + length, inner[row + 1])
-                    own = np.flatnonzero((count[back] > 1) & (last - lo >= length))
-                    heads, ends = _runs(lo[own], last[own], row[own])
-                    parts.append((own[heads], lo[own[heads]], ends, None, np.full(len(heads), level), False))
-                for where, low, high, place, m, marked in parts:
+                own = np.flatnonzero(count[back] > 1)
+                new = np.append(True, (row[own][1:] != row[own][:-1]) | (lo[own][1:] > hi[own][:-1] + length)) if len(own) else np.zeros(0, bool)
+                heads = own[new]
+                tails = own[np.append(np.flatnonzero(new)[1:] - 1, len(own) - 1)] if len(own) else own
+                for where, low, high, m, marked in ((first, lo[first], hi[first], count, True), (heads, lo[heads], hi[tails], np.full(len(heads), 2), False)):
                     start = off[a:b][row[where]] - base  # of the text, seen from the piece
                     ids = [batch.column(i).slice(a, b - a).take(pa.array(row[where])) for i in range(3)]
                     hashes = [pa.array(x[where].view(np.int64), mask=None if marked else np.ones(len(where), bool)) for x in (h, c)]
-                    yield pa.RecordBatch.from_arrays([*ids, *(pa.array((x - start).astype(np.int32)) for x in (low, high)), pa.array((place - start if marked else m).astype(np.int32)), pa.array(m.astype(np.int64)), *hashes], names=names)
+                    yield pa.RecordBatch.from_arrays([*ids, *(pa.array((x - start).astype(np.int32)) for x in (low, high, at[where])), pa.array(m.astype(np.int64)), *hashes], names=names)
 
     return run
 
 
-def repeated_starts(strings: list[bytes], starts: list[int], lengths) -> list[list[np.ndarray]]:
-    """For each length and string, which of its first ``starts`` starts (of whole strings of the length) occur again as such."""
+def repeated_starts(strings: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
+    """For each string, which of its starts (of whole strings of the length) occur again among all."""
     if not strings:
-        return [[] for _ in lengths]
-    of = transforms.Strings(strings, lengths)
+        return []
+    of = transforms.Strings(strings, [length])
     shard = transforms.merged(of, SHARD_BYTES)
-    own = np.arange(len(of.symbols)) - np.repeat(of.start[:-1], np.diff(of.start))
-    room = np.repeat(np.minimum(np.array(starts), np.diff(of.start) - 1), np.diff(of.start))
-    left = np.repeat(of.start[1:] - 1, np.diff(of.start)) - np.arange(len(of.symbols))
-    out = []
-    for length in lengths:
-        asked = ((own < room) & (left >= length))[shard.origin]
-        interval = np.cumsum(shard.common < length)[asked]
-        again = np.append(False, interval[1:] == interval[:-1]) if len(interval) else np.zeros(0, bool)
-        again[:-1] |= again[1:]
-        flags = np.zeros(len(of.symbols), bool)
-        flags[shard.origin[asked][again]] = True
-        out.append([flags[a:b] for a, b in zip(of.start[:-1], of.start[:-1] + np.array(starts))])
-    return out
+    same = shard.common >= length
+    same[:-1] |= same[1:]
+    flags = np.zeros(len(of.symbols), bool)
+    flags[shard.origin[same]] = True
+    return [flags[a : max(a, b - length)] for a, b in zip(of.start[:-1], of.start[1:])]
 
 
 # --- tables --------------------------------------------------------------------------------------
 
 #: key: a ruler, or a band of one; c: context hash; m: places; k, n: the text's key and bytes.
 _ROW = "key long, c long, m long, k long, n int, lo int, hi int, at int, body binary"
-#: level: the number of the length that bytes first to last - 1 repeat at.
-_SPAN = "k long, n int, level int, first int, last int"
+_SPAN = "k long, n int, first int, last int"
 _ROW_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
 _ROW_NAMES = ["key", "c", "m", "k", "n", "lo", "hi", "at", "body"]
 
 
-def _cut(lengths):
+def _cut(length: int):
     """Contexts with their bytes, from texts with lists of cuts."""
 
     def run(batches):
         for batch in batches:
             rows = []
             for k, n, cuts, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), B.texts_of(batch.column(3))):
-                rows += [(x["h"], x["c"], x["m"], k, n, x["lo"], x["hi"], x["at"], text[x["lo"] : x["hi"] + lengths[-1]]) for x in cuts]
+                rows += [(x["h"], x["c"], x["m"], k, n, x["lo"], x["hi"], x["at"], text[x["lo"] : x["hi"] + length]) for x in cuts]
                 if len(rows) > 4000:
                     yield _batch(rows)
                     rows = []
@@ -194,7 +173,7 @@ def _batch(rows):
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _ROW_TYPES)], names=_ROW_NAMES)
 
 
-def _bands(width: int, lengths):
+def _bands(width: int, length: int):
     """Contexts cut into bands of starts by their distance from the ruler."""
 
     def run(batches):
@@ -206,8 +185,8 @@ def _bands(width: int, lengths):
                     band = (at - start) // width  # starts at - (band + 1) * width + 1 to at - band * width
                     low, high = at - (band + 1) * width + 1, at - band * width
                     a, b = start, min(high, hi)
-                    own = body[a - lo : b - lo + lengths[-1]]
-                    core = body[high - lo : low - lo + lengths[0]]
+                    own = body[a - lo : b - lo + length]
+                    core = body[high - lo : low - lo + length]
                     tag = hashlib.blake2b(b"%d %d " % (key, band) + core, digest_size=8).digest()
                     c = hashlib.blake2b(b"%d %d " % (at - a, at - b) + own, digest_size=8).digest()
                     rows.append((int.from_bytes(tag, "little", signed=True), int.from_bytes(c, "little", signed=True), m, k, n, a, b, at, own))
@@ -221,16 +200,16 @@ def _bands(width: int, lengths):
     return run
 
 
-def _merge_rows(lengths):
+def _merge_rows(length: int):
     """Spans of repeats in contexts that occur once, from all contexts of this task's rulers."""
 
     def run(batches):
         meta, bodies, seen = [], [], set()
         for batch in batches:
-            for key, c, m, k, n, lo, hi, _, body in zip(*(x.to_pylist() for x in batch.columns)):
+            for key, c, m, k, n, lo, _, _, body in zip(*(x.to_pylist() for x in batch.columns)):
                 if (key, c) not in seen:
                     seen.add((key, c))
-                    meta.append((key, m, k, n, lo, hi))
+                    meta.append((key, m, k, n, lo))
                     bodies.append(body)
         # equal strings have equal keys, so batches of whole keys are enough
         order = sorted(range(len(meta)), key=lambda i: meta[i][0])
@@ -241,16 +220,14 @@ def _merge_rows(lengths):
                 size += len(bodies[order[to]])
                 to += 1
             part = order[at:to]
-            found = repeated_starts([bodies[i] for i in part], [meta[i][5] - meta[i][4] + 1 for i in part], lengths)
-            for level, (length, marks) in enumerate(zip(lengths, found)):
-                for i, flags in zip(part, marks):
-                    _, m, k, n, lo, _ = meta[i]
-                    if m == 1 and flags.any():
-                        edge = np.flatnonzero(np.diff(np.concatenate([[0], flags.view(np.int8), [0]])))
-                        rows += [(k, n, level, lo + a, lo + b - 1 + length) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())]
+            for i, flags in zip(part, repeated_starts([bodies[i] for i in part], length)):
+                _, m, k, n, lo = meta[i]
+                if m == 1 and flags.any():
+                    edge = np.flatnonzero(np.diff(np.concatenate([[0], flags.view(np.int8), [0]])))
+                    rows += [(k, n, lo + a, lo + b - 1 + length) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())]
             at = to
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), *(pa.int32(),) * 4))], names=["k", "n", "level", "first", "last"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), *(pa.int32(),) * 3))], names=["k", "n", "first", "last"])
 
     return run
 
@@ -260,33 +237,21 @@ def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("doc_id"), F.xxhash64(body).alias("k"), F.octet_length(body).alias("n"), body.alias("text"))
 
 
-def _whole(rows: DataFrame, lengths) -> DataFrame:
-    """The spans of contexts that repeat as a whole, at every length they have room for."""
-    span = lambda i, n: F.struct(F.lit(i).alias("level"), F.col("lo").alias("first"), F.least(F.col("hi") + n, "n").alias("last"))
-    spans_ = rows.select("k", "n", F.inline(F.array(*(span(i, n) for i, n in enumerate(lengths)))))
-    size = F.element_at(F.array(*map(F.lit, lengths)), F.col("level") + 1)
-    return spans_.where(F.col("last") - F.col("first") >= size)
-
-
-def spans(texts: DataFrame, lengths=(LENGTH,)) -> DataFrame:
-    """k, n, level and all (overlapping) spans of repeated bytes of the texts (doc_id, k, n, text).
-
-    ``lengths``: one or two, in ascending order, from 8 on; level is a length's number among them.
-    """
-    if len(lengths) > 2:  # single starts of a hot ruler are counted at the shortest length and as whole contexts
-        raise ValueError("at most two lengths in one pass")
+def spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
+    """k, n and all (overlapping) spans of repeated bytes of the texts (doc_id, k, n, text); ``length``: from 8 on."""
     spark = texts.sparkSession
     p = partitions(spark)
     kind = dict(texts.dtypes)["doc_id"]
-    found = texts.where(F.col("n") >= lengths[0]).mapInArrow(_find(lengths), f"doc_id {kind}, k long, n int, lo int, hi int, at int, m long, h long, c long")
+    found = texts.where(F.col("n") >= length).mapInArrow(_find(length), f"doc_id {kind}, k long, n int, lo int, hi int, at int, m long, h long, c long")
     found = found.persist(StorageLevel.DISK_ONLY)  # a lost part is found anew from its texts
     places = found.where("h is not null")
     counted = stored(places.groupBy("h", "c").agg(F.sum("m").alias("m"), F.min(F.struct("doc_id", "k", "n", "lo", "hi", "at")).alias("one")))
     rulers = stored(counted.groupBy("h").agg(F.count("*").alias("kinds"), F.sum("m").alias("total")).where("total > 1").select("h", "kinds"))
     ruled = stored(counted.join(rulers, "h"))
     again = ruled.where("m > 1").select("h", "c")
-    whole = _whole(places.where("m = 1").select("h", "c", "k", "n", "lo", "hi").join(again, ["h", "c"]), lengths)
-    whole = stored(whole.unionByName(found.where("h is null").select("k", "n", F.col("at").alias("level"), F.col("lo").alias("first"), F.col("hi").alias("last"))))
+    ends = (F.col("hi") + length).alias("last")
+    whole = places.where("m = 1").select("h", "c", "k", "n", "lo", "hi").join(again, ["h", "c"]).select("k", "n", F.col("lo").alias("first"), ends)
+    whole = stored(whole.unionByName(found.where("h is null").select("k", "n", F.col("lo").alias("first"), ends)))
     found.unpersist()
     tidy(spark)
     # one copy of each context of rulers with several
@@ -294,23 +259,21 @@ def spans(texts: DataFrame, lengths=(LENGTH,)) -> DataFrame:
     wanted = stored(wanted.groupBy("doc_id", "k", "n").agg(F.collect_list("cut").alias("cuts")))
     near = _among(texts.withColumn("hash", F.xxhash64("doc_id")), wanted.select("doc_id"), wanted.count(), True)
     joined = near.join(wanted, near["doc_id"].eqNullSafe(wanted["doc_id"]) & (near["k"] == wanted["k"]) & (near["n"] == wanted["n"]))
-    rows = stored(joined.select(near["k"], near["n"], "cuts", "text").mapInArrow(_cut(lengths), _ROW).dropDuplicates(["key", "c"]))
+    rows = stored(joined.select(near["k"], near["n"], "cuts", "text").mapInArrow(_cut(length), _ROW).dropDuplicates(["key", "c"]))
     discard(counted, rulers, ruled, wanted)
     out = [whole]
     for width in (*BANDS, 0):
         kinds = stored(rows.groupBy("key").agg(F.count("*").alias("kinds")))
         hot = kinds.where(F.col("kinds") > MOST).select("key")
         cool = rows.join(kinds.where((F.col("kinds") <= MOST) & (F.col("kinds") > 1)).select("key"), "key") if width else rows
-        out.append(stored(cool.select(*_ROW_NAMES).repartition(p, "key").mapInArrow(_merge_rows(lengths), _SPAN), gather=True))
+        out.append(stored(cool.select(*_ROW_NAMES).repartition(p, "key").mapInArrow(_merge_rows(length), _SPAN), gather=True))
         if not width or hot.isEmpty():
             break
-        parts = stored(rows.join(hot, "key").select(*_ROW_NAMES).mapInArrow(_bands(width, lengths), _ROW))
+        parts = stored(rows.join(hot, "key").select(*_ROW_NAMES).mapInArrow(_bands(width, length), _ROW))
         many = stored(parts.groupBy("key", "c").agg(F.sum("m").alias("m"), F.count("*").alias("rows")))
         both = parts.drop("m").join(many, ["key", "c"])
-        out.append(stored(_whole(both.where("m > 1"), lengths)))
-        if width == 1:  # strings of one key are equal at the shortest length, whatever follows
-            same = many.groupBy("key").agg(F.sum("m").alias("m")).where("m > 1").select("key")
-            out.append(stored(_whole(parts.join(same, "key"), lengths[:1])))
+        out.append(stored(both.where("m > 1").select("k", "n", F.col("lo").alias("first"), ends)))
+        if width == 1:
             break
         spent = rows, kinds, many
         rows = stored(both.where("m = 1 or rows = 1").select(*_ROW_NAMES).unionByName(_one_each(both.where("m > 1 and rows > 1"))))
@@ -350,49 +313,82 @@ def _joined_runs(cuts) -> list[list[int]]:
     return runs
 
 
-def _united(names, keep_text: bool, levels: int, at_level: int):
-    """Removed runs and what is left of each text, and how many bytes repeat at the other lengths."""
+def _segments(length: int):
+    """Runs of at least the length, from texts with lists of spans: text key and bytes, where in it, and the run's own bytes."""
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for k, n, cuts, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), B.texts_of(batch.column(3))):
+                rows += [(k, n, a, text[a:b]) for a, b in _joined_runs((x["first"], x["last"]) for x in cuts) if b - a >= length]
+            cols = list(zip(*rows)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=["k", "n", "from", "body"])
+
+    return run
+
+
+def _united(names, keep_text: bool, also: bool):
+    """Removed runs and what is left of each text; how many bytes repeat at the other length."""
 
     def run(batches):
         for batch in batches:
             rows = []
             for cuts, text in zip(batch.column(names.index("cuts")).to_pylist(), B.texts_of(batch.column(names.index("text")))):
-                runs = [_joined_runs((x["first"], x["last"]) for x in cuts or () if x["level"] == i) for i in range(levels)]
+                runs, others = (_joined_runs((x["first"], x["last"]) for x in cuts or () if x["also"] == which) for which in (False, True))
                 kept, at = [], 0
-                for a, b in runs[at_level]:
+                for a, b in runs:
                     kept.append(text[at:a])
                     at = b
                 kept = b"".join([*kept, text[at:]])
-                also = [sum(b - a for a, b in runs[i]) for i in range(levels) if i != at_level]
-                rows.append((len(text), len(text) - len(kept), len(runs[at_level]), *also, kept.decode(errors="ignore") if keep_text else hashlib.sha256(kept).hexdigest()))
+                more = [sum(b - a for a, b in others)] if also else []
+                rows.append((len(text), len(text) - len(kept), len(runs), *more, kept.decode(errors="ignore") if keep_text else hashlib.sha256(kept).hexdigest()))
             rest = [batch.column(i) for i, c in enumerate(names) if c not in ("cuts", "text")]
-            cols = list(zip(*rows)) or [[]] * (levels + 3)
+            cols = list(zip(*rows)) or [[]] * (4 + also)
             made = [*(pa.array(c, pa.int64()) for c in cols[:-1]), pa.array(cols[-1], pa.string())]
             yield pa.RecordBatch.from_arrays([*rest, *made], names=[*(c for c in names if c not in ("cuts", "text")), *(f"r{i}" for i in range(len(made)))])
 
     return run
 
 
+def _with_cuts(keyed: DataFrame, cuts: DataFrame, count: int) -> DataFrame:
+    """The rows (k, n, ..., hash of k last) that have cuts, with them; only those move."""
+    return _among(keyed, cuts.select("k"), count, True).join(cuts, ["k", "n"])
+
+
 def removed(df: DataFrame, *, id_col="doc_id", text_col="text", keep_text=False, length: int = LENGTH, also: int | None = None) -> DataFrame:
-    """The other columns of ``df`` with n_bytes, n_removed, n_spans, n_repeated_<also> if that length is given, and kept:
-    the rest's sha256, or, if asked for, the rest as text, without bytes of characters that a cut has split."""
-    lengths = tuple(sorted({length, also or length}))
+    """The other columns of ``df`` with n_bytes, n_removed, n_spans, n_repeated_<also> if that shorter length is given, and
+    kept: the rest's sha256, or, if asked for, the rest as text, without bytes of characters that a cut has split."""
     texts = _texts(df, id_col, text_col)
-    found = spans(texts, lengths)
-    cuts = stored(found.groupBy("k", "n").agg(F.collect_set(F.struct("level", "first", "last")).alias("cuts")))
+    cut = lambda frame, other: frame.select("k", "n", F.struct(F.lit(other).alias("also"), "first", "last").alias("cut"))
+    if also:
+        shorter = stored(spans(texts, also))
+        lists = stored(shorter.groupBy("k", "n").agg(F.collect_set(F.struct("first", "last")).alias("cuts")))
+        keyed = texts.select("k", "n", "text", F.xxhash64("k"))
+        runs = _with_cuts(keyed, lists, lists.count()).select("k", "n", "cuts", "text").mapInArrow(_segments(length), "k long, n int, from int, body binary")
+        body = F.col("body").cast("string")
+        runs = stored(runs.select("k", "n", "from", F.xxhash64(body).alias("own_k"), F.octet_length(body).alias("own_n"), body.alias("text")))
+        within = spans(runs.select(F.col("k").alias("doc_id"), F.col("own_k").alias("k"), F.col("own_n").alias("n"), "text"), length)
+        within = within.select(F.col("k").alias("own_k"), F.col("n").alias("own_n"), "first", "last")
+        placed = runs.select("k", "n", "from", "own_k", "own_n").distinct().join(within, ["own_k", "own_n"])
+        longer = placed.select("k", "n", (F.col("from") + F.col("first")).alias("first"), (F.col("from") + F.col("last")).alias("last"))
+        found = cut(longer, False).unionByName(cut(shorter, True))
+    else:
+        found = cut(spans(texts, length), False)
+    cuts = stored(found.groupBy("k", "n").agg(F.collect_set("cut").alias("cuts")))
+    if also:
+        discard(shorter, lists, runs)
     body = F.coalesce(text_col, F.lit(""))
     others = [c for c in df.columns if c != text_col]
     inner = {c: f"_{i}" for i, c in enumerate(others)}
     k = F.xxhash64(body)
-    keyed = df.select(*(F.col(c).alias(inner[c]) for c in others), body.alias("text"), k.alias("k"), F.octet_length(body).alias("n"), F.xxhash64(k).alias("hash"))
+    keyed = df.select(*(F.col(c).alias(inner[c]) for c in others), body.alias("text"), k.alias("k"), F.octet_length(body).alias("n"), F.xxhash64(k))
     count = cuts.count()
-    # only texts that may have cuts move
-    cutting = _among(keyed, cuts.select("k"), count, True).join(cuts, ["k", "n"], "left").select(*inner.values(), "text", "cuts")
+    held = _among(keyed, cuts.select("k"), count, True).join(cuts, ["k", "n"], "left").select(*inner.values(), "text", "cuts")
     staying = _among(keyed, cuts.select("k"), count, False).select(*inner.values(), "text", F.lit(None).cast(cuts.schema["cuts"].dataType).alias("cuts"))
-    full = cutting.unionByName(staying)
-    made = ["n_bytes", "n_removed", "n_spans", *(f"n_repeated_{x}" for x in lengths if x != length)]
-    schema = full.select(*inner.values(), *(F.lit(0).cast("long").alias(c) for c in (f"r{i}" for i in range(len(made)))), F.lit(None).cast("string").alias(f"r{len(made)}")).schema
-    done = full.mapInArrow(_united(full.columns, keep_text, len(lengths), lengths.index(length)), schema)
+    full = held.unionByName(staying)
+    made = ["n_bytes", "n_removed", "n_spans", *([f"n_repeated_{also}"] if also else [])]
+    schema = full.select(*inner.values(), *(F.lit(0).cast("long").alias(f"r{i}") for i in range(len(made))), F.lit(None).cast("string").alias(f"r{len(made)}")).schema
+    done = full.mapInArrow(_united(full.columns, keep_text, bool(also)), schema)
     return done.select(*(F.col(inner[c]).alias(c) for c in others), *(F.col(f"r{i}").alias(c) for i, c in enumerate([*made, "kept"])))
 
 

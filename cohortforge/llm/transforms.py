@@ -64,7 +64,7 @@ class Strings:
         text = self.symbols[base:end]
         n = end - base
         ends = self.start[first + 1 : last + 1] - 1 - base
-        left = np.repeat(ends, np.diff(self.start[first : last + 1])) - np.arange(n)  # symbols up to the end
+        left = (np.repeat(ends, np.diff(self.start[first : last + 1])) - np.arange(n)).astype(np.int32)  # symbols up to the end
         key = text.astype(np.uint64)
         depth, wide = 1, self.bits
         while depth * self.bits < 64:
@@ -72,32 +72,35 @@ class Strings:
             further[: max(n - depth, 0)] = key[depth:]
             key = key << np.uint64(wide) | np.where(left >= depth, further, 0)
             depth, wide = 2 * depth, 2 * wide
-        order = np.argsort(key)
-        key = key[order]
+        order = np.argsort(key).astype(np.int32)
+        key = key.take(order)
         new = np.append(True, key[1:] != key[:-1])
         common = np.zeros(n, np.int32)
-        head = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-        block = np.empty(n + 1, np.int64)
+        live = np.arange(n)
+        head = np.maximum.accumulate(np.where(new, live, 0))
+        block = np.empty(n + 1, np.int32)
         block[order], block[n] = head, -1
         for to in [d for d in self.depths if d > depth] if n else []:
-            live = np.flatnonzero(~(new & np.append(new[1:], True)))
+            several = ~(new & np.append(new[1:], True))  # in blocks of two or more
+            live, new = live[several], new[several]
             if not len(live):
                 break
-            at = order[live]
+            at = order.take(live)
             step = to - depth
-            key = head[live] * np.int64(n + 2) + np.where(left[at] >= step, block[np.minimum(at + step, n)], -1) + 1
+            key = block.take(at) * np.int64(n + 2) + np.where(left.take(at) >= step, block.take(np.minimum(at + step, n)), -1) + 1
             by = np.argsort(key)
-            at, key = at[by], key[by]
+            at, key = at.take(by), key.take(by)
             order[live] = at
             apart = np.append(True, key[1:] != key[:-1])
-            common[live[apart & ~new[live]]] = depth
-            new[live] |= apart
-            head[live] = np.maximum.accumulate(np.where(new[live], live, 0))
-            block[at] = head[live]
+            common[live[apart & ~new]] = depth
+            new = apart
+            block[at] = live.take(np.maximum.accumulate(np.where(new, np.arange(len(live)), 0)))
             depth = to
-        live = np.flatnonzero(~(new & np.append(new[1:], True)))
-        order[live] = order[live][np.lexsort((order[live], head[live]))]
-        common[~new] = self.depths[-1]
+        alone = new & np.append(new[1:], True)
+        live, new = live[~alone], new[~alone]
+        at = order.take(live)  # equal to their ends: in the order of their strings
+        order[live] = at[np.lexsort((at, block.take(at)))]
+        common[live[~new]] = self.depths[-1]
         before = text[order - 1]
         before[order == 0] = 0
         return Shard(before, order + base, common)
@@ -117,20 +120,33 @@ class _Side:
         one = np.append(np.argsort(narrow, kind="stable"), n).astype(np.int32)
         one[: counts[0]] = n  # nothing follows an end
         self.steps = {1: one}
-        self.block = np.full(n + 1, -1, np.int64)
-
-    def further(self, step: int) -> np.ndarray:
-        """For each suffix the one so many symbols further on (the last entry where there is none)."""
-        if step not in self.steps:
-            part = max(s for s in self.steps if s < step)
-            self.steps[step] = self.further(step - part)[self.steps[part]]
-        return self.steps[step]
+        self.block = np.full(n + 1, -1, np.int32)
+
+    def further(self, at: np.ndarray | None, step: int) -> np.ndarray:
+        """For suffixes (None: all) the ones so many symbols further on (the last entry where there is none).
+
+        Whole tables are made for powers of two only, and only while that costs less than several steps for those asked.
+        """
+        if at is None and step in self.steps:
+            return self.steps[step]
+        held = max(s for s in self.steps if s <= step)
+        if at is None:
+            half = self.steps[held]
+            self.steps[2 * held] = half.take(half)
+            return self.further(None, step)
+        while 2 * held <= step and len(at) * (step // held) > 2 * len(self.block):
+            held *= 2
+            self.further(None, held)
+        while step:
+            held = max(s for s in self.steps if s <= step)
+            at, step = self.steps[held].take(at), step - held
+        return at
 
     def keys(self, bits: int) -> tuple[np.ndarray, int]:
         """The first symbols of each suffix in one number, and how many."""
         key, depth = np.append(self.first, np.uint64(0)), 1
         while depth * bits < 64:
-            key = key << np.uint64(bits * depth) | key[self.further(depth)]
+            key = key << np.uint64(bits * depth) | key.take(self.further(None, depth))
             depth *= 2
         return key[:-1], depth
 
@@ -174,8 +190,7 @@ def merge(a: Shard, b: Shard, depths: list[int], bits: int) -> Shard:
             break
         live_a, live_b, slots = live_a[mixed[in_a]], live_b[mixed[in_b]], slots[mixed]
         step, before, depth = to - depth, depth, to
-        ka = A.block[live_a] * np.int64(n + 2) + A.block[A.further(step)[live_a]] + 1
-        kb = B.block[live_b] * np.int64(n + 2) + B.block[B.further(step)[live_b]] + 1
+        ka, kb = (s.block.take(live) * np.int64(n + 2) + s.block.take(s.further(live, step)) + 1 for s, live in ((A, live_a), (B, live_b)))
         in_a, in_b = _places(ka, kb)
         at_a[live_a], at_b[live_b] = slots[in_a], slots[in_b]
     transform, origin = np.empty(n, np.uint16), np.empty(n, np.int64)
@@ -188,11 +203,10 @@ def merge(a: Shard, b: Shard, depths: list[int], bits: int) -> Shard:
 
 
 def merged(strings: Strings, shard_bytes: int) -> Shard:
-    """The transform of all strings, from shards of about so many bytes."""
-    cuts, at = [0], 0
-    while at < len(strings.start) - 1:
-        at = max(int(np.searchsorted(strings.start, strings.start[at] + shard_bytes, "right")) - 1, at + 1)
-        cuts.append(at)
+    """The transform of all strings, from shards of even size and about so many bytes."""
+    end = int(strings.start[-1])
+    count = max(1, round(end / shard_bytes))
+    cuts = np.unique(np.append(np.searchsorted(strings.start, end * np.arange(count) // count), len(strings.start) - 1)).tolist()
     shards = [strings.shard(a, b) for a, b in zip(cuts, cuts[1:])]
     while len(shards) > 1:
         shards = [merge(a, b, strings.depths, strings.bits) for a, b in zip(shards[::2], shards[1::2])] + shards[len(shards) // 2 * 2 :]

@@ -97,7 +97,7 @@ def test_suffix_dedup(docs, most, monkeypatch):
     for length, *also in ((400, 256), (50,)):
         shorter = [[x[1] for x in removed_by_force(texts, n)] for n in also]
         expected = sorted(((r.doc_id, *x, *more) for r, x, *more in zip(rows, removed_by_force(texts, length), *shorter)), key=key)
-        got = suffixdedup.removed(docs, length=length, also=sum(also)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept", *(f"n_repeated_{n}" for n in also)).collect()
+        got = suffixdedup.removed(docs, length=length, also=sum(also) or None).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept", *(f"n_repeated_{n}" for n in also)).collect()
         assert sorted(map(tuple, got), key=key) == expected
 
 
