@@ -34,6 +34,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -245,7 +246,9 @@ def spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     found = texts.where(F.col("n") >= length).mapInArrow(_find(length), f"doc_id {kind}, k long, n int, lo int, hi int, at int, m long, h long, c long")
     found = found.persist(StorageLevel.DISK_ONLY)  # a lost part is found anew from its texts
     places = found.where("h is not null")
-    counted = stored(places.groupBy("h", "c").agg(F.sum("m").alias("m"), F.min(F.struct("doc_id", "k", "n", "lo", "hi", "at")).alias("one")))
+    # all the firsts are of one row; which one is fixed by storing it
+    place = ["doc_id", "k", "n", "lo", "hi", "at"]
+    counted = stored(places.groupBy("h", "c").agg(F.sum("m").alias("m"), *(F.first(c).alias(c) for c in place)))
     rulers = stored(counted.groupBy("h").agg(F.count("*").alias("kinds"), F.sum("m").alias("total")).where("total > 1").select("h", "kinds"))
     ruled = stored(counted.join(rulers, "h"))
     again = ruled.where("m > 1").select("h", "c")
@@ -255,9 +258,9 @@ def spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     found.unpersist()
     tidy(spark)
     # one copy of each context of rulers with several
-    wanted = ruled.where("kinds > 1").select("one.doc_id", "one.k", "one.n", F.struct("h", "c", "m", "one.lo", "one.hi", "one.at").alias("cut"))
+    wanted = ruled.where("kinds > 1").select("doc_id", "k", "n", F.struct("h", "c", "m", "lo", "hi", "at").alias("cut"))
     wanted = stored(wanted.groupBy("doc_id", "k", "n").agg(F.collect_list("cut").alias("cuts")))
-    near = _among(texts.withColumn("hash", F.xxhash64("doc_id")), wanted.select("doc_id"), wanted.count(), True)
+    near = texts.where(_among(wanted.select("doc_id"), F.xxhash64("doc_id")))
     joined = near.join(wanted, near["doc_id"].eqNullSafe(wanted["doc_id"]) & (near["k"] == wanted["k"]) & (near["n"] == wanted["n"]))
     rows = stored(joined.select(near["k"], near["n"], "cuts", "text").mapInArrow(_cut(length), _ROW).dropDuplicates(["key", "c"]))
     discard(counted, rulers, ruled, wanted)
@@ -285,16 +288,15 @@ def spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     return result
 
 
-def _among(df: DataFrame, ids: DataFrame, count: int, inside: bool) -> DataFrame:
-    """Rows whose last column, a hash, is (or may be) that of one of the ids, or the other rows; without that column."""
-    held = df.sparkSession.sparkContext.broadcast(Bitmap(ids, count))
+def _among(ids: DataFrame, hashes):
+    """Whether a hash is (or may be) that of one of the ids; only the hashes go to Python."""
+    held = ids.sparkSession.sparkContext.broadcast(Bitmap(ids, ids.count()))
 
-    def those(batches):
-        for batch in batches:
-            has = held.value.has(batch.column(batch.num_columns - 1))
-            yield batch.filter(pa.array(has if inside else ~has)).select(batch.schema.names[:-1])
+    @F.pandas_udf("boolean")
+    def has(h: pd.Series) -> pd.Series:
+        return pd.Series(held.value.has(pa.array(h)))
 
-    return df.mapInArrow(those, df.drop(df.columns[-1]).schema)
+    return has(hashes)
 
 
 def _one_each(df: DataFrame) -> DataFrame:
@@ -350,11 +352,6 @@ def _united(names, keep_text: bool, also: bool):
     return run
 
 
-def _with_cuts(keyed: DataFrame, cuts: DataFrame, count: int) -> DataFrame:
-    """The rows (k, n, ..., hash of k last) that have cuts, with them; only those move."""
-    return _among(keyed, cuts.select("k"), count, True).join(cuts, ["k", "n"])
-
-
 def removed(df: DataFrame, *, id_col="doc_id", text_col="text", keep_text=False, length: int = LENGTH, also: int | None = None) -> DataFrame:
     """The other columns of ``df`` with n_bytes, n_removed, n_spans, n_repeated_<also> if that shorter length is given, and
     kept: the rest's sha256, or, if asked for, the rest as text, without bytes of characters that a cut has split."""
@@ -363,8 +360,8 @@ def removed(df: DataFrame, *, id_col="doc_id", text_col="text", keep_text=False,
     if also:
         shorter = stored(spans(texts, also))
         lists = stored(shorter.groupBy("k", "n").agg(F.collect_set(F.struct("first", "last")).alias("cuts")))
-        keyed = texts.select("k", "n", "text", F.xxhash64("k"))
-        runs = _with_cuts(keyed, lists, lists.count()).select("k", "n", "cuts", "text").mapInArrow(_segments(length), "k long, n int, from int, body binary")
+        near = texts.where(_among(lists.select("k"), F.xxhash64("k")))
+        runs = near.join(lists, ["k", "n"]).select("k", "n", "cuts", "text").mapInArrow(_segments(length), "k long, n int, from int, body binary")
         body = F.col("body").cast("string")
         runs = stored(runs.select("k", "n", "from", F.xxhash64(body).alias("own_k"), F.octet_length(body).alias("own_n"), body.alias("text")))
         within = spans(runs.select(F.col("k").alias("doc_id"), F.col("own_k").alias("k"), F.col("own_n").alias("n"), "text"), length)
@@ -380,11 +377,10 @@ def removed(df: DataFrame, *, id_col="doc_id", text_col="text", keep_text=False,
     body = F.coalesce(text_col, F.lit(""))
     others = [c for c in df.columns if c != text_col]
     inner = {c: f"_{i}" for i, c in enumerate(others)}
-    k = F.xxhash64(body)
-    keyed = df.select(*(F.col(c).alias(inner[c]) for c in others), body.alias("text"), k.alias("k"), F.octet_length(body).alias("n"), F.xxhash64(k))
-    count = cuts.count()
-    held = _among(keyed, cuts.select("k"), count, True).join(cuts, ["k", "n"], "left").select(*inner.values(), "text", "cuts")
-    staying = _among(keyed, cuts.select("k"), count, False).select(*inner.values(), "text", F.lit(None).cast(cuts.schema["cuts"].dataType).alias("cuts"))
+    keyed = df.select(*(F.col(c).alias(inner[c]) for c in others), body.alias("text"), F.xxhash64(body).alias("k"), F.octet_length(body).alias("n"))
+    has = _among(cuts.select("k"), F.xxhash64("k"))  # only texts that may have cuts move
+    held = keyed.where(has).join(cuts, ["k", "n"], "left").select(*inner.values(), "text", "cuts")
+    staying = keyed.where(~has).select(*inner.values(), "text", F.lit(None).cast(cuts.schema["cuts"].dataType).alias("cuts"))
     full = held.unionByName(staying)
     made = ["n_bytes", "n_removed", "n_spans", *([f"n_repeated_{also}"] if also else [])]
     schema = full.select(*inner.values(), *(F.lit(0).cast("long").alias(f"r{i}") for i in range(len(made))), F.lit(None).cast("string").alias(f"r{len(made)}")).schema
