@@ -29,6 +29,20 @@ def has_nan(matrix) -> Column:
     return F.coalesce(F.exists(F.flatten(col(matrix)), lambda x: F.isnan(x)), F.lit(False))
 
 
+def half(matrix) -> Column:
+    """Values rounded as half-precision floats hold them (11 significant bits, half to even), kept as floats."""
+    from pyspark.sql import functions as F_
+
+    def one(x):
+        d = x.cast("double")
+        size = F_.abs(d)
+        step = F_.pow(F_.lit(2.0), F_.greatest(F_.floor(F_.log2(F_.greatest(size, F_.lit(1e-30)))), F_.lit(-14)) - 10)
+        value = F_.rint(d / step) * step
+        return F_.when(F_.isnan(d) | (size == float("inf")), d).when(F_.abs(value) > 65504.0, F_.signum(d) * float("inf")).otherwise(value).cast("float")
+
+    return F.transform(col(matrix), lambda row: F.transform(row, one))
+
+
 def every(matrix, step: int = 2) -> Column:
     """Every ``step``-th time frame of each row."""
     return F.transform(col(matrix), lambda row: F.filter(row, lambda _, i: i % step == 0))

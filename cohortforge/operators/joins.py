@@ -74,6 +74,19 @@ def hierarchy(participants: DataFrame, sessions: DataFrame, tasks: DataFrame, re
     return participants.join(s, "record_id", "left").withColumn("sessions", F.coalesce("sessions", F.array()))
 
 
+def rows_united(df: DataFrame, first: str, second: str, key: str = "record_id", kind: str = "redcap_repeat_instrument", order: str = "_row_id", into: str = "") -> DataFrame:
+    """Rows of two kinds made one for each key: the first kind's values, the second's where those are missing, at the earlier row's place.
+
+    Keys that have only one of the kinds lose their rows, others' rows stay; several rows of a kind give all pairs of that key.
+    """
+    rest = [c for c in df.columns if c not in (key, kind, order)]
+    side = lambda value, mark: df.where(F.col(kind) == value).select(key, *(F.col(c).alias(f"{mark}{c}") for c in [*rest, order]))
+    least = df.where(F.col(kind).isin(first, second)).groupBy(key).agg(F.min(order).alias(order))
+    both = side(first, "_a_").join(side(second, "_b_"), key).join(least, key)
+    made = both.select(key, F.lit(into).alias(kind), order, *(F.coalesce(f"_a_{c}", f"_b_{c}").alias(c) for c in rest))
+    return made.unionByName(df.where(~F.coalesce(F.col(kind).isin(first, second), F.lit(False))).select(*made.columns))
+
+
 def listings_compared(local: DataFrame, remote: DataFrame, path: str = "path", digest: str = "md5") -> DataFrame:
     """path, status (same, changed, only_local, only_remote); a missing remote digest is no change."""
     a = local.select(path, F.col(digest).alias("a"), F.lit(1).alias("_l"))

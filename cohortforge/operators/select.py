@@ -130,6 +130,28 @@ def header_verdict(columns: Iterable[str], coded: Iterable[str], labels: Iterabl
     return "warn"
 
 
+def flags_as_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Yes (any case, blanks around) as "1", all else as "0", nulls too."""
+    return df.withColumns({c: F.when(F.lower(F.trim(F.coalesce(F.col(c).cast("string"), F.lit("")))) == "yes", "1").otherwise("0") for c in columns if c in df.columns})
+
+
+def dates_parsed(df: DataFrame) -> DataFrame:
+    """Text columns named ..._date as times; what is none becomes null."""
+    texts = {f.name for f in df.schema.fields if f.dataType.typeName() == "string" and f.name.lower().endswith("_date")}
+    return df.withColumns({c: F.col(c).try_cast("timestamp") for c in sorted(texts)})
+
+
+def literals_replaced(df: DataFrame, replaced: Mapping[str, Mapping[str, str]], anywhere: Mapping[str, str]) -> DataFrame:
+    """Whole values replaced by column, then pieces of text replaced in every text column."""
+    for c, values in replaced.items():
+        if c in df.columns:
+            table = F.create_map(*(F.lit(x) for pair in values.items() for x in pair))
+            df = df.withColumn(c, F.coalesce(F.try_element_at(table, F.col(c)), F.col(c)))
+    for old, new in anywhere.items():
+        df = df.withColumns({f.name: F.replace(f.name, F.lit(old), F.lit(new)) for f in df.schema.fields if f.dataType.typeName() == "string"})
+    return df
+
+
 def rows_between(df: DataFrame, start: int, end: int, order: str = "_row_id") -> DataFrame:
     """Rows [start, end) in the given order."""
     from pyspark.sql import Window

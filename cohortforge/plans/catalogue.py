@@ -55,6 +55,29 @@ def described(files: DataFrame, samples: DataFrame, ids: DataFrame) -> DataFrame
     return f.join(ids, "participant_id").join(s, ["anon_id", "session_id", "task"]).select(F.col("local_id").alias("file_local_id"), "biosample_local_id").distinct()
 
 
+def controlled(records: DataFrame, ids: DataFrame, held: DataFrame, project: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Files, new ids and crosswalk of a controlled release's (path, name, md5, size) records.
+
+    Recordings go by their anonymous id and task; (participant, session) pairs that ``ids`` (participant_id, session_id,
+    anon_id) lacks are numbered on from it, in order.  Other files keep their path.  Of equal local ids the first path counts.
+    ``held``: local_id of known biosamples; ``new_biosample`` marks what they lack.
+    """
+    r = records.withColumn("p", recording_parts("name")).withColumns({"participant_id": F.col("p.participant"), "session_id": F.col("p.session"), "task": F.col("p.task"), "ext": F.concat(F.lit("."), F.col("p.extension"))}).drop("p")
+    pair = F.struct("participant_id", "session_id")
+    keyed = r.where("participant_id is not null").select(pair.alias("pair")).distinct()
+    made = windows.minted(keyed, ids.select(pair.alias("pair"), "anon_id"), "pair")
+    fresh = made.join(ids.select(pair.alias("pair")), "pair", "left_anti").select("pair.*", "anon_id")
+    all_ids = made.select("pair.participant_id", "pair.session_id", "anon_id")
+    r = r.join(all_ids, ["participant_id", "session_id"], "left")
+    biosample = F.when(F.col("anon_id").isNotNull(), F.concat_ws("_", "anon_id", "task"))
+    r = r.withColumn("biosample_local_id", biosample).withColumn("local_id", F.concat(F.lit(f"{project}/"), F.coalesce(F.concat("biosample_local_id", "ext"), "path")))
+    r = windows.first_of(r, ["local_id"], "path")
+    r = r.join(held.select(F.col("local_id").alias("biosample_local_id"), F.lit(True).alias("known")).distinct(), "biosample_local_id", "left")
+    files = r.select("local_id", F.col("name").alias("filename"), file_format("name").alias("file_format"), "md5", "size", "biosample_local_id", (F.col("biosample_local_id").isNotNull() & F.col("known").isNull()).alias("new_biosample"))
+    crosswalk = r.select("path", "local_id", "participant_id", "session_id", "task", "anon_id")
+    return files, fresh, crosswalk
+
+
 def subjects(answers: DataFrame, ids: DataFrame) -> DataFrame:
     """Latest sex, ethnicity and age of each participant (participant_id, field, value, _row_id)."""
     out = ids

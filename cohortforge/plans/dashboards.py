@@ -47,6 +47,19 @@ def races(df: DataFrame, base: str = "race") -> DataFrame:
     return one.select(F.explode(F.array(*(F.col(c) for c in boxes))).alias("x")).select("x.*").where("race is not null")
 
 
+def recordings_loaded(recordings: DataFrame, files: DataFrame, ids: DataFrame | None = None, key: str = "recording_id") -> DataFrame:
+    """Recordings (all, or those of the given ids) with their file's path; ``missing`` where there is none."""
+    wanted = recordings if ids is None else recordings.join(ids.select(key).distinct(), key, "left_semi")
+    newest = files.groupBy(key).agg(F.max("path").alias("path"))
+    return wanted.join(newest, key, "left").withColumn("missing", F.col("path").isNull())
+
+
+def questionnaire(participants: DataFrame, columns: Sequence[str], key: str = "participant_id") -> DataFrame:
+    """One questionnaire's columns of the participants table, without participants who answered none of them."""
+    held = [c for c in columns if c in participants.columns and c != key]
+    return select.without_blank_rows(participants.select(key, *held), [key])
+
+
 def recording_summary(files: DataFrame) -> DataFrame:
     """task, recordings, participants from file paths."""
     return files.select(path_entity("path", "task").alias("task_name"), path_entity("path", "sub").alias("participant_id")).groupBy("task_name").agg(F.count("*").alias("n_recordings"), F.countDistinct("participant_id").alias("n_participants"))

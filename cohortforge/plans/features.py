@@ -83,6 +83,59 @@ def extracted(files: DataFrame, extractor: Callable[[np.ndarray, int], dict[str,
     return files.select("path", "content").mapInPandas(run, "path string, feature_group string, feature_name string, value double, error string")
 
 
+def annotated(files: DataFrame, models: dict[str, Callable[[np.ndarray, int], str]], rate: int = 16_000) -> DataFrame:
+    """path, model, result, error of pluggable models (speaker turns, speaker vectors, transcripts as text or JSON) over (path, content).
+
+    A model that fails gives null and its error; the others still run.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for path, content in zip(pdf["path"], pdf["content"]):
+                for name, model in models.items():
+                    try:
+                        rows.append((path, name, model(decoded_wav(bytes(content), rate), rate), None))
+                    except Exception as failure:
+                        rows.append((path, name, None, f"{type(failure).__name__}: {failure}"))
+            yield pd.DataFrame(rows, columns=["path", "model", "result", "error"])
+
+    return files.select("path", "content").mapInPandas(run, "path string, model string, result string, error string")
+
+
+def framed_metrics(samples: DataFrame, rate: int = 16_000, window: float = 0.025, step: float = 0.0125) -> DataFrame:
+    """ids, proportion_clipped_metric, proportion_silent_metric, peak_snr_from_spectral_metric, spectral_gating_snr_metric, amplitude_modulation_depth_metric of sample arrays, over windows of 25 ms each 12.5 ms.
+
+    Peak over mean spectral power and signal over noise power (noise: the quietest tenth of windows) in decibels; depth of
+    the windows' peaks as (largest - least) / (largest + least).  Null for recordings without a window.
+    """
+    wide, hop = int(rate * window), int(rate * step)
+
+    def one(x) -> list[float | None]:
+        x = np.asarray([] if x is None else x, np.float64)
+        if len(x) < wide:
+            return [None] * 5
+        frames = np.lib.stride_tricks.sliding_window_view(x, wide)[::hop]
+        power = (np.abs(np.fft.rfft(frames * np.hanning(wide))) ** 2).mean(axis=1)
+        tiny = 1e-12
+        ordered = np.sort(power)
+        noise = ordered[: max(1, len(ordered) // 10)].mean()
+        peaks = np.abs(frames).max(axis=1)
+        depth = (peaks.max() - peaks.min()) / max(peaks.max() + peaks.min(), tiny)
+        decibels = lambda a, b: float(10 * np.log10((a + tiny) / (b + tiny)))
+        return [float((np.abs(x) >= 0.99).mean()), float((np.abs(x) < 0.01).mean()), decibels(power.max(), power.mean()), decibels(max(power.mean() - noise, 0.0), noise), float(depth)]
+
+    names = ["proportion_clipped_metric", "proportion_silent_metric", "peak_snr_from_spectral_metric", "spectral_gating_snr_metric", "amplitude_modulation_depth_metric"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            values = pd.DataFrame([one(x) for x in pdf["samples"]], columns=names, index=pdf.index, dtype="float64")
+            yield pd.concat([pdf[IDS], values], axis=1)
+
+    out = samples.select(*IDS, "samples").mapInPandas(run, "participant_id string, session_id string, task_name string, " + ", ".join(f"{n} double" for n in names))
+    return out.withColumn("task_name", normalize_label("task_name"))
+
+
 def quality_metrics(samples: DataFrame, clip: float = 0.99, silence: float = 0.01) -> DataFrame:
     """Shares of clipped and silent samples and peak-to-mean ratio, with their checks; ids first, task labels normalised."""
     loud = F.transform("samples", lambda x: F.abs(x.cast("double")))

@@ -20,6 +20,14 @@ def protocol_rank(path):
     return out
 
 
+def questionnaire_types(files: DataFrame, subject_only: bool = False, path: str = "path") -> DataFrame:
+    """questionnaire: last parts of the stems of sub-*.json files in a subject's folder and, unless left out, its sessions' beh folders."""
+    subject = F.regexp_extract(path, r"(?:^|/)sub-[^/]+/(sub-[^/]*)\.json$", 1)
+    session = F.regexp_extract(path, r"(?:^|/)sub-[^/]+/ses-[^/]+/beh/(sub-[^/]*)\.json$", 1)
+    stem = F.nullif(subject, F.lit("")) if subject_only else F.coalesce(F.nullif(subject, F.lit("")), F.nullif(session, F.lit("")))
+    return files.select(F.element_at(F.split(stem, "_"), -1).alias("questionnaire")).where("questionnaire is not null").distinct()
+
+
 def response_rows(responses: DataFrame, subsecond_only: bool = False) -> DataFrame:
     """record, session, instrument, item, values, start, end, duration from parsed responses and their activity times."""
     instrument = F.element_at(F.split("activity", "/"), -1)

@@ -11,7 +11,18 @@ from cohortforge.functions import tensors as T
 from cohortforge.functions.scalars import INCHES_PER_CENTIMETRE, POUNDS_PER_KILOGRAM, clean_value, imperial, normalize_label
 
 # Allowed ranges of numeric fields.
-RANGES = [("diagnosis_as_ds_eps", 0, 100), ("cigarettes_per_day", 0, 1000), ("phys_health_impact", 0, 30), ("phys_health_limited", 0, 30), ("hours_voice_activity", 0, 24), ("height", 0, 272), ("weight", 0, 635)]
+RANGES = [
+    ("diagnosis_as_ds_eps", 0, 100),
+    ("smoking_age_regular_cigarette_smoking_age", 0, 125),
+    ("smoking_age_stopped_age", 0, 125),
+    ("smoking_years_cigarettes_years", 0, 125),
+    ("smoking_cigarettes_day_current_avg_number", 0, 1000),
+    ("phys_health_impact", 0, 30),
+    ("phys_health_limited", 0, 30),
+    ("hours_voice_activity", 0, 24),
+    ("height", 0, 272),
+    ("weight", 0, 635),
+]
 
 
 def cells(df: DataFrame, ids: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -37,6 +48,26 @@ def range_violations(long: DataFrame, ranges: DataFrame) -> DataFrame:
     return long.join(ranges, "field").where(~F.coalesce(fits, F.lit(False))).drop("least", "most").withColumn("rule", F.lit("range"))
 
 
+def ranges_table(spark, ranges=RANGES) -> DataFrame:
+    return spark.createDataFrame(ranges, "field string, least int, most int")
+
+
+def known_value_violations(long: DataFrame, known: DataFrame) -> DataFrame:
+    """Cells of fields with reference lists (field, value: provinces, languages) whose value is in none of them, whatever its case."""
+    allowed = known.select("field", F.lower(F.trim("value")).alias("_v")).distinct()
+    fields = known.select("field").distinct()
+    out = long.join(fields, "field", "left_semi").withColumn("_v", F.lower(F.trim("value"))).join(allowed, ["field", "_v"], "left_anti")
+    return out.drop("_v").withColumn("rule", F.lit("known_value"))
+
+
+def table_violations(df: DataFrame, ids: Sequence[str], choices: DataFrame, ranges: DataFrame, known: DataFrame) -> DataFrame:
+    """A table against its dictionary: choices, ranges and reference lists; Checked and Unchecked always pass."""
+    long = cells(df, ids, [c for c in df.columns if c not in ids]).where(~F.col("value").isin("Checked", "Unchecked"))
+    chosen = choice_violations(long, choices)
+    free = long.join(choices.select("field").distinct(), "field", "left_anti")
+    return chosen.unionByName(range_violations(free, ranges)).unionByName(known_value_violations(free, known))
+
+
 def body_measures(df: DataFrame, unit: str = "unit") -> DataFrame:
     return df.withColumns({"height": imperial("height", INCHES_PER_CENTIMETRE, unit), "weight": imperial("weight", POUNDS_PER_KILOGRAM, unit)})
 

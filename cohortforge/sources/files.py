@@ -32,13 +32,13 @@ def typed(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
 
 def participants(spark: SparkSession, path: str) -> DataFrame:
     """The participants table, or an empty one."""
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], "participant_id string")
     df = delimited(spark, path)
     return df if "participant_id" in df.columns else df.withColumnRenamed("record_id", "participant_id")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
@@ -50,16 +50,76 @@ def inventory(spark: SparkSession, root: str, pattern: str = "*.wav", content: b
     return df.withColumns({"participant_id": path_entity("path", "sub"), "session_id": path_entity("path", "ses"), "task_name": path_entity("path", "task"), "name": F.element_at(F.split("path", "/"), -1)})
 
 
-def wav_seconds(files: DataFrame, content: str = "content") -> DataFrame:
-    """``files`` with ``seconds`` from canonical 44-byte RIFF headers, by byte arithmetic in the JVM."""
+def phenotype_pair(spark: SparkSession, table: str, dictionary: str) -> tuple[DataFrame, DataFrame]:
+    """A delimited table and its dictionary (column, entry as JSON text) from the ``data_elements`` of all schemas of a JSON file.
+
+    Of equal names the last schema's entry counts.  A table and dictionary that both lack ``record_id`` get an entry for it.
+    """
+    df = delimited(spark, table)
+    text = spark.read.option("wholetext", True).text(dictionary)
+    schemas = text.select(F.from_json("value", "map<string,map<string,string>>").alias("m")).select(F.posexplode(F.map_entries("m")).alias("at", "s"))
+    elements = F.from_json(F.col("s.value")["data_elements"], "map<string,string>")
+    rows = schemas.select("at", F.explode(elements).alias("column", "entry")).groupBy("column").agg(F.max_by("entry", "at").alias("entry"))
+    if "record_id" not in df.columns:
+        known = rows.where(F.col("column") == "record_id").select("column")
+        own = spark.createDataFrame([("record_id", '{"description": "Unique identifier for each participant."}')], "column string, entry string")
+        rows = rows.unionByName(own.join(known, "column", "left_anti"))
+    return df, rows
+
+
+def metadata_rows(spark: SparkSession, root: str, schema: str, pattern: str = "*recording-metadata.json") -> DataFrame:
+    """path and the fields of all JSON sidecars below a folder; files that can't be decoded are left out, none at all is an empty table."""
+    text = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(root)
+    parsed = text.select(F.col("_metadata.file_path").alias("path"), F.from_json("value", f"struct<{schema},_bad:string>", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("r"))
+    return parsed.where("r is not null and r._bad is null").select("path", "r.*").drop("_bad")
+
+
+def text_found(spark: SparkSession, root: str, wanted: str, pattern: str = "*.json") -> DataFrame:
+    """path, in_name, in_text of files below a folder whose name or content holds the text (case counts)."""
+    text = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(root)
+    path = F.col("_metadata.file_path")
+    return text.select(path.alias("path"), F.element_at(F.split(path, "/"), -1).contains(wanted).alias("in_name"), F.col("value").contains(wanted).alias("in_text")).where("in_name or in_text")
 
-    def number(at: int, size: int):
-        hex_ = F.hex(F.substring(content, at + 1, size))
-        parts = [F.substring(hex_, 2 * i + 1, 2) for i in reversed(range(size))]
-        return F.conv(F.concat(*parts), 16, 10).cast("double")
 
-    ok = F.hex(F.substring(content, 1, 4)) == "52494646"
-    return files.withColumn("seconds", F.when(ok, number(40, 4) / F.nullif(number(28, 4), F.lit(0.0))))
+def records(df: DataFrame):
+    """Rows one by one as dicts, fetched partition by partition: no more than two partitions are on the driver at once."""
+    for row in df.toLocalIterator(prefetchPartitions=True):
+        yield row.asDict(recursive=True)
+
+
+def wav_heads(spark: SparkSession, root: str, bytes_: int = 4096) -> DataFrame:
+    """path, length, content: only the first bytes of each recording leave the scan."""
+    df = spark.read.format("binaryFile").option("pathGlobFilter", "*.wav").option("recursiveFileLookup", True).load(root)
+    return df.select("path", "length", F.substring("content", 1, bytes_).alias("content"))
+
+
+def wav_seconds(files: DataFrame, content: str = "content") -> DataFrame:
+    """``files`` with ``seconds`` from RIFF chunks, by byte arithmetic in the JVM; null where there is no fmt or data chunk.
+
+    Chunks are walked from byte 12 on, each as long as its size says (padded to even), so the heads of files are enough.
+    """
+    c = F.col(content)
+
+    def number(at):
+        parts = [F.substring(F.hex(F.substring(c, at + 4 - i, F.lit(1))), 1, 2) for i in range(4)]
+        return F.conv(F.concat(*parts), 16, 10).cast("long")
+
+    name = lambda at: F.hex(F.substring(c, at + 1, F.lit(4)))
+    state = F.struct(F.lit(12).cast("long").alias("at"), F.lit(None).cast("long").alias("rate"), F.lit(None).cast("long").alias("size"))
+
+    def step(s, _):
+        inside = (s["at"] + 8 <= F.length(c)) & s["size"].isNull()
+        at = s["at"].cast("int")
+        size = F.when(inside, number(at + 4))
+        return F.struct(
+            F.when(inside, s["at"] + 8 + size + size % 2).otherwise(s["at"]).alias("at"),
+            F.when(inside & (name(at) == "666D7420"), number(at + 16)).otherwise(s["rate"]).alias("rate"),
+            F.when(inside & (name(at) == "64617461"), size).otherwise(s["size"]).alias("size"),
+        )
+
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(16)), state, step)
+    riff = F.hex(F.substring(c, 1, 4)) == "52494646"
+    return files.withColumn("_w", walked).withColumn("seconds", F.when(riff, F.col("_w.size") / F.nullif(F.col("_w.rate"), F.lit(0)))).drop("_w")
 
 
 def newest_by_uuid(files: DataFrame, pattern: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortforge.operators import windows
@@ -61,6 +61,55 @@ def dictionary_json(spark: SparkSession, elements: DataFrame, path: str) -> str:
     return text
 
 
+def texts_written(df: DataFrame) -> DataFrame:
+    """path, error of (path, text) rows, each written as one file on a file system that all executors share."""
+    from pathlib import Path
+
+    import pandas as pd
+
+    def run(batches):
+        for pdf in batches:
+            errors = []
+            for path, text in zip(pdf["path"], pdf["text"]):
+                try:
+                    Path(path).parent.mkdir(parents=True, exist_ok=True)
+                    Path(path).write_text(text)
+                    errors.append(None)
+                except OSError as failure:
+                    errors.append(f"{type(failure).__name__}: {failure}")
+            yield pd.DataFrame({"path": pdf["path"], "error": errors})
+
+    return df.select("path", "text").mapInPandas(run, "path string, error string")
+
+
+def sidecars(recordings: DataFrame, root: str, fields: list[str]) -> DataFrame:
+    """path, text of one JSON sidecar for each recording: sub-<p>/ses-<s>/audio/sub-<p>_ses-<s>_task-<label>_recording-metadata.json; blanks and underscores of a label become hyphens."""
+    label = F.regexp_replace("task_name", "[ _]", "-")
+    stem = F.concat(F.lit("sub-"), "participant_id", F.lit("_ses-"), "session_id", F.lit("_task-"), label)
+    folder = F.concat(F.lit(f"{root}/sub-"), "participant_id", F.lit("/ses-"), "session_id", F.lit("/audio/"))
+    return recordings.select(F.concat(folder, stem, F.lit("_recording-metadata.json")).alias("path"), F.to_json(F.struct(*fields)).alias("text"))
+
+
+def session_files(sessions: DataFrame, root: str) -> DataFrame:
+    """path, text of one sessions.tsv for each participant, rows in session order (a participant's sessions are one row here)."""
+    columns = ["record_id", *(c for c in sessions.columns if c not in ("record_id", "participant_id"))]
+    df = sessions if "record_id" in sessions.columns else sessions.withColumn("record_id", F.col("participant_id"))
+    line = F.concat_ws("\t", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns))
+    order = F.coalesce(F.col("session_id").cast("string"), F.lit(""))
+    grouped = df.groupBy("record_id").agg(F.array_sort(F.collect_list(F.struct(order.alias("o"), line.alias("l")))).alias("rows"))
+    body = F.array_join(F.concat(F.array(F.lit("\t".join(columns))), F.transform("rows", lambda r: r["l"])), "\n")
+    return grouped.select(F.concat(F.lit(f"{root}/sub-"), "record_id", F.lit("/sessions.tsv")).alias("path"), F.concat(body, F.lit("\n")).alias("text"))
+
+
+def error_summary(done: DataFrame, most_files: int = 5, most_kinds: int = 3) -> DataFrame:
+    """kind, n, files of failed copies: the most frequent kinds of error, each with its first few files (the report's own size)."""
+    failed = done.where("error is not null").select(F.regexp_extract("error", "^([^:]*)", 1).alias("kind"), done.columns[0])
+    counts = failed.groupBy("kind").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "kind").limit(most_kinds)
+    place = F.row_number().over(Window.partitionBy("kind").orderBy(done.columns[0]))
+    first = failed.join(F.broadcast(counts), "kind").withColumn("_n", place).where(F.col("_n") <= most_files)
+    return first.groupBy("kind", "n").agg(F.array_sort(F.collect_list(done.columns[0])).alias("files"))
+
+
 def copies(df: DataFrame) -> DataFrame:
     """source, target, error of (source, target) pairs on a file system that all executors share."""
     import shutil

@@ -219,3 +219,102 @@ def test_pseudonyms_equal_those_given_one_by_one(spark):
         got = windows.pseudonyms(df, key, held=old, digits=digits)
         assert {r.id: r.pseudonym for r in got.collect()} == want
         assert got.count() == len(want)
+
+
+def wav(seconds: float, rate: int = 8000, extra: bytes = b"") -> bytes:
+    """A 16-bit mono file, with another chunk before its data if asked for."""
+    import struct
+
+    data = struct.pack(f"<{int(seconds * rate)}h", *([1000] * int(seconds * rate)))
+    other = b"LIST" + struct.pack("<I", len(extra)) + extra + b"\0" * (len(extra) % 2) if extra else b""
+    body = b"WAVEfmt " + struct.pack("<IHHIIHH", 16, 1, 1, rate, 2 * rate, 2, 16) + other + b"data" + struct.pack("<I", len(data)) + data
+    return b"RIFF" + struct.pack("<I", len(body)) + body
+
+
+def test_wav_seconds_walks_chunks(spark):
+    from cohortforge.sources import files
+
+    rows = [("a", wav(0.5)), ("b", wav(0.25, extra=b"abc")), ("c", b"RIFF"), ("d", b""), ("e", None), ("f", b"\0" * 100), ("g", wav(1.0)[:2000])]
+    got = {r.path: r.seconds for r in files.wav_seconds(spark.createDataFrame(rows, "path string, content binary")).collect()}
+    assert got == {"a": 0.5, "b": 0.25, "c": None, "d": None, "e": None, "f": None, "g": 1.0}
+
+
+def test_phenotype_pair_metadata_and_text_search(spark, tmp_path):
+    import json
+
+    from cohortforge.sources import files
+
+    (tmp_path / "t.tsv").write_text("participant\tage\n1\t20\n2\tn/a\n")
+    (tmp_path / "t.json").write_text(json.dumps({"s1": {"data_elements": {"age": {"description": "old"}}}, "s2": {"data_elements": {"age": {"description": "Age"}, "x": 1}}}))
+    df, entries = files.phenotype_pair(spark, str(tmp_path / "t.tsv"), str(tmp_path / "t.json"))
+    assert df.columns == ["participant", "age"] and df.count() == 2
+    got = {r.column: r.entry for r in entries.collect()}
+    assert set(got) == {"age", "x", "record_id"} and json.loads(got["age"]) == {"description": "Age"}
+    side = tmp_path / "d" / "sub-1"
+    side.mkdir(parents=True)
+    (side / "a_recording-metadata.json").write_text('{"task_name": "read", "n": 3}')
+    (side / "b_recording-metadata.json").write_text("{not json")
+    rows = files.metadata_rows(spark, str(tmp_path / "d"), "task_name string, n int")
+    assert [(r.task_name, r.n) for r in rows.collect()] == [("read", 3)]
+    assert files.metadata_rows(spark, str(tmp_path / "d"), "task_name string", "*.none").count() == 0
+    found = files.text_found(spark, str(tmp_path / "d"), "read").collect()
+    assert [(r.in_name, r.in_text) for r in found] == [(False, True)]
+    assert list(files.records(spark.range(3).orderBy("id"))) == [{"id": 0}, {"id": 1}, {"id": 2}]
+
+
+def test_release_is_written_once(spark, tmp_path):
+    from cohortforge.plans import release
+
+    out = str(tmp_path / "out")
+    note = tmp_path / "README.md"
+    note.write_text("x")
+    ids = spark.createDataFrame([("p1", "n1"), ("p2", "n2")], "old_id string, new_id string")
+    sessions = spark.createDataFrame([("s1", "1")], "old_id string, new_id string")
+    removed = spark.createDataFrame([("p2",)], "participant_id string")
+    stems = spark.createDataFrame([("sub-n1_ses-1_task-bad",)], "stem string")
+    table = spark.createDataFrame([("p1", "s1", 3, "secret"), ("p2", "s1", 4, "secret")], "record_id string, session_id string, score int, name string")
+    paths = [f"d/sub-{p}/ses-s1/audio/sub-{p}_ses-s1_task-{t}.wav" for p in ("p1", "p2") for t in ("good", "bad")]
+    features = spark.createDataFrame([(p, "s1", "good", "ppgs", "ppgs", 1.0) for p in ("p1", "p2")], "participant_id string, session_id string, task_name string, feature_group string, feature_name string, value double")
+    args = ({"scores": table}, {"all": features}, spark.createDataFrame([(p,) for p in paths], "path string"), ids, sessions, removed, stems, ["good", "bad"], ["name"], [str(note)])
+    assert release.released(spark, out, *args) == {"phenotype/scores": 1, "features/all": 1, "files": 1, "static": 1}
+    assert [r.new_path for r in spark.read.parquet(f"{out}/files").collect()] == ["sub-n1/ses-1/audio/sub-n1_ses-1_task-good.wav"]
+    held = spark.read.csv(f"{out}/phenotype/scores", sep="\t", header=True).collect()
+    assert [r.asDict() for r in held] == [{"participant_id": "n1", "session_id": "1", "score": "3"}]
+    with pytest.raises(FileExistsError):
+        release.released(spark, out, *args)
+
+
+def test_written_texts_and_models_that_fail(spark, tmp_path):
+    from cohortforge.plans import features
+    from cohortforge.sources import sinks
+
+    sessions = spark.createDataFrame([("p1", "s2", None), ("p1", "s1", "ok"), ("p2", "s3", "x")], "record_id string, session_id string, status string")
+    done = sinks.texts_written(sinks.session_files(sessions, str(tmp_path))).collect()
+    assert len(done) == 2 and not any(r.error for r in done)
+    assert (tmp_path / "sub-p1" / "sessions.tsv").read_text() == "record_id\tsession_id\tstatus\np1\ts1\tok\np1\ts2\t\n"
+
+    def broken(samples, rate):
+        raise RuntimeError("no model")
+
+    files = spark.createDataFrame([("a", wav(0.1)), ("b", b"junk")], "path string, content binary")
+    got = {(r.path, r.model): (r.result, r.error) for r in features.annotated(files, {"length": lambda x, rate: str(len(x) // (rate // 1000)), "turns": broken}).collect()}
+    assert got["a", "length"] == ("100", None) and got["a", "turns"] == (None, "RuntimeError: no model")
+    assert got["b", "length"][0] is None and got["b", "length"][1]
+
+
+def test_framed_metrics_and_half_precision(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from cohortforge.functions import tensors as T
+    from cohortforge.plans import features
+
+    loud = (0.5 * np.sin(np.arange(4000) * 0.3)).tolist()
+    df = spark.createDataFrame([("p", "s", "A b", [1.0] * 2000 + [0.0] * 2000), ("q", "s", "t", loud), ("r", "s", "t", []), ("n", "s", "t", None)], "participant_id string, session_id string, task_name string, samples array<double>")
+    got = {r.participant_id: r for r in features.framed_metrics(df).collect()}
+    assert got["p"].task_name == "a-b" and got["p"].proportion_clipped_metric == 0.5 and got["p"].proportion_silent_metric == 0.5 and got["p"].amplitude_modulation_depth_metric == 1.0
+    assert got["q"].amplitude_modulation_depth_metric < 0.1 and got["q"].peak_snr_from_spectral_metric < 1
+    assert got["r"].proportion_clipped_metric is None and got["n"].spectral_gating_snr_metric is None
+    values = [0.1, 1 / 3, 65519.0, 65520.0, -70000.0, 1e-8, 6e-8, 0.0, -2.5, float("inf"), 2049.0, 2051.0]
+    halves = spark.createDataFrame([(values,)], "v array<double>").select(T.half(F.array("v"))[0].alias("h")).first().h
+    assert halves == np.array(values).astype(np.float16).astype(float).tolist()
