@@ -62,10 +62,43 @@ def percent_true(column: Column) -> Column:
     return F.round(F.avg(column.cast("int")) * 100, 1)
 
 
+def exact_percentile(df: DataFrame, column: str, share: float, most_values: int = 10_000) -> float | None:
+    """The percentile of a column (linear interpolation; null without values), its range narrowed by approximate quantiles.
+
+    Only when at most ``most_values`` different values are left do they come to the driver, with their counts.
+    """
+    values = df.select(F.col(column).cast("double").alias("v")).where("v is not null")
+    size = values.count()
+    if not size:
+        return None
+    rank = share * (size - 1)
+    k, part = int(rank), rank - int(rank)
+    below, held, held_size = 0, values, size
+    while True:
+        kinds = held.groupBy("v").count()
+        if held_size <= most_values or kinds.count() <= most_values:
+            break
+        wanted = [max((k - below) / held_size - 0.001, 0.0), min((k + 2 - below) / held_size + 0.001, 1.0)]
+        least, largest = held.approxQuantile("v", wanted, 0.0001)
+        before = held.where(F.col("v") < least).count()
+        narrow = held.where(F.col("v").between(least, largest))
+        narrow_size = narrow.count()
+        if narrow_size == held_size:
+            break  # nothing more to cut off
+        below, held, held_size = below + before, narrow, narrow_size
+    at, got = below, []
+    for value, n in sorted(kinds.collect()):
+        while len(got) < 2 and k + len(got) < at + n:
+            got.append(value)
+        at += n
+    low, high = got[0], got[-1]
+    return low if low == high else low * (1 - part) + high * part
+
+
 def size_cut(df: DataFrame, column: str, percent: float) -> DataFrame:
     """Rows at most as large as a percentile (linear interpolation)."""
-    cut = df.agg(F.percentile(column, percent / 100).alias("_cut"))
-    return df.crossJoin(F.broadcast(cut)).where(F.col(column) <= F.col("_cut")).drop("_cut")
+    cut = exact_percentile(df, column, percent / 100)
+    return df.where(F.col(column) <= F.lit(cut).cast("double"))
 
 
 def fixed_bins(df: DataFrame, column: str, width: float) -> DataFrame:

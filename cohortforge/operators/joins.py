@@ -95,23 +95,30 @@ def listings_compared(local: DataFrame, remote: DataFrame, path: str = "path", d
     return a.join(b, path, "full_outer").select(path, status.alias("status"))
 
 
-def full_paths(folders: DataFrame, most: int = 200) -> DataFrame:
-    """id, path from (id, name, parent): parents joined level by level; broken or circular chains give null."""
-    nodes = folders.select("id", "name", "parent")
-    now = nodes.select("id", F.col("name").alias("path"), F.col("parent").alias("up"), F.array("id").alias("seen"), F.lit(False).alias("bad"))
-    above = nodes.select(F.col("id").alias("_id"), F.col("name").alias("_name"), F.col("parent").alias("_parent"))
-    for _ in range(most):
-        if now.where("up is not null and not bad").isEmpty():
-            break
-        step = now.join(above, now["up"] == above["_id"], "left")
-        circle = F.array_contains("seen", F.col("up"))
-        broken = F.col("up").isNotNull() & (F.col("_id").isNull() | circle)
-        go = F.col("up").isNotNull() & ~broken
-        now = step.select(
+def full_paths(folders: DataFrame, id_col: str = "id", name: str = "name", parent: str = "parent") -> DataFrame:
+    """id, path from (id, name, parent), ids being unique; broken or circular chains give null.
+
+    Paths are doubled: a round joins each node's piece with that of the node above it, so the rounds go with the logarithm of
+    the depth, and each is stored.  A circle never comes to an end: when no further node has, what is left is one.
+    """
+    from cohortforge.operators.tables import kept_once
+
+    now = kept_once(folders.select(F.col(id_col).alias("id"), F.col(name).alias("path"), F.col(parent).alias("up"), F.lit(False).alias("bad")))
+    left = now.where("up is not null").count()
+    while left:
+        above = now.select(F.col("id").alias("_id"), F.col("path").alias("_path"), F.col("up").alias("_up"), F.col("bad").alias("_bad"))
+        open_ = F.col("up").isNotNull()
+        found = open_ & F.col("_id").isNotNull()
+        step = now.join(above, now["up"] == above["_id"], "left").select(
             "id",
-            F.when(go, F.concat_ws("/", "_name", "path")).otherwise(F.col("path")).alias("path"),
-            F.when(go, F.col("_parent")).alias("up"),
-            F.when(go, F.array_append("seen", F.col("up"))).otherwise(F.col("seen")).alias("seen"),
-            (F.col("bad") | F.coalesce(broken, F.lit(False))).alias("bad"),
+            F.when(found, F.concat_ws("/", "_path", "path")).otherwise(F.col("path")).alias("path"),
+            F.when(found, F.col("_up")).alias("up"),
+            (F.col("bad") | (open_ & F.col("_id").isNull()) | F.coalesce("_bad", F.lit(False))).alias("bad"),
         )
+        # pieces of circles would double with each round: those that are as open as before are circles
+        now = kept_once(step)
+        still = now.where("up is not null").count()
+        if still == left:
+            break
+        left = still
     return now.select("id", F.when(~F.col("bad") & F.col("up").isNull(), F.col("path")).alias("path"))

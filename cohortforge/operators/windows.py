@@ -45,7 +45,10 @@ def repetitions(df: DataFrame, key: str, value: str, order: str, into: str = "re
 
 def dense_ranked(df: DataFrame, value: str, key: str | None = None, into: str = "rank", missing: int = -1) -> DataFrame:
     """Dense rank of values within a key, ``missing`` where there is none."""
-    w = Window.partitionBy(*([key] if key else []), F.col(value).isNull()).orderBy(value)
+    if not key:  # different values are numbered across partitions
+        ranks = numbered(df.select(value).where(F.col(value).isNotNull()).distinct(), [value], "_rank")
+        return df.join(ranks, value, "left").select(*df.columns, F.coalesce("_rank", F.lit(missing)).cast("int").alias(into))
+    w = Window.partitionBy(key, F.col(value).isNull()).orderBy(value)
     return df.withColumn(into, F.when(F.col(value).isNull(), F.lit(missing)).otherwise(F.dense_rank().over(w)))
 
 

@@ -318,3 +318,24 @@ def test_framed_metrics_and_half_precision(spark):
     values = [0.1, 1 / 3, 65519.0, 65520.0, -70000.0, 1e-8, 6e-8, 0.0, -2.5, float("inf"), 2049.0, 2051.0]
     halves = spark.createDataFrame([(values,)], "v array<double>").select(T.half(F.array("v"))[0].alias("h")).first().h
     assert halves == np.array(values).astype(np.float16).astype(float).tolist()
+
+
+def test_percentiles_and_paths_at_size(spark):
+    import numpy as np
+
+    from cohortforge.operators import aggregates, joins, windows
+
+    random = np.random.default_rng(3)
+    values = [*random.normal(size=3000).round(2).tolist(), *[0.5] * 1500, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    held = np.array(values[:-1])
+    for share in (0.0, 0.1, 0.5, 0.905, 1.0):
+        for most in (10_000, 10):
+            assert aggregates.exact_percentile(df, "v", share, most) == pytest.approx(float(np.quantile(held, share)))
+    assert aggregates.exact_percentile(df.where("v > 1e9"), "v", 0.5) is None and aggregates.size_cut(df.where("v > 1e9"), "v", 5).count() == 0
+    chain = [(str(i), f"f{i}", str(i - 1) if i else None) for i in range(300)]
+    circle = [("a", "a", "b"), ("b", "b", "c"), ("c", "c", "a"), ("d", "d", "a"), ("e", "e", "gone"), ("f", "f", "e")]
+    got = {r.id: r.path for r in joins.full_paths(spark.createDataFrame(chain + circle, "id string, name string, parent string")).collect()}
+    assert got["299"] == "/".join(f"f{i}" for i in range(300)) and [got[x] for x in "abcdef"] == [None] * 6
+    ranks = windows.dense_ranked(spark.createDataFrame([(3,), (1,), (None,), (3,), (2,)], "v int"), "v").collect()
+    assert sorted((r.v or 0, r.rank) for r in ranks) == [(0, -1), (1, 1), (2, 2), (3, 3), (3, 3)]
