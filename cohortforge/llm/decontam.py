@@ -3,23 +3,25 @@
 Every window of ``window`` words of an item (the whole item if it is shorter)
 is a pattern.  A text is normalised once (A-Z lower-cased, whatever is no word
 turned into one space), scanned once, and each match is mapped back to bytes of
-the original text.  The automaton is built from the benchmark alone; patterns
-beyond ``MAX_PATTERN_BYTES`` go to further automata, which scan the same
-partition one after another, so what is broadcast stays bounded for each pass.
+the original text.  The automaton is built from the benchmark alone.  Its patterns are made and made distinct by Spark; if
+they take more than ``MAX_PATTERN_BYTES``, they are dealt into groups of about that size by hash, and the texts are scanned once
+for each group, one group at a time on the driver and in the workers, with the state so far stored between them.
 
-Null or empty texts have no words and no hits; repeated items and rows are
-treated alike; an empty benchmark hits nothing.
+Null or empty texts have no words and no hits; repeated items and rows are treated alike; an empty benchmark hits nothing.
+Windows of items without an id hit like others, but name no item.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortforge.llm import bytesops as B
-from cohortforge.llm.shared import table
+from cohortforge.llm.shared import discard, stored, table
 
 WINDOW = 10
 MAX_PATTERN_BYTES = 32 << 20
@@ -29,25 +31,30 @@ def normal_words(text: bytes) -> list[bytes]:
     return text.translate(B.NON_WORD).split()
 
 
-def pattern_groups(items: DataFrame, id_col: str, text_col: str, window: int, limit: int = MAX_PATTERN_BYTES):
-    """Lists of (pattern, words in it, item ids), each list of a bounded size."""
-    group: dict[bytes, tuple[int, set]] = {}
-    size = 0
-    for item, text in items.select(id_col, text_col).toLocalIterator():
-        words = normal_words((text or "").encode())
-        if not words or item is None:
-            continue
-        k = min(window, len(words))
-        for i in range(len(words) - k + 1):
-            key = b" " + b" ".join(words[i : i + k]) + b" "
-            if key not in group:
-                size += len(key) + 64
-            group.setdefault(key, (k, set()))[1].add(item)
-        if size > limit:
-            yield [(p, k, sorted(ids)) for p, (k, ids) in group.items()]
-            group, size = {}, 0
-    if group:
-        yield [(p, k, sorted(ids)) for p, (k, ids) in group.items()]
+def patterns(items: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
+    """pattern, k (words in it), items (sorted ids): the distinct windows of all items."""
+    kind = dict(items.dtypes)[id_col]
+
+    def run(batches):
+        for batch in batches:
+            ids, keys, sizes = [], [], []
+            for row, text in enumerate(B.texts_of(batch.column(1))):
+                words = normal_words(text)
+                k = min(window, len(words))
+                for i in range(len(words) - k + 1 if words else 0):
+                    ids.append(row)
+                    keys.append(b" " + b" ".join(words[i : i + k]) + b" ")
+                    sizes.append(k)
+                    if len(keys) == 20_000:
+                        yield made(batch, ids, keys, sizes)
+                        ids, keys, sizes = [], [], []
+            yield made(batch, ids, keys, sizes)
+
+    def made(batch, ids, keys, sizes):
+        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ids, pa.int64())), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32())], names=["item", "pattern", "k"])
+
+    found = items.select(F.col(id_col).alias("item"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"item {kind}, pattern binary, k int")
+    return found.groupBy("pattern").agg(F.max("k").alias("k"), F.array_sort(F.collect_set("item")).alias("items"))
 
 
 def automaton(patterns):
@@ -55,7 +62,7 @@ def automaton(patterns):
 
     found = ahocorasick.Automaton()
     for pattern, k, ids in patterns:
-        found.add_word(pattern.decode("latin-1"), (k, tuple(ids)))
+        found.add_word(bytes(pattern).decode("latin-1"), (k, tuple(ids)))
     if patterns:
         found.make_automaton()
     return found
@@ -99,16 +106,37 @@ def scan(df: DataFrame, items: DataFrame, *, id_col="item_id", item_text="text",
     span = "array<struct<first:bigint,last:bigint>>"
     out = base.withColumns({"n_words": F.lit(0).cast("long"), "n_hit": F.lit(0).cast("long"), "hit_items": F.array().cast(f"array<{kind}>"), "hit_spans": F.array().cast(span), "_ranges": F.array().cast(span)})
     schema = out.schema
-    groups = list(pattern_groups(items, id_col, item_text, window)) or [[]]
-    for patterns in groups:
-        sent = df.sparkSession.sparkContext.broadcast(patterns)
-        out = out.mapInArrow(_scanner(sent, text_col), schema)
+    # a pattern and its ids, each id at most in as many patterns as its item has words
+    all_ = stored(patterns(items, id_col, item_text, window))
+    size = all_.agg(F.coalesce(F.sum(F.octet_length("pattern") + 64 + 8 * F.size("items")), F.lit(0))).first()[0]
+    n = max(1, -(-int(size) // MAX_PATTERN_BYTES))
+    for group in range(n):
+        own = all_ if n == 1 else all_.where(F.pmod(F.xxhash64("pattern"), F.lit(n)) == group)
+        sent = df.sparkSession.sparkContext.broadcast([tuple(r) for r in own.toLocalIterator()])
+        out = out.mapInArrow(_scanner(sent, text_col, uuid.uuid4().hex), schema)
+        if n > 1:  # the next group's patterns take this one's place
+            out = stored(out)
+            sent.destroy()
+    discard(all_)
     return out.drop("_ranges")
 
 
-def _scanner(sent, text_col):
+_automata: dict = {}
+
+
+def _automaton_of(sent, token: str):
+    """The automaton of a broadcast, kept by the worker from task to task."""
+    B.only("automata")
+    kept = B.keeping("automata", _automata)
+    if token not in kept:
+        kept.clear()
+        kept[token] = automaton(sent.value)
+    return kept[token]
+
+
+def _scanner(sent, text_col, token):
     def run(batches):
-        found = automaton(sent.value)
+        found = _automaton_of(sent, token)
         for batch in batches:
             names = batch.schema.names
             cols = {n: [] for n in ("n_words", "n_hit", "hit_items", "hit_spans", "_ranges")}

@@ -172,6 +172,8 @@ def test_decontamination(spark, docs, empty):
     assert sorted(got, key=key) == sorted(expected, key=key)
     assert decontam.scan(docs, items.limit(0)).where("n_hit > 0").count() == 0
     assert decontam.scan(empty, items).count() == 0
+    nameless = decontam.scan(docs, spark.createDataFrame([(None, text(2, 120)[100:300])], "item_id long, text string")).where("n_hit > 0")
+    assert sorted(r.doc_id for r in nameless.collect()) == [4, 5] and nameless.where("size(hit_items) > 0").count() == 0
     span = decontam.scan(spark.createDataFrame([("é! one, TWO! é",)], "text string"), items).first().hit_spans[0]
     assert "é! one, TWO! é".encode()[span.first : span.last] == b"TWO"
 
@@ -179,8 +181,7 @@ def test_decontamination(spark, docs, empty):
 def test_decontamination_in_groups(spark, docs, monkeypatch):
     items = spark.createDataFrame([(1, text(2, 40)), (2, text(2, 120)[150:400])], "item_id long, text string")
     whole = decontam.scan(docs, items).collect()
-    groups = decontam.pattern_groups
-    monkeypatch.setattr(decontam, "pattern_groups", lambda *a: groups(*a, 10))
+    monkeypatch.setattr(decontam, "MAX_PATTERN_BYTES", 8000)
     assert sorted(decontam.scan(docs, items).collect(), key=key) == sorted(whole, key=key)
 
 
