@@ -10,6 +10,9 @@ Base phrases ("mit license", ...) are found wherever their words stand
 consecutively and label a text on their own.  Null and empty texts have no words
 and no labels; score is the largest covered share of any template (a base phrase
 counts as fully covered).
+
+Templates are short notices and the whole texts of short licences (``licence_texts``); whole texts of long ones (the general
+public licences, Apache, Mozilla) are read from a folder with ``templates_from`` and passed as ``templates``.
 """
 
 from __future__ import annotations
@@ -18,10 +21,11 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortforge.llm import bytesops as B
+from cohortforge.llm import licence_texts
 from cohortforge.llm.shared import table
 
 MIN_MATCH = 4
@@ -58,6 +62,19 @@ TEMPLATES = {
     "cc-by-nc": ["licensed under cc by nc 4 0", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"],
     "unlicense": ["this is free and unencumbered software released into the public domain"],
 }
+TEMPLATES = {label: [*TEMPLATES.get(label, []), *licence_texts.WHOLE.get(label, [])] for label in {**TEMPLATES, **licence_texts.WHOLE}}
+
+
+def templates_from(spark: SparkSession, folder: str, labels: dict[str, str], most_bytes: int = 4 << 20) -> dict[str, list[str]]:
+    """TEMPLATES and the whole text of each file of a folder whose name is a key of ``labels`` (name to label), at most so many bytes in all."""
+    files = spark.read.option("wholetext", True).text(folder).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("name"), "value").where(F.col("name").isin(*labels))
+    size = files.agg(F.coalesce(F.sum(F.octet_length("value")), F.lit(0))).first()[0]
+    if size > most_bytes:
+        raise ValueError(f"licence texts of {size} bytes are too many for one automaton")
+    out = {label: list(texts) for label, texts in TEMPLATES.items()}
+    for name, text in sorted(map(tuple, files.collect())):
+        out.setdefault(labels[name], []).append(text)
+    return out
 
 
 class SuffixAutomaton:
@@ -118,7 +135,7 @@ class SuffixAutomaton:
 
 class Scanner:
     def __init__(self, templates=TEMPLATES, base=BASE, min_match=MIN_MATCH):
-        pairs = [(label, text.encode().split()) for label, texts in templates.items() for text in texts]
+        pairs = [(label, text.encode().translate(B.NON_WORD).split()) for label, texts in templates.items() for text in texts]
         self.labels, self.templates = [x for x, _ in pairs], [x for _, x in pairs]
         self.vocabulary: dict[bytes, int] = {}
         phrases = [(p.encode().split(), label) for p, label in base.items()]

@@ -303,8 +303,12 @@ def test_bpe_equals_library(docs, empty, encoder):
     for r in bpe.decode(bpe.encode(docs, path, P.PATTERN), path).collect():
         assert np.frombuffer(r.ids, "<u4").tolist() == own.encode_ordinary(r.text or "")
         assert bytes(r.decoded) == (r.text or "").encode()
-    for r in bpe.digest(docs, path, P.PATTERN).collect():
-        assert r.n_tokens >= 0 and len(r.ids_sha256) == 64
+    expected = []
+    for r in docs.select("doc_id", "text").collect():
+        ids = own.encode_ordinary(r.text or "")
+        expected.append((r.doc_id, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((r.text or "").encode()).hexdigest()))
+    got = bpe.digest(docs, path, P.PATTERN).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()
+    assert sorted(map(tuple, got), key=key) == sorted(expected, key=key)
     assert bpe.digest(empty, path, P.PATTERN).count() == 0
 
 
@@ -494,6 +498,22 @@ def test_licence_chains():
     assert scanner.scan(b"the software and the work")[2] == []
 
 
+def test_whole_licence_texts(spark, tmp_path):
+    scanner = licences.Scanner()
+    for label, texts in licences.licence_texts.WHOLE.items():
+        for body in texts:
+            n, _, labels, score, spans = scanner.scan(f"Copyright 2020 somebody\n\n{body}\n\nint main() {{}}".encode())
+            assert label in labels and score == 1.0 and len(spans) == 1 and spans[0][0] <= 3 and spans[0][1] >= n - 3, label
+    (tmp_path / "LONG-1").write_text("A very long licence of many words. " + " ".join(f"clause{i}" for i in range(500)))
+    (tmp_path / "other").write_text("not asked for")
+    templates = licences.templates_from(spark, str(tmp_path), {"LONG-1": "long"})
+    assert set(templates) == {*licences.TEMPLATES, "long"}
+    docs = spark.createDataFrame([("x " + " ".join(f"clause{i}" for i in range(400)),)], "text string")
+    assert licences.scan(docs, templates=templates).first().labels == "long"
+    with pytest.raises(ValueError):
+        licences.templates_from(spark, str(tmp_path), {"LONG-1": "long"}, 100)
+
+
 # --- 10 ------------------------------------------------------------------------------------------
 
 
