@@ -167,10 +167,35 @@ def _unpacked(batches, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(x for batch in batches for x in batch.column(1).to_pylist()), dtype)
 
 
+def _certified(known: np.ndarray, tokens: np.ndarray, countable: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which tokens need no counting, as this task has COMMON + 1 classes of them elsewhere already; and all such tokens, in order."""
+    done = np.zeros(len(tokens), bool)
+    if not countable.any():
+        return done, known
+    own = np.flatnonzero(countable)
+    if len(known):
+        near = np.minimum(np.searchsorted(known, tokens[own]), len(known) - 1)
+        done[own[known[near] == tokens[own]]] = True
+        own = own[~done[own]]
+    order = own[np.argsort(tokens[own], kind="stable")]
+    new = np.flatnonzero(np.append(True, tokens[order][1:] != tokens[order][:-1])) if len(order) else order
+    count = np.diff(np.append(new, len(order)))
+    if (hot := count > COMMON).any():
+        place = np.arange(len(order)) - np.repeat(new, count)
+        done[order[(place > COMMON) & np.repeat(hot, count)]] = True
+        known = np.union1d(known, tokens[order][new[hot]])
+    return done, known
+
+
 def _ship(n_buckets: int, boundary: int):
-    """Each large class's low tokens, and what else its prefix may need, by token bucket."""
+    """Each large class's low tokens, and what else its prefix may need, by token bucket.
+
+    Of a token that more than COMMON classes of a task have, COMMON + 1 go to the token's bucket, enough to tell there that it is
+    common; the others, being told already, go with their classes (buckets from n_buckets on), so no bucket gathers a hot token.
+    """
 
     def run(batches):
+        known = np.zeros(0, np.uint64)
         for batch in batches:
             for _, _, tokens, sizes, classes in _chunked_sets(batch.column(0), SHIP_BYTES):
                 cut = np.concatenate([[0], np.cumsum(sizes)])
@@ -185,9 +210,17 @@ def _ship(n_buckets: int, boundary: int):
                 place = np.arange(len(tokens)) - cut[of]
                 keep = place < sent[of]
                 t, o, p = tokens[keep], of[keep], place[keep]
+                told, known = _certified(known, t, p < low[o])
+                rows = []
+                if told.any():
+                    records = np.empty(int(told.sum()), _RECORD)
+                    records["class"], records["token"], records["place"] = classes[o[told]], t[told], p[told]
+                    records["size"], records["low"], records["common"] = sizes[o[told]], low[o[told]], 1
+                    packed = _packed_rows(records["class"] & (n_buckets - 1), records, n_buckets)
+                    rows += [(b + n_buckets, data, b"", b"", b"", b"") for b, data in zip(*(c.to_pylist() for c in packed.columns))]
+                    t, o, p = t[~told], o[~told], p[~told]
                 order, at = B.pack_ranges((t & np.uint64(n_buckets - 1)).astype(np.int64), n_buckets)
                 t, o, p = t[order], o[order], p[order]
-                rows = []
                 for b in np.flatnonzero(np.diff(at)).tolist():
                     part = slice(at[b], at[b + 1])
                     own = o[part]
@@ -207,7 +240,10 @@ def _count_lists(n_buckets: int):
     def run(batches):
         parts = []
         for batch in batches:
-            for _, classes, sizes, counts, tokens, places in zip(*(c.to_pylist() for c in batch.columns)):
+            for bucket, classes, sizes, counts, tokens, places in zip(*(c.to_pylist() for c in batch.columns)):
+                if bucket >= n_buckets:  # told already
+                    yield pa.RecordBatch.from_arrays([pa.array([bucket - n_buckets], pa.int32()), pa.array([classes], pa.binary())], names=["bucket", "data"])
+                    continue
                 c = np.frombuffer(counts, "<u4")
                 size, low = np.frombuffer(sizes, "<u4").reshape(2, -1)
                 part = np.empty(len(tokens) // 8, _RECORD)
@@ -242,6 +278,8 @@ def _prefixes(n_buckets: int):
         if not len(r):
             return
         r = r[np.lexsort((r["place"], r["class"]))]
+        # a class of several texts may have been told of a token more than once
+        r = r[np.append(True, (r["class"][1:] != r["class"][:-1]) | (r["place"][1:] != r["place"][:-1]))]
         new = np.append(True, r["class"][1:] != r["class"][:-1])
         group = np.cumsum(new) - 1
         first = np.flatnonzero(new)

@@ -393,6 +393,37 @@ def test_jaccard_family_with_one_short_of_low_tokens(spark):
     assert {r.component_id for r in jaccard.grouped(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {0}
 
 
+def hot_rows():
+    """Texts that all hold one passage, some of them near or exact copies of others."""
+    random = np.random.default_rng(11)
+    passage = " ".join(f"hot{i}" for i in range(12))
+    rows = []
+    for i in range(300):
+        words = [f"w{x}" for x in random.integers(0, 5000, 40)]
+        rows.append((len(rows), " ".join([*words[:20], passage, *words[20:]])))
+        if i % 5 == 0:
+            words[3 if i % 2 else 39] = "edit"
+            rows += [(len(rows) + k, " ".join([*words[:20], passage, *words[20:]])) for k in range(2)]
+    return rows
+
+
+def test_jaccard_with_a_shingle_in_every_text(spark):
+    rows = hot_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    assert sorted(map(tuple, jaccard.grouped(docs).collect()), key=key) == groups_by_force(rows)
+
+
+def test_a_hot_token_does_not_gather():
+    import pyarrow as pa
+
+    batches = [pa.RecordBatch.from_arrays([pa.array([t for _, t in hot_rows()[a : a + 100]])], names=["text"]) for a in (0, 100, 200, 300)]
+    sent = [r for b in jaccard._ship(128, 0)(iter(batches)) for r in b.to_pylist()]
+    counted = Counter(t for r in sent if r["bucket"] < 128 for t in np.frombuffer(r["tokens"], "<u8").tolist())
+    told = Counter(t for r in sent if r["bucket"] >= 128 for t in np.frombuffer(r["classes"], jaccard._RECORD)["token"].tolist())
+    assert told and max(counted[t] for t in told) == jaccard.COMMON + 1
+    assert all(counted[t] + told[t] >= 300 for t in told)
+
+
 def test_stars_that_cover_each_other(spark):
     stars = [(1, 2), (2, 1), (5, 6), (5, 7), (6, 7)]
     assert sorted(map(tuple, jaccard._without_covered(spark.createDataFrame(stars, "leader long, member long")).collect())) == [(1, 2), (5, 6), (5, 7)]
