@@ -4,13 +4,15 @@
    labelled sample form a lexicon; each task counts them in a fixed array of
    ``SLOTS`` slots.  Of near copies (texts that share one of ``SIGNATURES``
    minima of word pair hashes) only one counts as evidence.
-2. The lexicon is dealt to ``GROUPS`` voters; further voters look at patterns
-   (how many hits, how dense, shouting, none at all).  A voter says toxic, clean
-   or nothing.
-3. A generative label model estimates by expectation maximisation how often each
-   voter votes how in either class.  What voters still have in common within a
-   class is their correlation; correlated voters share their weight, and the
-   estimates are made anew.
+2. Each lexicon voter holds entries of one kind (whole words, beginnings), one
+   band of how much likelier they are in toxic texts (``BANDS``) and one of how
+   many texts have them (``RARITY``); further voters look at patterns (how many
+   hits, how dense, shouting, none at all).  A voter says toxic, clean or nothing.
+3. A generative label model sees the votes alone, not the sample's labels: it
+   estimates by expectation maximisation how often each voter votes how in either
+   class, from a start at the balance of votes.  What voters still have in common
+   within a class is their correlation; correlated voters share their weight, and
+   the estimates are made anew.
 4. A logistic regression on hit lexicon entries and patterns is trained on the
    posterior labels; its outputs are calibrated to the sample's own labels by one
    scale and one shift, and it scores every text.
@@ -38,8 +40,10 @@ PARTS = 64
 KINDS = (0, 4, 5, 6)
 SIGNATURES = 4
 #: An entry must be far likelier in toxic texts, by more than chance makes of some hundred thousand candidates.
-LEAST_EVIDENCE, LEAST_ODDS, MOST_ENTRIES, GROUPS = 12.0, 2.5, 4096, 24
-MARK_ODDS = 4.0
+LEAST_EVIDENCE, LEAST_ODDS, MOST_ENTRIES = 12.0, 2.5, 4096
+#: Log odds and numbers of texts at which the next band of lexicon voters begins.
+BANDS, RARITY = (3.5, 4.5, 5.5), (20, 100)
+GROUPS = 2 * (len(BANDS) + 1) * (len(RARITY) + 1)
 PATTERNS = ["hits>=1", "hits>=2", "hits>=3", "hits>=5", "distinct>=2", "distinct>=3", "density", "none", "shouting", "exclaiming"]
 
 
@@ -104,9 +108,12 @@ def without_copies(sample: DataFrame) -> DataFrame:
     """One of each group of near copies in the (bounded) sample."""
     kind = dict(sample.dtypes)["doc_id"]
     ids = sample.mapInArrow(_signatures, f"doc_id {kind}, " + ", ".join(f"s{k} long" for k in range(SIGNATURES))).distinct()
+    alone = ids.where(F.col("s0") == 2**63 - 1)  # texts without pairs: no window gathers them
+    ids = ids.where(F.col("s0") != 2**63 - 1)
     for k in range(SIGNATURES):
         first = F.row_number().over(Window.partitionBy(f"s{k}").orderBy("doc_id"))
-        ids = ids.withColumn("_n", first).where((F.col("_n") == 1) | (F.col(f"s{k}") == 2**63 - 1)).drop("_n")
+        ids = ids.withColumn("_n", first).where(F.col("_n") == 1).drop("_n")
+    ids = ids.unionByName(alone)
     return sample.join(F.broadcast(ids.select("doc_id").distinct()), "doc_id", "left_semi").select("text", "y")
 
 
@@ -128,36 +135,38 @@ def _select_slots(clean: int, toxic: int):
             odds = np.log((pos + 0.5) / (toxic + 1)) - np.log((neg + 0.5) / (clean + 1))
             gain = evidence(neg, pos, toxic / (clean + toxic))
             at = np.flatnonzero((gain >= LEAST_EVIDENCE) & (odds >= LEAST_ODDS))
-            yield pa.RecordBatch.from_arrays([pa.array(at + part * (SLOTS // PARTS)), pa.array(gain[at])], names=["slot", "gain"])
+            yield pa.RecordBatch.from_arrays([pa.array(at + part * (SLOTS // PARTS)), pa.array(gain[at]), pa.array(odds[at]), pa.array((neg + pos)[at])], names=["slot", "gain", "odds", "texts"])
 
     return run
 
 
-def lexicon(sample: DataFrame) -> np.ndarray:
-    """The slots of the lexicon: words, best first, then beginnings of other words."""
+def lexicon(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The slots of the lexicon (words, best first, then beginnings of other words) and each one's voter."""
     single = without_copies(sample).persist()
     counts = {r.y: r["count"] for r in single.groupBy("y").count().collect()}
     clean, toxic = counts.get(0, 0), counts.get(1, 0)
-    slots = np.zeros(0, np.int64)
+    slots, voters = np.zeros(0, np.int64), np.zeros(0, np.int64)
     for words in (False, True):
         known = None
         if words:
             known = np.full(SLOTS, -1, np.int16)
             known[slots] = 0
         counts = single.mapInArrow(_count_slots(known), "part int, counts binary").repartition(min(PARTS, partitions(sample.sparkSession)), "part")
-        chosen = counts.mapInArrow(_select_slots(clean, toxic), "slot long, gain double")
-        best = chosen.orderBy(F.desc("gain"), "slot").limit(MOST_ENTRIES).select("slot").collect()
-        slots = np.concatenate([slots, np.setdiff1d([r.slot for r in best], slots).astype(np.int64)])
+        chosen = counts.mapInArrow(_select_slots(clean, toxic), "slot long, gain double, odds double, texts long")
+        best = [r for r in chosen.orderBy(F.desc("gain"), "slot").limit(MOST_ENTRIES).collect() if r.slot not in set(slots.tolist())]
+        band, rarity = np.searchsorted(BANDS, [r.odds for r in best]), np.searchsorted(RARITY, [r.texts for r in best])
+        slots = np.concatenate([slots, np.array([r.slot for r in best], np.int64)])
+        voters = np.concatenate([voters, (words * (len(BANDS) + 1) + band) * (len(RARITY) + 1) + rarity])
     single.unpersist()
-    return slots
+    return slots, voters
 
 
 # --- voters --------------------------------------------------------------------------------------
 
 
 class Voters:
-    def __init__(self, slots: np.ndarray):
-        self.slots = slots
+    def __init__(self, slots: np.ndarray, voters: np.ndarray):
+        self.slots, self.voters = slots, voters
         self.entry = np.full(SLOTS, -1, np.int32)
         self.entry[slots] = np.arange(len(slots))
 
@@ -186,7 +195,7 @@ class Voters:
         """1 toxic, 0 nothing, -1 clean; lexicon voters first, then the patterns."""
         n = len(patterns)
         lexical = np.zeros((n, GROUPS), np.int8)
-        lexical[rows, entries % GROUPS] = 1
+        lexical[rows, self.voters[entries]] = 1
         toxic = patterns.astype(np.int8)
         toxic[:, 1:6] = np.where(patterns[:, 1:6], 1, -1)
         toxic[:, 0] = 0  # one word alone says nothing
@@ -197,12 +206,16 @@ class Voters:
 class LabelModel:
     """Vote frequencies in each class, correlations, and posterior labels."""
 
-    def __init__(self, votes: np.ndarray, marks: np.ndarray, prior: float, steps: int = 30, rounds: int = 3):
+    def __init__(self, votes: np.ndarray, prior: float, steps: int = 30, rounds: int = 3):
         self.prior, self.weight = prior, np.ones(votes.shape[1])
-        both, back, count = np.unique(np.concatenate([votes, marks[:, None]], axis=1), axis=0, return_inverse=True, return_counts=True)
-        seen, self.mark = both[:, :-1], both[:, -1] * MARK_ODDS
+        seen, back, count = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
         hot = np.stack([seen == v for v in (-1, 0, 1)], axis=2).astype(float)
-        post = 1 / (1 + np.exp(-self.mark))
+        # toxic votes are rare and clean ones common: the start is the share of texts with a smaller balance, against the prior
+        balance = seen.sum(axis=1, dtype=np.int64)
+        order = np.argsort(balance, kind="stable")
+        below = np.empty(len(seen))
+        below[order] = np.cumsum(count[order]) - count[order] / 2
+        post = 1 / (1 + np.exp(-np.clip(20 * (below / max(count.sum(), 1) - (1 - prior)), -60, 60)))
         for _ in range(rounds):
             for _ in range(steps):
                 mass = np.stack([count * (1 - post), count * post])
@@ -220,7 +233,7 @@ class LabelModel:
 
     def _posterior(self, hot):
         logs = np.einsum("nvk,cvk,v->cn", hot, np.log(self.rate), self.weight)
-        z = logs[1] - logs[0] + self.mark + np.log(self.prior / (1 - self.prior))
+        z = logs[1] - logs[0] + np.log(self.prior / (1 - self.prior))
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
     def _left(self, seen, count, post):
@@ -298,15 +311,15 @@ def train(docs: DataFrame, labels: DataFrame, *, label="toxic", most: int = MAX_
     clean, toxic = counts.get(0, 0), counts.get(1, 0)
     if not clean or not toxic:
         return Model(share=float(toxic > 0))
-    slots = lexicon(sample)
-    voters = Voters(slots)
+    slots, of = lexicon(sample)
+    voters = Voters(slots, of)
     got = sample.mapInArrow(_hits_part(sample.sparkSession.sparkContext.broadcast(voters)), "entries binary, patterns binary, y int").toArrow()
     pairs = sorted(zip(got["entries"].to_pylist(), got["patterns"].to_pylist(), got["y"].to_pylist()))  # the same model however the rows arrive
     patterns = np.frombuffer(b"".join(p for _, p, _ in pairs), bool).reshape(-1, len(PATTERNS))
     rows = np.repeat(np.arange(len(pairs)), [len(e) // 4 for e, *_ in pairs])
     entries = np.frombuffer(b"".join(e for e, *_ in pairs), "<i4")
     marks = np.array([y for *_, y in pairs])
-    model = LabelModel(voters.votes(rows, entries, patterns), np.where(marks > 0, 1, -1).astype(np.int8), toxic / (clean + toxic))
+    model = LabelModel(voters.votes(rows, entries, patterns), toxic / (clean + toxic))
     linear = Linear(len(slots), rows, entries, patterns, model.labels)
     linear.calibrate(rows, entries, patterns, marks.astype(float))
     return Model(voters, linear)

@@ -225,7 +225,7 @@ def test_label_model_finds_accuracies_and_copies():
     y = random.random(4000) < 0.3
     votes = np.stack([np.where(random.random(4000) < a, np.where(y, 1, -1), np.where(y, -1, 1)) for a in (0.95, 0.9, 0.85, 0.8)], axis=1).astype(np.int8)
     votes = np.concatenate([votes, votes[:, :1]], axis=1)
-    model = toxicity.LabelModel(votes, np.zeros(4000, np.int8), 0.3)
+    model = toxicity.LabelModel(votes, 0.3)
     assert model.correlation[0, 4] > 0.9 and model.weight[0] < 0.6 < model.weight[2]
     assert np.mean((model.labels > 0.5) == y) > 0.9
 
