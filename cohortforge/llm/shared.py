@@ -30,6 +30,8 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="cohortforge-")
         sc.setCheckpointDir(root)
     return root.rstrip("/")
@@ -54,6 +56,11 @@ def _remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def own_folder(spark: SparkSession) -> str:
+    """The name of a new folder in this application's part of the shared one."""
+    return f"{_own_dir(spark)}/{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, gather: bool = False) -> DataFrame:
     """The frame written to the shared folder and read again: a cut lineage that survives lost executors.
 
@@ -62,7 +69,7 @@ def stored(df: DataFrame, gather: bool = False) -> DataFrame:
     spark = df.sparkSession
     df = df.hint("rebalance") if gather else df
     prepared(spark)
-    path = f"{_own_dir(spark)}/{uuid.uuid4().hex}"
+    path = own_folder(spark)
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path

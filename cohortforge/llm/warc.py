@@ -4,14 +4,17 @@ A package holds stored (uncompressed) members: ``archive/data.warc``,
 ``indexes/index.cdxj`` (one line for each record: key, offset, length) and a
 description.  The reader asks its source for ranges only: the end of the file,
 the ZIP64 end record where there is one, the central directory, a member's local
-header, the index, and then each record at its offset; nothing is unpacked.
-Packages are rows of a stored table (name, bytes) of about ``PACKAGE_BYTES``, so
-they work on any file system Spark reads; ``RangeSource`` also takes an open file.
+header, the index, and then records at their offsets (neighbouring ones in ranges of about ``RANGE_BYTES``); nothing is unpacked.
+``write_files`` puts packages of about ``PACKAGE_BYTES`` into files of the shared folder and ``read_files`` reads them there by
+ranges.  Names are new for each attempt, and the stored list holds those of the attempts that counted, so a task that runs again
+leaves no package twice.  Where the shared folder's file system is none that Arrow opens, ``write`` and ``read`` keep packages as
+rows of a stored table (name, bytes) instead.
 
 Of records with equal payloads of at least ``LEAST_REVISIT`` bytes the one with
 the smallest id keeps the payload (response), the others refer to it (revisit).
 Rows that repeat id and payload of the response are responses too.  A null payload
-is an empty one; a null id never is the smallest, and is kept.
+is an empty one; a null id never is the smallest, and is kept.  Ids may be of any type that casts to text and back.  Sizes and
+digests of revisits are those in their headers, as a revisit has no payload; those of responses are computed from what is read.
 """
 
 from __future__ import annotations
@@ -22,16 +25,18 @@ import json
 import struct
 import uuid
 import zlib
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortforge.llm import bytesops as B
-from cohortforge.llm.shared import stored, table
+from cohortforge.llm.shared import own_folder, partitions, stored, table
 
 LEAST_REVISIT = 100
 PACKAGE_BYTES = 4 << 20
+RANGE_BYTES = 1 << 20
 DATA, INDEX, ABOUT = "archive/data.warc", "indexes/index.cdxj", "datapackage.json"
 LIMIT = 0xFFFFFFFF
 
@@ -165,13 +170,14 @@ def record(page, url: str | None, payload: bytes, digest: str, refers_to) -> byt
         "WARC-Date": "1970-01-01T00:00:00Z",
         "WARC-Payload-Digest": f"sha256:{digest}",
         "X-Payload-Length": len(payload),
-        "X-Page-Id": "" if page is None else page,
         "Content-Type": "application/http; msgtype=response",
         "Content-Length": len(block),
     }
+    if page is not None:
+        head["X-Page-Id"] = quote(str(page))
     if refers_to is not None:
         head["WARC-Profile"] = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-        head["X-Refers-To-Page-Id"] = refers_to
+        head["X-Refers-To-Page-Id"] = quote(str(refers_to))
     return b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head.items()).encode() + b"\r\n" + block + b"\r\n\r\n"
 
 
@@ -196,14 +202,23 @@ def bundle(records: list[tuple[str, bytes]]) -> bytes:
 
 
 def records_of(source: RangeSource):
-    """Each record of a package, by the index and one range read each."""
+    """Each record of a package, by the index and range reads of neighbouring records."""
     archive = ZipArchive(source)
-    start = archive.start(DATA)
-    for line in archive.read(INDEX).decode().splitlines():
-        place = json.loads(line.partition(" ")[2])
-        if place["offset"] + place["length"] > archive.members[DATA].size:
-            raise ValueError("the index points beyond its archive")
-        yield parse(source.range(start + place["offset"], place["length"]))
+    start, size = archive.start(DATA), archive.members[DATA].size
+    places = [json.loads(line.partition(" ")[2]) for line in archive.read(INDEX).decode().splitlines()]
+    spans = [(x["offset"], x["offset"] + x["length"]) for x in places]
+    if any(a < 0 or b > size for a, b in spans):
+        raise ValueError("the index points beyond its archive")
+    at = 0
+    while at < len(spans):
+        to = at + 1
+        while to < len(spans) and spans[to][0] == spans[to - 1][1] and spans[to][1] - spans[at][0] <= RANGE_BYTES:
+            to += 1
+        first = spans[at][0]
+        held = source.range(start + first, spans[to - 1][1] - first)
+        for a, b in spans[at:to]:
+            yield parse(held[a - first : b - first])
+        at = to
 
 
 # --- tables --------------------------------------------------------------------------------------
@@ -222,58 +237,128 @@ def verdicts(pages: DataFrame) -> DataFrame:
     return whole.join(revisits, same, "left").select(whole["page_id"], "url", "html", whole["digest"], "refers_to")
 
 
+def _packages(batches):
+    """Packages of a bounded size from rows of ``verdicts``."""
+    held, size = [], 0
+    for batch in batches:
+        col = dict(zip(batch.schema.names, batch.columns))
+        ids, urls, refers = (col[c].to_pylist() for c in ("page_id", "url", "refers_to"))
+        digests = col["digest"].to_pylist()
+        for page, url, digest, to, payload in zip(ids, urls, digests, refers, B.texts_of(col["html"])):
+            raw = record(page, url, payload, digest, to)
+            held.append((f"page{quote(str(page))}", raw))
+            size += len(raw)
+            if size >= PACKAGE_BYTES:
+                yield bundle(held)
+                held, size = [], 0
+    if held:
+        yield bundle(held)
+
+
 def write(pages: DataFrame) -> DataFrame:
     """A stored table of packages (name, content) that hold all ``pages``."""
 
     def run(batches):
-        held, size = [], 0
-        for batch in batches:
-            col = dict(zip(batch.schema.names, batch.columns))
-            ids, urls, refers = (col[c].to_pylist() for c in ("page_id", "url", "refers_to"))
-            digests = col["digest"].to_pylist()
-            for page, url, digest, to, payload in zip(ids, urls, digests, refers, B.texts_of(col["html"])):
-                raw = record(page, url, payload, digest, to)
-                held.append((f"page{page}", raw))
-                size += len(raw)
-                if size >= PACKAGE_BYTES:
-                    yield one(held)
-                    held, size = [], 0
-        if held:
-            yield one(held)
-
-    def one(held):
-        content = bundle(held)
-        return pa.RecordBatch.from_arrays([pa.array([hashlib.sha256(content).hexdigest() + ".wacz"]), pa.array([content], pa.binary())], names=["name", "content"])
-
-    return stored(verdicts(pages).mapInArrow(run, "name string, content binary"))
-
-
-def read(packages: DataFrame, with_payload: bool = False) -> DataFrame:
-    """page_id, url, payload_bytes, payload_digest, record_type, refers_to of each record (and the payload, for responses)."""
+        for content in _packages(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([hashlib.sha256(content).hexdigest() + ".wacz"]), pa.array([content], pa.binary())], names=["name", "content"])
+
+    return stored(_as_text(verdicts(pages)).mapInArrow(run, "name string, content binary"))
+
+
+def _as_text(pages: DataFrame) -> DataFrame:
+    return pages.withColumns({c: F.col(c).cast("string") for c in ("page_id", "refers_to")})
+
+
+def file_system(folder: str):
+    """Arrow's file system and path of a folder, by any worker."""
+    from pyarrow import fs
+
+    if folder.startswith("file:"):
+        folder = "/" + folder.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(folder)
+
+
+def write_files(pages: DataFrame, folder: str) -> DataFrame:
+    """A stored list (path, size) of ZIP files in the folder that hold all ``pages``."""
+
+    def run(batches):
+        system, root = file_system(folder)
+        system.create_dir(root, recursive=True)
+        for content in _packages(batches):
+            name = f"{uuid.uuid4().hex}.wacz"
+            with system.open_output_stream(f"{root}/{name}") as out:
+                out.write(content)
+            yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"]), pa.array([len(content)])], names=["path", "size"])
+
+    return stored(_as_text(verdicts(pages)).mapInArrow(run, "path string, size long"))
+
+
+_READ = "page_id string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string, payload binary"
+
+
+def _read_source(source: RangeSource, with_payload: bool):
+    """Batches of a bounded size of a package's records."""
     names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
-    types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
+    types = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary()]
+    rows: list[tuple] = []
+    for head, payload in records_of(source):
+        digest, size = head["WARC-Payload-Digest"].partition(":")[2], int(head["X-Payload-Length"])
+        if head["WARC-Type"] == "response":
+            digest, size = hashlib.sha256(payload).hexdigest(), len(payload)
+            if digest != head["WARC-Payload-Digest"].partition(":")[2]:
+                raise ValueError("a payload differs from its digest")
+        to = head.get("X-Refers-To-Page-Id")
+        page, to = (None if x is None else unquote(x) for x in (head.get("X-Page-Id"), to))
+        rows.append((page, head["WARC-Target-URI"], size, digest, head["WARC-Type"], to, payload if with_payload and to is None else None))
+        if len(rows) == 4096:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+            rows = []
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+
+
+def _typed(done: DataFrame, kind: str, with_payload: bool) -> DataFrame:
+    done = done.withColumns({c: F.col(c).cast(kind) for c in ("page_id", "refers_to")})
+    return done if with_payload else done.drop("payload")
+
+
+def read(packages: DataFrame, with_payload: bool = False, kind: str = "long") -> DataFrame:
+    """page_id (of the kind), url, payload_bytes, payload_digest, record_type, refers_to of each record (and the payload, for responses)."""
 
     def run(batches):
         for batch in batches:
             for content in B.texts_of(batch.column(batch.schema.names.index("content"))):
-                rows = []
-                for head, payload in records_of(RangeSource(content)):
-                    digest, size = head["WARC-Payload-Digest"].partition(":")[2], int(head["X-Payload-Length"])
-                    if head["WARC-Type"] == "response":
-                        digest, size = hashlib.sha256(payload).hexdigest(), len(payload)
-                        if digest != head["WARC-Payload-Digest"].partition(":")[2]:
-                            raise ValueError("a payload differs from its digest")
-                    to, page = head.get("X-Refers-To-Page-Id"), head["X-Page-Id"]
-                    rows.append((int(page) if page else None, head["WARC-Target-URI"], size, digest, head["WARC-Type"], int(to) if to else None, payload if with_payload and to is None else None))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
-
-    done = packages.mapInArrow(run, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
-    return done if with_payload else done.drop("payload")
+                yield from _read_source(RangeSource(content), with_payload)
+
+    return _typed(packages.mapInArrow(run, _READ), kind, with_payload)
+
+
+def read_files(files: DataFrame, with_payload: bool = False, kind: str = "long") -> DataFrame:
+    """As ``read``, of ZIP files (path), from which only ranges are read."""
+
+    def run(batches):
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                folder, _, name = path.rpartition("/")
+                system, root = file_system(folder)
+                with system.open_input_file(f"{root}/{name}") as held:
+                    yield from _read_source(RangeSource(held), with_payload)
+
+    paths = files.select("path")
+    return _typed(paths.repartition(partitions(files.sparkSession)).mapInArrow(run, _READ), kind, with_payload)
 
 
 def query(spark, sf_dir) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    return read(write(pages)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    kind = dict(pages.dtypes)["page_id"]
+    folder = own_folder(spark)
+    try:
+        file_system(folder)
+    except (pa.ArrowInvalid, OSError):  # a file system of Spark's alone
+        done = read(write(pages), kind=kind)
+    else:
+        done = read_files(write_files(pages, folder), kind=kind)
+    return done.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 ORACLE = """

@@ -451,7 +451,7 @@ def test_components(spark):
 # --- 8 -------------------------------------------------------------------------------------------
 
 
-def test_warc(spark):
+def test_warc(spark, tmp_path):
     same, short = "<p>é" * 50, "tiny"
     rows = [(5, "u5", same, 1), (3, "u\r\n3", same, 2), (9, None, same, 3), (3, "u3", same, 4), (1, "u1", short, 5), (2, "u2", short, 6), (7, "u7", None, 7), (None, "u", same, 8), (None, "u", "other" * 40, 9), (8, "u8", "\r\n\r\n" * 40, 10)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, digest long")
@@ -467,6 +467,27 @@ def test_warc(spark):
     names = zipfile.ZipFile(io.BytesIO(bytes(content))).namelist()
     assert names == [warc.DATA, warc.INDEX, warc.ABOUT]
     assert warc.read(warc.write(pages.limit(0))).count() == 0
+    for folder in (str(tmp_path / "a"), f"file://{tmp_path}/b"):
+        files = warc.write_files(pages, folder)
+        assert sorted(map(tuple, warc.read_files(files, True).drop("url").collect()), key=key) == got
+        assert all(zipfile.ZipFile(r.path.removeprefix("file://")).testzip() is None for r in files.collect())
+    assert warc.read_files(warc.write_files(pages.limit(0), str(tmp_path / "c"))).count() == 0
+    named = pages.select(F.concat(F.lit("p \n:"), "page_id").alias("page_id"), "url", "html")
+    texts = {r.page_id: r.refers_to for r in warc.read_files(warc.write_files(named, str(tmp_path / "d")), kind="string").collect()}
+    assert texts["p \n:5"] == "p \n:3" and set(texts) == {r.page_id for r in named.collect()}
+
+
+def test_ranges_alone_are_read():
+    content = warc.bundle([(f"page{i}", warc.record(i, "u", b"x" * 3000, "d", None)) for i in range(1000)])
+    asked = []
+
+    class Counted(warc.RangeSource):
+        def range(self, start, length):
+            asked.append(length)
+            return super().range(start, length)
+
+    assert sum(1 for _ in warc.records_of(Counted(io.BytesIO(content)))) == 1000
+    assert max(asked) <= warc.RANGE_BYTES and len(asked) < 20
 
 
 def test_zip_reader(tmp_path):
