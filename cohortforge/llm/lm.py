@@ -17,12 +17,16 @@ The probability of a word after another is the pair's count with ``PRIOR``
 pseudo-counts spread by the words' own probabilities.  Base scores use exact counts.
 
 Null and empty texts hold one end token.  Rows that repeat are counted each.
-The frame must give the same rows in the same order when a task runs again, as
-stored tables do.
+The frame should give the same rows in the same order when a task runs again, as
+stored tables do.  Blocks are named by their content, so if it doesn't, answers
+of another order never meet: the job fails, and scores are never mixed.
+Other columns than id and text are left out of the scores.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -43,6 +47,7 @@ FLUSH_TOKENS = 3_000_000
 ALPHA = 0.1
 END = np.uint64(0x5DEECE66D1234567)
 WORDS, PAIRS, FILTER, ASKED, TEXTS = range(5)
+CHANGED = "a block's texts and answers don't belong together: the rows came in another order when a task ran again; store them first"
 
 
 def token_hashes(buf, off) -> tuple[np.ndarray, np.ndarray]:
@@ -265,11 +270,13 @@ def _ask_part(n_buckets: int):
             buf, off = B.utf8(batch.column(1))
             ids = batch.column(0)
             for a, b in B.chunks(off, BLOCK_BYTES):
-                block = f"{TaskContext.get().partitionId()}-{number}"
-                number += 1
                 own, own_off = buf[off[a] : off[b]], off[a : b + 1] - off[a]
+                held = _ids(ids.slice(a, b - a))
+                content = hashlib.blake2b(own.tobytes() + own_off.tobytes() + held, digest_size=8).hexdigest()
+                block = f"{TaskContext.get().partitionId()}-{number}-{content}"
+                number += 1
                 _, _, (words, _), (pairs, _) = _distinct(own, own_off)
-                out = [(int(sum(map(ord, block)) * 2654435761 % n_buckets), TEXTS, block, _ids(ids.slice(a, b - a)), _text(own, own_off))]
+                out = [(int(sum(map(ord, block)) * 2654435761 % n_buckets), TEXTS, block, held, _text(own, own_off))]
                 of_words, of_pairs = (np.searchsorted(bucket_of(x, n_buckets), np.arange(n_buckets + 1)) for x in (words, pairs))
                 for k in range(n_buckets):
                     w, x = words[of_words[k] : of_words[k + 1]], pairs[of_pairs[k] : of_pairs[k + 1]]
@@ -360,6 +367,8 @@ def _gather(id_type: pa.DataType, tokens: int, distinct: int):
             exact.append(_from_planes(own_words[:k]))
             levels.append(np.frombuffer(own_words[k:], np.uint8))
             pair_levels.append(np.frombuffer(own_pairs, np.uint8))
+        if sum(map(len, levels)) != len(words) or sum(map(len, pair_levels)) != int(pair_at.max(initial=-1)) + 1:
+            raise RuntimeError(CHANGED)
         exact, estimate = np.concatenate(exact), expected(np.concatenate(levels))
         uni = (estimate + ALPHA) / (tokens + ALPHA * (distinct + 1))
         c2 = expected(np.concatenate(pair_levels))[pair_at]
@@ -386,6 +395,8 @@ def _gather(id_type: pa.DataType, tokens: int, distinct: int):
                 if block != now:
                     if texts:
                         yield scored(texts, answers)
+                    elif answers:
+                        raise RuntimeError(CHANGED)
                     now, texts, answers = block, None, []
                 if kind == TEXTS:
                     texts = words, pairs
@@ -393,6 +404,8 @@ def _gather(id_type: pa.DataType, tokens: int, distinct: int):
                     answers.append((words, pairs))
         if texts:
             yield scored(texts, answers)
+        elif answers:
+            raise RuntimeError(CHANGED)
 
     return run
 

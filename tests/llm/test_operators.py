@@ -594,6 +594,28 @@ def test_lm_base_scores(docs, empty):
     assert lm.score(empty, none).count() == 0 and lm.score(docs, none).count() == len(rows)
 
 
+def test_lm_scores_by_force(spark, docs):
+    """Scores token by token, with each level asked of the filter's stored segments directly."""
+    model = lm.train(docs.where("doc_id % 3 <> 0"))
+    stored = {r.bucket: bytes(r["keys"]) for r in model.counts.where(F.col("kind") == lm.FILTER).collect()}
+    held = lm.LogFrequencyFilter([stored.get(b, bytes(8)) for b in range(model.n_buckets)])
+    count = lambda k: float(held.counts(np.array([k], np.uint64))[0])
+    spread = model.tokens + lm.ALPHA * (model.distinct + 1)
+    expected = []
+    for r in docs.where("length(text) < 4000 or text is null").select("doc_id", "text").collect():
+        raw = np.frombuffer((r.text or "").encode(), np.uint8)
+        tokens, _ = lm.token_hashes(raw, np.array([0, len(raw)]))
+        pairs, _ = lm.pair_hashes(tokens)
+        total, before = 0.0, lm.END
+        for token, pair in zip(tokens, pairs):
+            c1, c2 = count(before), count(pair)
+            total += math.log10((min(c2, c1) + lm.PRIOR * (count(token) + lm.ALPHA) / spread) / (c1 + lm.PRIOR))
+            before = token
+        expected.append((r.doc_id, round(total, 6)))
+    got = [(r.doc_id, round(r.score, 6)) for r in lm.score(docs.where("length(text) < 4000 or text is null"), model).collect()]
+    assert sorted(got, key=key) == sorted(expected, key=key)
+
+
 def test_filter_holds_all_counts():
     random = np.random.default_rng(7)
     keys = np.unique(random.integers(0, 2**63, 5000).astype(np.uint64) * np.uint64(2))
