@@ -113,7 +113,7 @@ def scan(df: DataFrame, items: DataFrame, *, id_col="item_id", item_text="text",
     for group in range(n):
         own = all_ if n == 1 else all_.where(F.pmod(F.xxhash64("pattern"), F.lit(n)) == group)
         sent = df.sparkSession.sparkContext.broadcast([tuple(r) for r in own.toLocalIterator()])
-        out = out.mapInArrow(_scanner(sent, text_col, uuid.uuid4().hex), schema)
+        out = out.mapInArrow(B.trimmed(_scanner(sent, text_col, uuid.uuid4().hex)), schema)
         if n > 1:  # the next group's patterns take this one's place
             out = stored(out)
             sent.destroy()

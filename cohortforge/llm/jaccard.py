@@ -116,7 +116,7 @@ def membership(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sizes.astype(np.int64)), pa.array(classes, mask=sizes == 0)], names=[id_col, "n_shingles", "class"])
 
     kind = dict(docs.dtypes)[id_col]
-    return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {kind}, n_shingles long, class long")
+    return docs.select(id_col, text_col).mapInArrow(B.trimmed(run), f"{id_col} {kind}, n_shingles long, class long")
 
 
 def subset_sizes(n: int, boundary: int) -> list[int]:
@@ -403,7 +403,7 @@ def _sets_again(docs: DataFrame, ids: DataFrame, count: int, rest_only: bool) ->
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(classes), pa.array(out, pa.binary())], names=["doc_id", "class", "tokens"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h")).mapInArrow(run, f"doc_id {kind}, class long, tokens binary")
+    return docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h")).mapInArrow(B.trimmed(run), f"doc_id {kind}, class long, tokens binary")
 
 
 def _as_postings(n_buckets: int):
@@ -506,7 +506,7 @@ def _compared(stars: DataFrame, sets: DataFrame) -> DataFrame:
     salted = stars.join(size, "leader").select("leader", F.pmod(F.xxhash64("member"), F.col("parts")).cast("int").alias("salt"), "parts", "member")
     own = size.select("leader", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), "parts", F.col("leader").alias("member"))
     full = salted.unionByName(own).join(sets.withColumnRenamed("class", "member"), "member")
-    return full.select("leader", "salt", "parts", "member", "tokens").repartition(partitions(spark), "leader", "salt").mapInArrow(_compare, _FOUND)
+    return full.select("leader", "salt", "parts", "member", "tokens").repartition(partitions(spark), "leader", "salt").mapInArrow(B.trimmed(_compare), _FOUND)
 
 
 def _shared_beyond(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -568,7 +568,7 @@ def _loose_links(left: DataFrame) -> DataFrame:
     blocks = stored(loose.groupBy("leader").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))
     rows = loose.join(blocks, "leader").select("leader", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int").alias("block"), F.lit(True).alias("is_row"), *cols)
     columns = left.join(blocks, "leader").select("leader", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(False).alias("is_row"), *cols)
-    return rows.unionByName(columns).repartition(partitions(left.sparkSession), "leader", "block").mapInArrow(_compare_loose, "a long, b long")
+    return rows.unionByName(columns).repartition(partitions(left.sparkSession), "leader", "block").mapInArrow(B.trimmed(_compare_loose), "a long, b long")
 
 
 def _without_covered(stars: DataFrame) -> DataFrame:
@@ -599,9 +599,9 @@ def links(docs: DataFrame, members: DataFrame) -> DataFrame:
     boundary = boundary_by_cost(small)
     classes = stored(members.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("rep")))
     texts = docs.select("text")
-    shipped = texts.mapInArrow(_ship(n, boundary), _SHIPPED)
-    counted = shipped.repartition(p, "bucket").mapInArrow(_count_lists(n), _PACKED)
-    postings = stored(counted.repartition(p, "bucket").mapInArrow(_prefixes(n), _PACKED))
+    shipped = texts.mapInArrow(B.trimmed(_ship(n, boundary)), _SHIPPED)
+    counted = shipped.repartition(p, "bucket").mapInArrow(B.trimmed(_count_lists(n)), _PACKED)
+    postings = stored(counted.repartition(p, "bucket").mapInArrow(B.trimmed(_prefixes(n)), _PACKED))
     tidy(spark)
     poor = stored(postings.where("bucket = -1").mapInArrow(_poor_rows, "class long, rank int, band int"), gather=True)
     poor_ids = poor.join(classes, "class").select("rep")
@@ -611,8 +611,8 @@ def links(docs: DataFrame, members: DataFrame) -> DataFrame:
         again = _sets_again(docs, poor_ids, count, True).join(poor, "class").join(classes, "class").where(F.col("doc_id").eqNullSafe(F.col("rep")))
         lists = lists.unionByName(again.select("class", "tokens", "rank", "band").mapInArrow(_as_postings(n), _PACKED))
     if boundary:
-        lists = lists.unionByName(texts.mapInArrow(_subset_postings(n, boundary), _PACKED))
-    every = stored(lists.repartition(p, "bucket").mapInArrow(_leaders, "leader long, member long").distinct())
+        lists = lists.unionByName(texts.mapInArrow(B.trimmed(_subset_postings(n, boundary)), _PACKED))
+    every = stored(lists.repartition(p, "bucket").mapInArrow(B.trimmed(_leaders), "leader long, member long").distinct())
     stars = _without_covered(every)
     discard(postings, poor, every)
     wanted = stored(stars.select(F.col("leader").alias("class")).unionByName(stars.select(F.col("member").alias("class"))).distinct().join(classes, "class"))

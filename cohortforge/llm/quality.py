@@ -228,7 +228,7 @@ def _statistics_part(batches):
 
 
 def train(docs: DataFrame, labels: DataFrame, *, label="quality", most: int = MAX_TRAINING_ROWS) -> AdditiveModel:
-    rows = labelled(docs, labels, label, most=most).mapInArrow(_statistics_part, "y int, x binary").toArrow()
+    rows = labelled(docs, labels, label, most=most).mapInArrow(B.trimmed(_statistics_part), "y int, x binary").toArrow()
     x = np.frombuffer(b"".join(rows["x"].to_pylist()), "<f8").reshape(-1, len(FEATURES))
     y = rows["y"].to_numpy().astype(float)
     order = np.lexsort((*x.T, y))  # the same model however the rows arrive
@@ -248,7 +248,7 @@ def score(df: DataFrame, model: AdditiveModel, *, text_col="text", score_col="sc
                 x = statistics(buf[off[a] : off[b]], off[a : b + 1] - off[a])
                 yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns), pa.array(sent.value.predict(x))], names=[*names, score_col])
 
-    return kept.mapInArrow(run, kept.withColumn(score_col, F.lit(None).cast("double")).schema)
+    return kept.mapInArrow(B.trimmed(run), kept.withColumn(score_col, F.lit(None).cast("double")).schema)
 
 
 def keep(df: DataFrame, model: AdditiveModel, *, text_col="text", threshold=THRESHOLD) -> DataFrame:

@@ -34,7 +34,6 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -243,7 +242,7 @@ def spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     spark = texts.sparkSession
     p = partitions(spark)
     kind = dict(texts.dtypes)["doc_id"]
-    found = texts.where(F.col("n") >= length).mapInArrow(_find(length), f"doc_id {kind}, k long, n int, lo int, hi int, at int, m long, h long, c long")
+    found = texts.where(F.col("n") >= length).mapInArrow(B.trimmed(_find(length)), f"doc_id {kind}, k long, n int, lo int, hi int, at int, m long, h long, c long")
     found = found.persist(StorageLevel.DISK_ONLY)  # a lost part is found anew from its texts
     places = found.where("h is not null")
     # all the firsts are of one row; which one is fixed by storing it
@@ -262,17 +261,17 @@ def spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     wanted = stored(wanted.groupBy("doc_id", "k", "n").agg(F.collect_list("cut").alias("cuts")))
     near = texts.where(_among(wanted.select("doc_id"), F.xxhash64("doc_id")))
     joined = near.join(wanted, near["doc_id"].eqNullSafe(wanted["doc_id"]) & (near["k"] == wanted["k"]) & (near["n"] == wanted["n"]))
-    rows = stored(joined.select(near["k"], near["n"], "cuts", "text").mapInArrow(_cut(length), _ROW).dropDuplicates(["key", "c"]))
+    rows = stored(joined.select(near["k"], near["n"], "cuts", "text").mapInArrow(B.trimmed(_cut(length)), _ROW).dropDuplicates(["key", "c"]))
     discard(counted, rulers, ruled, wanted)
     out = [whole]
     for width in (*BANDS, 0):
         kinds = stored(rows.groupBy("key").agg(F.count("*").alias("kinds")))
         hot = kinds.where(F.col("kinds") > MOST).select("key")
         cool = rows.join(kinds.where((F.col("kinds") <= MOST) & (F.col("kinds") > 1)).select("key"), "key") if width else rows
-        out.append(stored(cool.select(*_ROW_NAMES).repartition(p, "key").mapInArrow(_merge_rows(length), _SPAN), gather=True))
+        out.append(stored(cool.select(*_ROW_NAMES).repartition(p, "key").mapInArrow(B.trimmed(_merge_rows(length)), _SPAN), gather=True))
         if not width or hot.isEmpty():
             break
-        parts = stored(rows.join(hot, "key").select(*_ROW_NAMES).mapInArrow(_bands(width, length), _ROW))
+        parts = stored(rows.join(hot, "key").select(*_ROW_NAMES).mapInArrow(B.trimmed(_bands(width, length)), _ROW))
         many = stored(parts.groupBy("key", "c").agg(F.sum("m").alias("m"), F.count("*").alias("rows")))
         both = parts.drop("m").join(many, ["key", "c"])
         out.append(stored(both.where("m > 1").select("k", "n", F.col("lo").alias("first"), ends)))
@@ -292,9 +291,9 @@ def _among(ids: DataFrame, hashes):
     """Whether a hash is (or may be) that of one of the ids; only the hashes go to Python."""
     held = ids.sparkSession.sparkContext.broadcast(Bitmap(ids, ids.count()))
 
-    @F.pandas_udf("boolean")
-    def has(h: pd.Series) -> pd.Series:
-        return pd.Series(held.value.has(pa.array(h)))
+    @F.arrow_udf("boolean")
+    def has(h: pa.Array) -> pa.Array:
+        return pa.array(held.value.has(h))
 
     return has(hashes)
 
@@ -361,7 +360,7 @@ def removed(df: DataFrame, *, id_col="doc_id", text_col="text", keep_text=False,
         shorter = stored(spans(texts, also))
         lists = stored(shorter.groupBy("k", "n").agg(F.collect_set(F.struct("first", "last")).alias("cuts")))
         near = texts.where(_among(lists.select("k"), F.xxhash64("k")))
-        runs = near.join(lists, ["k", "n"]).select("k", "n", "cuts", "text").mapInArrow(_segments(length), "k long, n int, from int, body binary")
+        runs = near.join(lists, ["k", "n"]).select("k", "n", "cuts", "text").mapInArrow(B.trimmed(_segments(length)), "k long, n int, from int, body binary")
         body = F.col("body").cast("string")
         runs = stored(runs.select("k", "n", "from", F.xxhash64(body).alias("own_k"), F.octet_length(body).alias("own_n"), body.alias("text")))
         within = spans(runs.select(F.col("k").alias("doc_id"), F.col("own_k").alias("k"), F.col("own_n").alias("n"), "text"), length)
@@ -384,7 +383,7 @@ def removed(df: DataFrame, *, id_col="doc_id", text_col="text", keep_text=False,
     full = held.unionByName(staying)
     made = ["n_bytes", "n_removed", "n_spans", *([f"n_repeated_{also}"] if also else [])]
     schema = full.select(*inner.values(), *(F.lit(0).cast("long").alias(f"r{i}") for i in range(len(made))), F.lit(None).cast("string").alias(f"r{len(made)}")).schema
-    done = full.mapInArrow(_united(full.columns, keep_text, bool(also)), schema)
+    done = full.mapInArrow(B.trimmed(_united(full.columns, keep_text, bool(also))), schema)
     return done.select(*(F.col(inner[c]).alias(c) for c in others), *(F.col(f"r{i}").alias(c) for i, c in enumerate([*made, "kept"])))
 
 
