@@ -26,10 +26,8 @@ def normalize_label(c) -> Column:
 def sanitize_task_entity(stem) -> Column:
     """A file stem with the label of its task entity normalised and the rest as it was."""
     s = col(stem)
-    head = F.regexp_extract(s, "^(.*?(?:^|_)task-)([^_]*)(.*)$", 1)
-    label = F.regexp_extract(s, "^(.*?(?:^|_)task-)([^_]*)(.*)$", 2)
-    tail = F.regexp_extract(s, "^(.*?(?:^|_)task-)([^_]*)(.*)$", 3)
-    return F.when(head == "", s).otherwise(F.concat(head, normalize_label(label), tail))
+    parts = F.split(F.regexp_replace(s, "^(.*?(?:^|_)task-)([^_]*)(.*)$", "$1\u0001$2\u0001$3"), "\u0001")
+    return F.when(F.size(parts) == 3, F.concat(parts[0], normalize_label(parts[1]), parts[2])).otherwise(s)
 
 
 def recording_to_task_name(name) -> Column:
@@ -59,8 +57,7 @@ def recording_parts(name) -> Column:
 
 def canonical_stem(stem) -> Column:
     """A stem up to its task entity, or the whole stem without one."""
-    head = F.regexp_extract(col(stem), "^(.*?(?:^|_)task-[^_]*)", 1)
-    return F.when(head == "", col(stem)).otherwise(head)
+    return F.regexp_replace(col(stem), "^(.*?(?:^|_)task-[^_]*).*$", "$1")
 
 
 def reduce_id(c, n: int = 8) -> Column:

@@ -65,7 +65,10 @@ def prefix_join(left: DataFrame, right: DataFrame, text: str, prefix: str, key:
 
 
 def hierarchy(participants: DataFrame, sessions: DataFrame, tasks: DataFrame, recordings: DataFrame) -> DataFrame:
-    """Participants with nested sessions, tasks and recordings; participants without sessions stay, lists are sorted."""
+    """Participants with nested sessions, tasks and recordings; participants without sessions stay, lists are sorted.
+
+    A row holds one participant's whole tree, so it grows with the recordings of one person, not with the table.
+    """
     r = recordings.groupBy("recording_acoustic_task_id").agg(F.sort_array(F.collect_list(F.struct("recording_id"))).alias("recordings"))
     t = tasks.join(r, tasks["acoustic_task_id"] == r["recording_acoustic_task_id"], "left")
     t = t.groupBy("acoustic_task_session_id").agg(F.sort_array(F.collect_list(F.struct("acoustic_task_id", "acoustic_task_name", F.coalesce("recordings", F.array()).alias("recordings")))).alias("tasks"))

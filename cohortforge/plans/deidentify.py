@@ -13,6 +13,8 @@ from cohortforge.operators import joins, select, windows
 
 # Feature groups that may identify a speaker (group, name; no name: the whole group).
 SENSITIVE = [("torchaudio", "mel_filter_bank"), ("torchaudio", "mfcc"), ("torchaudio", "mel_spectrogram"), ("torchaudio", "spectrogram"), ("ppgs", ""), ("transcription", ""), ("sparc", "ema")]
+# The features of a bundle (group, name).
+FEATURES = [("ppgs", "ppgs"), ("torchaudio", "pitch"), ("torchaudio", "mel_spectrogram"), ("torchaudio", "spectrogram"), ("torchaudio", "mfcc"), ("sparc", "ema"), ("sparc", "loudness"), ("sparc", "pitch"), ("sparc", "periodicity")]
 STRIDED = ("spectrogram", "mfcc", "mel_spectrogram")
 
 
@@ -47,13 +49,9 @@ def files_deidentified(files: DataFrame, participants: DataFrame, sessions: Data
     f = files.withColumns({"participant_id": path_entity("path", "sub"), "session_id": path_entity("path", "ses"), "stem": F.regexp_extract("path", r"([^/]+?)(?:\.[^./]+)?$", 1)})
     f = joins.excluded(f, removed.select(F.col(removed.columns[0]).alias("participant_id")), "participant_id")
     f = joins.excluded_stems(f, stems)
-    label = normalize_label("stem")
-    f = f.where(~label.contains("audio-check"))
-    if tasks is not None:
-        hit = F.lit(False)
-        for t in tasks:
-            hit = hit | label.contains(t)
-        f = f.where(hit)
+    # one pattern, so that the label is made once: no audio check, and one of the tasks
+    wanted = "" if tasks is None else "".join(["(?:", "|".join(rf"\Q{t}\E" for t in tasks) if tasks else "(?!)", ")"])
+    f = f.where(normalize_label("stem").rlike(f"^(?!.*audio-check).*{wanted}"))
     f = joins.remapped(joins.remapped(f, participants, "participant_id"), sessions, "session_id")
     tail = F.array_join(F.slice(F.split("stem", "_"), 3, 1000), "-")
     name = sanitize_task_entity(F.concat(F.lit("sub-"), "participant_id", F.lit("_ses-"), "session_id", F.lit("_"), tail))
@@ -79,6 +77,11 @@ def metrics_deidentified(metrics: DataFrame, participants: DataFrame, sessions:
     return joins.remapped(joins.remapped(m, participants, "participant_id"), sessions, "session_id")
 
 
+def feature_tables(tensors: DataFrame, features: Sequence[tuple[str, str]] = ()) -> dict[str, DataFrame]:
+    """A table for each of the bundled features, by its name in the bundle."""
+    return {name if group == name else f"{group}_{name}": feature_table(tensors, group, name) for group, name in features or FEATURES}
+
+
 def feature_table(tensors: DataFrame, group: str, name: str) -> DataFrame:
     """participant, session, task, the feature and n_frames, ready to bundle; missing and all-NaN ones are left out."""
     df = tensors.where((F.col("feature_group") == group) & (F.col("feature_name") == name)).where(T.has_values("data"))

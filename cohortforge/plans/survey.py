@@ -28,6 +28,14 @@ def questionnaire_types(files: DataFrame, subject_only: bool = False, path: str
     return files.select(F.element_at(F.split(stem, "_"), -1).alias("questionnaire")).where("questionnaire is not null").distinct()
 
 
+def instrument(instruments: DataFrame, name: str, column: str = "name") -> dict:
+    """The one instrument of a registry table with a name; none or several are an error."""
+    found = instruments.where(F.col(column) == name).limit(2).collect()
+    if len(found) != 1:
+        raise ValueError(f"{'no' if not found else 'more than one'} instrument is named {name}")
+    return found[0].asDict()
+
+
 def response_rows(responses: DataFrame, subsecond_only: bool = False) -> DataFrame:
     """record, session, instrument, item, values, start, end, duration from parsed responses and their activity times."""
     instrument = F.element_at(F.split("activity", "/"), -1)
