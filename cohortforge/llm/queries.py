@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortforge.llm import bpe, decontam, jaccard, jpeg, licences, lm, oracles, quality, suffixdedup, toxicity, warc
+from cohortforge.llm import bpe, decontam, jaccard, jpeg, licences, lm, oracles, periodic, quality, rules, suffixdedup, toxicity, vectorcodes, warc
 
 QUERIES = {
     "op1_suffix_dedup": suffixdedup.query,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_warc_zip": warc.query,
     "op9_licence_scan": licences.query,
     "op10_lm_score": lm.query,
+    "op11_periodic_runs": periodic.query,
+    "op12_quality_rules": rules.query,
+    "op13_vector_codes": vectorcodes.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -22,4 +25,6 @@ ORACLE_SQL: dict[str, str] = {
     "op2_decontaminate": oracles.DECONTAMINATE,
     "op6_jaccard_join": oracles.JACCARD,
     "op8_warc_zip": warc.ORACLE,
+    "op11_periodic_runs": periodic.ORACLE,
+    "op13_vector_codes": vectorcodes.ORACLE,
 }

@@ -93,6 +93,14 @@ def tidy(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def fresh(names, base: str = "_own") -> str:
+    """A column name that is none of the names."""
+    taken, name, k = {n.lower() for n in names}, base, 0
+    while name.lower() in taken:
+        name, k = f"{base}{k}", k + 1
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
