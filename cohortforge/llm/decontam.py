@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortforge.llm import bytesops as B
-from cohortforge.llm.shared import discard, stored, table
+from cohortforge.llm.shared import discard, fresh, stored, table
 
 WINDOW = 10
 MAX_PATTERN_BYTES = 32 << 20
@@ -98,27 +98,31 @@ def merged(ranges) -> list[tuple[int, int]]:
 def scan(df: DataFrame, items: DataFrame, *, id_col="item_id", item_text="text", text_col="text", window=WINDOW) -> DataFrame:
     """``df`` with n_words, n_hit, hit_items (ids) and hit_spans (byte ranges of the original UTF-8 text).
 
-    Columns of ``df`` that clash with the new names (or with _ranges) are replaced.
+    Columns of ``df`` with these names are replaced.
     """
-    new = ["n_words", "n_hit", "hit_items", "hit_spans", "_ranges"]
-    base = df.drop(*new)
+    base = df.drop("n_words", "n_hit", "hit_items", "hit_spans")
+    ranges = fresh(base.columns, "_ranges")
     kind = dict(items.dtypes)[id_col]
     span = "array<struct<first:bigint,last:bigint>>"
-    out = base.withColumns({"n_words": F.lit(0).cast("long"), "n_hit": F.lit(0).cast("long"), "hit_items": F.array().cast(f"array<{kind}>"), "hit_spans": F.array().cast(span), "_ranges": F.array().cast(span)})
+    out = base.withColumns({"n_words": F.lit(0).cast("long"), "n_hit": F.lit(0).cast("long"), "hit_items": F.array().cast(f"array<{kind}>"), "hit_spans": F.array().cast(span), ranges: F.array().cast(span)})
     schema = out.schema
     # a pattern and its ids, each id at most in as many patterns as its item has words
     all_ = stored(patterns(items, id_col, item_text, window))
     size = all_.agg(F.coalesce(F.sum(F.octet_length("pattern") + 64 + 8 * F.size("items")), F.lit(0))).first()[0]
     n = max(1, -(-int(size) // MAX_PATTERN_BYTES))
+    held = None
     for group in range(n):
         own = all_ if n == 1 else all_.where(F.pmod(F.xxhash64("pattern"), F.lit(n)) == group)
         sent = df.sparkSession.sparkContext.broadcast([tuple(r) for r in own.toLocalIterator()])
-        out = out.mapInArrow(B.trimmed(_scanner(sent, text_col, uuid.uuid4().hex)), schema)
+        out = out.mapInArrow(B.trimmed(_scanner(sent, text_col, ranges, uuid.uuid4().hex)), schema)
         if n > 1:  # the next group's patterns take this one's place
-            out = stored(out)
+            last, held = held, stored(out)
+            out = held
+            if last is not None:  # nothing reads the copy before this one any more
+                discard(last)
             sent.destroy()
     discard(all_)
-    return out.drop("_ranges")
+    return out.drop(ranges)
 
 
 _automata: dict = {}
@@ -134,17 +138,17 @@ def _automaton_of(sent, token: str):
     return kept[token]
 
 
-def _scanner(sent, text_col, token):
+def _scanner(sent, text_col, ranges_col, token):
     def run(batches):
         found = _automaton_of(sent, token)
         for batch in batches:
             names = batch.schema.names
-            cols = {n: [] for n in ("n_words", "n_hit", "hit_items", "hit_spans", "_ranges")}
-            was = {n: batch.column(names.index(n)) for n in ("hit_items", "_ranges")}
+            cols = {n: [] for n in ("n_words", "n_hit", "hit_items", "hit_spans", ranges_col)}
+            was = {n: batch.column(names.index(n)) for n in ("hit_items", ranges_col)}
             for row, text in enumerate(B.texts_of(batch.column(names.index(text_col)))):
                 n, ranges, items = scan_text(found, text)
-                if len(was["_ranges"][row]):
-                    ranges = merged(sorted(ranges + [(x["first"], x["last"]) for x in was["_ranges"][row].as_py()]))
+                if len(was[ranges_col][row]):
+                    ranges = merged(sorted(ranges + [(x["first"], x["last"]) for x in was[ranges_col][row].as_py()]))
                     items |= set(was["hit_items"][row].as_py())
                 spans = []
                 if ranges:
@@ -159,8 +163,11 @@ def _scanner(sent, text_col, token):
 
 
 def cut_out(df: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """``df`` without the texts that contain a benchmark window."""
-    return scan(df, items, **options).where(F.col("n_hit") == 0).select(*df.columns)
+    """``df``, whatever its columns' names, without the texts that contain a benchmark window."""
+    text_col = options.pop("text_col", "text")
+    inner = {c: f"_c{i}" for i, c in enumerate(df.columns)}
+    kept = scan(df.select(*(F.col(c).alias(inner[c]) for c in df.columns)), items, text_col=inner[text_col], **options).where(F.col("n_hit") == 0)
+    return kept.select(*(F.col(inner[c]).alias(c) for c in df.columns))
 
 
 def query(spark, sf_dir) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from cohortforge.llm import bytesops as B
 from cohortforge.llm.samples import MAX_TRAINING_ROWS, fold, labelled
-from cohortforge.llm.shared import table
+from cohortforge.llm.shared import fresh, table
 
 FEATURES = ["log_bytes", "log_words", "word_length", "upper", "digits", "punctuation", "symbols", "exclamations", "bars", "line_breaks", "distinct_words", "same_as_before", "bare_words", "high_bytes", "longest_word", "distinct_pairs", "stops", "short_words", "distinct_lines", "commonest_word"]
 BINS, ROUNDS, RATE, PAIRS, PAIR_BINS, PAIR_ROUNDS = 48, 150, 0.15, 10, 12, 60
@@ -252,8 +252,11 @@ def score(df: DataFrame, model: AdditiveModel, *, text_col="text", score_col="sc
 
 
 def keep(df: DataFrame, model: AdditiveModel, *, text_col="text", threshold=THRESHOLD) -> DataFrame:
-    """``df`` without the rows that score under the threshold."""
-    return score(df, model, text_col=text_col, score_col="_quality").where(F.col("_quality") >= threshold).select(*df.columns)
+    """``df`` without the rows that score under the threshold; all of it if labels of one kind alone (or none) were there to learn from."""
+    if not model.usable:
+        return df
+    own = fresh(df.columns, "_quality")
+    return score(df, model, text_col=text_col, score_col=own).where(F.col(own) >= threshold).select(*df.columns)
 
 
 def query(spark, sf_dir) -> DataFrame:
