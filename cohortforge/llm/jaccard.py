@@ -10,11 +10,13 @@ order (prefixes): n // 5 + 1 tokens suffice.  The boundary is the one with the
 least cost, counted over all sets: subsets emitted against list entries scanned.
 
 The order puts rare tokens first without a sort of all tokens: tokens in the
-lowest ``RANGE`` part of the hash space whose list holds at most ``COMMON``
-classes, by hash; then the rest of the space, by hash; then the other tokens of
-that part.  Token counts come from one packed exchange.  Sets with more tokens of
-their own than similar sets may differ in leave here.  Sets whose rare tokens
-don't fill their prefix are read again for tokens of the rest.
+lowest ``RANGE`` part of the hash space (*low* ones) whose list holds at most
+``COMMON`` classes, by hash; then such tokens of the rest of the space, by hash;
+then the other low tokens; then the others of the rest.  Counts come from packed
+exchanges.  Low tokens of all sets are counted first.  Sets with more low tokens of
+their own than similar sets may differ in leave here.  Sets whose rare low tokens
+don't fill their prefix are read again, and the rest of their tokens is counted
+among them; other sets' prefixes hold no such token.
 
 Each list is split by size and ties its members to one leader (the one with the
 most common tokens).
@@ -154,6 +156,8 @@ BAND_STARTS = _band_starts()
 def band_of(sizes) -> np.ndarray:
     return np.searchsorted(BAND_STARTS, sizes, "right")
 _PACKED = "bucket int, data binary"
+#: The place of a record that stands for a class and no token of it.
+_MARK = (1 << 32) - 1
 
 
 def _packed_rows(buckets: np.ndarray, records: np.ndarray, n: int):
@@ -167,16 +171,15 @@ def _unpacked(batches, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(x for batch in batches for x in batch.column(1).to_pylist()), dtype)
 
 
-def _certified(known: np.ndarray, tokens: np.ndarray, countable: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _certified(known: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which tokens need no counting, as this task has COMMON + 1 classes of them elsewhere already; and all such tokens, in order."""
     done = np.zeros(len(tokens), bool)
-    if not countable.any():
+    if not len(tokens):
         return done, known
-    own = np.flatnonzero(countable)
     if len(known):
-        near = np.minimum(np.searchsorted(known, tokens[own]), len(known) - 1)
-        done[own[known[near] == tokens[own]]] = True
-        own = own[~done[own]]
+        near = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
+        done[known[near] == tokens] = True
+    own = np.flatnonzero(~done)
     order = own[np.argsort(tokens[own], kind="stable")]
     new = np.flatnonzero(np.append(True, tokens[order][1:] != tokens[order][:-1])) if len(order) else order
     count = np.diff(np.append(new, len(order)))
@@ -187,12 +190,44 @@ def _certified(known: np.ndarray, tokens: np.ndarray, countable: np.ndarray) ->
     return done, known
 
 
-def _ship(n_buckets: int, boundary: int):
-    """Each large class's low tokens, and what else its prefix may need, by token bucket.
+def _class_rows(n_buckets: int, records: np.ndarray) -> list[tuple]:
+    """Records that go to the buckets of their classes (from n_buckets on) without being counted."""
+    packed = _packed_rows(records["class"] & (n_buckets - 1), records, n_buckets)
+    return [(b + n_buckets, data, b"", b"", b"", b"") for b, data in zip(*(c.to_pylist() for c in packed.columns))]
+
+
+def _dealt(n_buckets: int, known, tokens, owner, place, classes, sizes, low) -> tuple[list[tuple], np.ndarray]:
+    """Rows of ``_SHIPPED`` of tokens (each with its owner's number and its place in the owner's set), by token bucket.
 
     Of a token that more than COMMON classes of a task have, COMMON + 1 go to the token's bucket, enough to tell there that it is
-    common; the others, being told already, go with their classes (buckets from n_buckets on), so no bucket gathers a hot token.
+    common; the others, being told already, go with their classes, so no bucket gathers a hot token.
     """
+    told, known = _certified(known, tokens)
+    rows = []
+    if told.any():
+        records = np.empty(int(told.sum()), _RECORD)
+        records["class"], records["token"], records["place"] = classes[owner[told]], tokens[told], place[told]
+        records["size"], records["low"], records["common"] = sizes[owner[told]], low[owner[told]], 1
+        rows += _class_rows(n_buckets, records)
+        tokens, owner, place = tokens[~told], owner[~told], place[~told]
+    order, at = B.pack_ranges((tokens & np.uint64(n_buckets - 1)).astype(np.int64), n_buckets)
+    tokens, owner, place = tokens[order], owner[order], place[order]
+    for b in np.flatnonzero(np.diff(at)).tolist():
+        part = slice(at[b], at[b + 1])
+        own = owner[part]
+        start = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        who = own[start]
+        counts = np.diff(np.append(start, len(own)))
+        rows.append((b, classes[who].tobytes(), np.stack([sizes[who], low[who]]).astype("<u4").tobytes(), counts.astype("<u4").tobytes(), tokens[part].tobytes(), place[part].astype("<u4").tobytes()))
+    return rows, known
+
+
+def _shipped_batch(rows: list[tuple]):
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(zip(*rows))], names=["bucket", "classes", "sizes", "counts", "tokens", "places"])
+
+
+def _ship(n_buckets: int, boundary: int):
+    """Each large class's low tokens by token bucket, and a mark of each class with too few of them."""
 
     def run(batches):
         known = np.zeros(0, np.uint64)
@@ -201,41 +236,47 @@ def _ship(n_buckets: int, boundary: int):
                 cut = np.concatenate([[0], np.cumsum(sizes)])
                 low = np.add.reduceat(np.append(tokens < _CUT, False), cut[:-1]) if len(sizes) else np.zeros(0, np.int64)
                 low = np.where(sizes > 0, low, 0)
-                prefix = prefix_length(sizes)
                 _, firsts = np.unique(classes, return_index=True)
-                once = np.zeros(len(sizes), bool)
-                once[firsts] = True
-                sent = np.where(low < prefix, np.minimum(low + prefix, sizes), low) * (once & (5 * sizes >= 4 * (boundary + 1)))
+                sent = np.zeros(len(sizes), bool)
+                sent[firsts] = True
+                sent &= 5 * sizes >= 4 * (boundary + 1)
                 of = np.repeat(np.arange(len(sizes)), sizes)
                 place = np.arange(len(tokens)) - cut[of]
-                keep = place < sent[of]
-                t, o, p = tokens[keep], of[keep], place[keep]
-                told, known = _certified(known, t, p < low[o])
-                rows = []
-                if told.any():
-                    records = np.empty(int(told.sum()), _RECORD)
-                    records["class"], records["token"], records["place"] = classes[o[told]], t[told], p[told]
-                    records["size"], records["low"], records["common"] = sizes[o[told]], low[o[told]], 1
-                    packed = _packed_rows(records["class"] & (n_buckets - 1), records, n_buckets)
-                    rows += [(b + n_buckets, data, b"", b"", b"", b"") for b, data in zip(*(c.to_pylist() for c in packed.columns))]
-                    t, o, p = t[~told], o[~told], p[~told]
-                order, at = B.pack_ranges((t & np.uint64(n_buckets - 1)).astype(np.int64), n_buckets)
-                t, o, p = t[order], o[order], p[order]
-                for b in np.flatnonzero(np.diff(at)).tolist():
-                    part = slice(at[b], at[b + 1])
-                    own = o[part]
-                    start = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-                    who = own[start]
-                    counts = np.diff(np.append(start, len(own)))
-                    rows.append((b, classes[who].tobytes(), np.stack([sizes[who], low[who]]).astype("<u4").tobytes(), counts.astype("<u4").tobytes(), t[part].tobytes(), p[part].astype("<u4").tobytes()))
+                keep = place < (low * sent)[of]
+                rows, known = _dealt(n_buckets, known, tokens[keep], of[keep], place[keep], classes, sizes, low)
+                short = np.flatnonzero(sent & (low < prefix_length(sizes)) & (sizes > low))
+                if len(short):
+                    marks = np.zeros(len(short), _RECORD)
+                    marks["class"], marks["size"], marks["low"], marks["place"] = classes[short], sizes[short], low[short], _MARK
+                    rows += _class_rows(n_buckets, marks)
+                if rows:
+                    yield _shipped_batch(rows)
+
+    return run
+
+
+def _ship_rest(n_buckets: int):
+    """Tokens of the rest (rows class, size, low, tokens) by token bucket."""
+
+    def run(batches):
+        known = np.zeros(0, np.uint64)
+        for batch in batches:
+            held = batch.column(3).to_pylist()
+            for a in range(0, len(held), 1024):
+                sets = [np.frombuffer(x, "<u8") for x in held[a : a + 1024]]
+                classes, sizes, low = (batch.column(i).slice(a, len(sets)).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3))
+                length = np.array([len(x) for x in sets])
+                owner = np.repeat(np.arange(len(sets)), length)
+                place = np.arange(len(owner)) - np.repeat(np.cumsum(length) - length, length) + low[owner]
+                rows, known = _dealt(n_buckets, known, np.concatenate(sets), owner, place, classes, sizes, low)
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(zip(*rows))], names=["bucket", "classes", "sizes", "counts", "tokens", "places"])
+                    yield _shipped_batch(rows)
 
     return run
 
 
 def _count_lists(n_buckets: int):
-    """Tokens of two or more classes, sent on to the buckets of their classes; tokens of the rest all go on, as classes read again may have them too."""
+    """Tokens of two or more classes, sent on to the buckets of their classes."""
 
     def run(batches):
         parts = []
@@ -260,9 +301,9 @@ def _count_lists(n_buckets: int):
         fresh = new_token | np.append(True, cls[1:] != cls[:-1])
         order, group = order[fresh], np.cumsum(new_token)[fresh] - 1
         count = np.bincount(group)[group]
-        use = (count >= 2) | (all_["place"] >= all_["low"])[order]
+        use = count >= 2
         kept = all_[order[use]]
-        kept["common"] = (count[use] > COMMON) & (kept["place"] < kept["low"])
+        kept["common"] = count[use] > COMMON
         if len(kept):
             kept = kept[np.lexsort((kept["place"], kept["class"]))]
             yield _packed_rows(kept["class"] & (n_buckets - 1), kept, n_buckets)
@@ -270,41 +311,76 @@ def _count_lists(n_buckets: int):
     return run
 
 
+def _by_class(r: np.ndarray):
+    """Records by class and place, each once, and for each its class's number and how many common ones stand before it."""
+    r = r[np.lexsort((r["place"], r["class"]))]
+    # a class of several texts may have been told of a token more than once
+    r = r[np.append(True, (r["class"][1:] != r["class"][:-1]) | (r["place"][1:] != r["place"][:-1]))]
+    new = np.append(True, r["class"][1:] != r["class"][:-1])
+    group, first = np.cumsum(new) - 1, np.flatnonzero(new)
+    common = r["common"].astype(np.int64)
+    before = np.cumsum(common) - common
+    return r, group, first, common, before - before[first][group]
+
+
+def _posting_rows(n_buckets: int, r: np.ndarray, use: np.ndarray, rare: np.ndarray, low: np.ndarray, size: np.ndarray):
+    out = np.empty(len(use), _POSTING)
+    out["token"], out["class"], out["band"] = r["token"][use], r["class"][use], band_of(size[use])
+    out["rank"] = (rare * 65535 // np.maximum(low, 1))[use]  # a class with more common low tokens leads more
+    return _packed_rows((out["token"] & np.uint64(n_buckets - 1)).astype(np.int64), out, n_buckets)
+
+
 def _prefixes(n_buckets: int):
-    """Prefix tokens of each class as postings by token bucket; bucket -1 holds classes that need tokens of the rest."""
+    """Low tokens of prefixes as postings by token bucket.
+
+    Of classes that need more, a mark and the common low tokens, in buckets from -1 down.
+    """
 
     def run(batches):
         r = _unpacked(batches, _RECORD)
         if not len(r):
             return
-        r = r[np.lexsort((r["place"], r["class"]))]
-        # a class of several texts may have been told of a token more than once
-        r = r[np.append(True, (r["class"][1:] != r["class"][:-1]) | (r["place"][1:] != r["place"][:-1]))]
-        new = np.append(True, r["class"][1:] != r["class"][:-1])
-        group = np.cumsum(new) - 1
-        first = np.flatnonzero(new)
-        common = r["common"].astype(np.int64)
-        before = np.cumsum(common) - common
-        before = before - before[first][group]
+        r, group, first, common, before = _by_class(r)
         total = np.bincount(group, common).astype(np.int64)[group]
         size, low, place = (r[k].astype(np.int64) for k in ("size", "low", "place"))
         prefix = prefix_length(size)
-        rank = np.where(common > 0, size - total + before, np.where(place < low, place - before, place - total))
+        rank = np.where(common > 0, size - total + before, place - before)
         # low tokens that no other class has: with more of them than a similar pair may differ in, a class links with nothing
         alone = low - np.bincount(group, place < low).astype(np.int64)[group]
         able = alone <= size - (4 * size + 4) // 5
-        lacks = able & (low - total < prefix) & (low >= prefix) & (size > low)
-        share = (low - total) * 65535 // np.maximum(low, 1)
-        use = np.flatnonzero(able & (rank < prefix))
-        out = np.empty(len(use), _POSTING)
-        out["token"], out["class"], out["rank"], out["band"] = r["token"][use], r["class"][use], share[use], band_of(size[use])
-        if len(out):
-            yield _packed_rows((out["token"] & np.uint64(n_buckets - 1)).astype(np.int64), out, n_buckets)
-        poor = first[lacks[first]]
-        if len(poor):
-            out = np.empty(len(poor), _POSTING)
-            out["token"], out["class"], out["rank"], out["band"] = 0, r["class"][poor], share[poor], band_of(size[poor])
-            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([out.tobytes()], pa.binary())], names=["bucket", "data"])
+        lacks = able & (low - total < prefix) & (size > low)
+        use = np.flatnonzero(able & (rank < prefix) & ~(lacks & (common > 0)))
+        if len(use):
+            yield _posting_rows(n_buckets, r, use, low - total, low, size)
+        if lacks.any():
+            marks = r[first[lacks[first]]]
+            marks["place"], marks["common"] = _MARK, 0
+            onward = np.concatenate([marks, r[lacks & (common > 0)]])
+            packed = _packed_rows(onward["class"] & (n_buckets - 1), onward, n_buckets)
+            yield packed.set_column(0, "bucket", pa.array((-1 - packed.column(0).to_numpy()).astype(np.int32)))
+
+    return run
+
+
+def _rest_prefixes(n_buckets: int):
+    """What the prefixes of classes short of rare low tokens hold besides, as postings by token bucket."""
+
+    def run(batches):
+        r = _unpacked(batches, _RECORD)
+        if not len(r):
+            return
+        r, group, _, common, before = _by_class(r)
+        size, low, place = (r[k].astype(np.int64) for k in ("size", "low", "place"))
+        is_low = place < low
+        low_common = np.bincount(group, is_low).astype(np.int64)[group]
+        rest_common = np.bincount(group, common * ~is_low).astype(np.int64)[group]
+        rare = low - low_common
+        rest_rare = size - low - rest_common
+        rest_before = before - low_common  # low places come first
+        rank = np.where(is_low, rare + rest_rare + before, np.where(common > 0, size - rest_common + rest_before, rare + place - low - rest_before))
+        use = np.flatnonzero((rank < prefix_length(size)) & (place != _MARK))
+        if len(use):
+            yield _posting_rows(n_buckets, r, use, rare, low, size)
 
     return run
 
@@ -359,24 +435,37 @@ class Bitmap:
         while self.bits < 32 * count and self.bits < BITMAP_BITS:
             self.bits *= 2
         wide, bits = 1 << 16, self.bits
+        names = ["segment", "places", "bits"]
+
+        def row(segment: int, flags: np.ndarray):
+            # whichever is shorter
+            at = np.flatnonzero(flags).astype("<u2").tobytes()
+            return (segment, at, b"") if len(at) < wide // 8 else (segment, b"", np.packbits(flags).tobytes())
 
-        def run(batches):
+        def found(batches):
             held: dict[int, np.ndarray] = {}
             for batch in batches:
                 at = Bitmap.place(batch.column(0), bits)
                 for s in np.unique(at // wide).tolist():
-                    part = held.setdefault(s, np.zeros(wide, bool))
-                    part[at[at // wide == s] % wide] = True
-            if held:
-                yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([np.packbits(x).tobytes() for x in held.values()], pa.binary())], names=["segment", "bits"])
+                    held.setdefault(s, np.zeros(wide, bool))[at[at // wide == s] % wide] = True
+            rows = list(zip(*(row(s, x) for s, x in held.items()))) or [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(rows)], names=names)
+
+        def united(batches):
+            held: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for s, at, packed in zip(*(c.to_pylist() for c in batch.columns)):
+                    flags = held.setdefault(s, np.zeros(wide, bool))
+                    flags |= np.unpackbits(np.frombuffer(packed, np.uint8)).astype(bool) if packed else False
+                    flags[np.frombuffer(at, "<u2")] = True
+            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([np.packbits(x).tobytes() for x in held.values()], pa.binary())], names=["segment", "bits"])
 
         name = ids.columns[0]
-        parts = ids.select(F.xxhash64(name).alias("h")).mapInArrow(run, "segment int, bits binary")
+        parts = ids.select(F.xxhash64(name).alias("h")).mapInArrow(found, "segment int, places binary, bits binary")
+        whole = parts.repartition("segment").mapInArrow(united, "segment int, bits binary")
         self.data = np.zeros(bits // 8, np.uint8)
-        for row in parts.groupBy("segment").agg(F.collect_set("bits").alias("all")).toLocalIterator():
-            for x in row["all"]:
-                part = self.data[row["segment"] * wide // 8 : (row["segment"] + 1) * wide // 8]
-                part |= np.frombuffer(x, np.uint8)
+        for segment, packed in whole.toLocalIterator():  # one version of each segment
+            self.data[segment * wide // 8 : (segment + 1) * wide // 8] = np.frombuffer(packed, np.uint8)
 
     @staticmethod
     def place(hashes, bits) -> np.ndarray:
@@ -388,7 +477,7 @@ class Bitmap:
 
 
 def _sets_again(docs: DataFrame, ids: DataFrame, count: int, rest_only: bool) -> DataFrame:
-    """doc_id, class and tokens of (at least) the texts with the given ids.  rest_only: the tokens past the low ones that a prefix may need."""
+    """doc_id, class and tokens of (at least) the texts with the given ids.  rest_only: without the low tokens."""
     sent = docs.sparkSession.sparkContext.broadcast(Bitmap(ids, count))
 
     def run(batches):
@@ -399,28 +488,13 @@ def _sets_again(docs: DataFrame, ids: DataFrame, count: int, rest_only: bool) ->
                 out = []
                 for i in range(b - a):
                     own = tokens[cut[i] : cut[i + 1]]
-                    out.append((own[own >= _CUT][: prefix_length(len(own))] if rest_only else own).tobytes())
+                    out.append((own[own >= _CUT] if rest_only else own).tobytes())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(classes), pa.array(out, pa.binary())], names=["doc_id", "class", "tokens"])
 
     kind = dict(docs.dtypes)["doc_id"]
     return docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h")).mapInArrow(B.trimmed(run), f"doc_id {kind}, class long, tokens binary")
 
 
-def _as_postings(n_buckets: int):
-    def run(batches):
-        for batch in batches:
-            parts = []
-            for cls, tokens, rank, band in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                part = np.empty(len(tokens) // 8, _POSTING)
-                part["token"], part["class"], part["rank"], part["band"] = np.frombuffer(tokens, "<u8"), cls, rank, band
-                parts.append(part)
-            if parts:
-                out = np.concatenate(parts)
-                yield _packed_rows((out["token"] & np.uint64(n_buckets - 1)).astype(np.int64), out, n_buckets)
-
-    return run
-
-
 # --- comparing -----------------------------------------------------------------------------------
 
 
@@ -603,13 +677,16 @@ def links(docs: DataFrame, members: DataFrame) -> DataFrame:
     counted = shipped.repartition(p, "bucket").mapInArrow(B.trimmed(_count_lists(n)), _PACKED)
     postings = stored(counted.repartition(p, "bucket").mapInArrow(B.trimmed(_prefixes(n)), _PACKED))
     tidy(spark)
-    poor = stored(postings.where("bucket = -1").mapInArrow(_poor_rows, "class long, rank int, band int"), gather=True)
-    poor_ids = poor.join(classes, "class").select("rep")
+    short = postings.where("bucket < 0")
+    poor = stored(short.mapInArrow(_marks, "class long, size int, low int").join(classes, "class"), gather=True)
     count = poor.count()
     lists = postings.where("bucket >= 0")
     if count:
-        again = _sets_again(docs, poor_ids, count, True).join(poor, "class").join(classes, "class").where(F.col("doc_id").eqNullSafe(F.col("rep")))
-        lists = lists.unionByName(again.select("class", "tokens", "rank", "band").mapInArrow(_as_postings(n), _PACKED))
+        again = _sets_again(docs, poor.select("rep"), count, True).join(poor, "class").where(F.col("doc_id").eqNullSafe(F.col("rep")))
+        again = again.select("class", "size", "low", "tokens").mapInArrow(B.trimmed(_ship_rest(n)), _SHIPPED)
+        again = again.repartition(p, "bucket").mapInArrow(B.trimmed(_count_lists(n)), _PACKED)
+        again = again.unionByName(short.select((-1 - F.col("bucket")).alias("bucket"), "data"))
+        lists = lists.unionByName(again.repartition(p, "bucket").mapInArrow(B.trimmed(_rest_prefixes(n)), _PACKED))
     if boundary:
         lists = lists.unionByName(texts.mapInArrow(B.trimmed(_subset_postings(n, boundary)), _PACKED))
     every = stored(lists.repartition(p, "bucket").mapInArrow(B.trimmed(_leaders), "leader long, member long").distinct())
@@ -626,13 +703,14 @@ def links(docs: DataFrame, members: DataFrame) -> DataFrame:
     return out if left.where("not joined").isEmpty() else out.unionByName(stored(_loose_links(left), gather=True))
 
 
-def _poor_rows(batches):
-    r = _unpacked(batches, _POSTING)
-    yield pa.RecordBatch.from_arrays([pa.array(r["class"]), *(pa.array(r[k].astype(np.int32)) for k in ("rank", "band"))], names=["class", "rank", "band"])
+def _marks(batches):
+    r = _unpacked(batches, _RECORD)
+    r = r[r["place"] == _MARK]
+    yield pa.RecordBatch.from_arrays([pa.array(r["class"]), *(pa.array(r[k].astype(np.int32)) for k in ("size", "low"))], names=["class", "size", "low"])
 
 
 def grouped(docs: DataFrame, *, id_col="doc_id", text_col="text") -> DataFrame:
-    """id_col, n_shingles, component_id (the least id reachable by links) of each row."""
+    """id_col, n_shingles, component_id (the least id reachable by links) of each row; the frame's other columns go."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     members = stored(membership(docs), gather=True)
     roots = components(links(docs, members))

@@ -423,6 +423,59 @@ def test_jaccard_with_a_shingle_in_every_text(spark):
     assert sorted(map(tuple, jaccard.grouped(docs).collect()), key=key) == groups_by_force(rows)
 
 
+def hot_short_texts(n):
+    """Texts of 11 words that share five, whose shingle has a hash above the low part; each third has a near copy."""
+
+    def token(phrase):
+        b = phrase.encode()
+        return jaccard.sets_of(np.frombuffer(b, np.uint8), np.array([0, len(b)]))[0][0]
+
+    phrase = next(p for p in (f"a{k} b c d e" for k in range(999)) if jaccard._CUT < token(p) < np.uint64(int(0.37 * 2**64)))
+    rows = []
+    for i in range(n):
+        words = [f"{c}{i}" for c in "uvwxyz"]
+        rows.append((len(rows), " ".join([*words[:3], phrase, *words[3:]])))
+        if i % 3 == 0:
+            rows.append((len(rows), " ".join(["more", *words[:3], phrase, *words[3:]])))
+    return rows
+
+
+def test_jaccard_with_a_hot_token_of_the_rest(spark, monkeypatch):
+    rows = hot_short_texts(900)
+    stars = []
+    without_covered = jaccard._without_covered
+    monkeypatch.setattr(jaccard, "LARGEST_SMALL", 0)  # lists, not subsets
+    monkeypatch.setattr(jaccard, "_without_covered", lambda df: stars.append(df.groupBy("leader").count().agg(F.max("count")).first()[0]) or without_covered(df))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    assert sorted(map(tuple, jaccard.grouped(docs).collect()), key=key) == groups_by_force(rows)
+    assert stars[0] < 8
+
+
+def test_a_hot_token_of_the_rest_does_not_gather():
+    import pyarrow as pa
+
+    rows = []
+    for _, t in hot_short_texts(900):
+        b = t.encode()
+        tokens, sizes, classes = jaccard.sets_of(np.frombuffer(b, np.uint8), np.array([0, len(b)]))
+        rows.append((int(classes[0]), int(sizes[0]), int((tokens < jaccard._CUT).sum()), tokens[tokens >= jaccard._CUT].tobytes()))
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=["class", "size", "low", "tokens"])
+    sent = [r for b in jaccard._ship_rest(128)(iter([batch])) for r in b.to_pylist()]
+    counted = Counter(t for r in sent if r["bucket"] < 128 for t in np.frombuffer(r["tokens"], "<u8").tolist())
+    told = Counter(t for r in sent if r["bucket"] >= 128 for t in np.frombuffer(r["classes"], jaccard._RECORD)["token"].tolist())
+    assert max(counted.values()) == jaccard.COMMON + 1
+    assert max(counted[t] + told[t] for t in told) == len(rows)
+
+
+def test_bitmap_of_many_tasks(spark):
+    ids = spark.range(0, 60_000, 1, 7).select((F.col("id") * 3).alias("id"))
+    held = jaccard.Bitmap(ids.unionByName(ids), 60_000)
+    hashes = [r.h for r in spark.range(0, 180_000).select(F.xxhash64("id").alias("h")).collect()]
+    got = held.has(__import__("pyarrow").array(hashes))
+    assert got[::3].all() and got.mean() < 0.4
+    assert not jaccard.Bitmap(ids.limit(0), 0).data.any()
+
+
 def test_a_hot_token_does_not_gather():
     import pyarrow as pa
 
