@@ -249,6 +249,14 @@ def test_rules_query_keeps_good_ones():
         assert tuple(r)[1:6] == base_by_force(texts[i])
 
 
+def test_chosen_ids(spark):
+    ids = spark.range(5000).select("id").unionByName(spark.range(100)).unionByName(spark.createDataFrame([(None,)], "id long"))
+    assert rules.chosen(ids).count() == 5000
+    some = rules.chosen(ids, 1000)
+    assert 850 < some.count() < 1150
+    assert sorted(some.collect()) == sorted(rules.chosen(ids.repartition(7), 1000).collect())
+
+
 # --- 13 ------------------------------------------------------------------------------------------
 
 
