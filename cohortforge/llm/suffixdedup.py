@@ -1,8 +1,8 @@
 """Suffix-array dedup: repeated long byte strings by merging Burrows-Wheeler transforms.
 
 A byte is removed if a string of ``length`` bytes that covers it also starts anywhere else, in the same text or another.
-Bytes that repeat at a shorter length (``also``) can be counted too: then the longer repeats are looked for in runs of the
-shorter ones only, which hold them all.
+Bytes that repeat at a shorter length (``also``) can be counted too, by a call of its own cost: then the longer repeats are
+looked for in runs of the shorter ones only, which hold them all.
 
 *Routing.*  Every string of the length is ruled by the least of its gram hashes (the leftmost of equal ones).
 Equal strings have equal rulers, so strings need comparing only with those of the same ruler.  Strings with neighbouring
@@ -26,7 +26,7 @@ ruler two are confused with a chance of at most w * w / 2**65 (of a million of o
 64-bit hash agree: of 10**9 texts of one length two are confused with a chance of 3 %, and then share cuts.
 
 Null texts are empty; texts under the length lose nothing; equal texts get equal results; other columns stay as they are,
-whatever their names, but for clashes with the result's own.
+whatever their names, but for those named as the result's own, which are replaced.
 """
 
 from __future__ import annotations
@@ -201,33 +201,34 @@ def _bands(width: int, length: int):
 
 
 def _merge_rows(length: int):
-    """Spans of repeats in contexts that occur once, from all contexts of this task's rulers."""
+    """Spans of repeats in contexts that occur once, from the contexts of this task's rulers, ruler by ruler."""
+
+    def spans_of(meta, bodies):
+        rows = []
+        for (_, m, k, n, lo), flags in zip(meta, repeated_starts(bodies, length)):
+            if m == 1 and flags.any():
+                edge = np.flatnonzero(np.diff(np.concatenate([[0], flags.view(np.int8), [0]])))
+                rows += [(k, n, lo + a, lo + b - 1 + length) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())]
+        cols = list(zip(*rows)) or [[]] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), *(pa.int32(),) * 3))], names=["k", "n", "first", "last"])
 
     def run(batches):
-        meta, bodies, seen = [], [], set()
+        # rows come by key; equal strings have equal keys, so batches of whole keys are enough
+        meta, bodies, seen, size = [], [], set(), 0
         for batch in batches:
             for key, c, m, k, n, lo, _, _, body in zip(*(x.to_pylist() for x in batch.columns)):
-                if (key, c) not in seen:
-                    seen.add((key, c))
+                if meta and key != meta[-1][0]:
+                    seen = set()
+                    if size >= BATCH_BYTES:
+                        yield spans_of(meta, bodies)
+                        meta, bodies, size = [], [], 0
+                if c not in seen:
+                    seen.add(c)
                     meta.append((key, m, k, n, lo))
                     bodies.append(body)
-        # equal strings have equal keys, so batches of whole keys are enough
-        order = sorted(range(len(meta)), key=lambda i: meta[i][0])
-        rows, at = [], 0
-        while at < len(order):
-            to, size = at, 0
-            while to < len(order) and (size < BATCH_BYTES or meta[order[to]][0] == meta[order[to - 1]][0]):
-                size += len(bodies[order[to]])
-                to += 1
-            part = order[at:to]
-            for i, flags in zip(part, repeated_starts([bodies[i] for i in part], length)):
-                _, m, k, n, lo = meta[i]
-                if m == 1 and flags.any():
-                    edge = np.flatnonzero(np.diff(np.concatenate([[0], flags.view(np.int8), [0]])))
-                    rows += [(k, n, lo + a, lo + b - 1 + length) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())]
-            at = to
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), *(pa.int32(),) * 3))], names=["k", "n", "first", "last"])
+                    size += len(body)
+        if meta:
+            yield spans_of(meta, bodies)
 
     return run
 
@@ -268,7 +269,7 @@ def spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
         kinds = stored(rows.groupBy("key").agg(F.count("*").alias("kinds")))
         hot = kinds.where(F.col("kinds") > MOST).select("key")
         cool = rows.join(kinds.where((F.col("kinds") <= MOST) & (F.col("kinds") > 1)).select("key"), "key") if width else rows
-        out.append(stored(cool.select(*_ROW_NAMES).repartition(p, "key").mapInArrow(B.trimmed(_merge_rows(length)), _SPAN), gather=True))
+        out.append(stored(cool.select(*_ROW_NAMES).repartition(p, "key").sortWithinPartitions("key").mapInArrow(B.trimmed(_merge_rows(length)), _SPAN), gather=True))
         if not width or hot.isEmpty():
             break
         parts = stored(rows.join(hot, "key").select(*_ROW_NAMES).mapInArrow(B.trimmed(_bands(width, length)), _ROW))
@@ -374,19 +375,19 @@ def removed(df: DataFrame, *, id_col="doc_id", text_col="text", keep_text=False,
     if also:
         discard(shorter, lists, runs)
     body = F.coalesce(text_col, F.lit(""))
-    others = [c for c in df.columns if c != text_col]
+    made = ["n_bytes", "n_removed", "n_spans", *([f"n_repeated_{also}"] if also else [])]
+    others = [c for c in df.columns if c not in (text_col, *made, "kept")]
     inner = {c: f"_{i}" for i, c in enumerate(others)}
     keyed = df.select(*(F.col(c).alias(inner[c]) for c in others), body.alias("text"), F.xxhash64(body).alias("k"), F.octet_length(body).alias("n"))
     has = _among(cuts.select("k"), F.xxhash64("k"))  # only texts that may have cuts move
     held = keyed.where(has).join(cuts, ["k", "n"], "left").select(*inner.values(), "text", "cuts")
     staying = keyed.where(~has).select(*inner.values(), "text", F.lit(None).cast(cuts.schema["cuts"].dataType).alias("cuts"))
     full = held.unionByName(staying)
-    made = ["n_bytes", "n_removed", "n_spans", *([f"n_repeated_{also}"] if also else [])]
     schema = full.select(*inner.values(), *(F.lit(0).cast("long").alias(f"r{i}") for i in range(len(made))), F.lit(None).cast("string").alias(f"r{len(made)}")).schema
     done = full.mapInArrow(B.trimmed(_united(full.columns, keep_text, bool(also))), schema)
     return done.select(*(F.col(inner[c]).alias(c) for c in others), *(F.col(f"r{i}").alias(c) for i, c in enumerate([*made, "kept"])))
 
 
 def query(spark, sf_dir) -> DataFrame:
-    done = removed(table(spark, sf_dir, "documents").select("doc_id", "text"), also=PASSAGE)
-    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.col("kept").alias("kept_sha256"), F.col(f"n_repeated_{PASSAGE}").alias("n_repeated"))
+    done = removed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.col("kept").alias("kept_sha256"))
