@@ -74,11 +74,17 @@ def numbered(df: DataFrame, order: Sequence[str], into: str = "_number", parts:
     return placed.withColumn(into, (local + F.element_at(base, F.col("_part"))).cast("long")).drop("_part")
 
 
+def padded(number, width: int = 6) -> Column:
+    """A number as text with zeros before it; one of more digits than that stays whole."""
+    text = number.cast("string")
+    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
+
+
 def minted(new: DataFrame, held: DataFrame, key: str, into: str = "anon_id", width: int = 6) -> DataFrame:
     """Held ids as they are, and new keys numbered on from them in key order, zero-padded."""
     fresh = new.select(key).where(F.col(key).isNotNull()).distinct().join(held, key, "left_anti")
     start = held.count()
-    made = numbered(fresh, [key]).select(key, F.lpad((F.col("_number") + start).cast("string"), width, "0").alias(into))
+    made = numbered(fresh, [key]).select(key, padded(F.col("_number") + start, width).alias(into))
     return held.select(key, into).unionByName(made)
 
 

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import io
 import time
-import wave
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -12,8 +10,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortforge.functions import signals
 from cohortforge.functions import tensors as T
 from cohortforge.functions.scalars import normalize_label
+from cohortforge.sources import audio
 
 IDS = ["participant_id", "session_id", "task_name"]
 
@@ -49,15 +49,8 @@ def retried(function: Callable, times: int = 3, wait: float = 0.5) -> Callable:
 
 
 def decoded_wav(content: bytes, rate: int = 16_000) -> np.ndarray:
-    """Mono samples of a 16-bit PCM file at the given rate (linear interpolation)."""
-    with wave.open(io.BytesIO(content)) as w:
-        if w.getsampwidth() != 2:
-            raise ValueError("only 16-bit PCM is decoded")
-        x = np.frombuffer(w.readframes(w.getnframes()), "<i2").reshape(-1, w.getnchannels()).mean(axis=1) / 32768
-        own = w.getframerate()
-    if own != rate and len(x):
-        x = np.interp(np.arange(0, len(x), own / rate), np.arange(len(x)), x)
-    return x.astype(np.float32)
+    """Mono samples of a recording (8- to 32-bit PCM or float, any channels) at the given rate."""
+    return audio.decoded(content, rate)[0].astype(np.float32)
 
 
 def simple_features(samples: np.ndarray, rate: int) -> dict[str, float]:
@@ -148,6 +141,19 @@ def quality_metrics(samples: DataFrame, clip: float = 0.99, silence: float = 0.0
     return df.withColumns(checks).select("participant_id", "session_id", normalize_label("task_name").alias("task_name"), "proportion_clipped_metric", "proportion_silent_metric", "peak_to_mean_metric", *checks)
 
 
+def trimmed(samples: DataFrame, rate: int = 16_000, tracker: signals.Tracker = signals.Tracker()) -> DataFrame:
+    """``samples`` with n_samples, energy and voiced (start, end in samples) and trim: flag, start, end (seconds), percent and method.
+
+    Recordings are cut to their voice if it holds a fifth of them, else to what is louder than a tenth of the peak, else not;
+    null for arrays without samples.  Null samples and NaN count as silence.
+    """
+    sound = F.transform("samples", lambda x: F.when(x.isNull() | F.isnan(x), F.lit(0.0)).otherwise(x.cast("double")))
+    df = signals.voiced_column(samples.withColumn("samples", sound), rate, tracker=tracker).withColumns({"n_samples": F.size("samples"), "energy": T.energy_bounds("samples")})
+    seconds = lambda c: F.col(c) / rate
+    decision = T.trim_decision(seconds("n_samples"), seconds("energy.start"), seconds("energy.end"), seconds("voiced.start"), seconds("voiced.end"))
+    return df.withColumn("trim", F.when(F.col("n_samples") > 0, decision))
+
+
 def speaker_flags(df: DataFrame, segments: str = "segments", speech: str = "is_speech") -> DataFrame:
     """Speakers, share of the main one, and what is wrong, from ARRAY<STRUCT<speaker,start,end>>."""
     s = F.col(segments)

@@ -87,41 +87,6 @@ def records(df: DataFrame):
         yield row.asDict(recursive=True)
 
 
-def wav_heads(spark: SparkSession, root: str, bytes_: int = 4096) -> DataFrame:
-    """path, length, content: only the first bytes of each recording leave the scan."""
-    df = spark.read.format("binaryFile").option("pathGlobFilter", "*.wav").option("recursiveFileLookup", True).load(root)
-    return df.select("path", "length", F.substring("content", 1, bytes_).alias("content"))
-
-
-def wav_seconds(files: DataFrame, content: str = "content") -> DataFrame:
-    """``files`` with ``seconds`` from RIFF chunks, by byte arithmetic in the JVM; null where there is no fmt or data chunk.
-
-    Chunks are walked from byte 12 on, each as long as its size says (padded to even), so the heads of files are enough.
-    """
-    c = F.col(content)
-
-    def number(at):
-        parts = [F.substring(F.hex(F.substring(c, at + 4 - i, F.lit(1))), 1, 2) for i in range(4)]
-        return F.conv(F.concat(*parts), 16, 10).cast("long")
-
-    name = lambda at: F.hex(F.substring(c, at + 1, F.lit(4)))
-    state = F.struct(F.lit(12).cast("long").alias("at"), F.lit(None).cast("long").alias("rate"), F.lit(None).cast("long").alias("size"))
-
-    def step(s, _):
-        inside = (s["at"] + 8 <= F.length(c)) & s["size"].isNull()
-        at = s["at"].cast("int")
-        size = F.when(inside, number(at + 4))
-        return F.struct(
-            F.when(inside, s["at"] + 8 + size + size % 2).otherwise(s["at"]).alias("at"),
-            F.when(inside & (name(at) == "666D7420"), number(at + 16)).otherwise(s["rate"]).alias("rate"),
-            F.when(inside & (name(at) == "64617461"), size).otherwise(s["size"]).alias("size"),
-        )
-
-    walked = F.aggregate(F.sequence(F.lit(1), F.lit(16)), state, step)
-    riff = F.hex(F.substring(c, 1, 4)) == "52494646"
-    return files.withColumn("_w", walked).withColumn("seconds", F.when(riff, F.col("_w.size") / F.nullif(F.col("_w.rate"), F.lit(0)))).drop("_w")
-
-
 def newest_by_uuid(files: DataFrame, pattern: str) -> DataFrame:
     """uuid, path: the last path of each uuid."""
     return files.withColumn("uuid", F.regexp_extract("path", pattern, 1)).where("uuid <> ''").groupBy("uuid").agg(F.max("path").alias("path"))

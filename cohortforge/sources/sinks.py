@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import json
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortforge.operators import windows
+from cohortforge.sources import audio, filesystems
 
 
 def delimited(df: DataFrame, path: str, sep: str = "\t", partition_by: str | None = None) -> None:
@@ -61,25 +63,28 @@ def dictionary_json(spark: SparkSession, elements: DataFrame, path: str) -> str:
     return text
 
 
-def texts_written(df: DataFrame) -> DataFrame:
-    """path, error of (path, text) rows, each written as one file on a file system that all executors share."""
-    from pathlib import Path
-
-    import pandas as pd
+def _each(df: DataFrame, columns: list[str], work) -> DataFrame:
+    """The columns (text), n_bytes, sha256 and error of work on each row; what fails is an error of its row."""
 
     def run(batches):
-        for pdf in batches:
-            errors = []
-            for path, text in zip(pdf["path"], pdf["text"]):
+        for batch in batches:
+            rows = []
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
                 try:
-                    Path(path).parent.mkdir(parents=True, exist_ok=True)
-                    Path(path).write_text(text)
-                    errors.append(None)
-                except OSError as failure:
-                    errors.append(f"{type(failure).__name__}: {failure}")
-            yield pd.DataFrame({"path": pdf["path"], "error": errors})
+                    rows.append((*work(*row), None))
+                except (OSError, ValueError, TypeError, AttributeError) as failure:
+                    rows.append((None, None, f"{type(failure).__name__}: {failure}"))
+            made = list(zip(*rows)) or [[]] * 3
+            kinds = (pa.int64(), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays([*(batch.column(columns.index(c)) for c in keys), *(pa.array(c, k) for c, k in zip(made, kinds))], names=[*keys, "n_bytes", "sha256", "error"])
+
+    keys = [c for c in columns if c != "text"]
+    return df.select(*(F.col(c).cast("string") for c in columns)).mapInArrow(run, ", ".join(f"{c} string" for c in keys) + ", n_bytes long, sha256 string, error string")
 
-    return df.select("path", "text").mapInPandas(run, "path string, error string")
+
+def texts_written(df: DataFrame) -> DataFrame:
+    """path, n_bytes, sha256, error of (path, text) rows, each written whole as one file on a file system that all executors share."""
+    return _each(df, ["path", "text"], lambda path, text: filesystems.written(path, [text.encode()]))
 
 
 def sidecars(recordings: DataFrame, root: str, fields: list[str]) -> DataFrame:
@@ -111,22 +116,20 @@ def error_summary(done: DataFrame, most_files: int = 5, most_kinds: int = 3) ->
 
 
 def copies(df: DataFrame) -> DataFrame:
-    """source, target, error of (source, target) pairs on a file system that all executors share."""
-    import shutil
-    from pathlib import Path
+    """source, target, n_bytes, sha256, error of (source, target) pairs, on file systems that all executors share.
 
-    import pandas as pd
+    Files are copied in pieces under another name, read back, and moved when they are whole, so a lost task leaves none half.
+    """
+    return _each(df, ["source", "target"], filesystems.copied)
 
-    def run(batches):
-        for pdf in batches:
-            errors = []
-            for a, b in zip(pdf["source"], pdf["target"]):
-                try:
-                    Path(b).parent.mkdir(parents=True, exist_ok=True)
-                    shutil.copyfile(a, b)
-                    errors.append(None)
-                except OSError as failure:
-                    errors.append(f"{type(failure).__name__}: {failure}")
-            yield pd.DataFrame({"source": pdf["source"], "target": pdf["target"], "error": errors})
-
-    return df.select("source", "target").mapInPandas(run, "source string, target string, error string")
+
+def recoded(df: DataFrame, rate: int = 16_000) -> DataFrame:
+    """As ``copies``, but recordings become mono 16-bit files at the given rate."""
+
+    def one(source: str, target: str):
+        fs, path = filesystems.located(source)
+        with fs.open_input_stream(path) as handle:
+            x, own = audio.decoded(handle.read(), rate)
+        return filesystems.written(target, [audio.encoded(x, own)])
+
+    return _each(df, ["source", "target"], one)

@@ -13,7 +13,7 @@ from cohortforge.functions import scalars as S
 from cohortforge.functions import tensors as T
 from cohortforge.operators import aggregates, joins, nested, select, windows
 from cohortforge.plans import deidentify, features, survey, validate
-from cohortforge.sources import files, sinks
+from cohortforge.sources import audio, files, sinks
 from cohortforge.streaming import incremental
 
 
@@ -154,7 +154,7 @@ def test_features_from_wav(spark, tmp_path):
     (folder / "sub-1_ses-1_task-b.wav").write_bytes(b"broken")
     found = files.inventory(spark, str(tmp_path), content=True)
     assert sorted(r.task_name for r in found.collect()) == ["a", "b"]
-    assert files.wav_seconds(found).where("task_name = 'a'").first().seconds == 1.0
+    assert audio.wav_facts(found.drop("content")).where("task_name = 'a'").first().seconds == 1.0
     rows = features.extracted(found).collect()
     assert sum(r.error is not None for r in rows) == 1
     assert {r.feature_name: r.value for r in rows if not r.error}["duration"] == 1.0
@@ -231,14 +231,6 @@ def wav(seconds: float, rate: int = 8000, extra: bytes = b"") -> bytes:
     return b"RIFF" + struct.pack("<I", len(body)) + body
 
 
-def test_wav_seconds_walks_chunks(spark):
-    from cohortforge.sources import files
-
-    rows = [("a", wav(0.5)), ("b", wav(0.25, extra=b"abc")), ("c", b"RIFF"), ("d", b""), ("e", None), ("f", b"\0" * 100), ("g", wav(1.0)[:2000])]
-    got = {r.path: r.seconds for r in files.wav_seconds(spark.createDataFrame(rows, "path string, content binary")).collect()}
-    assert got == {"a": 0.5, "b": 0.25, "c": None, "d": None, "e": None, "f": None, "g": 1.0}
-
-
 def test_phenotype_pair_metadata_and_text_search(spark, tmp_path):
     import json
 
