@@ -63,9 +63,3 @@ def unique_choices(df: DataFrame, ids: Sequence[str], choices: str = "choices")
     """id, value, label of each choice, the first of equal values."""
     flat = df.select(*ids, F.posexplode(choices).alias("at", "c")).select(*ids, "at", F.col("c.value").alias("value"), F.col("c.label").alias("label"))
     return flat.groupBy(*ids, "value").agg(F.min_by("label", "at").alias("label"))
-
-
-def key_differences(a: DataFrame, b: DataFrame, json: str = "json") -> DataFrame:
-    """Keys of two one-row JSON tables that only one has."""
-    keys = lambda df, n: df.select(F.explode(F.json_object_keys(json)).alias("key")).distinct().withColumn(n, F.lit(True))
-    return keys(a, "in_a").join(keys(b, "in_b"), "key", "full_outer").where("in_a is null or in_b is null").select("key", F.when(F.col("in_a").isNull(), "b").otherwise("a").alias("only_in"))

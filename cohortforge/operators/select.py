@@ -130,6 +130,14 @@ def header_verdict(columns: Iterable[str], coded: Iterable[str], labels: Iterabl
     return "warn"
 
 
+def header_verdicts(headers: DataFrame, names: DataFrame) -> DataFrame:
+    """header, verdict as ``header_verdict`` gives it, of many headers: (header, c) rows against names (c, coded, label)."""
+    kind = names.groupBy("c").agg(F.max("coded").alias("coded"), F.max("label").alias("label"))
+    n = headers.join(kind, "c", "left").groupBy("header").agg(F.count("*").alias("n"), F.count_if("coded").alias("coded"), F.count_if("label").alias("labels"))
+    verdict = F.when(F.col("coded") == F.col("n"), "ok").when((F.col("coded") == 0) | (2 * F.col("labels") > F.col("n")), "error").otherwise("warn")
+    return n.select("header", verdict.alias("verdict"))
+
+
 def flags_as_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Yes (any case, blanks around) as "1", all else as "0", nulls too."""
     return df.withColumns({c: F.when(F.lower(F.trim(F.coalesce(F.col(c).cast("string"), F.lit("")))) == "yes", "1").otherwise("0") for c in columns if c in df.columns})
@@ -153,10 +161,10 @@ def literals_replaced(df: DataFrame, replaced: Mapping[str, Mapping[str, str]],
 
 
 def rows_between(df: DataFrame, start: int, end: int, order: str = "_row_id") -> DataFrame:
-    """Rows [start, end) in the given order."""
-    from pyspark.sql import Window
+    """Rows [start, end) in the given order, numbered across partitions."""
+    from cohortforge.operators import windows
 
-    return df.withColumn("_n", F.row_number().over(Window.orderBy(order))).where((F.col("_n") > start) & (F.col("_n") <= end)).drop("_n")
+    return windows.numbered(df, [order], "_n").where((F.col("_n") > start) & (F.col("_n") <= end)).drop("_n")
 
 
 def without_sensitive(features: DataFrame, sensitive: Sequence[tuple[str, str]], included_tasks: Sequence[str]) -> DataFrame:

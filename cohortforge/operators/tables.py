@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,3 +26,16 @@ def kept_once(df: DataFrame) -> DataFrame:
     """The frame checkpointed to the shared folder."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def _gone(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is not None:  # else the session ended before; whoever keeps the folder clears it
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def own_folder(spark: SparkSession) -> str:
+    """A new folder's name in the shared one; it goes when the application ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/cohortforge-{uuid.uuid4().hex}"
+    atexit.register(_gone, spark, path)
+    return path

@@ -53,7 +53,8 @@ def files_deidentified(files: DataFrame, participants: DataFrame, sessions: Data
     wanted = "" if tasks is None else "".join(["(?:", "|".join(rf"\Q{t}\E" for t in tasks) if tasks else "(?!)", ")"])
     f = f.where(normalize_label("stem").rlike(f"^(?!.*audio-check).*{wanted}"))
     f = joins.remapped(joins.remapped(f, participants, "participant_id"), sessions, "session_id")
-    tail = F.array_join(F.slice(F.split("stem", "_"), 3, 1000), "-")
+    parts = F.split("stem", "_")
+    tail = F.array_join(F.slice(parts, F.lit(3), F.greatest(F.size(parts) - 2, F.lit(0))), "-")
     name = sanitize_task_entity(F.concat(F.lit("sub-"), "participant_id", F.lit("_ses-"), "session_id", F.lit("_"), tail))
     extension = F.regexp_extract("path", r"(\.[^./]+)$", 1)
     return f.withColumn("new_path", F.concat(F.lit("sub-"), "participant_id", F.lit("/ses-"), "session_id", F.lit("/audio/"), name, extension)).drop("stem")

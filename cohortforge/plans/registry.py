@@ -106,8 +106,7 @@ def _(t):
 
 @query("rows_slice", "SELECT o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders) WHERE n > 100 AND n <= 200")
 def _(t):
-    df = windows.numbered(t("orders").select("o_orderkey", "o_totalprice"), ["o_orderkey"])
-    return df.where("_number > 100 and _number <= 200").drop("_number")
+    return select.rows_between(t("orders").select("o_orderkey", "o_totalprice"), 100, 200, "o_orderkey")
 
 
 # --- joins ---------------------------------------------------------------------------------------
@@ -131,9 +130,9 @@ def _(t):
     return joins.label_matches(part, part.agg(F.min("p_type").alias("label")), "p_type")
 
 
-@query("prefix_join", "SELECT s_suppkey, n_nationkey FROM supplier JOIN nation ON s_nationkey = n_nationkey AND starts_with(s_name, 'Supp')")
+@query("prefix_join", "SELECT s_suppkey, n_nationkey FROM supplier JOIN nation ON s_nationkey = n_nationkey AND starts_with(s_name, 'Supplier#' || CAST(n_regionkey AS VARCHAR))")
 def _(t):
-    right = t("nation").select("n_nationkey", F.col("n_nationkey").alias("k"), F.lit("Supp").alias("prefix"))
+    right = t("nation").select("n_nationkey", F.col("n_nationkey").alias("k"), F.concat(F.lit("Supplier#"), "n_regionkey").alias("prefix"))
     left = t("supplier").select("s_suppkey", "s_name", F.col("s_nationkey").alias("k"))
     return joins.prefix_join(left, right, "s_name", "prefix", "k").select("s_suppkey", "n_nationkey")
 
@@ -411,10 +410,12 @@ def _(t):
     return t("events").select("event_id", windows.duplicated("user_id", "event_type").alias("repeated"))
 
 
-@query("custom_order", "SELECT DISTINCT o_orderpriority, CASE WHEN contains(o_orderpriority, 'LOW') THEN 0 WHEN contains(o_orderpriority, 'URGENT') THEN 1 ELSE 2 END AS rank FROM orders")
+@query("custom_order", "SELECT 'd/' || p_type || '/' || CASE p_size % 3 WHEN 0 THEN 'passage' WHEN 1 THEN 'long_sounds' ELSE '' END || '_' || p_partkey AS path, CASE p_size % 3 WHEN 0 THEN 15 WHEN 1 THEN 10 ELSE 17 END AS rank FROM part")
 def _(t):
-    p = F.col("o_orderpriority")
-    return t("orders").select(p, F.when(p.contains("LOW"), 0).when(p.contains("URGENT"), 1).otherwise(2).alias("rank")).distinct().orderBy("rank", "o_orderpriority")
+    """Recordings in the order of a protocol's parts."""
+    name = F.when(F.col("p_size") % 3 == 0, "passage").when(F.col("p_size") % 3 == 1, "long_sounds").otherwise("")
+    p = t("part").select(F.concat(F.lit("d/"), "p_type", F.lit("/"), name, F.lit("_"), "p_partkey").alias("path"))
+    return p.select("path", survey.protocol_rank("path").alias("rank")).orderBy("rank", "path")
 
 
 @query("union_by_name", "SELECT c_custkey AS id, c_name AS name, CAST(NULL AS DOUBLE) AS price FROM customer UNION ALL SELECT p_partkey, p_name, p_retailprice FROM part")
@@ -464,12 +465,18 @@ def _(t):
 
 
 @query("checkbox_expand", """
-WITH r AS (SELECT o_orderkey AS record, 'q' AS item, o_orderkey % 3 + 1 AS v FROM orders)
-SELECT record, 'i' AS instrument, item || '___' || k AS "column", CASE WHEN v = k THEN 'Checked' ELSE 'Unchecked' END AS value FROM r, (SELECT unnest([1, 2, 3]) AS k)""")
+WITH r AS (SELECT o_orderkey AS record, o_orderkey % 3 + 1 AS v, o_orderkey % 4 AS kind, o_orderstatus AS s FROM orders)
+SELECT record, 'i' AS instrument, 'q___' || k AS "column", CASE WHEN v = k THEN 'Checked' ELSE 'Unchecked' END AS value FROM r, (SELECT unnest([1, 2, 3]) AS k) WHERE kind < 2
+UNION ALL SELECT record, 'i', 'one', CASE s WHEN 'F' THEN 'Fulfilled' ELSE s END FROM r WHERE kind = 2
+UNION ALL SELECT record, 'i', 'free', s || ';' || v FROM r WHERE kind = 3""")
 def _(t):
-    r = t("orders").select(F.col("o_orderkey").alias("record"), F.lit("i").alias("instrument"), F.lit("q").alias("item"), F.array((F.col("o_orderkey") % 3 + 1).cast("string")).alias("values"))
-    choices = r.sparkSession.createDataFrame([("q", str(i), f"option {i}", True, 3) for i in (1, 2, 3)], "item string, value string, label string, multiple boolean, n_options int")
-    return nested.survey_rows(r, choices)
+    """Answers to be checked off, single ones with a label or without, and free lists."""
+    k, v = F.col("o_orderkey") % 4, (F.col("o_orderkey") % 3 + 1).cast("string")
+    item = F.when(k < 2, "q").when(k == 2, "one").otherwise("free")
+    values = F.when(k < 2, F.array(v)).when(k == 2, F.array("o_orderstatus")).otherwise(F.array("o_orderstatus", v))
+    r = t("orders").select(F.col("o_orderkey").alias("record"), F.lit("i").alias("instrument"), item.alias("item"), values.alias("values"))
+    rows = [*(("q", str(i), f"option {i}", True, 3) for i in (1, 2, 3)), ("one", "F", "fulfilled", False, None), ("free", "-", "-", True, None)]
+    return nested.survey_rows(r, r.sparkSession.createDataFrame(rows, "item string, value string, label string, multiple boolean, n_options int"))
 
 
 def _matrix(t):
@@ -526,27 +533,28 @@ def _(t):
 
 
 @query("deid_table", """
-SELECT coalesce(n_name, CAST(c_custkey AS VARCHAR)) AS participant_id, CAST(c_nationkey AS VARCHAR) AS session_id, trim(regexp_replace(lower(c_mktsegment), '[^a-z0-9]+', '-', 'g'), '-') AS task_name
+SELECT coalesce(n_name, CAST(c_custkey AS VARCHAR)) AS participant_id, CASE WHEN c_nationkey % 2 = 0 THEN 's' || c_nationkey ELSE CAST(c_nationkey AS VARCHAR) END AS session_id, trim(regexp_replace(lower(c_mktsegment), '[^a-z0-9]+', '-', 'g'), '-') AS task_name
 FROM customer LEFT JOIN nation ON c_custkey = n_nationkey WHERE c_nationkey <> 5""")
 def _(t):
     df = t("customer").select(F.col("c_custkey").cast("string").alias("record_id"), F.col("c_nationkey").cast("string").alias("session_id"), F.col("c_mktsegment").alias("task_name"), "c_name")
     ids = t("nation").select(F.col("n_nationkey").cast("string").alias("old_id"), F.col("n_name").alias("new_id"))
-    none = ids.select(F.concat(F.lit("no "), "old_id").alias("old_id"), "new_id")
+    sessions = ids.where("old_id % 2 = 0").select("old_id", F.concat(F.lit("s"), "old_id").alias("new_id"))
     removed = t("customer").where("c_nationkey = 5").select(F.col("c_custkey").cast("string"))
-    return deidentify.phenotype_deidentified(df, ids, none, removed, ["c_name"], "task_name")
+    return deidentify.phenotype_deidentified(df, ids, sessions, removed, ["c_name"], "task_name")
 
 
 @query("deid_files", """
-SELECT CAST(l_suppkey AS VARCHAR) AS participant_id, CAST(l_orderkey AS VARCHAR) AS session_id,
-  'sub-' || l_suppkey || '/ses-' || l_orderkey || '/audio/sub-' || l_suppkey || '_ses-' || l_orderkey || '_task-' || lower(l_returnflag) || '-' || l_linenumber || '.wav' AS new_path
-FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey = 1) AND l_linenumber <> 2 AND l_returnflag <> 'N'""")
+WITH f AS (SELECT *, CASE WHEN l_suppkey % 3 = 0 THEN 'n' || l_suppkey ELSE CAST(l_suppkey AS VARCHAR) END AS p, CASE WHEN l_orderkey % 2 = 0 THEN 's' || l_orderkey ELSE CAST(l_orderkey AS VARCHAR) END AS s FROM lineitem)
+SELECT p AS participant_id, s AS session_id, 'sub-' || p || '/ses-' || s || '/audio/sub-' || p || '_ses-' || s || '_task-' || lower(l_returnflag) || '-' || l_linenumber || '.wav' AS new_path
+FROM f WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey = 1) AND l_linenumber <> 2 AND l_returnflag <> 'N'""")
 def _(t):
     stem = F.concat(F.lit("sub-"), "l_suppkey", F.lit("_ses-"), "l_orderkey", F.lit("_task-"), "l_returnflag", F.lit(" "), "l_linenumber")
     files = t("lineitem").select(F.concat(F.lit("sub-"), "l_suppkey", F.lit("/ses-"), "l_orderkey", F.lit("/audio/"), stem, F.lit(".wav")).alias("path"))
-    no_ids = files.select(F.lit("-").alias("old_id"), F.lit("-").alias("new_id")).limit(1)
+    ids = lambda df, key, letter: df.select(F.col(key).cast("string").alias("old_id"), F.concat(F.lit(letter), key).alias("new_id"))
+    participants, sessions = ids(t("supplier").where("s_suppkey % 3 = 0"), "s_suppkey", "n"), ids(t("orders").where("o_orderkey % 2 = 0"), "o_orderkey", "s")
     removed = t("supplier").where("s_nationkey = 1").select(F.col("s_suppkey").cast("string"))
     stems = t("lineitem").where("l_linenumber = 2").select(stem.alias("stem"))
-    return deidentify.files_deidentified(files, no_ids, no_ids, removed, stems, ["task-a", "task-r"]).select("participant_id", "session_id", "new_path")
+    return deidentify.files_deidentified(files, participants, sessions, removed, stems, ["task-a", "task-r"]).select("participant_id", "session_id", "new_path")
 
 
 @query("session_numbers", "SELECT CAST(o_custkey AS VARCHAR) AS participant_id, CAST(o_orderkey AS VARCHAR) AS old_id, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderkey AS VARCHAR)) AS VARCHAR) AS new_id FROM orders")
@@ -629,12 +637,15 @@ def _(t):
     return phenotype.schema_of_column(t("events").select(F.col("event_type").alias("column"), F.col("user_id").cast("string").alias("schema"), F.col("event_id").alias("_row_id")))
 
 
-@query("protocol_items", "SELECT o_orderkey AS activity, unnest(['items/a', 'items/b', 'items/c']) AS item, unnest([0, 1, 2]) AS at FROM orders")
+@query("protocol_items", """
+WITH o AS (SELECT o_orderkey AS activity, o_orderkey % 3 AS k, ['items/' || o_orderstatus, 'items/b'] AS a FROM orders)
+SELECT activity, unnest(CASE k WHEN 0 THEN [a[1], a[2], 'items/c'] ELSE a END) AS item, unnest(CASE k WHEN 0 THEN [0, 1, 2] ELSE [0, 1] END) AS at FROM o""")
 def _(t):
     from cohortforge.plans import phenotype
 
-    lists = {"order": ["items/a", "items/b"], "properties": ["items/b", "items/c", "other"]}
-    return phenotype.protocol_items(t("orders").select(F.col("o_orderkey").alias("activity"), *(F.array(*(F.lit(x) for x in v)).alias(k) for k, v in lists.items())))
+    own = F.concat(F.lit("items/"), "o_orderstatus")
+    more = F.when(F.col("o_orderkey") % 3 == 0, F.array(F.lit("items/b"), F.lit("items/c"), F.lit("other"))).otherwise(F.array(F.lit("other"), own))
+    return phenotype.protocol_items(t("orders").select(F.col("o_orderkey").alias("activity"), F.array(own, F.lit("items/b")).alias("order"), more.alias("properties")))
 
 
 @query("site_counts", "SELECT n_regionkey, count(DISTINCT c_custkey) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1")
@@ -674,11 +685,13 @@ def _(t):
     return dashboards.recording_summary(t("lineitem").select(path.alias("path")))
 
 
-@query("releases_compared", "SELECT 'registered' AS side, count(*) AS n FROM customer WHERE c_mktsegment = 'BUILDING' UNION ALL SELECT 'controlled', 0")
+@query("releases_compared", "SELECT 'registered' AS side, count(*) AS n FROM customer WHERE c_mktsegment = 'BUILDING' OR c_nationkey % 3 = 0 UNION ALL SELECT 'controlled', count(*) FROM customer WHERE c_mktsegment <> 'BUILDING' AND c_nationkey % 3 = 0")
 def _(t):
+    """One release lacks rows of the other and has some with another value."""
     from cohortforge.plans import phenotype
 
-    return phenotype.compared(t("customer"), t("customer").where("c_mktsegment <> 'BUILDING'"))
+    name = F.when(F.col("c_nationkey") % 3 == 0, F.concat("c_name", F.lit("'"))).otherwise(F.col("c_name"))
+    return phenotype.compared(t("customer"), t("customer").where("c_mktsegment <> 'BUILDING'").withColumn("c_name", name))
 
 
 @query("subject_races", """

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortforge.functions import scalars as S
-from cohortforge.operators import aggregates, joins, nested, select
+from cohortforge.operators import aggregates, documents, joins, nested, select
 from cohortforge.plans import catalogue, dashboards, deidentify, phenotype, release, survey, validate
 from cohortforge.plans.registry import query
 from cohortforge.sources import sinks
@@ -49,10 +49,16 @@ def _(t):
 
 @query("remap_report", """
 WITH m AS (SELECT o_custkey, CASE WHEN o_custkey % 3 = 0 THEN 'x' || o_custkey END AS new_id FROM orders)
-SELECT count(*) AS n, count(*) FILTER (new_id IS NULL) AS n_unchanged, count(new_id) / count(*) AS proportion, (SELECT string_agg(DISTINCT CAST(o_custkey AS VARCHAR), ',' ORDER BY CAST(o_custkey AS VARCHAR)) FROM m WHERE new_id IS NULL) AS ids FROM m""")
+SELECT count(*) AS n, count(*) FILTER (new_id IS NULL) AS n_unchanged, count(DISTINCT o_custkey) FILTER (new_id IS NULL) AS n_unchanged_ids, count(new_id) / count(*) AS proportion FROM m""")
 def _(t):
     mapping = _ids(t("customer").where("c_custkey % 3 = 0"), F.col("c_custkey"), F.concat(F.lit("x"), "c_custkey"))
-    return release.remap_report(t("orders").select(F.col("o_custkey").cast("string").alias("id")), mapping, "id").withColumn("ids", F.array_join("ids", ","))
+    return release.remap_report(t("orders").select(F.col("o_custkey").cast("string").alias("id")), mapping, "id")
+
+
+@query("unchanged_ids", "SELECT CAST(o_custkey AS VARCHAR) AS id, count(*) AS n FROM orders WHERE o_custkey % 3 <> 0 GROUP BY 1")
+def _(t):
+    mapping = _ids(t("customer").where("c_custkey % 3 = 0"), F.col("c_custkey"), F.concat(F.lit("x"), "c_custkey"))
+    return release.unchanged_ids(t("orders").select(F.col("o_custkey").cast("string").alias("id")), mapping, "id")
 
 
 _FILES = "'d/sub-' || l_suppkey || '/ses-' || l_orderkey || '/audio/r' || l_linenumber"
@@ -148,10 +154,15 @@ def _(t):
     return validate.recordings_without_file(t("orders").select("o_orderkey", "o_custkey"), files, "o_orderkey")
 
 
-@query("column_report", "SELECT unnest(['total', 'included', 'deleted', 'only_in_table', 'only_in_mapping']) AS what, unnest([5, 2, 1, 2, 1]) AS n")
+@query("column_report", """
+WITH e AS (SELECT DISTINCT 'q' || user_id AS c, user_id AS k FROM events), m AS (SELECT 'q' || c_custkey AS c, c_nationkey = 3 AS gone FROM customer)
+SELECT 'total' AS what, count(*) AS n FROM e UNION ALL SELECT 'included', count(*) FROM e JOIN m USING (c) WHERE NOT gone UNION ALL SELECT 'deleted', count(*) FROM e JOIN m USING (c) WHERE gone
+UNION ALL SELECT 'only_in_table', count(*) FROM e ANTI JOIN m USING (c) UNION ALL SELECT 'only_in_mapping', count(*) FROM (SELECT * FROM m WHERE NOT gone) ANTI JOIN e USING (c)""")
 def _(t):
-    counts = validate.column_report(["c_custkey", "c_name", "c_phone"], ["c_acctbal"], t("customer").columns)
-    return _literals(t, list(counts.items()), "what string, n int")
+    """A registry's columns (customers) against those that answers come under (users of events)."""
+    q = lambda c: F.concat(F.lit("q"), c).alias("column")
+    mapping = t("customer").select(q("c_custkey"), (F.col("c_nationkey") == 3).alias("deleted"))
+    return validate.column_counts(mapping, t("events").select(q("user_id")))
 
 
 # --- selection -----------------------------------------------------------------------------------
@@ -168,11 +179,14 @@ def _(t):
     return select.without_bare_rows(df, ["event_id"])
 
 
-@query("header_verdicts", "SELECT unnest(['coded', 'labels', 'mixed']) AS header, unnest(['ok', 'error', 'warn']) AS verdict")
+@query("header_verdicts", """
+WITH h AS (SELECT o_custkey AS header, o_orderpriority AS c FROM orders), k AS (SELECT header, count(*) AS n, count(*) FILTER (c LIKE '1%' OR c LIKE '2%' OR c LIKE '5%') AS coded, count(*) FILTER (c LIKE '3%' OR c LIKE '4%') AS labels FROM h GROUP BY 1)
+SELECT header, CASE WHEN coded = n THEN 'ok' WHEN coded = 0 OR 2 * labels > n THEN 'error' ELSE 'warn' END AS verdict FROM k""")
 def _(t):
-    coded, labels = t("region").columns, ["Key", "Name"]
-    headers = {"coded": coded, "labels": labels, "mixed": [*coded, "Name"]}
-    return _literals(t, [(n, select.header_verdict(h, coded, labels)) for n, h in headers.items()], "header string, verdict string")
+    """A customer's orders as one header: priorities 1, 2 and 5 are coded names, 3 and 4 labels."""
+    names = t("orders").select(F.col("o_orderpriority").alias("c")).distinct()
+    kind = names.select("c", F.col("c").rlike("^[125]").alias("coded"), F.col("c").rlike("^[34]").alias("label"))
+    return select.header_verdicts(t("orders").select(F.col("o_custkey").alias("header"), F.col("o_orderpriority").alias("c")), kind)
 
 
 @query("flags_dates_literals", """
@@ -308,10 +322,43 @@ def _(t):
     return _literals(t, [(q,) for q in phenotype.binary_questions(df, ["a", "b", "c"])], "question string")
 
 
-@query("key_differences", "SELECT 'x' AS key, 'a' AS only_in UNION ALL SELECT 'z', 'b'")
+_PROPS = "SELECT event_id, json_extract_string(props, '$.k') AS k, event_type AS e, event_id % 3 AS r FROM events"
+
+
+def _props(t):
+    """Events' properties, and the same with other keys, other values and nested ones for some."""
+    e = t("events").select("event_id", "props", "event_type")
+    r, k = F.col("event_id") % 3, F.get_json_object("props", "$.k")
+    nest = F.concat(F.lit('{"k": '), k, F.lit(', "more": {"e/f": ["'), "event_type", F.lit('", {}], "n": '), k, F.lit("}}"))
+    other = F.when(r == 0, F.col("props")).when(r == 1, nest).otherwise(F.concat(F.lit('{"j": '), k, F.lit("}")))
+    return e.select("event_id", F.col("props").alias("json")), e.select("event_id", other.alias("json"))
+
+
+@query("key_differences", f"WITH p AS ({_PROPS}) SELECT event_id, 'more' AS name, 'b' AS only_in FROM p WHERE r = 1 UNION ALL SELECT event_id, 'k', 'a' FROM p WHERE r = 2 UNION ALL SELECT event_id, 'j', 'b' FROM p WHERE r = 2")
+def _(t):
+    return documents.key_differences(*_props(t), "event_id")
+
+
+@query("document_differences", f"""
+WITH p AS ({_PROPS}) SELECT event_id, '/more/e~1f/0' AS path, NULL AS in_a, '"' || e || '"' AS in_b FROM p WHERE r = 1 UNION ALL SELECT event_id, '/more/e~1f/1', NULL, '{{}}' FROM p WHERE r = 1
+UNION ALL SELECT event_id, '/more/n', NULL, k FROM p WHERE r = 1 UNION ALL SELECT event_id, '/k', k, NULL FROM p WHERE r = 2 UNION ALL SELECT event_id, '/j', NULL, k FROM p WHERE r = 2""")
+def _(t):
+    return documents.differences(*_props(t), "event_id")
+
+
+@query("dictionary_forms", f"""
+WITH p AS ({_PROPS}), f AS (SELECT event_id, CASE r WHEN 0 THEN ['k'] WHEN 1 THEN ['k', 'more'] ELSE ['j'] END AS names, k, e, r FROM p)
+SELECT event_id, array_to_string(names, chr(9)) AS header, '{{' || array_to_string(list_transform(names, lambda n: '"' || n || '":{{"description":""}}'), ',') || '}}' AS described,
+  CASE r WHEN 0 THEN '{{"k":' || k || '}}' WHEN 1 THEN '{{"more":{{"e/f":["' || e || '",{{}}],"n":' || k || '}},"k":' || k || '}}' ELSE '{{}}' END AS sorted,
+  CASE r WHEN 0 THEN '{{"k":"new"}}' WHEN 1 THEN '{{"k":"new","more":[1]}}' ELSE '{{"j":' || k || '}}' END AS updated FROM f""")
 def _(t):
-    one = lambda text: _literals(t, [(text,)], "json string")
-    return nested.key_differences(one('{"x": 1, "y": {"k": 2}}'), one('{"y": 3, "z": null}'))
+    """Headers, empty descriptions, keys in a given order and values by reference."""
+    _, df = _props(t)
+    reference = _literals(t, [("k", '"new"'), ("more", "[1]"), ("unused", "0")], "name string, value string")
+    updated = documents.updated(df, reference, "event_id", strict=False).withColumnRenamed("json", "updated")
+    order = F.array(*(F.lit(x) for x in ("more", "gone", "k")))
+    forms = df.select("event_id", documents.header("json").alias("header"), documents.described(F.json_object_keys("json")).alias("described"), documents.sorted_like("json", order).alias("sorted"))
+    return forms.join(updated, "event_id")
 
 
 # --- catalogue and dashboards --------------------------------------------------------------------

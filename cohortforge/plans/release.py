@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from cohortforge.operators.tables import kept_once
 from cohortforge.plans import deidentify
 from cohortforge.sources import sinks
 from cohortforge.sources.files import exists
@@ -38,17 +39,26 @@ def stems_expanded(stems: DataFrame, participants: DataFrame, sessions: DataFram
 
 
 def remap_report(before: DataFrame, mapping: DataFrame, column: str) -> DataFrame:
-    """n, n_unchanged, proportion (remapped) of an id column, and the ids left as they were, in order.
+    """n, n_unchanged, n_unchanged_ids, proportion (remapped) of an id column; the ids themselves are ``unchanged_ids``.
 
     An id mapped to itself counts as unchanged; nulls count as rows, neither remapped nor unchanged.
     """
-    ids = before.groupBy(F.col(column).alias("_id")).agg(F.count("*").alias("_n"))
-    joined = ids.join(mapping.select(F.col("old_id").alias("_id"), "new_id"), "_id", "left")
-    same = F.col("_id").isNotNull() & (F.coalesce("new_id", "_id") == F.col("_id"))
+    joined, same = _remapped_ids(before, mapping, column)
     total, unchanged = F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.sum(F.when(same, F.col("_n"))), F.lit(0))
     remapped = F.coalesce(F.sum(F.when(~same & F.col("_id").isNotNull(), F.col("_n"))), F.lit(0))
-    kept = F.array_sort(F.collect_set(F.when(same, F.col("_id").cast("string"))))
-    return joined.agg(total.alias("n"), unchanged.alias("n_unchanged"), F.coalesce(F.try_divide(remapped, total), F.lit(0.0)).alias("proportion"), kept.alias("ids"))
+    return joined.agg(total.alias("n"), unchanged.alias("n_unchanged"), F.count_if(same).alias("n_unchanged_ids"), F.coalesce(F.try_divide(remapped, total), F.lit(0.0)).alias("proportion"))
+
+
+def unchanged_ids(before: DataFrame, mapping: DataFrame, column: str) -> DataFrame:
+    """id, n of the ids that a mapping leaves as they are, with their rows."""
+    joined, same = _remapped_ids(before, mapping, column)
+    return joined.where(same).select(F.col("_id").cast("string").alias("id"), F.col("_n").alias("n"))
+
+
+def _remapped_ids(before: DataFrame, mapping: DataFrame, column: str):
+    ids = before.groupBy(F.col(column).alias("_id")).agg(F.count("*").alias("_n"))
+    joined = ids.join(mapping.select(F.col("old_id").alias("_id"), "new_id"), "_id", "left")
+    return joined, F.col("_id").isNotNull() & (F.coalesce("new_id", "_id") == F.col("_id"))
 
 
 def refuse_existing(spark: SparkSession, path: str) -> None:
@@ -70,49 +80,57 @@ def released(
     private: Sequence[str] = (),
     static: Sequence[str] = (),
 ) -> dict[str, int]:
-    """A de-identified release below ``out``, which must not be there yet; rows written of each part.
+    """A de-identified release below ``out``, which must not be there yet; rows written of each part, each computed once.
+
+    All is written below ``<out>.part`` and renamed at the end, so a run that fails leaves no release and can be run again.
 
     ``phenotype``: tables by name, to phenotype/<name>.  ``features``: long features by name, to features/<name>.
     ``files``: (path, ...) rows, to files (old and new paths, for ``sinks.copies``).  ``static``: files that go along as they are.
     ``participants`` and ``sessions`` map old_id to new_id; stems are given under old or new ids.
     """
     refuse_existing(spark, out)
-    listed = stems_expanded(stems, participants, sessions)
+    made = f"{out}.part"
+    sinks.removed_path(spark, made)  # of a run that failed
+    listed = kept_once(stems_expanded(stems, participants, sessions))
     n = {}
     for name, df in phenotype.items():
         held = deidentify.phenotype_deidentified(df, participants, sessions, removed, private)
-        sinks.delimited(held, f"{out}/phenotype/{name}")
-        n[f"phenotype/{name}"] = held.count()
+        seen = Observation(f"rows {name}")
+        sinks.delimited(held.observe(seen, F.count(F.lit(1)).alias("n")), f"{made}/phenotype/{name}")
+        n[f"phenotype/{name}"] = seen.get["n"]
     for name, df in (features or {}).items():
         held = deidentify.features_deidentified(df, removed, listed, list(tasks or ()))
-        sinks.feature_parquet(held, f"{out}/features/{name}")
-        n[f"features/{name}"] = held.count()
+        sinks.feature_parquet(held, f"{made}/features/{name}")
+        n[f"features/{name}"] = spark.read.parquet(f"{made}/features/{name}").count()  # from the files' footers
     if files is not None:
         held = deidentify.files_deidentified(files, participants, sessions, removed, listed, tasks)
-        held.select("path", "new_path").write.parquet(f"{out}/files")
-        n["files"] = held.count()
+        held.select("path", "new_path").write.parquet(f"{made}/files")
+        n["files"] = spark.read.parquet(f"{made}/files").count()
     if static:
-        pairs = spark.createDataFrame([(path, f"{out}/{path.rsplit('/', 1)[-1]}") for path in static], "source string, target string")
+        pairs = spark.createDataFrame([(path, f"{made}/{path.rsplit('/', 1)[-1]}") for path in static], "source string, target string")
         failed = sinks.copies(pairs).where("error is not null").collect()  # as many as static files were named
         if failed:
             raise OSError("; ".join(r.error for r in failed))
         n["static"] = len(static)
+    sinks.renamed_path(spark, made, out)
     return n
 
 
 def unprocessed(files: DataFrame, path: str = "path") -> DataFrame:
-    """path, missing of recordings (.wav) without a feature payload (.pt) or transcription (.txt) that begins with their stem beside them."""
-    folder, name = F.regexp_extract(path, r"^(.*/)?[^/]*$", 1), F.element_at(F.split(path, "/"), -1)
-    f = files.select(F.col(path).alias("path"), folder.alias("folder"), name.alias("name"))
-    wav = f.where(F.lower("name").endswith(".wav")).withColumn("stem", F.regexp_replace("name", r"\.[^.]*$", ""))
+    """path, missing of recordings (.wav) without a feature payload (.pt) or transcription (.txt) that begins with their stem beside them.
+
+    What begins with a stem begins with its sub- and ses- entities too, so names meet by folder and entities; stems without
+    them meet all names of their folder.
+    """
+    whole = F.regexp_extract_all(path, F.lit(r"^(.*/)?([^/]*)$"), F.lit(1))
+    f = files.select(F.col(path).alias("path"), F.get(whole, F.lit(0)).alias("folder"), F.element_at(F.split(path, "/"), -1).alias("name"))
+    f = f.withColumns({"entities": F.regexp_extract("name", r"^sub-[^_]+_ses-[^_]+_", 0), "kind": F.lower(F.right("name", F.lit(4)))})
+    wav = f.where("kind = '.wav'").select("path", "folder", "entities", F.regexp_replace("name", r"\.[^.]*$", "").alias("stem"))
     out = None
     for kind, ending in (("features", ".pt"), ("transcription", ".txt")):
-        held = f.where(F.lower("name").endswith(ending)).select("folder", F.explode(_beginnings("name")).alias("stem")).distinct()
-        part = wav.join(held, ["folder", "stem"], "left_anti").select("path", F.lit(kind).alias("missing"))
+        some = f.where(F.col("kind").endswith(ending)).select("folder", "name", F.explode(F.array_distinct(F.array("entities", F.lit("")))).alias("entities")).alias("h")
+        w = wav.alias("w")
+        beside = (F.col("w.folder") == F.col("h.folder")) & (F.col("w.entities") == F.col("h.entities")) & F.col("h.name").startswith(F.col("w.stem"))
+        part = w.join(some, beside, "left_anti").select("path", F.lit(kind).alias("missing"))
         out = part if out is None else out.unionByName(part)
     return out
-
-
-def _beginnings(name: str):
-    """All beginnings of a file name, so that "begins with" is an equality join."""
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(name), F.lit(1))), lambda i: F.substring(F.col(name), F.lit(1), i))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortforge.functions.scalars import elapsed_ms, parse_instant
 from cohortforge.operators import windows
+from cohortforge.operators.tables import kept_once
 
 # Order of a paediatric protocol's parts (the first that occurs in a path counts), and row constants.
 PROTOCOL = ["ready_for_school", "favorite_show_movie", "favorite_food", "outside_of_school", "abcs", "123s", "naming_animals", "role_naming", "naming_food", "noisy_sounds", "long_sounds", "silly_sounds", "picture", "sentence", "picture_description", "passage", "other"]
@@ -67,6 +68,51 @@ def audio_rows(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     return tasks, recordings
 
 
+def instructions_found(names: DataFrame, instructions: DataFrame, id_col: str, name: str = "name", gram: int = 4) -> DataFrame:
+    """id_col, at: the least position of an instruction whose key is part of the name (case doesn't count), for names with one.
+
+    ``instructions``: key, at.  A key meets the names by one of its grams (pieces of ``gram`` characters, of fewer for shorter
+    keys), the one that the fewest keys have; names that hold this gram are then looked at whole.  So no name is held against all
+    keys.  An empty key is part of every name; null names and keys match nothing.  Ids must not be null.
+    """
+    keys = instructions.select(F.lower("key").alias("key"), "at").where("key is not null").groupBy("key").agg(F.min("at").alias("at"))
+    size = F.least(F.length("key"), F.lit(gram))
+    pieces = lambda text, n: F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(text) - n + 1), lambda i: F.array_join(F.slice(text, i, n), "")))
+    own = keys.where("key <> ''").withColumn("n", size).withColumn("chars", F.filter(F.split("key", ""), lambda c: c != ""))
+    grams = own.select("key", "at", "n", F.explode(pieces(F.col("chars"), F.col("n"))).alias("gram"))
+    anchors = kept_once(grams.join(grams.groupBy("gram").agg(F.count("*").alias("keys")), "gram").groupBy("key", "at", "n").agg(F.min(F.struct("keys", "gram"))["gram"].alias("gram")))
+    texts = names.select(id_col, F.lower(name).alias("_text"))
+    chars = texts.select(id_col, F.filter(F.split("_text", ""), lambda c: c != "").alias("_chars")).where(F.size("_chars") > 0)
+    lengths = [r.n for r in anchors.select("n").distinct().collect()]  # at most ``gram`` numbers
+    found = None
+    for n in lengths:
+        some = anchors.where(F.col("n") == n).select("gram", "key", "at")
+        met = chars.where(F.size("_chars") >= n).select(id_col, F.explode(pieces(F.col("_chars"), F.lit(n))).alias("gram")).join(some, "gram").select(id_col, "key", "at")
+        found = met if found is None else found.unionByName(met)
+    empty = keys.where("key = ''").select(F.col("at").alias("_every"))  # one row at most
+    whole = texts.where(F.col("_text").isNotNull()).join(F.broadcast(empty), F.lit(True), "inner").select(id_col, F.col("_every").alias("at"))
+    if found is not None:
+        held = found.join(texts, id_col).where(F.col("_text").contains(F.col("key"))).select(id_col, "at")
+        whole = whole.unionByName(held)
+    return whole.groupBy(id_col).agg(F.min("at").alias("at"))
+
+
+def recording_metadata(recordings: DataFrame, instructions: DataFrame, id_col: str = "recording_id") -> DataFrame:
+    """One metadata row for each recording: session_id, task_name (lower case, blanks as hyphens), instructions and prompts, and the
+    fixed form of the files.
+
+    ``recordings``: id_col, recording_name and one column whose name holds session_id.  ``instructions``: key, at, instructions,
+    prompts; the first key (by ``at``) that is part of the task name counts, and without one instructions are empty.
+    """
+    session = next(c for c in recordings.columns if "session_id" in c)
+    task = F.replace(F.lower("recording_name"), F.lit(" "), F.lit("-"))
+    base = recordings.select(id_col, F.col(session).alias("session_id"), task.alias("task_name"))
+    found = instructions_found(base, instructions, id_col, "task_name")
+    texts = instructions.groupBy("at").agg(F.min_by("instructions", "key").alias("instructions"), F.min_by("prompts", "key").alias("prompts"))
+    out = base.join(found.join(texts, "at").drop("at"), id_col, "left")
+    return out.select(id_col, "session_id", "task_name", F.coalesce("instructions", F.lit("")).alias("instructions"), "prompts", F.lit(1).alias("audio_channel_count"), F.lit("16000").alias("audio_sample_rate"))
+
+
 def subject_ids_cleaned(df: DataFrame, column: str = "record_id") -> DataFrame:
     """Ids without blanks and hyphens, numbers padded to four before two letters; longer ones are dropped."""
     plain = F.regexp_replace(column, r"[\s-]", "")

@@ -106,6 +106,16 @@ def recordings_without_file(recordings: DataFrame, files: DataFrame, key: str) -
     return recordings.join(files.select(key).distinct(), key, "left_anti")
 
 
+def column_counts(mapping: DataFrame, present: DataFrame) -> DataFrame:
+    """what, n: columns of a table (``present``: column, repeats count once) by what a registry (column, deleted) says of them."""
+    m = mapping.groupBy("column").agg(F.max("deleted").alias("deleted"))
+    both = present.select("column", F.lit(True).alias("_in")).distinct().join(m, "column", "full_outer")
+    here, known, gone = F.col("_in").isNotNull(), F.col("deleted").isNotNull(), F.coalesce("deleted", F.lit(False))
+    kinds = {"total": here, "included": here & known & ~gone, "deleted": here & gone, "only_in_table": here & ~known, "only_in_mapping": ~here & ~gone}
+    counts = both.agg(*(F.count_if(c).alias(n) for n, c in kinds.items()))
+    return counts.select(F.explode(F.array(*(F.struct(F.lit(n).alias("what"), F.col(n).alias("n")) for n in kinds))).alias("x")).select("x.*")
+
+
 def column_report(used: Sequence[str], deleted: Sequence[str], present: Sequence[str]) -> dict[str, int]:
     u, d, p = set(used), set(deleted), set(present)
     return {"total": len(p), "included": len(p & u), "deleted": len(p & d), "only_in_table": len(p - u - d), "only_in_mapping": len(u - p)}

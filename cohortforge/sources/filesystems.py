@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from contextlib import contextmanager
 
 import pyarrow as pa
 
@@ -34,27 +35,22 @@ def pieces(handle, size: int = PIECE_BYTES):
         yield piece
 
 
-def written(path: str, parts) -> tuple[int, str]:
-    """Bytes and sha256 of what is written: under a name of its own first, moved when it is there whole.
+@contextmanager
+def whole(path: str, check=None):
+    """A stream to a file that is written under a name of its own first and moved when it is there whole.
 
-    A task that is lost in between leaves no file of the given name; a file that was there is replaced as one.
+    A task that is lost in between leaves no file of the given name; a file that was there is replaced as one.  ``check`` is
+    called with the file system and the own name before the move.
     """
     fs, target = located(path)
     if parent(target):
         fs.create_dir(parent(target), recursive=True)
-    own, digest, size = f"{target}.{uuid.uuid4().hex}.part", hashlib.sha256(), 0
+    own = f"{target}.{uuid.uuid4().hex}.part"
     try:
         with fs.open_output_stream(own) as out:
-            for part in parts:
-                out.write(part)
-                digest.update(part)
-                size += len(part)
-        with fs.open_input_stream(own) as back:
-            again = hashlib.sha256()
-            for part in pieces(back):
-                again.update(part)
-        if again.digest() != digest.digest():
-            raise OSError(f"{path} holds other bytes than were written")
+            yield out
+        if check:
+            check(fs, own)
         fs.move(own, target)
     except BaseException:
         try:
@@ -62,6 +58,25 @@ def written(path: str, parts) -> tuple[int, str]:
         except OSError:
             pass  # it was never made
         raise
+
+
+def written(path: str, parts) -> tuple[int, str]:
+    """Bytes and sha256 of what is written whole, having been read back."""
+    digest, size = hashlib.sha256(), 0
+
+    def check(fs, own):
+        with fs.open_input_stream(own) as back:
+            again = hashlib.sha256()
+            for part in pieces(back):
+                again.update(part)
+        if again.digest() != digest.digest():
+            raise OSError(f"{path} holds other bytes than were written")
+
+    with whole(path, check) as out:
+        for part in parts:
+            out.write(part)
+            digest.update(part)
+            size += len(part)
     return size, digest.hexdigest()
 
 

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import itertools
 import json
+from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortforge.operators import windows
+from cohortforge.operators.tables import kept_once
 from cohortforge.sources import audio, filesystems
 
+#: Elements of one schema's dictionary that may be on the driver.
+MOST_ELEMENTS = 100_000
+
 
 def delimited(df: DataFrame, path: str, sep: str = "\t", partition_by: str | None = None) -> None:
     writer = df.write.mode("overwrite").options(header=True, sep=sep)
@@ -40,6 +46,68 @@ def feature_parquet(df: DataFrame, path: str) -> None:
     writer.parquet(path)
 
 
+def removed_path(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def renamed_path(spark: SparkSession, path: str, to: str) -> None:
+    a, b = (spark._jvm.org.apache.hadoop.fs.Path(x) for x in (path, to))
+    if not a.getFileSystem(spark._jsc.hadoopConfiguration()).rename(a, b):
+        raise OSError(f"{path} can't be renamed to {to}")
+
+
+def feature_bundle(df: DataFrame, path: str, files: int, ids: Sequence[str] = ("participant_id", "session_id", "task_name"), split_floats: bool = False) -> DataFrame:
+    """file, n_rows, n_bytes of a bundle laid out for pruning: each participant's rows are in one file, in order, and files
+    follow one another by participant.
+
+    zstd level 3, pages of 1 MiB with an index, dictionaries for the ids.  ``split_floats``: floats outside of spectrograms are split by
+    bytes, for readers on Arrow; Spark's vectorised reader doesn't know that encoding.  A participant with more than twice a file's
+    share of all rows goes over several files, by task.  Files are written under another name and moved when they are whole, so a
+    task that runs twice leaves one.
+    """
+    who, task = ids[0], ids[-1]
+    sizes = kept_once(df.groupBy(who).agg(F.count("*").alias("_n")))
+    share = (sizes.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0] or 0) / max(1, files)
+    large = sizes.where(F.col("_n") > 2 * share).select(F.col(who).alias("_who"), F.lit(True).alias("_large"))  # fewer than half as many as files
+    dealt = df.join(F.broadcast(large), df[who].eqNullSafe(F.col("_who")), "left").withColumn("_by", F.when(F.col("_large"), F.col(task)))
+    placed = dealt.repartitionByRange(files, who, "_by").sortWithinPartitions(who, task).select(*df.columns)
+    floats = [f.name for f in df.schema.fields if f.name not in ids and "spectrogram" not in f.name]
+    names = df.columns
+
+    def run(batches):
+        import pyarrow.parquet as pq
+        from pyspark import TaskContext
+
+        first = next(batches, None)
+        if first is None:
+            return
+        columns = _parquet_columns(first.schema)
+        split = [c.path for c in columns if split_floats and c.physical_type in ("FLOAT", "DOUBLE") and c.path.split(".")[0] in floats]
+        order = [pq.SortingColumn(names.index(c)) for c in (who, task)]
+        name, n = f"{path}/part-{TaskContext.get().partitionId():05d}.parquet", 0
+        with filesystems.whole(name) as sink:
+            options = {"compression": "zstd", "compression_level": 3, "data_page_size": 1 << 20, "write_page_index": True, "sorting_columns": order}
+            with pq.ParquetWriter(sink, first.schema, use_dictionary=list(ids), use_byte_stream_split=split or False, **options) as out:
+                for batch in itertools.chain([first], batches):
+                    out.write_batch(batch)
+                    n += batch.num_rows
+            size = sink.tell()
+        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n]), pa.array([size])], names=["file", "n_rows", "n_bytes"])
+
+    return kept_once(placed.mapInArrow(run, "file string, n_rows long, n_bytes long"))
+
+
+def _parquet_columns(schema) -> list:
+    """The Parquet columns of an Arrow schema."""
+    import pyarrow.parquet as pq
+
+    sink = pa.BufferOutputStream()
+    pq.write_table(schema.empty_table(), sink)
+    found = pq.read_metadata(pa.BufferReader(sink.getvalue())).schema
+    return [found.column(i) for i in range(len(found))]
+
+
 def appended(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
@@ -54,9 +122,11 @@ def json_report(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def dictionary_json(spark: SparkSession, elements: DataFrame, path: str) -> str:
-    """The data dictionary of one schema as JSON text, written and returned; dictionaries are small."""
-    rows = elements.toPandas().to_dict("records")
+def dictionary_json(spark: SparkSession, elements: DataFrame, path: str, most: int = MOST_ELEMENTS) -> str:
+    """The data dictionary of one schema as JSON text, written and returned; more than ``most`` elements raise ValueError."""
+    rows = elements.limit(most + 1).toPandas().to_dict("records")
+    if len(rows) > most:
+        raise ValueError(f"a dictionary of more than {most} elements isn't made on the driver")
     text = json.dumps({"data_elements": {r.pop("column"): r for r in rows}}, indent=2, default=str)
     single = spark.createDataFrame([(text,)], "value string").coalesce(1)
     single.write.mode("overwrite").text(path)
@@ -106,6 +176,13 @@ def session_files(sessions: DataFrame, root: str) -> DataFrame:
     return grouped.select(F.concat(F.lit(f"{root}/sub-"), "record_id", F.lit("/sessions.tsv")).alias("path"), F.concat(body, F.lit("\n")).alias("text"))
 
 
+def failed_raise(done: DataFrame, most: int = 5) -> None:
+    """OSError with the first few errors of written files, if there are any."""
+    failed = [r.error for r in done.where("error is not null").limit(most).collect()]
+    if failed:
+        raise OSError("; ".join(failed))
+
+
 def error_summary(done: DataFrame, most_files: int = 5, most_kinds: int = 3) -> DataFrame:
     """kind, n, files of failed copies: the most frequent kinds of error, each with its first few files (the report's own size)."""
     failed = done.where("error is not null").select(F.regexp_extract("error", "^([^:]*)", 1).alias("kind"), done.columns[0])
