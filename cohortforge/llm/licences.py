@@ -11,12 +11,14 @@ consecutively and label a text on their own.  Null and empty texts have no words
 and no labels; score is the largest covered share of any template (a base phrase
 counts as fully covered).
 
-Templates are short notices and the whole texts of short licences (``licence_texts``); whole texts of long ones (the general
-public licences, Apache, Mozilla) are read from a folder with ``templates_from`` and passed as ``templates``.
+Templates are short notices, the whole texts of short licences (``licence_texts``) and those of the general public licences,
+Apache's and Mozilla's, which lie beside this module as files; others are read from a folder with ``templates_from`` and passed
+as ``templates``.
 """
 
 from __future__ import annotations
 
+import pkgutil
 from itertools import repeat
 
 import numpy as np
@@ -62,7 +64,12 @@ TEMPLATES = {
     "cc-by-nc": ["licensed under cc by nc 4 0", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"],
     "unlicense": ["this is free and unencumbered software released into the public domain"],
 }
-TEMPLATES = {label: [*TEMPLATES.get(label, []), *licence_texts.WHOLE.get(label, [])] for label in {**TEMPLATES, **licence_texts.WHOLE}}
+#: Files of whole texts and their labels.
+FILES = {"Apache-2.0": "apache", "GPL-2": "gpl", "GPL-3": "gpl", "LGPL-2.1": "lgpl", "LGPL-3": "lgpl", "MPL-2.0": "mpl"}
+_LONG: dict[str, list[str]] = {}
+for _name, _label in FILES.items():
+    _LONG.setdefault(_label, []).append(pkgutil.get_data(__package__, f"licence_files/{_name}.txt").decode())
+TEMPLATES = {label: [*TEMPLATES.get(label, []), *licence_texts.WHOLE.get(label, []), *_LONG.get(label, [])] for label in {**TEMPLATES, **licence_texts.WHOLE, **_LONG}}
 
 
 def templates_from(spark: SparkSession, folder: str, labels: dict[str, str], most_bytes: int = 4 << 20) -> dict[str, list[str]]:

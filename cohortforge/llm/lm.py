@@ -105,11 +105,11 @@ def segment(keys: np.ndarray, counts: np.ndarray, largest: int = MOST_BITS) -> b
     bits = max(64, int(levels.sum()) * BITS_PER_KEY)
     if bits > largest:
         raise ValueError(f"a bucket's filter needs {bits} bits, over {largest}: more shuffle partitions make smaller buckets")
-    out = np.zeros(bits, bool)
+    out = np.zeros(-(-bits // 8), np.uint8)  # eight bits a byte from the start
     for level in range(1, int(levels.max(initial=0)) + 1):
         for at in _positions(keys[levels >= level], level, bits):
-            out[at] = True
-    return np.packbits(out, bitorder="little").tobytes()
+            np.bitwise_or.at(out, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+    return out.tobytes()
 
 
 class LogFrequencyFilter:

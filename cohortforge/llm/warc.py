@@ -6,9 +6,9 @@ description.  The reader asks its source for ranges only: the end of the file,
 the ZIP64 end record where there is one, the central directory, a member's local
 header, the index, and then records at their offsets (neighbouring ones in ranges of about ``RANGE_BYTES``); nothing is unpacked.
 ``write_files`` puts packages of about ``PACKAGE_BYTES`` into files of the shared folder and ``read_files`` reads them there by
-ranges.  Names are new for each attempt, and the stored list holds those of the attempts that counted, so a task that runs again
+ranges (on local and s3 or s3a paths, and on hdfs where its library is).  Names are new for each attempt, and the stored list holds those of the attempts that counted, so a task that runs again
 leaves no package twice.  Where the shared folder's file system is none that Arrow opens, ``write`` and ``read`` keep packages as
-rows of a stored table (name, bytes) instead.
+rows of a stored table (name, bytes) instead; the query says so in a warning.
 
 Of records with equal payloads of at least ``LEAST_REVISIT`` bytes the one with
 the smallest id keeps the payload (response), the others refer to it (revisit).
@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import io
 import json
+import logging
 import struct
 import uuid
 import zlib
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 from cohortforge.llm import bytesops as B
 from cohortforge.llm.shared import own_folder, partitions, stored, table
 
+log = logging.getLogger(__name__)
 LEAST_REVISIT = 100
 PACKAGE_BYTES = 4 << 20
 RANGE_BYTES = 1 << 20
@@ -275,6 +277,8 @@ def file_system(folder: str):
 
     if folder.startswith("file:"):
         folder = "/" + folder.removeprefix("file:").lstrip("/")
+    if folder.startswith("s3a://"):  # Hadoop's name of it
+        folder = "s3://" + folder.removeprefix("s3a://")
     return fs.FileSystem.from_uri(folder)
 
 
@@ -354,7 +358,8 @@ def query(spark, sf_dir) -> DataFrame:
     folder = own_folder(spark)
     try:
         file_system(folder)
-    except (pa.ArrowInvalid, OSError):  # a file system of Spark's alone
+    except (pa.ArrowInvalid, OSError) as failure:  # a file system of Spark's alone
+        log.warning("packages are kept as rows and read whole, as Arrow doesn't open %s: %s", folder, failure)
         done = read(write(pages), kind=kind)
     else:
         done = read_files(write_files(pages, folder), kind=kind)

@@ -1,9 +1,12 @@
 """The pipeline's stages, each against a brute-force version on its own input."""
 
+import hashlib
+import struct
+
 import pytest
 
 import corpus_pipeline
-from cohortforge.llm import quality
+from cohortforge.llm import bpe, quality, suffixdedup
 from tests.llm.test_operators import SCHEMA, awkward, groups_by_force, key, removed_by_force
 
 
@@ -16,6 +19,28 @@ def tables(spark, tmp_path_factory):
     return str(folder)
 
 
+def kept_by_force(texts, length):
+    """The bytes of each text that no string of the length that starts elsewhere too covers."""
+    raw = [(t or "").encode() for t in texts]
+    places = {}
+    for k, b in enumerate(raw):
+        for i in range(len(b) - length + 1):
+            places.setdefault(b[i : i + length], []).append((k, i))
+    gone = [bytearray(len(b)) for b in raw]
+    for found in places.values():
+        if len(found) > 1:
+            for k, i in found:
+                gone[k][i : i + length] = b"\1" * length
+    return [bytes(c for c, g in zip(b, flags) if not g) for b, flags in zip(raw, gone)]
+
+
+def tiktoken_encoding():
+    import public_tokenizers
+    import tiktoken
+
+    return tiktoken.Encoding("multi", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), special_tokens={})
+
+
 def rows(df):
     return sorted(map(tuple, df.collect()), key=key)
 
@@ -39,20 +64,23 @@ def test_stages(spark, tables):
     cut = stages["suffix_dedup"](spark, docs, tables)
     assert cut.columns == corpus_pipeline.COLUMNS
     held = docs.collect()
-    force = removed_by_force([r.text for r in held], 400)
-    got = {}
-    for r in cut.collect():
-        got.setdefault(r.doc_id, []).append((r.text, r.n_chars))
-    for r, (n, gone, _, _) in zip(held, force):
-        options = got[r.doc_id]
-        if not gone:
-            assert (r.text, r.n_chars) in options
-        else:
-            assert any(len((t or "").encode()) <= n - gone and c == len(t) for t, c in options if t is not None)
+    wanted = []
+    for r, left in zip(held, kept_by_force([r.text for r in held], suffixdedup.PASSAGE)):
+        text = None if r.text is None else left.decode(errors="ignore")
+        cut_at_all = left != (r.text or "").encode()
+        wanted.append((r.doc_id, text, r.lang, r.source, len(text) if cut_at_all else r.n_chars))
+    assert any(t is not None and len(t) < len(r.text) for (_, t, *_), r in zip(wanted, held))
+    assert rows(cut) == sorted(wanted, key=key)
 
     clean = stages["decontamination"](spark, docs, tables)
     assert rows(clean) == rows(columns.where("doc_id is null or doc_id not in (14, 15)"))
-    assert stages["tokens"](spark, docs, tables).count() == docs.count()
+    wanted = []
+    encoding = tiktoken_encoding()
+    for r in held:
+        raw = (r.text or "").encode()
+        ids = encoding.encode_ordinary(raw.decode())
+        wanted.append((r.doc_id, len(ids), hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest(), hashlib.sha256(raw).hexdigest()))
+    assert rows(stages["tokens"](spark, docs, tables)) == sorted(wanted, key=key)
 
 
 def test_whole_pipeline_and_empty_tables(spark, tables):
