@@ -18,8 +18,18 @@ from cohortforge.sources import audio
 IDS = ["participant_id", "session_id", "task_name"]
 
 
+#: Rows of a spectrogram as it should be; one of another height was made with other settings.
+SPECTROGRAM_ROWS = 201
+
+
+def usable(held: DataFrame, rows: int = SPECTROGRAM_ROWS) -> DataFrame:
+    """Held features (feature_group, feature_name, data) without whole groups whose spectrogram has another number of rows."""
+    stale = held.where((F.col("feature_name") == "spectrogram") & (F.coalesce(F.size("data"), F.lit(0)) != rows)).select(*IDS, "feature_group").distinct()
+    return held.join(stale, [*IDS, "feature_group"], "left_anti")
+
+
 def missing(recordings: DataFrame, held: DataFrame, required: Sequence[str]) -> DataFrame:
-    """Recordings with the feature groups they still need."""
+    """Recordings with the feature groups they still need; pass ``usable`` ones to have stale spectrograms made again."""
     have = held.groupBy(*IDS).agg(F.collect_set("feature_group").alias("_have"))
     want = F.array(*(F.lit(x) for x in required))
     need = F.array_except(want, F.coalesce("_have", F.array().cast("array<string>")))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortforge.functions import signals
 from cohortforge.operators.tables import own_folder
-from cohortforge.plans import features, survey
+from cohortforge.plans import dataset, features, survey
 from cohortforge.plans.registry import query
 from cohortforge.plans.workers import importable
 from cohortforge.sources import audio, filesystems, payloads, sinks
@@ -128,3 +128,45 @@ def _(t):
     name = F.when(F.col("o_orderstatus") == "F", "Other One").otherwise(F.concat(F.lit("A "), "p_type", F.lit(" Task")))
     rows = o.select(F.col("o_orderkey").alias("recording_id"), F.concat(F.lit("s"), "o_orderkey").alias("recording_session_id"), name.alias("recording_name"))
     return survey.recording_metadata(rows, instructions).select("recording_id", "session_id", "task_name", "instructions")
+
+
+def _bundle(t) -> tuple[str, DataFrame]:
+    """A folder of payloads of all vectors, with a session table, made into a bundle: its path and its counts."""
+    v = _vectors(t)
+    spark = v.sparkSession
+    root, out = own_folder(spark), own_folder(spark)
+    numbers, n = F.col("embedding").cast("array<double>"), F.size("embedding")
+    shape = F.array(F.lit(2), (n / 2).cast("int"))
+    each = F.array(
+        F.struct(F.lit("torchaudio").alias("feature_group"), F.lit("mfcc").alias("feature_name"), shape.alias("shape"), numbers.alias("numbers"), F.lit(None).cast("double").alias("value")),
+        F.struct(F.lit("torchaudio").alias("feature_group"), F.when(F.col("vec_id") % 2 == 0, "spectrogram").otherwise("other").alias("feature_name"), shape.alias("shape"), F.transform(numbers, lambda x: F.abs(x)).alias("numbers"), F.lit(None).cast("double").alias("value")),
+        F.struct(F.lit("opensmile").alias("feature_group"), F.lit("f0").alias("feature_name"), F.lit(None).cast("array<int>").alias("shape"), F.lit(None).cast("array<double>").alias("numbers"), F.col("embedding")[0].cast("double").alias("value")),
+    )
+    own = v.select("participant_id", F.concat(F.lit("s"), "participant_id").alias("session_id"), F.when(F.col("task_name") == "t3", "audio-check").otherwise(F.col("task_name")).alias("task_name"), F.explode(each).alias("f"))
+    sinks.failed_raise(payloads.payload_files(own.select("participant_id", "session_id", "task_name", "f.*"), root))
+    some = v.where("vec_id % 7 <> 0").select("participant_id", F.concat(F.lit("s"), "participant_id").alias("session_id"))
+    sinks.single_file(some, f"{root}/phenotype/sessions.tsv")
+    return out, dataset.bundled(spark, root, out, {"f0": "mean pitch"}, 4, [("torchaudio", "mfcc"), ("torchaudio", "spectrogram"), ("ppgs", "ppgs")])
+
+
+@query("bundle_made", """
+WITH e AS (SELECT vec_id, CASE coalesce(CAST(label AS VARCHAR), '') WHEN '3' THEN 'audio-check' ELSE 't' || coalesce(CAST(label AS VARCHAR), '') END AS task FROM embeddings)
+SELECT 'torchaudio_mfcc.parquet' AS file, 'created' AS status, count(*) AS n, count(DISTINCT vec_id) AS participants, count(DISTINCT task) AS tasks FROM e
+UNION ALL SELECT 'torchaudio_spectrogram.parquet', 'created', count(*), count(DISTINCT vec_id), count(DISTINCT task) FROM e WHERE vec_id % 2 = 0
+UNION ALL SELECT 'ppgs.parquet', 'skipped(no-data)', 0, 0, 0 UNION ALL SELECT 'static_features.tsv', 'created', count(*), count(DISTINCT vec_id), count(DISTINCT task) FROM e""")
+def _(t):
+    return _bundle(t)[1]
+
+
+@query("bundle_issues", """
+WITH e AS (SELECT vec_id AS id, coalesce(label, -1) AS label FROM embeddings), f AS (SELECT 'torchaudio_mfcc.parquet' AS "table", * FROM e UNION ALL SELECT 'torchaudio_spectrogram.parquet', * FROM e WHERE id % 2 = 0)
+SELECT 'removed_participant' AS rule, "table", count(DISTINCT id) AS n FROM f WHERE id % 10 = 4 GROUP BY 2
+UNION ALL SELECT 'removed_participant', 'phenotype/sessions.tsv', count(*) FROM e WHERE id % 10 = 4 AND id % 7 <> 0
+UNION ALL SELECT 'original_participant', "table", count(DISTINCT id) FROM f WHERE id % 10 = 6 GROUP BY 2 UNION ALL SELECT 'original_participant', 'phenotype/sessions.tsv', count(*) FROM e WHERE id % 10 = 6 AND id % 7 <> 0
+UNION ALL SELECT 'unexpected_task', "table", 1 FROM f WHERE label = 3 GROUP BY 2
+UNION ALL SELECT 'unknown_session', "table", count(DISTINCT id) FROM f WHERE id % 7 = 0 GROUP BY 2 UNION ALL SELECT 'unknown_session', 'static_features.tsv', count(DISTINCT id) FROM e WHERE id % 7 = 0""")
+def _(t):
+    """What is wrong with a bundle that holds removed and original participants, audio checks and sessions without a row."""
+    out, _ = _bundle(t)
+    ids = lambda k: t("embeddings").where(f"vec_id % 10 = {k}").select(F.col("vec_id").cast("string"))
+    return dataset.bundle_issues(t("region").sparkSession, out, ids(4), ids(6), ["t", *(f"t{k}" for k in range(10))])
