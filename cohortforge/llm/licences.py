@@ -74,7 +74,7 @@ TEMPLATES = {label: [*TEMPLATES.get(label, []), *licence_texts.WHOLE.get(label,
 
 def templates_from(spark: SparkSession, folder: str, labels: dict[str, str], most_bytes: int = 4 << 20) -> dict[str, list[str]]:
     """TEMPLATES and the whole text of each file of a folder whose name is a key of ``labels`` (name to label), at most so many bytes in all."""
-    files = spark.read.option("wholetext", True).text(folder).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("name"), "value").where(F.col("name").isin(*labels))
+    files = spark.read.text(folder, wholetext=True).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("name"), "value").where(F.col("name").isin(*labels))
     size = files.agg(F.coalesce(F.sum(F.octet_length("value")), F.lit(0))).first()[0]
     if size > most_bytes:
         raise ValueError(f"licence texts of {size} bytes are too many for one automaton")

@@ -619,7 +619,7 @@ def test_whole_licence_texts(spark, tmp_path):
         for body in texts:
             n, _, labels, score, spans = scanner.scan(f"Copyright 2020 somebody\n\n{body}\n\nint main() {{}}".encode())
             assert label in labels and score == 1.0 and len(spans) == 1 and spans[0][0] <= 3 and spans[0][1] >= n - 3, label
-    (tmp_path / "LONG-1").write_text("A very long licence of many words. " + " ".join(f"clause{i}" for i in range(500)))
+    (tmp_path / "LONG-1").write_text("A very long licence\nof many words.\n" + " ".join(f"clause{i}" for i in range(500)))
     (tmp_path / "other").write_text("not asked for")
     templates = licences.templates_from(spark, str(tmp_path), {"LONG-1": "long"})
     assert set(templates) == {*licences.TEMPLATES, "long"}
