@@ -20,14 +20,16 @@ def col(c) -> Column:
 
 def normalize_label(c) -> Column:
     """Lower case, every run of other than letters and digits one hyphen, none at the ends."""
-    return F.regexp_replace(F.regexp_replace(F.lower(F.trim(col(c))), "[^a-z0-9]+", "-"), "^-+|-+$", "")
+    return F.btrim(F.regexp_replace(F.lower(col(c)), "[^a-z0-9]+", "-"), F.lit("-"))
 
 
 def sanitize_task_entity(stem) -> Column:
     """A file stem with the label of its task entity normalised and the rest as it was."""
     s = col(stem)
-    parts = F.split(F.regexp_replace(s, "^(.*?(?:^|_)task-)([^_]*)(.*)$", "$1\u0001$2\u0001$3"), "\u0001")
-    return F.when(F.size(parts) == 3, F.concat(parts[0], normalize_label(parts[1]), parts[2])).otherwise(s)
+    split = F.split(F.regexp_replace(s, "^(.*?(?:^|_)task-)([^_]*)(.*)$", "$1\u0001$2\u0001$3"), "\u0001")
+    # a lambda, so that the parts are made once
+    one = F.transform(F.array(split), lambda parts: F.when(F.size(parts) == 3, F.concat(parts[0], normalize_label(parts[1]), parts[2])).otherwise(s))
+    return one[0]
 
 
 def recording_to_task_name(name) -> Column:
@@ -40,6 +42,11 @@ def strip_counters(name) -> Column:
     return F.regexp_replace(col(name), r"(-\d+)+$", "")
 
 
+def file_stem(path) -> Column:
+    """A path's file name without its last extension; a leading dot begins none."""
+    return F.regexp_replace(F.element_at(F.split(col(path), "/"), -1), r"(?<=.)\.[^.]+$", "")
+
+
 def path_entity(path, entity: str) -> Column:
     """The value of sub-, ses- or task- in a path: its folder first, then its file name; null if there is none."""
     p = col(path)

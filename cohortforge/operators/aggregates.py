@@ -48,6 +48,19 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.na.drop(subset=list(keys)).groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
 
 
+def offenders(df: DataFrame, key: str) -> DataFrame:
+    """key, n, problem of values that a unique key holds more than once; nulls don't count."""
+    return repeated_keys(df, [key]).select(key, "n", F.lit("not unique").alias("problem"))
+
+
+def unique_or_raise(df: DataFrame, key: str, named: int = 10) -> DataFrame:
+    """The rows with a key, each once; ValueError with the first few keys that repeat."""
+    bad = [r[0] for r in offenders(df, key).orderBy(key).limit(named).collect()]
+    if bad:
+        raise ValueError(f"{key} is not unique: {', '.join(map(str, bad))}")
+    return df.where(F.col(key).isNotNull())
+
+
 def crosstab(df: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:
     return df.groupBy(row).agg(*(F.count_if(F.col(column) == v).alias(v) for v in values))
 

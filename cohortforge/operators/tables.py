@@ -19,6 +19,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         root = tempfile.mkdtemp(prefix="cohortforge-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
+        atexit.register(_gone, spark, sc.getCheckpointDir())  # a folder of this application's own
     return root
 
 

@@ -55,23 +55,21 @@ def dense_ranked(df: DataFrame, value: str, key: str | None = None, into: str =
 def numbered(df: DataFrame, order: Sequence[str], into: str = "_number", parts: int | None = None) -> DataFrame:
     """1, 2, ... over the whole table in the given order, without moving it into one partition.
 
-    Rows are range-partitioned and numbered within their partitions; partition offsets (one row each) are added.
+    Rows are range-partitioned and sorted once; a row's number is its place in its partition and the rows of the partitions
+    before, of which one small row each is joined by broadcast.
     """
-    spark = df.sparkSession
-    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     from cohortforge.operators.tables import kept_once
 
-    placed = kept_once(df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()))
-    sizes = {r["_part"]: r["count"] for r in placed.groupBy("_part").count().collect()}
-    offsets, total = [], 0
-    for part in sorted(sizes):
-        offsets.append((part, total))
-        total += sizes[part]
-    if not offsets:
-        return df.withColumn(into, F.lit(None).cast("long"))
-    base = F.create_map(*(F.lit(x) for pair in offsets for x in pair))
-    local = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    return placed.withColumn(into, (local + F.element_at(base, F.col("_part"))).cast("long")).drop("_part")
+    spark = df.sparkSession
+    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sorted_ = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    placed = kept_once(sorted_.withColumn("_place", F.monotonically_increasing_id()))  # partition in the upper bits, row below
+    part, row = F.shiftright("_place", 33), F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = placed.groupBy(part.alias("_part")).count()
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as partitions
+    offsets = sizes.select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    joined = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    return joined.withColumn(into, row + 1 + F.col("_before")).select(*df.columns, into)
 
 
 def padded(number, width: int = 6) -> Column:

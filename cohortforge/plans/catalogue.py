@@ -11,6 +11,42 @@ from cohortforge.operators import aggregates, windows
 # Ontology terms used as constants.
 ANATOMY, ASSOCIATION = "UBERON:0001737", "cfde_disease_association_type:1"
 DISEASES = {"copd": "DOID:3083", "asthma": "DOID:2841"}
+# Answers and their codes, by what they answer; conditions without a confirmed term have none.
+CODES = {
+    "race": {"race___1": "cfde_subject_race:0", "race___2": "cfde_subject_race:5", "race___3": "cfde_subject_race:2", "race___4": "cfde_subject_race:6", "race___5": "cfde_subject_race:3", "race___6": "cfde_subject_race:4", "race___7": "cfde_subject_race:4"},
+    "sex": {"": "cfde_subject_sex:0", "Female": "cfde_subject_sex:1", "Male": "cfde_subject_sex:2"},
+    "ethnicity": {"Not Hispanic or Latino": "cfde_subject_ethnicity:1", "Hispanic or Latino": "cfde_subject_ethnicity:0", "Prefer not to answer": ""},
+    "paediatric_race": {
+        "White": "cfde_subject_race:3",
+        "Black or African American": "cfde_subject_race:2",
+        "Asian": "cfde_subject_race:5",
+        "American Indian or Alaska Native": "cfde_subject_race:0",
+        "Native Hawaiian or Other Pacific Islander": "cfde_subject_race:6",
+        "Other": "cfde_subject_race:4",
+        "Canadian Indigenous or Aboriginal": "cfde_subject_race:4",
+        "Prefer not to answer": "",
+    },
+    "paediatric_sex": {"": "cfde_subject_sex:0", "Female gender identity": "cfde_subject_sex:1", "Male gender identity": "cfde_subject_sex:2", "Other": "cfde_subject_sex:0"},
+    "disease": {
+        "airway_stenosis": "DOID:11527",
+        "amyotrophic_lateral_sclerosis": "DOID:332",
+        "anxiety": "DOID:2030",
+        "bipolar_disorder": "DOID:3312",
+        "cognitive_impairment": "DOID:10652",
+        "depression": "DOID:1470",
+        "laryngeal_cancer": "DOID:2600",
+        "laryngeal_dystonia": "DOID:0050835",
+        "laryngitis": "DOID:3437",
+        "parkinsons_disease": "DOID:14330",
+    },
+}
+
+
+def coded(column, kind: str):
+    """The code of an answer; null for an answer without one, the code of an empty answer for a missing one where there is such."""
+    table = F.create_map(*(F.lit(x) for pair in CODES[kind].items() for x in pair))
+    value = F.coalesce(F.col(column), F.lit("")) if "" in CODES[kind] else F.col(column)
+    return F.try_element_at(table, value)
 
 
 def file_table(files: DataFrame, namespace: str) -> DataFrame:

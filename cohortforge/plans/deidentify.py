@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortforge.functions import tensors as T
-from cohortforge.functions.scalars import MONTH_LIKE_RANGES, canonical_stem, lookup, normalize_label, path_entity, sanitize_task_entity
+from cohortforge.functions.scalars import MONTH_LIKE_RANGES, canonical_stem, file_stem, lookup, normalize_label, path_entity, sanitize_task_entity
 from cohortforge.operators import joins, select, windows
 
 # Feature groups that may identify a speaker (group, name; no name: the whole group).
@@ -46,7 +46,7 @@ def session_numbers(sessions: DataFrame) -> DataFrame:
 
 def files_deidentified(files: DataFrame, participants: DataFrame, sessions: DataFrame, removed: DataFrame, stems: DataFrame, tasks: Sequence[str] | None) -> DataFrame:
     """Recordings that stay, with their new path; ``tasks``: normalised labels to include (None: all)."""
-    f = files.withColumns({"participant_id": path_entity("path", "sub"), "session_id": path_entity("path", "ses"), "stem": F.regexp_extract("path", r"([^/]+?)(?:\.[^./]+)?$", 1)})
+    f = files.withColumns({"participant_id": path_entity("path", "sub"), "session_id": path_entity("path", "ses"), "stem": file_stem("path")})
     f = joins.excluded(f, removed.select(F.col(removed.columns[0]).alias("participant_id")), "participant_id")
     f = joins.excluded_stems(f, stems)
     # one pattern, so that the label is made once: no audio check, and one of the tasks

@@ -56,7 +56,7 @@ def phenotype_pair(spark: SparkSession, table: str, dictionary: str) -> tuple[Da
     Of equal names the last schema's entry counts.  A table and dictionary that both lack ``record_id`` get an entry for it.
     """
     df = delimited(spark, table)
-    text = spark.read.option("wholetext", True).text(dictionary)
+    text = spark.read.text(dictionary, wholetext=True)
     schemas = text.select(F.from_json("value", "map<string,map<string,string>>").alias("m")).select(F.posexplode(F.map_entries("m")).alias("at", "s"))
     elements = F.from_json(F.col("s.value")["data_elements"], "map<string,string>")
     rows = schemas.select("at", F.explode(elements).alias("column", "entry")).groupBy("column").agg(F.max_by("entry", "at").alias("entry"))
@@ -69,14 +69,14 @@ def phenotype_pair(spark: SparkSession, table: str, dictionary: str) -> tuple[Da
 
 def metadata_rows(spark: SparkSession, root: str, schema: str, pattern: str = "*recording-metadata.json") -> DataFrame:
     """path and the fields of all JSON sidecars below a folder; files that can't be decoded are left out, none at all is an empty table."""
-    text = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(root)
+    text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(root, wholetext=True)
     parsed = text.select(F.col("_metadata.file_path").alias("path"), F.from_json("value", f"struct<{schema},_bad:string>", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("r"))
     return parsed.where("r is not null and r._bad is null").select("path", "r.*").drop("_bad")
 
 
 def text_found(spark: SparkSession, root: str, wanted: str, pattern: str = "*.json") -> DataFrame:
     """path, in_name, in_text of files below a folder whose name or content holds the text (case counts)."""
-    text = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(root)
+    text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(root, wholetext=True)
     path = F.col("_metadata.file_path")
     return text.select(path.alias("path"), F.element_at(F.split(path, "/"), -1).contains(wanted).alias("in_name"), F.col("value").contains(wanted).alias("in_text")).where("in_name or in_text")
 
@@ -97,7 +97,7 @@ RESPONSES = T.ArrayType(T.StructType([T.StructField("@type", T.StringType()), T.
 
 def survey_responses(spark: SparkSession, root: str) -> DataFrame:
     """record, session, activity, is_about, values, started, ended of all JSON-LD files <record>/<session>/*.jsonld; unreadable files are left out."""
-    text = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonld").text(root)
+    text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonld").text(root, wholetext=True)
     parts = F.split(F.col("_metadata.file_path"), "/")
     rows = text.select(F.split(F.element_at(parts, -3), r"(\s|%20)+")[0].alias("record"), F.element_at(parts, -2).alias("session"), F.from_json("value", RESPONSES).alias("r")).where("r is not null")
     times = rows.select("*", F.get(F.filter("r", lambda x: x["@type"].endswith("ResponseActivity")), F.lit(0)).alias("a"))

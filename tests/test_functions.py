@@ -237,14 +237,14 @@ def test_phenotype_pair_metadata_and_text_search(spark, tmp_path):
     from cohortforge.sources import files
 
     (tmp_path / "t.tsv").write_text("participant\tage\n1\t20\n2\tn/a\n")
-    (tmp_path / "t.json").write_text(json.dumps({"s1": {"data_elements": {"age": {"description": "old"}}}, "s2": {"data_elements": {"age": {"description": "Age"}, "x": 1}}}))
+    (tmp_path / "t.json").write_text(json.dumps(indent=2, obj={"s1": {"data_elements": {"age": {"description": "old"}}}, "s2": {"data_elements": {"age": {"description": "Age"}, "x": 1}}}))
     df, entries = files.phenotype_pair(spark, str(tmp_path / "t.tsv"), str(tmp_path / "t.json"))
     assert df.columns == ["participant", "age"] and df.count() == 2
     got = {r.column: r.entry for r in entries.collect()}
     assert set(got) == {"age", "x", "record_id"} and json.loads(got["age"]) == {"description": "Age"}
     side = tmp_path / "d" / "sub-1"
     side.mkdir(parents=True)
-    (side / "a_recording-metadata.json").write_text('{"task_name": "read", "n": 3}')
+    (side / "a_recording-metadata.json").write_text('{"task_name": "read",\n "n": 3}\n')
     (side / "b_recording-metadata.json").write_text("{not json")
     rows = files.metadata_rows(spark, str(tmp_path / "d"), "task_name string, n int")
     assert [(r.task_name, r.n) for r in rows.collect()] == [("read", 3)]

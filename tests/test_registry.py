@@ -7,7 +7,7 @@ import os
 import duckdb
 import pytest
 
-from cohortforge.plans import registry, registry_features, registry_media, registry_release  # noqa: F401
+from cohortforge.plans import registry, registry_features, registry_files, registry_media, registry_release  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
