@@ -7,10 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortforge.operators import aggregates, select
+from cohortforge.operators import aggregates, nested, select
 from cohortforge.operators.tables import kept_once
 from cohortforge.plans import deidentify, survey
-from cohortforge.sources import files, payloads, sinks
+from cohortforge.sources import audio, files, payloads, sinks
 
 IDS = ["participant_id", "session_id", "task_name"]
 # What a bundle must hold, where its sessions may be, and the groups of scalar features.
@@ -72,6 +72,29 @@ def built(spark: SparkSession, export: DataFrame, out: str, audio_root: str | No
     return done
 
 
+# --- survey responses ----------------------------------------------------------------------------
+
+
+def imported(spark: SparkSession, responses: str, choices: DataFrame, audio_root: str | None = None) -> dict[str, DataFrame]:
+    """Tables of a survey: participants, answers (record, instrument, column, value), sessions, and tasks and recordings of its audio.
+
+    ``responses``: a folder of JSON-LD files <record>/<session>/*.jsonld; ``choices`` as for ``nested.survey_rows``.  ``audio_root``: a
+    folder of recordings <record>/<session>/<task>-<uuid>.wav, whose lengths come from their heads.  Records are cleaned ids; those
+    that aren't one have no rows.
+    """
+    raw = kept_once(files.survey_responses(spark, responses))
+    rows = kept_once(survey.subject_ids_cleaned(survey.response_rows(raw), "record"))
+    out = {
+        "participants": rows.select("record").distinct(),
+        "answers": nested.survey_rows(rows.select("record", "instrument", "item", "values"), choices),
+        "sessions": survey.session_durations(rows),
+    }
+    if audio_root:
+        found = audio.wav_facts(files.inventory(spark, audio_root).select("path")).select("path", F.coalesce("seconds", F.lit(0.0)).alias("duration"))
+        out["tasks"], out["recordings"] = survey.audio_rows(kept_once(found))
+    return out
+
+
 # --- from a folder to a bundle -------------------------------------------------------------------
 
 
@@ -110,6 +133,20 @@ def _counted(df: DataFrame, name: str, status: str) -> DataFrame:
     return df.agg(F.lit(name).alias("file"), F.lit(status).alias("status"), F.count("*").alias("n"), F.count_distinct("participant_id").alias("participants"), F.count_distinct("task_name").alias("tasks"))
 
 
+def recordings_with_features(spark: SparkSession, root: str, group: str, name: str, fields: Sequence[str]) -> DataFrame:
+    """Recordings below ``root`` with fields of their sidecar and one feature of their payload as rows of numbers (data).
+
+    A sidecar <stem>.json beside <stem>_features.pt holds {item: [{linkId, answer: [{valueString}]}]}; recordings that lack either
+    aren't there, a field that a sidecar lacks is null.
+    """
+    text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*_task-*.json").text(root, wholetext=True)
+    stem = lambda path, ending: F.regexp_extract(path, f"([^/]+){ending}$", 1)
+    sidecars = text.select(stem(F.col("_metadata.file_path"), r"\.json").alias("stem"), F.col("value").alias("response"))
+    wide = nested.wide(nested.questionnaire_long(sidecars, "stem"), ["stem"], "link_id", "answer", fields)
+    held = payloads.payloads(spark, root).where((F.col("feature_group") == group) & (F.col("feature_name") == name))
+    return wide.join(held.select(stem(F.col("path"), r"_features\.pt").alias("stem"), payloads.as_matrix().alias("data")), "stem")
+
+
 # --- validation ----------------------------------------------------------------------------------
 
 

@@ -118,3 +118,36 @@ def test_stale_spectrograms_and_followed_dictionaries(spark):
     before, after = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int"), spark.createDataFrame([(1, 3)], "a int, c int")
     elements = spark.createDataFrame([("a",), ("b",), ("other",)], "column string")
     assert sorted(r.column for r in dataset.dictionary_followed(elements, before, after).collect()) == ["a", "other"]
+
+
+def test_a_survey_is_imported(spark, tmp_path):
+    def answer(item, value):
+        return [{"@type": "x:ResponseActivity", "used": ["p/activities/basics"], "startedAtTime": "2024-01-01T00:00:00.000Z", "endedAtTime": "2024-01-01T00:00:09.500Z"}, {"@type": "x:Response", "isAbout": f"p/items/{item}", "value": value}]
+
+    for record, session, item, value in (("1AB", "s1", "age", "25"), ("1AB", "s1", "many", ["1", "3"]), ("2 CD", "s2", "mood", "b"), ("toolong", "s3", "age", "1")):
+        folder = tmp_path / "r" / record / session
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{item}.jsonld").write_text(json.dumps(answer(item, value), indent=1))
+    (tmp_path / "r/1AB/s1/broken.jsonld").write_text("{")
+    sound = tmp_path / "a/1AB/s1-"
+    sound.mkdir(parents=True)
+    for k in (0, 1):
+        (sound / f"long_sounds_task_{k + 1}_10_plus-{U[k]}.wav").write_bytes(audio.encoded(np.zeros(4000 * (k + 1)), 8000))
+    choices = spark.createDataFrame([("many", str(k), "x", True, 3) for k in (1, 2, 3)] + [("mood", "b", "bad", False, None)], "item string, value string, label string, multiple boolean, n_options int")
+    got = dataset.imported(spark, str(tmp_path / "r"), choices, str(tmp_path / "a"))
+    answers = {(r.record, r.column): r.value for r in got["answers"].collect()}
+    assert answers == {("001AB", "age"): "25", ("001AB", "many___1"): "Checked", ("001AB", "many___2"): "Unchecked", ("001AB", "many___3"): "Checked", ("2", "mood"): "Bad"}
+    assert {r.record for r in got["participants"].collect()} == {"001AB", "2"}
+    assert {r.session_duration for r in got["sessions"].collect()} == {9.5}
+    assert sorted(r.duration for r in got["recordings"].collect()) == [0.5, 1.0]
+    assert [r.acoustic_task_duration for r in got["tasks"].collect()] == [1.5]
+
+
+def test_recordings_with_their_features(spark, tmp_path):
+    schema = payloads.SCHEMA.replace("path string, ", "")
+    rows = [(p, "s", "t", "torchaudio", "spectrogram", [2, 2], [1.0, 2.0, 3.0, 4.0], None) for p in ("a", "b")]
+    assert payloads.payload_files(spark.createDataFrame(rows, schema), str(tmp_path)).where("error is not null").count() == 0
+    item = {"item": [{"linkId": "record_id", "answer": [{"valueString": "r1"}]}, {"linkId": "other", "answer": []}]}
+    (tmp_path / "sub-a/ses-s/audio/sub-a_ses-s_task-t.json").write_text(json.dumps(item, indent=2))
+    (row,) = dataset.recordings_with_features(spark, str(tmp_path), "torchaudio", "spectrogram", ["record_id", "recording_name"]).collect()
+    assert (row.stem, row.record_id, row.recording_name, row.data) == ("sub-a_ses-s_task-t", "r1", None, [[1.0, 2.0], [3.0, 4.0]])
