@@ -76,18 +76,16 @@ def instructions_found(names: DataFrame, instructions: DataFrame, id_col: str, n
     keys.  An empty key is part of every name; null names and keys match nothing.  Ids must not be null.
     """
     keys = instructions.select(F.lower("key").alias("key"), "at").where("key is not null").groupBy("key").agg(F.min("at").alias("at"))
-    size = F.least(F.length("key"), F.lit(gram))
-    pieces = lambda text, n: F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(text) - n + 1), lambda i: F.array_join(F.slice(text, i, n), "")))
-    own = keys.where("key <> ''").withColumn("n", size).withColumn("chars", F.filter(F.split("key", ""), lambda c: c != ""))
-    grams = own.select("key", "at", "n", F.explode(pieces(F.col("chars"), F.col("n"))).alias("gram"))
+    # every place of a text begins a piece: a pattern that takes nothing sees all of them
+    pieces = lambda text, n: F.array_distinct(F.regexp_extract_all(text, F.concat(F.lit("(?s)(?=(.{"), n.cast("string"), F.lit("}))")), F.lit(1)))
+    own = keys.where("key <> ''").withColumn("n", F.least(F.length("key"), F.lit(gram)))
+    grams = own.select("key", "at", "n", F.explode(pieces(F.col("key"), F.col("n"))).alias("gram"))
     anchors = kept_once(grams.join(grams.groupBy("gram").agg(F.count("*").alias("keys")), "gram").groupBy("key", "at", "n").agg(F.min(F.struct("keys", "gram"))["gram"].alias("gram")))
     texts = names.select(id_col, F.lower(name).alias("_text"))
-    chars = texts.select(id_col, F.filter(F.split("_text", ""), lambda c: c != "").alias("_chars")).where(F.size("_chars") > 0)
-    lengths = [r.n for r in anchors.select("n").distinct().collect()]  # at most ``gram`` numbers
     found = None
-    for n in lengths:
+    for n in [r.n for r in anchors.select("n").distinct().collect()]:  # at most ``gram`` numbers
         some = anchors.where(F.col("n") == n).select("gram", "key", "at")
-        met = chars.where(F.size("_chars") >= n).select(id_col, F.explode(pieces(F.col("_chars"), F.lit(n))).alias("gram")).join(some, "gram").select(id_col, "key", "at")
+        met = texts.select(id_col, F.explode(pieces(F.col("_text"), F.lit(n))).alias("gram")).join(some, "gram").select(id_col, "key", "at")
         found = met if found is None else found.unionByName(met)
     empty = keys.where("key = ''").select(F.col("at").alias("_every"))  # one row at most
     whole = texts.where(F.col("_text").isNotNull()).join(F.broadcast(empty), F.lit(True), "inner").select(id_col, F.col("_every").alias("at"))
