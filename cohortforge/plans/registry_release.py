@@ -49,7 +49,8 @@ def _(t):
 
 @query("remap_report", """
 WITH m AS (SELECT o_custkey, CASE WHEN o_custkey % 3 = 0 THEN 'x' || o_custkey END AS new_id FROM orders)
-SELECT count(*) AS n, count(*) FILTER (new_id IS NULL) AS n_unchanged, count(DISTINCT o_custkey) FILTER (new_id IS NULL) AS n_unchanged_ids, count(new_id) / count(*) AS proportion FROM m""")
+SELECT count(*) AS n, count(*) FILTER (new_id IS NULL) AS n_unchanged, count(DISTINCT o_custkey) FILTER (new_id IS NULL) AS n_unchanged_ids, count(new_id) / count(*) AS proportion,
+  (SELECT string_agg(DISTINCT CAST(o_custkey AS VARCHAR), ',' ORDER BY CAST(o_custkey AS VARCHAR)) FROM m WHERE new_id IS NULL) AS ids FROM m""")
 def _(t):
     mapping = _ids(t("customer").where("c_custkey % 3 = 0"), F.col("c_custkey"), F.concat(F.lit("x"), "c_custkey"))
     return release.remap_report(t("orders").select(F.col("o_custkey").cast("string").alias("id")), mapping, "id")

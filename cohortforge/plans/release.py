@@ -39,14 +39,19 @@ def stems_expanded(stems: DataFrame, participants: DataFrame, sessions: DataFram
 
 
 def remap_report(before: DataFrame, mapping: DataFrame, column: str) -> DataFrame:
-    """n, n_unchanged, n_unchanged_ids, proportion (remapped) of an id column; the ids themselves are ``unchanged_ids``.
+    """n, n_unchanged, n_unchanged_ids, proportion (remapped) of an id column, and ids: the unchanged ones as text, in order, joined by commas.
 
-    An id mapped to itself counts as unchanged; nulls count as rows, neither remapped nor unchanged.
+    An id mapped to itself counts as unchanged; nulls count as rows, neither remapped nor unchanged; without unchanged ids, ids is null.
+    Tasks sort and join ranges of ids; ids is one value, so all of them have 2 GB at most (``unchanged_ids`` has them as rows).
     """
     joined, same = _remapped_ids(before, mapping, column)
     total, unchanged = F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.sum(F.when(same, F.col("_n"))), F.lit(0))
     remapped = F.coalesce(F.sum(F.when(~same & F.col("_id").isNotNull(), F.col("_n"))), F.lit(0))
-    return joined.agg(total.alias("n"), unchanged.alias("n_unchanged"), F.count_if(same).alias("n_unchanged_ids"), F.coalesce(F.try_divide(remapped, total), F.lit(0.0)).alias("proportion"))
+    counted = joined.agg(total.alias("n"), unchanged.alias("n_unchanged"), F.count_if(same).alias("n_unchanged_ids"), F.coalesce(F.try_divide(remapped, total), F.lit(0.0)).alias("proportion"))
+    ranges = joined.where(same).select(F.col("_id").cast("string").alias("id")).repartitionByRange("id").withColumn("_range", F.spark_partition_id())
+    texts = ranges.groupBy("_range").agg(F.min("id").alias("first"), F.array_join(F.sort_array(F.collect_set("id")), ",").alias("text"))
+    in_order = F.transform(F.sort_array(F.collect_list(F.struct("first", "text"))), lambda x: x["text"])
+    return counted.crossJoin(texts.agg(F.when(F.count("*") > 0, F.array_join(in_order, ",")).alias("ids")))
 
 
 def unchanged_ids(before: DataFrame, mapping: DataFrame, column: str) -> DataFrame:
