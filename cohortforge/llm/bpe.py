@@ -198,7 +198,7 @@ def encode(df: DataFrame, path: str, pattern: str, *, text_col="text", ids_col="
     """``df`` with ``ids_col``: the ids as little-endian unsigned 32-bit integers, binary."""
     names = [c for c in df.columns if c != ids_col]
     kept = df.select(*names)
-    return kept.mapInArrow(_encoder(names, path, pattern, text_col, ids_col), kept.withColumn(ids_col, F.lit(None).cast("binary")).schema)
+    return kept.mapInArrow(B.trimmed(_encoder(names, path, pattern, text_col, ids_col)), kept.withColumn(ids_col, F.lit(None).cast("binary")).schema)
 
 
 def _decoder(names, path, ids_col, bytes_col):
@@ -218,7 +218,7 @@ def decode(df: DataFrame, path: str, *, ids_col="ids", bytes_col="decoded") -> D
     """``df`` with ``bytes_col``: the bytes that the ids stand for."""
     names = [c for c in df.columns if c != bytes_col]
     kept = df.select(*names)
-    return kept.mapInArrow(_decoder(names, path, ids_col, bytes_col), kept.withColumn(bytes_col, F.lit(None).cast("binary")).schema)
+    return kept.mapInArrow(B.trimmed(_decoder(names, path, ids_col, bytes_col)), kept.withColumn(bytes_col, F.lit(None).cast("binary")).schema)
 
 
 def _digests(batches):
@@ -233,7 +233,7 @@ def digest(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     encoder = _encoder(["doc_id", "text"], path, pattern, "text", "ids")
     decoder = _decoder(["doc_id", "text", "ids"], path, "ids", "decoded")
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(lambda batches: _digests(decoder(encoder(batches))), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", "text").mapInArrow(B.trimmed(lambda batches: _digests(decoder(encoder(batches)))), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def query(spark, sf_dir, vocabulary: str | None = None) -> DataFrame:

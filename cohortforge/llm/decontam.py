@@ -53,7 +53,7 @@ def patterns(items: DataFrame, id_col: str, text_col: str, window: int) -> DataF
     def made(batch, ids, keys, sizes):
         return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ids, pa.int64())), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32())], names=["item", "pattern", "k"])
 
-    found = items.select(F.col(id_col).alias("item"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"item {kind}, pattern binary, k int")
+    found = items.select(F.col(id_col).alias("item"), F.col(text_col).cast("string").alias("text")).mapInArrow(B.trimmed(run), f"item {kind}, pattern binary, k int")
     return found.groupBy("pattern").agg(F.max("k").alias("k"), F.array_sort(F.collect_set("item")).alias("items"))
 
 
