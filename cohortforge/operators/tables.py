@@ -29,6 +29,24 @@ def kept_once(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The frame written to the shared folder as Parquet and read again, for loops that join their last round with itself.
+
+    The planner takes its size from the files; that of a checkpoint comes from the plan it cuts, so a join in each round squares it, and
+    after some thirty rounds the number alone fills the driver.
+    """
+    path = own_folder(df.sparkSession)
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discarded(df: DataFrame) -> None:
+    """The files of a frame that ``stored`` wrote and that nothing reads any more."""
+    _gone(df.sparkSession, df._stored_at)
+
+
 def _gone(spark: SparkSession, path: str) -> None:
     if spark.sparkContext._jsc is not None:  # else the session ended before; whoever keeps the folder clears it
         where = spark._jvm.org.apache.hadoop.fs.Path(path)

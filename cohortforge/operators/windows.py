@@ -95,32 +95,51 @@ def shortened_ids(df: DataFrame, column: str, into: str = "short_id") -> DataFra
     return df.join(table, df[column] == table["_id"], "left").drop("_id")
 
 
+#: Candidates of one id that a round of ``pseudonyms`` looks at, so that no row gets large.
+MOST_AHEAD = 1 << 16
+
+
 def pseudonyms(ids: DataFrame, key: bytes, column: str = "id", held: DataFrame | None = None, digits: int = 6, most: int = 1000) -> DataFrame:
     """column, pseudonym: keyed numbers without collisions, as if ids came one by one in order.
 
     An id's candidates are the keyed numbers of itself, then of itself with "1", "2", ... at its end.  Each id takes the
     first candidate that no held pair and no id before it has.  All ids propose at once; of those that want one
-    number the first id keeps it for now, the others go on to their next candidate, until nobody has to.
-    Held pairs stay as they are.  Null ids are left out, repeated ones count once.
+    number the first id keeps it for now.  What an id keeps never gets free for one after it, so the others go on to their next candidate
+    that nobody before them keeps; the fewer they are, the further they look ahead in a round, until nobody has to.
+    Held pairs stay as they are.  Null ids are left out, repeated ones count once.  More ids than free numbers raise ValueError.
     """
-    from cohortforge.operators.tables import kept_once
+    from cohortforge.operators.tables import discarded, kept_once, stored
 
     fresh = ids.select(column).where(F.col(column).isNotNull()).distinct()
+    taken = None
     if held is not None:
         held = kept_once(held.select(column, "pseudonym"))
         fresh = fresh.join(held.select(column), column, "left_anti")
+        taken = held.select("pseudonym").where("pseudonym is not null").distinct()
     candidate = pseudonym(F.concat(F.col(column), F.when(F.col("tries") > 0, F.col("tries").cast("string")).otherwise("")), key, digits)
-    placed = fresh.withColumn("tries", F.lit(0))
+    placed = fresh.withColumn("tries", F.lit(0).cast("long")).withColumn("pseudonym", candidate)
+    if taken is not None:  # a held number's row has no id and comes first
+        placed = placed.unionByName(taken, allowMissingColumns=True)
+    place = F.row_number().over(Window.partitionBy("pseudonym").orderBy(F.col(column).asc_nulls_first()))
+    ahead, before = 1, None
     for _ in range(most):
-        placed = kept_once(placed.select(column, "tries", candidate.alias("pseudonym")))
-        loses = F.row_number().over(Window.partitionBy("pseudonym").orderBy(column)) > 1
-        proposed = placed.withColumn("loses", loses)
-        if held is not None:
-            taken = held.select("pseudonym", F.lit(True).alias("taken"))
-            proposed = proposed.join(taken, "pseudonym", "left").withColumn("loses", F.col("loses") | F.col("taken").isNotNull())
-        losers = kept_once(proposed.where("loses").select(column, F.lit(1).alias("more")))
-        if losers.isEmpty():
-            done = placed.select(column, "pseudonym")
+        placed = stored(placed.withColumn("place", place))
+        if before is not None:
+            discarded(before)
+        before = placed
+        no_number = F.col(column).isNull() & ~F.col("pseudonym").rlike(f"^[0-9]{{{digits}}}\\z")
+        n, others, losers = placed.agg(F.count("*"), F.count_if(no_number), F.count_if(F.col("place") > 1)).first()
+        if n - others > 10**digits:
+            raise ValueError(f"{n - others} ids and held numbers don't fit into {digits} digits; use more")
+        if not losers:
+            done = placed.where(F.col(column).isNotNull()).select(column, "pseudonym")
             return done if held is None else held.unionByName(done)
-        placed = placed.join(losers, column, "left").select(column, (F.col("tries") + F.coalesce("more", F.lit(0))).alias("tries"))
+        ahead = max(1, min(2 * ahead, n // losers, MOST_AHEAD))  # no more candidates than rows
+        keepers = placed.where("place = 1").drop("place")
+        wanted = placed.where("place > 1").select(column, F.explode(F.sequence(F.col("tries") + 1, F.col("tries") + ahead)).alias("tries")).withColumn("pseudonym", candidate)
+        met = wanted.join(keepers.select("pseudonym", F.col(column).alias("keeper"), F.lit(True).alias("kept")), "pseudonym", "left")
+        is_open = F.col("kept").isNull() | F.coalesce(F.col("keeper") > F.col(column), F.lit(False))
+        # who finds none goes to the last one looked at, loses it and looks on from there
+        moved = met.groupBy(column).agg(F.coalesce(F.min(F.when(is_open, F.col("tries"))), F.max("tries")).alias("tries"))
+        placed = keepers.unionByName(moved.withColumn("pseudonym", candidate))
     raise ValueError("ids still collide; use more digits")

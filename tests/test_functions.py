@@ -221,6 +221,22 @@ def test_pseudonyms_equal_those_given_one_by_one(spark):
         assert got.count() == len(want)
 
 
+def test_pseudonyms_of_nearly_as_many_ids_as_numbers(spark):
+    """One step a round takes over a hundred rounds here; plans must not grow with them, and too many ids end at once."""
+    key = b"k"
+    number = lambda text: f"{int(hmac.new(key, text.encode(), hashlib.sha256).hexdigest()[:12], 16) % 1000:03d}"
+    held = {"5": "041", "x": "007", "y": "no number", "z": None}
+    want, taken = dict(held), set(held.values())
+    for i in sorted({str(i) for i in range(980)} - set(held)):
+        want[i] = next(c for c in (number(i + (str(tries) if tries else "")) for tries in range(100_000)) if c not in taken)
+        taken.add(want[i])
+    ids = lambda n: spark.range(n).select(F.col("id").cast("string").alias("id"))
+    old = spark.createDataFrame([*held.items()], "id string, pseudonym string")
+    assert {r.id: r.pseudonym for r in windows.pseudonyms(ids(980), key, held=old, digits=3).collect()} == want
+    with pytest.raises(ValueError, match="don't fit"):
+        windows.pseudonyms(ids(1000), key, held=old.where("id <> '5'"), digits=3)
+
+
 def wav(seconds: float, rate: int = 8000, extra: bytes = b"") -> bytes:
     """A 16-bit mono file, with another chunk before its data if asked for."""
     import struct
