@@ -6,12 +6,19 @@ import json
 from collections.abc import Sequence
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortforge.functions.scalars import path_entity
 from cohortforge.operators.select import MISSING, default_instrument, nulls_normalized
+from cohortforge.operators.tables import stored
+from cohortforge.plans.workers import importable
+from cohortforge.sources import filesystems
+
+#: Entries of folders, and bytes of texts, that a task hands on at once.
+LISTED, TEXT_BYTES = 10_000, 4 << 20
 
 
 def delimited(spark: SparkSession, path: str, sep: str | None = None, missing: Sequence[str] = MISSING) -> DataFrame:
@@ -92,13 +99,76 @@ def newest_by_uuid(files: DataFrame, pattern: str) -> DataFrame:
     return files.withColumn("uuid", F.regexp_extract("path", pattern, 1)).where("uuid <> ''").groupBy("uuid").agg(F.max("path").alias("path"))
 
 
+def texts_below(spark: SparkSession, root: str, suffix: str) -> DataFrame:
+    """path, value of the files below a folder whose names end in ``suffix``, each as one text; hidden names (._) are left out.
+
+    Spark's reader holds a record of each file on the driver.  Here tasks list the folders, one level after the other, and the
+    lists stay in the shared folder; other tasks read the files.  Folders that Arrow doesn't open, patterns and single files go
+    through Spark's reader.
+    """
+    where = _folder_for_arrow(spark, root)
+    if where is None:
+        text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").text(root, wholetext=True)
+        return text.select(F.col("_metadata.file_path").alias("path"), "value")
+    importable(spark)
+
+    def listed(batches):
+        fs, _ = filesystems.located(where)
+        held = []
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                held += filesystems.entries(fs, folder, suffix)
+                while len(held) >= LISTED:
+                    yield _batch(held[:LISTED], ("path", "is_folder"))
+                    held = held[LISTED:]
+        if held:
+            yield _batch(held, ("path", "is_folder"))
+
+    def read(batches):
+        fs, _ = filesystems.located(where)
+        held, size = [], 0
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                with fs.open_input_stream(path, compression=None) as handle:
+                    data = handle.read()
+                held.append((path, data.decode("utf-8", "replace")))
+                size += len(data)
+                if size >= TEXT_BYTES or len(held) >= LISTED:
+                    yield _batch(held, ("path", "value"))
+                    held, size = [], 0
+        if held:
+            yield _batch(held, ("path", "value"))
+
+    most = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    folders, n, found = spark.createDataFrame([(filesystems.located(where)[1],)], "path string"), 1, None
+    while n:
+        level = stored(folders.repartition(min(n, most)).mapInArrow(listed, "path string, is_folder boolean"))
+        folders, held = level.where("is_folder").select("path"), level.where("not is_folder").select("path")
+        found, n = held if found is None else found.unionByName(held), folders.count()
+    return found.repartition(most).mapInArrow(read, "path string, value string")
+
+
+def _folder_for_arrow(spark: SparkSession, root: str) -> str | None:
+    """A folder's whole path, as all machines know it; None if Arrow finds no folder there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(root)
+    where = p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
+    try:
+        return where if filesystems.is_folder(where) else None
+    except (OSError, ValueError):
+        return None
+
+
+def _batch(rows: list[tuple], names: Sequence[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=list(names))
+
+
 RESPONSES = T.ArrayType(T.StructType([T.StructField("@type", T.StringType()), T.StructField("@id", T.StringType()), T.StructField("used", T.ArrayType(T.StringType())), T.StructField("startedAtTime", T.StringType()), T.StructField("endedAtTime", T.StringType()), T.StructField("isAbout", T.StringType()), T.StructField("value", T.StringType())]))
 
 
 def survey_responses(spark: SparkSession, root: str) -> DataFrame:
     """record, session, activity, is_about, values, started, ended of all JSON-LD files <record>/<session>/*.jsonld; unreadable files are left out."""
-    text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonld").text(root, wholetext=True)
-    parts = F.split(F.col("_metadata.file_path"), "/")
+    text = texts_below(spark, root, ".jsonld")
+    parts = F.split("path", "/")
     rows = text.select(F.split(F.element_at(parts, -3), r"(\s|%20)+")[0].alias("record"), F.element_at(parts, -2).alias("session"), F.from_json("value", RESPONSES).alias("r")).where("r is not null")
     times = rows.select("*", F.get(F.filter("r", lambda x: x["@type"].endswith("ResponseActivity")), F.lit(0)).alias("a"))
     each = times.select("record", "session", "a", F.explode(F.filter("r", lambda x: x["@type"].endswith("Response"))).alias("x"))

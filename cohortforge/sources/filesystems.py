@@ -30,6 +30,25 @@ def parent(path: str) -> str:
     return path.rsplit("/", 1)[0] if "/" in path else ""
 
 
+def is_folder(path: str) -> bool:
+    from pyarrow import fs
+
+    system, own = located(path)
+    return system.get_file_info(own).type == fs.FileType.Directory
+
+
+def entries(system, folder: str, suffix: str) -> list[tuple[str, bool]]:
+    """Path and whether it is a folder of what lies right in a folder: folders, and files whose names end in ``suffix``.
+
+    Hidden names are left out, as Spark's readers do.
+    """
+    from pyarrow import fs
+
+    hidden = lambda name: name.startswith(".") or name.startswith("_") and "=" not in name
+    wanted = lambda x: x.type == fs.FileType.Directory or x.type == fs.FileType.File and x.base_name.endswith(suffix)
+    return [(x.path, x.type == fs.FileType.Directory) for x in system.get_file_info(fs.FileSelector(folder)) if wanted(x) and not hidden(x.base_name)]
+
+
 def pieces(handle, size: int = PIECE_BYTES):
     while piece := handle.read(size):
         yield piece

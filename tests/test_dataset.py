@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from cohortforge.plans import dataset, features
-from cohortforge.sources import audio, payloads
+from cohortforge.sources import audio, files, payloads
 
 U = [f"0000000{k}-aaaa-bbbb-cccc-0123456789ab" for k in range(4)]
 COLUMNS = {
@@ -143,6 +143,24 @@ def test_a_survey_is_imported(spark, tmp_path):
     assert [r.acoustic_task_duration for r in got["tasks"].collect()] == [1.5]
 
 
+def test_responses_are_listed_and_read_in_tasks(spark, tmp_path):
+    """Spark's reader would hold every file on the driver; what is found and read stays the same."""
+    text = json.dumps([{"@type": "x:ResponseActivity", "used": ["p/a"]}, {"@type": "x:Response", "isAbout": "p/i", "value": "\u00fc"}], ensure_ascii=False)
+    shown = ["1/s1/a.jsonld", "1/s1/b.jsonld", "2 x/s 2/a#b%.jsonld", "deep/er/3/s3/a.jsonld", "_k=v/s4/a.jsonld"]
+    for name in [*shown, "1/s1/a.json", "1/.s/a.jsonld", "1/_s/a.jsonld", "1/s1/.a.jsonld", "1/s1/_a.jsonld"]:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(text, encoding="utf-8")
+    (tmp_path / "4/empty").mkdir(parents=True)
+    (tmp_path / "1/s1/gone.jsonld").symlink_to(tmp_path / "nowhere")
+    got = files.survey_responses(spark, str(tmp_path))
+    assert sorted((r.record, r.session, *r["values"]) for r in got.collect()) == sorted((r, s, "\u00fc") for r, s in [("1", "s1"), ("1", "s1"), ("2", "s 2"), ("3", "s3"), ("_k=v", "s4")])
+    assert not [f for f in got.inputFiles() if f.endswith(".jsonld")]
+    by_spark = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonld").text(str(tmp_path), wholetext=True)
+    texts = files.texts_below(spark, f"file:{tmp_path}", ".jsonld")
+    assert sorted(r.value for r in texts.collect()) == sorted(r.value for r in by_spark.collect()) and sorted(r.path for r in texts.collect()) == sorted(str(tmp_path / x) for x in shown)
+    assert files.texts_below(spark, f"{tmp_path}/1/s*", ".jsonld").count() == 2 and files.texts_below(spark, str(tmp_path / "4"), ".jsonld").count() == 0
+
+
 def test_recordings_with_their_features(spark, tmp_path):
     schema = payloads.SCHEMA.replace("path string, ", "")
     rows = [(p, "s", "t", "torchaudio", "spectrogram", [2, 2], [1.0, 2.0, 3.0, 4.0], None) for p in ("a", "b")]
